@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trendcast.plans import marts, staging
 from trendcast.sources import fixtures as fx
+from trendcast.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -55,3 +56,277 @@ def q_recur(spark, sf_dir):
 @register("mart_gap_analysis")
 def q_gap(spark, sf_dir):
     return marts.mart_gap_analysis(fx.keyword_videos(spark, sf_dir), fx.trends(spark, sf_dir), fx.AS_OF)
+
+
+# --- projections and scalar functions -------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from trendcast import constants as K  # noqa: E402
+from trendcast import functions as fn  # noqa: E402
+from trendcast import operators as op  # noqa: E402
+from trendcast.plans import dashboards, quality  # noqa: E402
+
+
+@register("recommendation_score")
+def q_score(spark, sf_dir):
+    return stg(spark, sf_dir).select("query", "start_date", "search_volume", "increase_percentage",
+                                     "active", "trend_duration_hrs",
+                                     fn.recommendation_score().alias("recommendation_score"))
+
+
+@register("content_window")
+def q_window(spark, sf_dir):
+    return stg(spark, sf_dir).select("query", "start_date", "active", "trend_duration_hrs",
+                                     fn.content_window().alias("content_window"))
+
+
+@register("urgency_tier")
+def q_tier(spark, sf_dir):
+    return stg(spark, sf_dir).select("query", "start_date", "search_volume", "active",
+                                     fn.urgency_tier().alias("urgency_tier"))
+
+
+@register("time_of_day")
+def q_tod(spark, sf_dir):
+    return stg(spark, sf_dir).select("query", "start_date", "start_hour_eat",
+                                     fn.time_of_day().alias("time_of_day"))
+
+
+@register("local_time_parts")
+def q_local(spark, sf_dir):
+    return stg(spark, sf_dir).select("query", "start_date", "trend_date", "start_hour_eat",
+                                     "day_of_week", "month_name", "week_number")
+
+
+@register("recurrence_label")
+def q_recur_label(spark, sf_dir):
+    agg = stg(spark, sf_dir).groupBy("query", "categories").agg(
+        F.count(F.lit(1)).alias("times_trended"),
+        F.datediff(F.max("trend_date"), F.min("trend_date")).cast("bigint").alias("active_span_days"))
+    return agg.withColumn("recurrence_label", fn.recurrence_label())
+
+
+@register("scheduling_tip")
+def q_tip(spark, sf_dir):
+    agg = (stg(spark, sf_dir).withColumn("_tod", fn.time_of_day())
+           .groupBy("query", "categories").agg(
+               fn.top_value("_tod").alias("most_common_time_of_day"),
+               fn.top_value("day_of_week").alias("most_common_day")))
+    return agg.withColumn("scheduling_tip", fn.scheduling_tip())
+
+
+def _gap(spark, sf_dir):
+    return marts.mart_gap_analysis(fx.keyword_videos(spark, sf_dir), fx.trends(spark, sf_dir), fx.AS_OF)
+
+
+@register("gap_score")
+def q_gap_score(spark, sf_dir):
+    return _gap(spark, sf_dir).select("keyword", "search_volume", "median_views", "gap_score")
+
+
+@register("opportunity")
+def q_opportunity(spark, sf_dir):
+    return _gap(spark, sf_dir).select("keyword", "gap_score", "opportunity")
+
+
+@register("engagement_rate")
+def q_eng_rate(spark, sf_dir):
+    return fx.posts(spark, sf_dir).select(
+        "id", "score", "num_comments", "subscribers", fn.engagement_rate().alias("engagement_rate"))
+
+
+@register("engagement_intensity")
+def q_eng_intensity(spark, sf_dir):
+    return fx.posts(spark, sf_dir).select(
+        "id", "score", "upvote_ratio", "num_comments", "awards",
+        fn.engagement_intensity().alias("engagement_intensity"))
+
+
+@register("round_values")
+def q_round(spark, sf_dir):
+    return stg(spark, sf_dir).groupBy("categories").agg(
+        F.round(F.avg("search_volume"), 0).alias("avg_sv_0"),
+        F.round(F.avg("search_volume") / F.lit(1000.0), 2).alias("avg_sv_k_2"),
+        F.round(F.avg("trend_duration_hrs"), 1).alias("avg_dur_1"),
+        F.round(F.avg("increase_percentage") / F.lit(7.0), 3).alias("avg_inc_7_3"))
+
+
+@register("duration_secs")
+def q_duration(spark, sf_dir):
+    return fx.duration_texts(spark, sf_dir).withColumn(
+        "duration_secs", fn.iso_duration_secs("duration"))
+
+
+@register("tags_text")
+def q_tags(spark, sf_dir):
+    videos = fx.keyword_videos(spark, sf_dir).select(
+        "video_id", F.split(F.lower(F.col("keyword")), " ").alias("tags"))
+    return fn.tags_text(videos, "tags")
+
+
+@register("defaults_fill")
+def q_defaults(spark, sf_dir):
+    posts = fx.posts(spark, sf_dir).select(
+        "id", F.when(F.col("awards") == 0, F.lit(None)).otherwise(F.col("awards")).alias("awards"),
+        F.when(F.col("num_comments") == 0, F.lit(None))
+        .otherwise(F.col("num_comments").cast("string")).alias("num_comments_text"))
+    filled = fn.fill_defaults(posts, {"awards": 0, "over_18": False, "spoiler": False})
+    return filled.withColumn("num_comments", fn.int_or_zero("num_comments_text")).drop("num_comments_text")
+
+
+# --- filters ---------------------------------------------------------------------------
+
+@register("filter_watchable")
+def q_watchable(spark, sf_dir):
+    return marts.watchable(fx.keyword_videos(spark, sf_dir)).select(
+        "keyword", "video_id", "duration_secs", "view_count")
+
+
+@register("keywords_last_24h")
+def q_last24(spark, sf_dir):
+    return staging.keywords_last_hours(stg(spark, sf_dir), fx.AS_OF, K.KEYWORD_WINDOW_HOURS)
+
+
+@register("rows_in_month")
+def q_rows_in_month(spark, sf_dir):
+    return op.rows_in_month(fx.posts(spark, sf_dir), "created", fx.ROLLOVER_AS_OF).select("id", "created")
+
+
+@register("month_presence")
+def q_presence(spark, sf_dir):
+    posts = fx.posts(spark, sf_dir)
+    cnt = F.count_if(op.in_month(posts, "created", fx.ROLLOVER_AS_OF))
+    return posts.agg(F.lit(fn.month_tag(fx.ROLLOVER_AS_OF)).alias("snapshot_month"),
+                     cnt.alias("cnt"), (cnt > 0).alias("present"))
+
+
+@register("snapshot_month")
+def q_snapshot_month(spark, sf_dir):
+    return fx.posts(spark, sf_dir).select("id", "created", fn.month_suffix("created").alias("snapshot_month"))
+
+
+# --- aggregations ----------------------------------------------------------------------
+
+@register("top_value_per_group")
+def q_top_value(spark, sf_dir):
+    return op.top_value_per_group(fx.keyword_videos(spark, sf_dir), ["keyword"], "like_count",
+                                  out="top_like_count")
+
+
+@register("median_views")
+def q_median(spark, sf_dir):
+    return marts.watchable(fx.keyword_videos(spark, sf_dir)).groupBy("keyword").agg(
+        fn.approx_median("view_count").alias("median_views"))
+
+
+@register("top_keyword")
+def q_top_keyword(spark, sf_dir):
+    return stg(spark, sf_dir).groupBy("categories", "trend_date").agg(
+        fn.arg_max("query", "search_volume").alias("top_keyword"))
+
+
+@register("keyword_peak_volume")
+def q_peak(spark, sf_dir):
+    return marts.keyword_peak_volume(fx.trends(spark, sf_dir))
+
+
+@register("jobs_dedupe")
+def q_jobs_dedupe(spark, sf_dir):
+    return op.keep_one(fx.jobs(spark, sf_dir), K.KEYS["jobs"], [F.col("scraped_at").desc_nulls_last()])
+
+
+@register("duplicate_count")
+def q_dup_count(spark, sf_dir):
+    return op.duplicate_count(fx.jobs(spark, sf_dir), K.KEYS["jobs"])
+
+
+# --- windows ---------------------------------------------------------------------------
+
+@register("rank_in_category")
+def q_rank(spark, sf_dir):
+    return marts.mart_trending_topics(stg(spark, sf_dir)).select(
+        "query", "start_date", "categories", "recommendation_score", "rank_in_category")
+
+
+@register("daily_category_rank")
+def q_daily_rank(spark, sf_dir):
+    return marts.mart_category_pulse(stg(spark, sf_dir)).select(
+        "categories", "trend_date", "total_search_volume", "daily_category_rank")
+
+
+@register("keyword_count_vs_7d_avg")
+def q_vs_avg(spark, sf_dir):
+    return marts.mart_category_pulse(stg(spark, sf_dir)).select(
+        "categories", "trend_date", "total_keywords", "keyword_count_vs_7d_avg")
+
+
+# --- dashboards ------------------------------------------------------------------------
+
+@register("top5_per_category")
+def q_top5(spark, sf_dir):
+    return dashboards.top_n_per_category(stg(spark, sf_dir), K.TOP_PER_CATEGORY)
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    return dashboards.leaderboard(stg(spark, sf_dir), 20)
+
+
+@register("category_hour_heatmap")
+def q_heatmap(spark, sf_dir):
+    return dashboards.category_hour_heatmap(stg(spark, sf_dir))
+
+
+@register("category_wow_growth")
+def q_wow(spark, sf_dir):
+    return dashboards.category_wow_growth(stg(spark, sf_dir))
+
+
+# --- lookups ---------------------------------------------------------------------------
+
+@register("lookup_category")
+def q_lookup_category(spark, sf_dir):
+    return op.lookup(fx.video_category_ids(spark, sf_dir), fx.video_categories(spark, sf_dir),
+                     on="category_id", value="category_title", out="category_name")
+
+
+@register("lookup_country")
+def q_lookup_country(spark, sf_dir):
+    cust = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_nationkey").cast("string").alias("country_code"))
+    named = op.lookup(cust, fx.countries(spark, sf_dir), on="country_code", value="country_name")
+    return op.lookup(named, fx.country_regions(spark, sf_dir), on="country_code", value="region")
+
+
+# --- data quality ----------------------------------------------------------------------
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    models = {
+        "stg_trending_now": s,
+        "mart_trending_topics": marts.scored_topics(s),
+        "mart_category_pulse": marts.mart_category_pulse(s),
+        "mart_keyword_recurrence": marts.mart_keyword_recurrence(s, fx.AS_OF),
+    }
+    return quality.combine(*[quality.check_not_null(models[m], m, cols)
+                             for m, cols in K.NOT_NULL_RULES.items()])
+
+
+@register("dq_accepted_values")
+def q_dq_accepted(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    labels = lambda pairs: [label for _, label in pairs]
+    return quality.combine(
+        quality.check_accepted(s, "stg_trending_now", {"increase_percentage": K.INCREASE_LADDER}),
+        quality.check_accepted(marts.scored_topics(s), "mart_trending_topics", {
+            "urgency_tier": labels(K.URGENCY_TIERS) + [K.URGENCY_ACTIVE_REST, K.URGENCY_ENDED],
+            "content_window": labels(K.CONTENT_WINDOWS) + [K.CONTENT_WINDOW_ACTIVE_REST,
+                                                           K.CONTENT_WINDOW_ENDED],
+        }),
+        quality.check_accepted(marts.mart_keyword_recurrence(s, fx.AS_OF), "mart_keyword_recurrence", {
+            "recurrence_label": [K.RECUR_SERIES[2], K.RECUR_RECURRING[1], K.RECUR_TWICE[1],
+                                 K.RECUR_ONE_OFF],
+        }),
+    )

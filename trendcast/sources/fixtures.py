@@ -120,3 +120,27 @@ def video_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (read_table(spark, sf_dir, "part").where(F.col("p_size") <= 40)
             .select(F.col("p_partkey").cast("string").alias("category_id"),
                     F.col("p_type").alias("category_title")))
+
+
+# Duration texts covering every ISO-8601 part handled, plus calendar and bad values.
+DURATION_VARIANT = """
+case l_linenumber
+  when 1 then concat('PT', cast(l_suppkey % 60 as string), 'M', cast(l_partkey % 60 as string), 'S')
+  when 2 then concat('PT', cast(l_suppkey % 5 as string), 'H', cast(l_partkey % 60 as string), 'M')
+  when 3 then concat('P', cast(l_suppkey % 3 as string), 'DT', cast(l_partkey % 24 as string), 'H')
+  when 4 then concat('PT', cast(l_partkey % 90 as string), '.', cast(l_suppkey % 10 as string), 'S')
+  when 5 then concat('P', cast(l_suppkey % 2 + 1 as string), 'W')
+  when 6 then case when l_partkey % 2 = 0 then 'n/a' else 'P1Y2M' end
+end as duration"""
+
+
+def duration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('v', cast(l_orderkey as string), '_', cast(l_linenumber as string)) as video_id",
+        DURATION_VARIANT)
+
+
+def video_category_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('v', cast(l_orderkey as string), '_', cast(l_linenumber as string)) as video_id",
+        "cast(l_partkey as string) as category_id")
