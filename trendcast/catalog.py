@@ -330,3 +330,46 @@ def q_dq_accepted(spark, sf_dir):
                                  K.RECUR_ONE_OFF],
         }),
     )
+
+
+# --- sources: landed JSON -> rows -----------------------------------------------------
+
+from trendcast import schemas  # noqa: E402
+from trendcast.sources import landing  # noqa: E402
+from trendcast.sources import landing_fixtures as lf  # noqa: E402
+
+
+def _landed(spark, pages: DataFrame, name: str, schema):
+    return landing.read_landing(spark, lf.land(pages, name), schema)
+
+
+@register("ingest_trends")
+def q_ingest_trends(spark, sf_dir):
+    return landing.flatten_trends(_landed(spark, lf.trends_pages(spark, sf_dir), "trends",
+                                          schemas.TRENDS_PAYLOAD))
+
+
+@register("ingest_jobs")
+def q_ingest_jobs(spark, sf_dir):
+    return landing.flatten_jobs(_landed(spark, lf.jobs_pages(spark, sf_dir), "jobs", schemas.JOBS_PAYLOAD),
+                                fx.AS_OF)
+
+
+@register("ingest_posts")
+def q_ingest_posts(spark, sf_dir):
+    pages = _landed(spark, lf.posts_pages(spark, sf_dir), "posts", schemas.POSTS_PAYLOAD)
+    return landing.flatten_posts(pages, fx.subreddits(spark, sf_dir), fx.AS_OF)
+
+
+@register("ingest_popular")
+def q_ingest_popular(spark, sf_dir):
+    pages = _landed(spark, lf.popular_pages(spark, sf_dir), "popular", schemas.VIDEOS_PAYLOAD)
+    return landing.flatten_popular(pages, fx.video_categories(spark, sf_dir), fx.countries(spark, sf_dir),
+                                   fx.country_regions(spark, sf_dir))
+
+
+@register("ingest_keyword_videos")
+def q_ingest_kw_videos(spark, sf_dir):
+    hits = _landed(spark, lf.search_pages(spark, sf_dir), "search", schemas.SEARCH_PAYLOAD)
+    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.VIDEOS_PAYLOAD)
+    return landing.flatten_keyword_videos(hits, details, fx.video_categories(spark, sf_dir))
