@@ -373,3 +373,129 @@ def q_ingest_kw_videos(spark, sf_dir):
     hits = _landed(spark, lf.search_pages(spark, sf_dir), "search", schemas.SEARCH_PAYLOAD)
     details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.VIDEOS_PAYLOAD)
     return landing.flatten_keyword_videos(hits, details, fx.video_categories(spark, sf_dir))
+
+
+# --- snapshots, rollover, compaction -----------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from trendcast.plans import rollover as ro  # noqa: E402
+from trendcast.session import shared_dir  # noqa: E402
+from trendcast.sources.snapshots import SnapshotStore, conform  # noqa: E402
+
+_AUG = _dt.datetime(1998, 8, 1)
+
+
+def _posts_before_aug(spark, sf_dir):
+    p = fx.posts(spark, sf_dir)
+    return p.where(F.col("created") < fn.ntz_literal(_AUG)).withColumn("today_date", F.col("created"))
+
+
+def _posts_batch(spark, sf_dir, run_at, upto=None):
+    p = fx.posts(spark, sf_dir).where(F.col("created") >= fn.ntz_literal(_AUG))
+    if upto is not None:
+        p = p.where(F.col("created") < fn.ntz_literal(upto))
+    return p.withColumn("today_date", fn.ntz_literal(run_at))
+
+
+def _posts_store(spark, sf_dir) -> SnapshotStore:
+    """Previous month written, then two runs on the 1st: roll over, then the month is present."""
+    store = SnapshotStore(spark, shared_dir(spark, "store", "posts", fresh=True), schemas.POSTS)
+    store.append(_posts_before_aug(spark, sf_dir), "1998_jul")
+    return store
+
+
+def _posts_after_two_runs(spark, sf_dir, when_present="append") -> SnapshotStore:
+    store = _posts_store(spark, sf_dir)
+    grace = K.GRACE_DAYS["posts"]
+    ro.rollover(store, _posts_batch(spark, sf_dir, fx.ROLLOVER_AS_OF), fx.ROLLOVER_AS_OF, "created", grace)
+    second = _posts_batch(spark, sf_dir, fx.SECOND_RUN_AS_OF, upto=_dt.datetime(1998, 8, 2))
+    ro.rollover(store, second, fx.SECOND_RUN_AS_OF, "created", grace, when_present=when_present)
+    return store
+
+
+@register("conform_schema")
+def q_conform(spark, sf_dir):
+    return conform(fx.posts(spark, sf_dir), schemas.POSTS)
+
+
+@register("scan_snapshot")
+def q_scan_snapshot(spark, sf_dir):
+    store = _posts_store(spark, sf_dir)
+    return op.union_all(store.load("1998_jul"), store.load("1998_sep"))
+
+
+@register("append_then_scan")
+def q_append_scan(spark, sf_dir):
+    store = SnapshotStore(spark, shared_dir(spark, "store", "posts", fresh=True), schemas.POSTS)
+    store.append(_posts_before_aug(spark, sf_dir), "1998_aug")
+    store.append(_posts_batch(spark, sf_dir, fx.ROLLOVER_AS_OF), "1998_aug")
+    return store.load("1998_aug")
+
+
+@register("rollover_union")
+def q_rollover_union(spark, sf_dir):
+    prev = conform(_posts_before_aug(spark, sf_dir), schemas.POSTS)
+    batch = fx.posts(spark, sf_dir).where(F.col("created") >= fn.ntz_literal(_AUG))
+    return op.union_all(prev, batch)
+
+
+@register("rollover_flag")
+def q_rollover_flag(spark, sf_dir):
+    return _posts_after_two_runs(spark, sf_dir, "append").load("1998_aug")
+
+
+@register("rollover_flag_skip")
+def q_rollover_flag_skip(spark, sf_dir):
+    return _posts_after_two_runs(spark, sf_dir, "skip").load("1998_aug")
+
+
+@register("snapshot_dedupe")
+def q_snapshot_dedupe(spark, sf_dir):
+    store = _posts_after_two_runs(spark, sf_dir, "append")
+    return ro.compact(store, "1998_aug", K.KEYS["posts"], [F.col("today_date").desc_nulls_last()])
+
+
+@register("snapshot_rewrite")
+def q_snapshot_rewrite(spark, sf_dir):
+    store = _posts_after_two_runs(spark, sf_dir, "append")
+    ro.compact(store, "1998_aug", K.KEYS["posts"], [F.col("today_date").desc_nulls_last()])
+    return store.scan()
+
+
+@register("row_counts")
+def q_row_counts(spark, sf_dir):
+    return _posts_after_two_runs(spark, sf_dir, "append").row_counts()
+
+
+@register("snapshot_retention")
+def q_retention(spark, sf_dir):
+    store = SnapshotStore(spark, shared_dir(spark, "store", "posts_monthly", fresh=True), schemas.POSTS)
+    posts = conform(fx.posts(spark, sf_dir), schemas.POSTS).withColumn("snapshot_month", fn.month_suffix("created"))
+    posts.write.partitionBy("snapshot_month").parquet(store.base)
+    store.expire(fx.ROLLOVER_AS_OF, K.SNAPSHOT_RETENTION_DAYS)
+    return store.row_counts()
+
+
+def _videos_split(spark, sf_dir):
+    v = fx.keyword_videos(spark, sf_dir)
+    ts = fn.parse_iso_ts("published_at")
+    return v.where(ts < fn.ntz_literal(_AUG)), v.where(ts >= fn.ntz_literal(_AUG))
+
+
+@register("rollover_antijoin")
+def q_rollover_antijoin(spark, sf_dir):
+    prev, _ = _videos_split(spark, sf_dir)
+    leaked = prev.where(F.col("like_count") > 40).select(*K.ROLLOVER_MATCH_KEYS)
+    return op.not_yet_present(prev, leaked, K.ROLLOVER_MATCH_KEYS)
+
+
+@register("rollover_merge")
+def q_rollover_merge(spark, sf_dir):
+    prev, batch = _videos_split(spark, sf_dir)
+    store = SnapshotStore(spark, shared_dir(spark, "store", "keyword_videos", fresh=True),
+                          schemas.KEYWORD_VIDEOS)
+    store.append(prev, "1998_jul")
+    store.append(prev.where(F.col("like_count") > 40), "1998_aug")
+    ro.rollover_merge(store, batch, fx.MERGE_AS_OF, "published_at")
+    return store.load("1998_aug")

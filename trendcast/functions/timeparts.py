@@ -93,11 +93,27 @@ def add_months(value: dt.datetime, months: int) -> dt.datetime:
     return dt.datetime(y, m + 1, 1)
 
 
+_ISO_TS = r"^(\d{4})-(\d{2})-(\d{2})[T ](\d{2}):(\d{2}):(\d{2}(?:\.\d{1,6})?)Z?$"
+
+
 def parse_iso_ts(col) -> Column:
-    """ISO-8601 text such as 2024-01-02T03:04:05Z -> TIMESTAMP_NTZ (UTC); bad text -> NULL."""
+    """ISO-8601 text such as 2024-01-02T03:04:05Z -> TIMESTAMP_NTZ (UTC wall time); bad text -> NULL.
+
+    Built from the text's fields, so the session time zone never shifts it.
+    """
     c = _c(col)
-    return F.coalesce(
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")),
-    ).cast("timestamp_ntz")
+    part = lambda i: F.regexp_extract(c, _ISO_TS, i)
+    ts = F.try_make_timestamp_ntz(part(1).try_cast("int"), part(2).try_cast("int"), part(3).try_cast("int"),
+                                  part(4).try_cast("int"), part(5).try_cast("int"),
+                                  part(6).try_cast("decimal(8,6)"))
+    return F.when(c.rlike(_ISO_TS), ts)
+
+
+def ntz_to_instant(col) -> Column:
+    """UTC wall time (TIMESTAMP_NTZ) -> TIMESTAMP instant, whatever the session time zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(col)))
+
+
+def instant_to_ntz(col) -> Column:
+    """TIMESTAMP instant -> UTC wall time (TIMESTAMP_NTZ), whatever the session time zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.expr(_EPOCH))

@@ -18,9 +18,12 @@ from trendcast.sources.tables import read_table
 # The events table covers 2024-01-01 .. 2024-01-30, so "now" for the marts is:
 AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 
-# Snapshot scenario over orders / lineitem dates (1995 .. 2001): day 3 of a month,
-# inside every grace window, with the previous month holding all earlier history.
-ROLLOVER_AS_OF = dt.datetime(1998, 8, 3, 12, 0, 0)
+# Snapshot scenarios over orders / lineitem dates (1995 .. 2001). The flag-form rollover
+# runs on day 1 of a month (inside every grace window), the count form on day 3; the
+# previous month's snapshot holds all earlier history.
+ROLLOVER_AS_OF = dt.datetime(1998, 8, 1, 12, 0, 0)
+SECOND_RUN_AS_OF = dt.datetime(1998, 8, 1, 16, 0, 0)
+MERGE_AS_OF = dt.datetime(1998, 8, 3, 12, 0, 0)
 
 TRENDS_COLUMNS = [
     """case when event_id % 50 = 0 then concat('rare ', cast(event_id div 100 as string))
