@@ -499,3 +499,70 @@ def q_rollover_merge(spark, sf_dir):
     store.append(prev.where(F.col("like_count") > 40), "1998_aug")
     ro.rollover_merge(store, batch, fx.MERGE_AS_OF, "published_at")
     return store.load("1998_aug")
+
+
+# --- end-to-end keyword gap ----------------------------------------------------------------
+
+from trendcast.plans import gap_chain  # noqa: E402
+
+
+@register("gap_end_to_end")
+def q_gap_end_to_end(spark, sf_dir):
+    search = _landed(spark, lf.search_pages(spark, sf_dir), "search", schemas.SEARCH_PAYLOAD)
+    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.VIDEOS_PAYLOAD)
+    store = SnapshotStore(spark, shared_dir(spark, "store", "keyword_videos", fresh=True), schemas.KEYWORD_VIDEOS)
+    return gap_chain.keyword_gap(stg(spark, sf_dir), search, details, fx.video_categories(spark, sf_dir),
+                                 fx.trends(spark, sf_dir), store, fx.AS_OF)
+
+
+# --- streaming ---------------------------------------------------------------------------
+
+from pyspark.sql import types as _T  # noqa: E402
+
+from trendcast.streaming import ingest as si  # noqa: E402
+
+
+def _append_landing(pages: DataFrame, path: str) -> None:
+    pages.write.mode("append").json(path)
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Two scheduled runs: a full capture, then a re-capture of the 'view' trends (now ended)."""
+    land_dir = shared_dir(spark, "landing", "stream_trends", fresh=True)
+    ckpt = shared_dir(spark, "checkpoints", "stream_ingest", fresh=True)
+    schema = _T.StructType(list(schemas.TRENDS.fields) + [_T.StructField(si.BATCH_COL, _T.LongType())])
+    target = SnapshotStore(spark, shared_dir(spark, "store", "trends_stream", fresh=True), schema)
+    for pages in (lf.trends_pages(spark, sf_dir), lf.trends_pages(spark, sf_dir, rescrape_views=True)):
+        _append_landing(pages, land_dir)
+        si.stream_upsert(spark, land_dir, schemas.TRENDS_PAYLOAD, _flatten_trends, target,
+                         K.KEYS["trends"], "start_date", ckpt)
+    return target.scan().drop(si.BATCH_COL, "snapshot_month")
+
+
+def _flatten_trends(df):
+    return landing.flatten_trends(df)
+
+
+@register("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    """Two runs whose captures overlap by five days; overlap rows are dropped with bounded state."""
+    land_dir = shared_dir(spark, "landing", "stream_dedupe", fresh=True)
+    ckpt = shared_dir(spark, "checkpoints", "stream_dedupe", fresh=True)
+    sink = shared_dir(spark, "sinks", "stream_dedupe", fresh=True)
+    for where in ("start_date < timestamp_ntz'2024-01-25 00:00:00'",
+                  "start_date >= timestamp_ntz'2024-01-20 00:00:00'"):
+        _append_landing(lf.trends_pages(spark, sf_dir, where=where), land_dir)
+        si.stream_dedupe(spark, land_dir, schemas.TRENDS_PAYLOAD, _flatten_trends, K.KEYS["trends"],
+                         "start_date", "7 days", sink, ckpt)
+    return spark.read.schema(schemas.TRENDS).parquet(sink)
+
+
+@register("stream_category_pulse")
+def q_stream_pulse(spark, sf_dir):
+    land_dir = shared_dir(spark, "landing", "stream_pulse", fresh=True)
+    ckpt = shared_dir(spark, "checkpoints", "stream_pulse", fresh=True)
+    sink = shared_dir(spark, "sinks", "stream_pulse", fresh=True)
+    _append_landing(lf.trends_pages(spark, sf_dir), land_dir)
+    si.stream_category_pulse(spark, land_dir, schemas.TRENDS_PAYLOAD, _flatten_trends, sink, ckpt)
+    return spark.read.parquet(sink)

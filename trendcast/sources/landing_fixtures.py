@@ -24,8 +24,23 @@ def land(df: DataFrame, name: str) -> str:
     return path
 
 
-def trends_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").selectExpr(*TRENDS_COLUMNS, "event_id", "event_id div 50 as page")
+def trends_pages(spark: SparkSession, sf_dir: str, where: str | None = None,
+                 rescrape_views: bool = False) -> DataFrame:
+    """Trending-searches pages from the events table.
+
+    ``where`` keeps a time slice (a scrape's look-back); ``rescrape_views`` is a
+    later capture of the 'view' trends, now ended (inactive, end = start + 2 h
+    when it had none).
+    """
+    ev = read_table(spark, sf_dir, "events").selectExpr(*TRENDS_COLUMNS, "event_id", "event_type",
+                                                       "event_id div 50 as page")
+    if where:
+        ev = ev.where(where)
+    if rescrape_views:
+        ev = ev.where(F.col("event_type") == "view").withColumns({
+            "active": F.lit(False),
+            "end_date": F.coalesce(F.col("end_date"), F.col("start_date") + F.expr("INTERVAL 2 HOURS")),
+        })
     end_text = (F.when(F.col("end_date").isNotNull(), _epoch_secs("end_date").cast("string"))
                 .when(F.col("event_id") % 8 == 0, F.lit("")))
     item = F.struct(
