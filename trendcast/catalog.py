@@ -245,7 +245,8 @@ def q_dup_count(spark, sf_dir):
 
 @register("rank_in_category")
 def q_rank(spark, sf_dir):
-    return marts.mart_trending_topics(stg(spark, sf_dir)).select(
+    """The split (range-partitioned) numbering, forced, so it is checked at any size."""
+    return marts.mart_trending_topics(stg(spark, sf_dir), max_group_rows=None).select(
         "query", "start_date", "categories", "recommendation_score", "rank_in_category")
 
 
@@ -339,39 +340,39 @@ from trendcast.sources import landing  # noqa: E402
 from trendcast.sources import landing_fixtures as lf  # noqa: E402
 
 
-def _landed(spark, pages: DataFrame, name: str, schema):
-    return landing.read_landing(spark, lf.land(pages, name), schema)
+def _landed(spark, pages: DataFrame, name: str, schema, sf_dir: str | None = None):
+    return landing.read_landing(spark, lf.land(pages, name, key=sf_dir), schema)
 
 
 @register("ingest_trends")
 def q_ingest_trends(spark, sf_dir):
     return landing.flatten_trends(_landed(spark, lf.trends_pages(spark, sf_dir), "trends",
-                                          schemas.TRENDS_PAYLOAD))
+                                          schemas.TRENDS_PAYLOAD, sf_dir))
 
 
 @register("ingest_jobs")
 def q_ingest_jobs(spark, sf_dir):
-    return landing.flatten_jobs(_landed(spark, lf.jobs_pages(spark, sf_dir), "jobs", schemas.JOBS_PAYLOAD),
+    return landing.flatten_jobs(_landed(spark, lf.jobs_pages(spark, sf_dir), "jobs", schemas.JOBS_PAYLOAD, sf_dir),
                                 fx.AS_OF)
 
 
 @register("ingest_posts")
 def q_ingest_posts(spark, sf_dir):
-    pages = _landed(spark, lf.posts_pages(spark, sf_dir), "posts", schemas.POSTS_PAYLOAD)
+    pages = _landed(spark, lf.posts_pages(spark, sf_dir), "posts", schemas.POSTS_PAYLOAD, sf_dir)
     return landing.flatten_posts(pages, fx.subreddits(spark, sf_dir), fx.AS_OF)
 
 
 @register("ingest_popular")
 def q_ingest_popular(spark, sf_dir):
-    pages = _landed(spark, lf.popular_pages(spark, sf_dir), "popular", schemas.VIDEOS_PAYLOAD)
+    pages = _landed(spark, lf.popular_pages(spark, sf_dir), "popular", schemas.VIDEOS_PAYLOAD, sf_dir)
     return landing.flatten_popular(pages, fx.video_categories(spark, sf_dir), fx.countries(spark, sf_dir),
                                    fx.country_regions(spark, sf_dir))
 
 
 @register("ingest_keyword_videos")
 def q_ingest_kw_videos(spark, sf_dir):
-    hits = _landed(spark, lf.search_pages(spark, sf_dir), "search", schemas.SEARCH_PAYLOAD)
-    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.VIDEOS_PAYLOAD)
+    hits = _landed(spark, lf.search_pages(spark, sf_dir), "search", schemas.SEARCH_PAYLOAD, sf_dir)
+    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.VIDEOS_PAYLOAD, sf_dir)
     return landing.flatten_keyword_videos(hits, details, fx.video_categories(spark, sf_dir))
 
 
@@ -508,8 +509,8 @@ from trendcast.plans import gap_chain  # noqa: E402
 
 @register("gap_end_to_end")
 def q_gap_end_to_end(spark, sf_dir):
-    search = _landed(spark, lf.search_pages(spark, sf_dir), "search", schemas.SEARCH_PAYLOAD)
-    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.VIDEOS_PAYLOAD)
+    search = _landed(spark, lf.search_pages(spark, sf_dir), "search", schemas.SEARCH_PAYLOAD, sf_dir)
+    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.VIDEOS_PAYLOAD, sf_dir)
     store = SnapshotStore(spark, shared_dir(spark, "store", "keyword_videos", fresh=True), schemas.KEYWORD_VIDEOS)
     return gap_chain.keyword_gap(stg(spark, sf_dir), search, details, fx.video_categories(spark, sf_dir),
                                  fx.trends(spark, sf_dir), store, fx.AS_OF)

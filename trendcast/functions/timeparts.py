@@ -93,20 +93,20 @@ def add_months(value: dt.datetime, months: int) -> dt.datetime:
     return dt.datetime(y, m + 1, 1)
 
 
-_ISO_TS = r"^(\d{4})-(\d{2})-(\d{2})[T ](\d{2}):(\d{2}):(\d{2}(?:\.\d{1,6})?)Z?$"
+_ZONED = r"[+-][0-9]{2}:?[0-9]{2}$"
 
 
 def parse_iso_ts(col) -> Column:
-    """ISO-8601 text such as 2024-01-02T03:04:05Z -> TIMESTAMP_NTZ (UTC wall time); bad text -> NULL.
+    """ISO-8601 text (2024-01-02T03:04:05Z, with or without zone) -> TIMESTAMP_NTZ UTC wall time.
 
-    Built from the text's fields, so the session time zone never shifts it.
+    Text with an explicit zone (Z or +hh:mm) is read as an instant and turned
+    into UTC wall time; text without one is taken as UTC wall time. Bad text
+    gives NULL. Spark's cast parser does the work (no regex extraction), and
+    the session time zone never shifts the result.
     """
     c = _c(col)
-    part = lambda i: F.regexp_extract(c, _ISO_TS, i)
-    ts = F.try_make_timestamp_ntz(part(1).try_cast("int"), part(2).try_cast("int"), part(3).try_cast("int"),
-                                  part(4).try_cast("int"), part(5).try_cast("int"),
-                                  part(6).try_cast("decimal(8,6)"))
-    return F.when(c.rlike(_ISO_TS), ts)
+    zoned = c.endswith("Z") | c.rlike(_ZONED)
+    return F.when(zoned, instant_to_ntz(c.try_cast("timestamp"))).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def ntz_to_instant(col) -> Column:

@@ -21,6 +21,8 @@ from trendcast.session import shared_dir
 
 # Row bound on the per-(partition, group) offsets table for broadcasting it.
 OFFSETS_BROADCAST_ROWS = 500_000
+# Largest group a single task may number with a plain window (sorted with spill).
+GROUP_ROWS_PER_TASK = 5_000_000
 
 _PID, _RID, _SEQ, _FIRST, _N, _BEFORE = (
     "_rk_pid", "_rk_rid", "_rk_seq", "_rk_first", "_rk_n", "_rk_before")
@@ -79,6 +81,27 @@ def row_number_by_range(df: DataFrame, partition_by: list[str], order_by: list,
                   *[f"_rk_g{i}" for i in range(len(partition_by))]))
 
 
+def largest_group(df: DataFrame, partition_by: list[str]) -> int:
+    """Row count of the biggest group (partially aggregated; reads only the key columns)."""
+    row = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
+    return int(row[0] or 0)
+
+
+def row_number_per_group(df: DataFrame, partition_by: list[str], order_by: list, name: str,
+                         max_group_rows: int | None = GROUP_ROWS_PER_TASK) -> DataFrame:
+    """Full per-group numbering that splits hot groups only when they exist.
+
+    One cheap pass counts the largest group. Up to ``max_group_rows`` a plain
+    window (one hash shuffle on the group key) is used; above it, or with
+    ``max_group_rows=None``, the range-partitioned numbering splits every
+    group across tasks.
+    """
+    if max_group_rows is not None and largest_group(df, partition_by) <= max_group_rows:
+        w = Window.partitionBy(*partition_by).orderBy(*_sort_cols(order_by))
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    return row_number_by_range(df, partition_by, order_by, name)
+
+
 def top_n_per_group(df: DataFrame, partition_by: list[str], order_by: list, n: int,
                     rank_col: str | None = None) -> DataFrame:
     """First ``n`` rows of each group; partial limit runs map-side (WindowGroupLimit)."""

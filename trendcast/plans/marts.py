@@ -20,7 +20,7 @@ from trendcast.functions.scoring import (
     urgency_tier,
 )
 from trendcast.functions.timeparts import ntz_literal
-from trendcast.operators.ranking import row_number_by_range
+from trendcast.operators.ranking import GROUP_ROWS_PER_TASK, row_number_per_group
 
 TOPIC_COLUMNS = ["query", "start_date", "end_date", "active", "search_volume", "increase_percentage",
                  "categories", "trend_breakdown", "trend_duration_hrs", "trend_date", "start_hour_eat",
@@ -46,9 +46,15 @@ def rank_order() -> list:
             + [F.col(c).asc_nulls_first() for c in RANK_TIEBREAK])
 
 
-def mart_trending_topics(stg: DataFrame, sort: bool = False) -> DataFrame:
-    """Scored and labelled trends with their rank inside the category."""
-    ranked = row_number_by_range(scored_topics(stg), ["categories"], rank_order(), "rank_in_category")
+def mart_trending_topics(stg: DataFrame, sort: bool = False,
+                         max_group_rows: int | None = GROUP_ROWS_PER_TASK) -> DataFrame:
+    """Scored and labelled trends with their rank inside the category.
+
+    A category larger than ``max_group_rows`` (None: always) is numbered
+    across many tasks instead of one.
+    """
+    ranked = row_number_per_group(scored_topics(stg), ["categories"], rank_order(), "rank_in_category",
+                                  max_group_rows)
     return ranked.orderBy(F.col("recommendation_score").desc_nulls_last()) if sort else ranked
 
 

@@ -1,7 +1,8 @@
 """API-shaped JSON pages built from the given tables, for the landing sources.
 
-Pages hold a bounded number of items (an API page), grouped by a key range, so
-no page collects an unbounded group. ``land`` writes pages as JSON lines into
+Pages hold a bounded number of items, grouped by a key range (larger than a
+real API page, to keep the number of small files down), so no page collects an
+unbounded group. ``land`` writes pages as JSON lines into
 a folder below the shared checkpoint folder.
 """
 
@@ -14,13 +15,29 @@ from trendcast.session import shared_dir
 from trendcast.sources.fixtures import POSTS_COLUMNS, TRENDS_COLUMNS, VIDEO_COLUMNS
 from trendcast.sources.tables import read_table
 
+# Orders per landed page: pages are bounded by a key range, never by a whole group.
+PAGE_ORDERS = 2000
+
+
 def _epoch_secs(col: str):
     return F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(col))
 
 
-def land(df: DataFrame, name: str) -> str:
-    path = shared_dir(df.sparkSession, "landing", name, fresh=True)
+_LANDED: dict[tuple, str] = {}
+
+
+def land(df: DataFrame, name: str, key: tuple | None = None) -> str:
+    """Write pages as JSON lines; with a ``key``, pages already landed in this
+    application (same builder, same tables) are reused, as files that arrived
+    once stay in a landing folder."""
+    spark = df.sparkSession
+    cache_key = (spark.sparkContext.applicationId, name, key) if key is not None else None
+    if cache_key in _LANDED:
+        return _LANDED[cache_key]
+    path = shared_dir(spark, "landing", name, fresh=True)
     df.write.json(path)
+    if cache_key is not None:
+        _LANDED[cache_key] = path
     return path
 
 
@@ -33,7 +50,7 @@ def trends_pages(spark: SparkSession, sf_dir: str, where: str | None = None,
     when it had none).
     """
     ev = read_table(spark, sf_dir, "events").selectExpr(*TRENDS_COLUMNS, "event_id", "event_type",
-                                                       "event_id div 50 as page")
+                                                       "event_id div 1000 as page")
     if where:
         ev = ev.where(where)
     if rescrape_views:
@@ -75,13 +92,13 @@ def jobs_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.concat(F.lit("Apply on "), F.col("source")).alias("title"))).alias("apply_options"),
         F.col("doc_id").cast("string").alias("job_id"),
     )
-    return (d.withColumn("page", F.col("doc_id").cast("bigint") / F.lit(10)).withColumn("page", F.floor("page"))
+    return (d.withColumn("page", F.col("doc_id").cast("bigint") / F.lit(200)).withColumn("page", F.floor("page"))
             .groupBy("page").agg(F.collect_list(item).alias("jobs_results")).drop("page"))
 
 
 def posts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").selectExpr(
-        *POSTS_COLUMNS, "o_orderstatus", "o_custkey", "o_orderkey", "o_orderkey div 100 as page")
+        *POSTS_COLUMNS, "o_orderstatus", "o_custkey", "o_orderkey", "o_orderkey div 2000 as page")
     item = F.struct(
         F.concat(F.lit("post "), F.col("id")).alias("title"),
         F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("link_flair_text"),
@@ -131,14 +148,14 @@ def _video_item():
 
 
 def popular_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _video_source(spark, sf_dir).withColumn("page", F.floor(F.col("l_orderkey") / F.lit(50)))
+    v = _video_source(spark, sf_dir).withColumn("page", F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)))
     return (v.groupBy(F.col("country_code").alias("region_code"), "page")
             .agg(F.collect_list(_video_item()).alias("items")).drop("page"))
 
 
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search results per keyword; line 7 items point at a channel (no video id)."""
-    v = _video_source(spark, sf_dir).withColumn("page", F.floor(F.col("l_orderkey") / F.lit(50)))
+    v = _video_source(spark, sf_dir).withColumn("page", F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)))
     item = F.struct(F.struct(
         F.when(F.col("l_linenumber") == 7, F.lit("youtube#channel")).otherwise(F.lit("youtube#video")).alias("kind"),
         F.when(F.col("l_linenumber") != 7, F.col("video_id")).alias("videoId")).alias("id"))
@@ -148,9 +165,9 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video details; returned ('R') items are missing, first lines are fetched twice."""
     v = _video_source(spark, sf_dir).where(F.col("l_returnflag") != "R")
-    once = v.withColumn("page", F.floor(F.col("l_orderkey") / F.lit(50)))
+    once = v.withColumn("page", F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)))
     again = v.where(F.col("l_linenumber") == 1).withColumn(
-        "page", -F.floor(F.col("l_orderkey") / F.lit(50)) - F.lit(1))
+        "page", -F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)) - F.lit(1))
     return (once.unionByName(again).groupBy("page")
             .agg(F.lit("KE").alias("region_code"), F.collect_list(_video_item()).alias("items"))
             .drop("page"))
