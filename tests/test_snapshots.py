@@ -89,3 +89,10 @@ def test_expire_drops_old_months(spark):
     assert dropped == ["2024_jan"] and s.months() == ["2024_mar", "2024_may"]
     counts = {r.snapshot_month: r.row_count for r in s.row_counts().collect()}
     assert counts == {"2024_mar": 1, "2024_may": 1}
+
+
+def test_empty_batch_is_a_no_op(spark):
+    s = store(spark)
+    assert ro.rollover(s, rows(spark, []), dt.datetime(2024, 2, 1), "ts", 2) == "no_data"
+    assert ro.rollover_merge(s, rows(spark, []), dt.datetime(2024, 2, 1), "ts") == "no_data"
+    assert s.months() == []

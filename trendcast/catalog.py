@@ -567,3 +567,19 @@ def q_stream_pulse(spark, sf_dir):
     _append_landing(lf.trends_pages(spark, sf_dir), land_dir)
     si.stream_category_pulse(spark, land_dir, schemas.TRENDS_PAYLOAD, _flatten_trends, sink, ckpt)
     return spark.read.parquet(sink)
+
+
+# --- published views ---------------------------------------------------------------------
+
+from trendcast.plans import views  # noqa: E402
+
+
+@register("published_views")
+def q_published_views(spark, sf_dir):
+    """Marts published as views and queried with SQL, as a dashboard would."""
+    views.publish_trend_views(spark, fx.trends(spark, sf_dir), fx.AS_OF)
+    return spark.sql("""
+        select t.categories, t.urgency_tier, count(*) as keywords, max(t.recommendation_score) as best_score,
+               min(t.rank_in_category) as best_rank
+        from mart_trending_topics t
+        group by t.categories, t.urgency_tier""")

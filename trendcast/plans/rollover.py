@@ -20,10 +20,12 @@ from trendcast.sources.snapshots import SnapshotStore, month_tags, previous_mont
 
 def rollover(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, ts_col: str,
              grace_days: int, when_present: str = "append") -> str:
-    """Flag form: inside the grace days, a month without rows of its own starts from the
+    """Flag form (an empty batch does nothing at all): inside the grace days, a month without rows of its own starts from the
     previous snapshot plus the batch. ``when_present`` says what happens to the
     batch when the month already has rows: 'append' or 'skip'.
     """
+    if batch.isEmpty():
+        return "no_data"
     cur, prev = month_tags(as_of)
     if as_of.day <= grace_days:
         if not has_rows_in_month(store.load(cur), ts_col, as_of):
@@ -43,6 +45,8 @@ def rollover_merge(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, t
     the previous rows not yet present (by ``keys``, NULL-safe) are carried over.
     """
     keys = keys or K.ROLLOVER_MATCH_KEYS
+    if batch.isEmpty():
+        return "no_data"
     cur, prev = month_tags(as_of)
     if as_of.day > grace_days:
         store.append(batch, cur)
