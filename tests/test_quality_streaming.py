@@ -47,7 +47,7 @@ def test_stream_upsert_replaces_by_key(spark):
     land = shared_dir(spark, "t-landing", fresh=True)
     ckpt = shared_dir(spark, "t-ckpt", fresh=True)
     schema = T.StructType(list(schemas.TRENDS.fields) + [T.StructField(si.BATCH_COL, T.LongType())])
-    target = SnapshotStore(spark, shared_dir(spark, "t-target", fresh=True), schema)
+    target = SnapshotStore(spark, shared_dir(spark, "t-target", fresh=True), schema, part_col="start_day")
     _land(spark, land, [_page([_item("a", T0), _item("b", T0 + 60)])])
     si.stream_upsert(spark, land, schemas.TRENDS_PAYLOAD, landing.flatten_trends, target, ["query", "start_date"],
                      "start_date", ckpt)

@@ -533,12 +533,13 @@ def q_stream_ingest(spark, sf_dir):
     land_dir = shared_dir(spark, "landing", "stream_trends", fresh=True)
     ckpt = shared_dir(spark, "checkpoints", "stream_ingest", fresh=True)
     schema = _T.StructType(list(schemas.TRENDS.fields) + [_T.StructField(si.BATCH_COL, _T.LongType())])
-    target = SnapshotStore(spark, shared_dir(spark, "store", "trends_stream", fresh=True), schema)
+    target = SnapshotStore(spark, shared_dir(spark, "store", "trends_stream", fresh=True), schema,
+                           part_col="start_day")
     for pages in (lf.trends_pages(spark, sf_dir), lf.trends_pages(spark, sf_dir, rescrape_views=True)):
         _append_landing(pages, land_dir)
         si.stream_upsert(spark, land_dir, schemas.TRENDS_PAYLOAD, _flatten_trends, target,
                          K.KEYS["trends"], "start_date", ckpt)
-    return target.scan().drop(si.BATCH_COL, "snapshot_month")
+    return target.scan().drop(si.BATCH_COL, "start_day")
 
 
 def _flatten_trends(df):

@@ -34,11 +34,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, base: str, schema: T.StructType):
+    """A parquet folder partitioned by one string column (the month tag by default)."""
+
+    def __init__(self, spark: SparkSession, base: str, schema: T.StructType, part_col: str = MONTH_COL):
         self.spark = spark
         self.base = base.rstrip("/")
         self.schema = schema
-        self.stored_schema = T.StructType(list(schema.fields) + [T.StructField(MONTH_COL, T.StringType())])
+        self.part_col = part_col
+        self.stored_schema = T.StructType(list(schema.fields) + [T.StructField(part_col, T.StringType())])
 
     # -- reads ------------------------------------------------------------------------
     def scan(self) -> DataFrame:
@@ -50,15 +53,36 @@ class SnapshotStore:
 
     def load(self, month: str) -> DataFrame:
         """One month (partition-pruned scan); a month never written reads as empty."""
-        return self.scan().where(F.col(MONTH_COL) == month).drop(MONTH_COL)
+        return self.scan().where(F.col(self.part_col) == month).drop(self.part_col)
 
     def row_counts(self) -> DataFrame:
-        return self.scan().groupBy(MONTH_COL).agg(F.count(F.lit(1)).alias("row_count"))
+        return self.scan().groupBy(self.part_col).agg(F.count(F.lit(1)).alias("row_count"))
 
     # -- writes -----------------------------------------------------------------------
+    def _balanced(self, df: DataFrame) -> DataFrame:
+        """Cluster rows by partition before a partitioned write: AQE merges small
+        pieces and splits a hot partition, so files come out near the advisory
+        size instead of one file per task and partition."""
+        return df.hint("rebalance", self.part_col)
+
     def append(self, df: DataFrame, month: str) -> None:
-        (conform(df, self.schema).withColumn(MONTH_COL, F.lit(month))
-         .write.mode("append").partitionBy(MONTH_COL).parquet(self.base))
+        (self._balanced(conform(df, self.schema).withColumn(self.part_col, F.lit(month)))
+         .write.mode("append").partitionBy(self.part_col).parquet(self.base))
+
+    def load_parts(self, parts: list[str]) -> DataFrame:
+        """Several partitions, partition column kept (pruned scan)."""
+        return self.scan().where(F.col(self.part_col).isin(parts))
+
+    def replace_parts(self, df: DataFrame) -> None:
+        """Swap every partition present in ``df`` (which carries the partition column)
+        in one staged write and one dynamic partition overwrite."""
+        staging = f"{self.base}/_staging/{uuid.uuid4().hex}"
+        cols = [f.name for f in self.stored_schema.fields]
+        self._balanced(df.select(*cols)).write.partitionBy(self.part_col).parquet(staging)
+        staged = self.spark.read.schema(self.stored_schema).parquet(staging)
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.part_col).parquet(self.base))
+        self._delete(staging)
 
     def replace(self, df: DataFrame, month: str) -> None:
         """Swap one month for ``df`` (which may be computed from that month).
@@ -68,10 +92,10 @@ class SnapshotStore:
         the swap is a dynamic partition overwrite of that month only.
         """
         staging = f"{self.base}/_staging/{uuid.uuid4().hex}"
-        conform(df, self.schema).withColumn(MONTH_COL, F.lit(month)).write.parquet(staging)
+        self._balanced(conform(df, self.schema).withColumn(self.part_col, F.lit(month))).write.parquet(staging)
         staged = self.spark.read.schema(self.stored_schema).parquet(staging)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(MONTH_COL).parquet(self.base))
+         .partitionBy(self.part_col).parquet(self.base))
         self._delete(staging)
 
     # -- retention --------------------------------------------------------------------
@@ -80,7 +104,7 @@ class SnapshotStore:
         fs, path = self._fs(self.base)
         if not fs.exists(path):
             return []
-        prefix = f"{MONTH_COL}="
+        prefix = f"{self.part_col}="
         names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
         return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
 
@@ -91,7 +115,7 @@ class SnapshotStore:
         for m in self.months():
             start = dt.datetime.strptime(m, "%Y_%b")
             if add_months(start, 1) <= cutoff.replace(hour=0, minute=0, second=0, microsecond=0):
-                self._delete(f"{self.base}/{MONTH_COL}={m}")
+                self._delete(f"{self.base}/{self.part_col}={m}")
                 dropped.append(m)
         return dropped
 

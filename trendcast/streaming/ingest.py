@@ -4,7 +4,7 @@ Each run processes the files that arrived since the previous run
 (``trigger(availableNow=True)`` with a checkpoint in the shared folder) — the
 streaming form of a scheduled scrape-and-load.
 
-* ``stream_upsert``: keyed replace into a month-partitioned table, so a later
+* ``stream_upsert``: keyed replace into a day-partitioned table, so a later
   capture of the same trend (now ended) replaces the earlier one.
 * ``stream_dedupe``: append-only overlap removal with bounded state: a key seen
   within the watermark delay is dropped, older state is evicted.
@@ -16,12 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendcast import constants as K
-from trendcast.functions.timeparts import instant_to_ntz, month_suffix, ntz_to_instant, to_local
+from trendcast.functions.timeparts import instant_to_ntz, ntz_to_instant, to_local
 from trendcast.operators.dedupe import keep_one
 from trendcast.sources.snapshots import SnapshotStore
 
@@ -33,23 +34,33 @@ def _source(spark: SparkSession, landing: str, schema: T.StructType,
     return flatten(spark.readStream.schema(schema).json(landing))
 
 
+def day_tag(col) -> Column:
+    """'2024_01_31' tag of the (UTC) day of a timestamp: the upsert partition."""
+    return F.date_format(F.col(col) if isinstance(col, str) else col, "yyyy_MM_dd")
+
+
 def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType,
                   flatten: Callable[[DataFrame], DataFrame], target: SnapshotStore, keys: list[str],
-                  ts_col: str, checkpoint: str) -> None:
-    """One incremental run: new landed files -> keyed replace into ``target`` by month of ``ts_col``.
-
-    Per micro-batch only the months the batch touches are rewritten; inside a
-    month the newest batch wins for a key.
+                  ts_col: str, checkpoint: str,
+                  partition_of: Callable[[str], Column] = day_tag) -> None:
+    """One incremental run: new landed files -> keyed replace into ``target``.
+
+    ``target`` is partitioned by ``partition_of(ts_col)`` (days by default);
+    per micro-batch only the partitions the batch touches are rewritten (a
+    scrape with a 7-day look-back touches about 8 days), and inside a
+    partition the newest batch wins for a key. Keys must determine the
+    partition (here: the key holds the timestamp).
     """
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")) \
-                       .withColumn("_month", month_suffix(ts_col))
-        months = [r[0] for r in stamped.select("_month").distinct().collect()]  # a few month tags
-        for m in months:
-            incoming = stamped.where(F.col("_month") == m).drop("_month")
-            merged = keep_one(target.load(m).unionByName(incoming), keys,
+        stamped = (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+                   .withColumn(target.part_col, partition_of(ts_col))
+                   .persist(StorageLevel.MEMORY_AND_DISK))
+        parts = [r[0] for r in stamped.select(target.part_col).distinct().collect()]  # a few day tags
+        if parts:
+            merged = keep_one(target.load_parts(parts).unionByName(stamped), keys,
                               [F.col(BATCH_COL).desc_nulls_last()])
-            target.replace(merged, m)
+            target.replace_parts(merged)
+        stamped.unpersist()
 
     q = (_source(spark, landing, schema, flatten).writeStream
          .foreachBatch(upsert)
