@@ -206,3 +206,16 @@ def test_arg_max_nulls_last_and_tie(spark):
 def test_approx_median_is_a_value(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (100,)], "v long")
     assert df.agg(fn.approx_median("v")).first()[0] == 2
+
+
+def test_hours_and_instants_ignore_dst_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 1, 30), dt.datetime(2024, 3, 10, 4, 30))],
+                                   "s timestamp_ntz, e timestamp_ntz")
+        r = df.select(fn.duration_hours("s", "e").alias("h"),
+                      fn.timeparts.epoch_seconds("s").alias("sec"),
+                      fn.timeparts.instant_to_ntz(fn.timeparts.ntz_to_instant("s")).alias("back")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r.h == 3 and r.sec == 1710034200 and r.back == dt.datetime(2024, 3, 10, 1, 30)

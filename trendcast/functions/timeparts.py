@@ -26,11 +26,15 @@ def ntz_literal(value: dt.datetime | str) -> Column:
 
 
 def duration_hours(start="start_date", end="end_date", as_of: dt.datetime | None = None) -> Column:
-    """Whole hours from start to end (NULL end = still running until ``as_of``), truncated."""
+    """Whole hours from start to end (NULL end = still running until ``as_of``), truncated.
+
+    Measured between UTC instants: a difference of NTZ values would be taken
+    in the session time zone and lose or gain an hour across a DST change.
+    """
     end_col = _c(end)
     if as_of is not None:
         end_col = F.coalesce(end_col, ntz_literal(as_of))
-    return F.timestamp_diff("HOUR", _c(start), end_col)
+    return F.timestamp_diff("HOUR", ntz_to_instant(_c(start)), ntz_to_instant(end_col))
 
 
 def to_local(ts="start_date", tz: str = K.LOCAL_TZ) -> Column:
@@ -110,8 +114,19 @@ def parse_iso_ts(col) -> Column:
 
 
 def ntz_to_instant(col) -> Column:
-    """UTC wall time (TIMESTAMP_NTZ) -> TIMESTAMP instant, whatever the session time zone."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(col)))
+    """UTC wall time (TIMESTAMP_NTZ) -> TIMESTAMP instant, whatever the session time zone.
+
+    Built from the wall-time fields with an explicit UTC zone; casting NTZ to
+    TIMESTAMP would read it in the session zone instead.
+    """
+    c = _c(col)
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+
+
+def epoch_seconds(col) -> Column:
+    """UTC wall time (TIMESTAMP_NTZ) -> whole seconds since 1970-01-01 (floor)."""
+    return F.unix_seconds(ntz_to_instant(col))
 
 
 def instant_to_ntz(col) -> Column:

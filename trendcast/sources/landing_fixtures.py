@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendcast.functions.timeparts import epoch_seconds
 from trendcast.session import shared_dir
 from trendcast.sources.fixtures import POSTS_COLUMNS, TRENDS_COLUMNS, VIDEO_COLUMNS
 from trendcast.sources.tables import read_table
@@ -20,7 +21,7 @@ PAGE_ORDERS = 2000
 
 
 def _epoch_secs(col: str):
-    return F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(col))
+    return epoch_seconds(col)
 
 
 _LANDED: dict[tuple, str] = {}
