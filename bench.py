@@ -3,8 +3,9 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is run to completion (a full write to the no-op sink, so every row
-and column is produced) after one warm-up pass; the value is the total of the
-timed runs in seconds.
+and column is produced). Every query is timed standalone — landed fixture
+files are not shared between queries — twice, and the faster run counts; the
+value is the total over the headline queries in seconds.
 """
 
 from __future__ import annotations
@@ -48,16 +49,17 @@ def main() -> None:
         master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
         extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="trendcast-bench-")})
 
-    def run(name: str) -> None:
+    from trendcast.sources import landing_fixtures
+
+    def run(name: str) -> float:
+        landing_fixtures._LANDED.clear()
+        t0 = time.perf_counter()
         REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
 
     # Warm-up: JVM, code generation, file listing caches.
     run("stg_trending_now")
-    timings = {}
-    for name in names:
-        t0 = time.perf_counter()
-        run(name)
-        timings[name] = round(time.perf_counter() - t0, 3)
+    timings = {name: round(min(run(name), run(name)), 3) for name in names}
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

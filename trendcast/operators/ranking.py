@@ -23,6 +23,8 @@ from trendcast.session import shared_dir
 OFFSETS_BROADCAST_ROWS = 500_000
 # Largest group a single task may number with a plain window (sorted with spill).
 GROUP_ROWS_PER_TASK = 5_000_000
+# Target rows per range partition of the split numbering.
+ROWS_PER_RANGE = 2_000_000
 
 _PID, _RID, _SEQ, _FIRST, _N, _BEFORE = (
     "_rk_pid", "_rk_rid", "_rk_seq", "_rk_first", "_rk_n", "_rk_before")
@@ -45,7 +47,7 @@ def row_number_by_range(df: DataFrame, partition_by: list[str], order_by: list,
     order for repeatable numbers.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_count(spark, df.count())
     group_cols = [F.col(c) for c in partition_by]
     # The sequence number only splits runs of identical sort keys across ranges.
     keys = group_cols + _sort_cols(order_by) + [F.col(_SEQ)]
@@ -81,10 +83,17 @@ def row_number_by_range(df: DataFrame, partition_by: list[str], order_by: list,
                   *[f"_rk_g{i}" for i in range(len(partition_by))]))
 
 
-def largest_group(df: DataFrame, partition_by: list[str]) -> int:
-    """Row count of the biggest group (partially aggregated; reads only the key columns)."""
-    row = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(row[0] or 0)
+def range_count(spark, total_rows: int) -> int:
+    """Number of ranges: enough for ``ROWS_PER_RANGE`` rows each, at least the shuffle partitions."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, -(-total_rows // ROWS_PER_RANGE))
+
+
+def group_sizes(df: DataFrame, partition_by: list[str]) -> tuple[int, int]:
+    """(rows in the biggest group, total rows) in one partially aggregated pass over the key columns."""
+    row = (df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
+           .agg(F.max("_n"), F.sum("_n")).first())
+    return int(row[0] or 0), int(row[1] or 0)
 
 
 def row_number_per_group(df: DataFrame, partition_by: list[str], order_by: list, name: str,
@@ -96,10 +105,12 @@ def row_number_per_group(df: DataFrame, partition_by: list[str], order_by: list,
     ``max_group_rows=None``, the range-partitioned numbering splits every
     group across tasks.
     """
-    if max_group_rows is not None and largest_group(df, partition_by) <= max_group_rows:
+    largest, total = group_sizes(df, partition_by)
+    if max_group_rows is not None and largest <= max_group_rows:
         w = Window.partitionBy(*partition_by).orderBy(*_sort_cols(order_by))
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    return row_number_by_range(df, partition_by, order_by, name)
+    return row_number_by_range(df, partition_by, order_by, name,
+                               num_partitions=range_count(df.sparkSession, total))
 
 
 def top_n_per_group(df: DataFrame, partition_by: list[str], order_by: list, n: int,
