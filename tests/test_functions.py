@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from trendcast import constants as K
 from trendcast import functions as fn

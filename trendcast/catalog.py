@@ -8,13 +8,26 @@ result where SQL can state it.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from trendcast.plans import marts, staging
+from pyspark.sql import functions as F
+from pyspark.sql import types as _T
+
+from trendcast import constants as K
+from trendcast import functions as fn
+from trendcast import operators as op
+from trendcast import schemas
+from trendcast.plans import dashboards, gap_chain, marts, quality, staging, views
+from trendcast.plans import rollover as ro
+from trendcast.session import shared_dir
 from trendcast.sources import fixtures as fx
+from trendcast.sources import landing
+from trendcast.sources import landing_fixtures as lf
+from trendcast.sources.snapshots import SnapshotStore, conform
 from trendcast.sources.tables import read_table
+from trendcast.streaming import ingest as si
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -60,13 +73,6 @@ def q_gap(spark, sf_dir):
 
 # --- projections and scalar functions -------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from trendcast import constants as K  # noqa: E402
-from trendcast import functions as fn  # noqa: E402
-from trendcast import operators as op  # noqa: E402
-from trendcast.plans import dashboards, quality  # noqa: E402
-
 
 @register("recommendation_score")
 def q_score(spark, sf_dir):
@@ -335,10 +341,6 @@ def q_dq_accepted(spark, sf_dir):
 
 # --- sources: landed JSON -> rows -----------------------------------------------------
 
-from trendcast import schemas  # noqa: E402
-from trendcast.sources import landing  # noqa: E402
-from trendcast.sources import landing_fixtures as lf  # noqa: E402
-
 
 def _landed(spark, pages: DataFrame, name: str, schema, sf_dir: str | None = None):
     return landing.read_landing(spark, lf.land(pages, name, key=sf_dir), schema)
@@ -378,11 +380,6 @@ def q_ingest_kw_videos(spark, sf_dir):
 
 # --- snapshots, rollover, compaction -----------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from trendcast.plans import rollover as ro  # noqa: E402
-from trendcast.session import shared_dir  # noqa: E402
-from trendcast.sources.snapshots import SnapshotStore, conform  # noqa: E402
 
 _AUG = _dt.datetime(1998, 8, 1)
 
@@ -504,8 +501,6 @@ def q_rollover_merge(spark, sf_dir):
 
 # --- end-to-end keyword gap ----------------------------------------------------------------
 
-from trendcast.plans import gap_chain  # noqa: E402
-
 
 @register("gap_end_to_end")
 def q_gap_end_to_end(spark, sf_dir):
@@ -518,10 +513,6 @@ def q_gap_end_to_end(spark, sf_dir):
 
 # --- streaming ---------------------------------------------------------------------------
 
-from pyspark.sql import types as _T  # noqa: E402
-
-from trendcast.streaming import ingest as si  # noqa: E402
-
 
 def _append_landing(pages: DataFrame, path: str) -> None:
     pages.write.mode("append").json(path)
@@ -572,8 +563,6 @@ def q_stream_pulse(spark, sf_dir):
 
 # --- published views ---------------------------------------------------------------------
 
-from trendcast.plans import views  # noqa: E402
-
 
 @register("published_views")
 def q_published_views(spark, sf_dir):

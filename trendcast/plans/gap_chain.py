@@ -23,10 +23,11 @@ def keyword_gap(stg: DataFrame, search_pages: DataFrame, detail_pages: DataFrame
     merged into this month's snapshot, compacted on the dataset key and scored
     against all trends.
     """
-    keywords = keywords_last_hours(stg, as_of, hours)
-    hits = semi_on_folded(search_pages, "keyword", keywords, "query")
-    videos = flatten_keyword_videos(hits, detail_pages, categories)
-    rollover_merge(store, videos, as_of, "published_at")
     cur, _ = month_tags(as_of)
-    snapshot = compact(store, cur, K.KEYS["keyword_videos"])
-    return mart_gap_analysis(snapshot, trends, as_of)
+    if not search_pages.isEmpty():          # nothing landed: the snapshot stays as it is
+        keywords = keywords_last_hours(stg, as_of, hours)
+        hits = semi_on_folded(search_pages, "keyword", keywords, "query")
+        videos = flatten_keyword_videos(hits, detail_pages, categories)
+        rollover_merge(store, videos, as_of, "published_at", guard_empty=False)
+        compact(store, cur, K.KEYS["keyword_videos"])
+    return mart_gap_analysis(store.load(cur), trends, as_of)

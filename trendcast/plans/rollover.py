@@ -19,12 +19,14 @@ from trendcast.sources.snapshots import SnapshotStore, month_tags, previous_mont
 
 
 def rollover(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, ts_col: str,
-             grace_days: int, when_present: str = "append") -> str:
-    """Flag form (an empty batch does nothing at all): inside the grace days, a month without rows of its own starts from the
+             grace_days: int, when_present: str = "append", guard_empty: bool = True) -> str:
+    """Flag form (an empty batch does nothing at all; pass ``guard_empty=False``
+    when the caller already checked the raw input, since checking a processed
+    batch runs its shuffles): inside the grace days, a month without rows of its own starts from the
     previous snapshot plus the batch. ``when_present`` says what happens to the
     batch when the month already has rows: 'append' or 'skip'.
     """
-    if batch.isEmpty():
+    if guard_empty and batch.isEmpty():
         return "no_data"
     cur, prev = month_tags(as_of)
     if as_of.day <= grace_days:
@@ -39,13 +41,13 @@ def rollover(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, ts_col:
 
 def rollover_merge(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, ts_col: str,
                    grace_days: int = K.GRACE_DAYS["keyword_videos"],
-                   keys: list[str] | None = None) -> str:
+                   keys: list[str] | None = None, guard_empty: bool = True) -> str:
     """Count form: inside the grace days the previous month counts as merged when it is
     empty or the new month already holds at least as many of its rows; otherwise
     the previous rows not yet present (by ``keys``, NULL-safe) are carried over.
     """
     keys = keys or K.ROLLOVER_MATCH_KEYS
-    if batch.isEmpty():
+    if guard_empty and batch.isEmpty():
         return "no_data"
     cur, prev = month_tags(as_of)
     if as_of.day > grace_days:
