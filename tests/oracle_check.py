@@ -52,6 +52,15 @@ def _norm(v):
     return v
 
 
+_EXACT = {"long": "BIGINT", "integer": "INTEGER", "short": "SMALLINT", "byte": "TINYINT", "double": "DOUBLE",
+          "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+          "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def _exact_spark(t) -> str:
+    return _EXACT.get(t.typeName(), t.simpleString().upper())
+
+
 def _family_spark(t) -> str:
     n = t.typeName()
     if n in ("byte", "short", "integer", "long"):
@@ -95,10 +104,10 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
         problems.append(f"columns differ: spark-only {sorted(set(cols) - set(dcols))}, "
                         f"oracle-only {sorted(set(dcols) - set(cols))}")
     else:
-        sfam = {f.name: _family_spark(f.dataType) for f in df.schema.fields}
-        bad = [c for c in cols if sfam[c] != _family_duck(dtypes[c])]
+        sexact = {f.name: _exact_spark(f.dataType) for f in df.schema.fields}
+        bad = [c for c in cols if sexact[c] != dtypes[c]]
         if bad:
-            problems.append("types differ: " + ", ".join(f"{c}:{sfam[c]}/{dtypes[c]}" for c in bad))
+            problems.append("types differ: " + ", ".join(f"{c}:{sexact[c]}/{dtypes[c]}" for c in bad))
         idx = [dcols.index(c) for c in cols]
         a = Counter(tuple(_norm(v) for v in r) for r in rows)
         b = Counter(tuple(_norm(r[i]) for i in idx) for r in drows)

@@ -118,7 +118,7 @@ def top_n_per_group(df: DataFrame, partition_by: list[str], order_by: list, n: i
     """First ``n`` rows of each group; partial limit runs map-side (WindowGroupLimit)."""
     col = rank_col or "_rk_row"
     w = Window.partitionBy(*partition_by).orderBy(*_sort_cols(order_by))
-    out = df.withColumn(col, F.row_number().over(w)).where(F.col(col) <= n)
+    out = df.withColumn(col, F.row_number().over(w).cast("bigint")).where(F.col(col) <= n)
     return out if rank_col else out.drop(col)
 
 
