@@ -61,29 +61,6 @@ def _exact_spark(t) -> str:
     return _EXACT.get(t.typeName(), t.simpleString().upper())
 
 
-def _family_spark(t) -> str:
-    n = t.typeName()
-    if n in ("byte", "short", "integer", "long"):
-        return "int"
-    if n in ("float", "double", "decimal"):
-        return "float"
-    if n in ("timestamp", "timestamp_ntz"):
-        return "ts"
-    return {"string": "str", "boolean": "bool", "date": "date"}.get(n, n)
-
-
-def _family_duck(t: str) -> str:
-    t = t.upper()
-    if t in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT",
-             "UINTEGER", "UBIGINT"):
-        return "int"
-    if t in ("FLOAT", "DOUBLE") or t.startswith("DECIMAL"):
-        return "float"
-    if t.startswith("TIMESTAMP"):
-        return "ts"
-    return {"VARCHAR": "str", "BOOLEAN": "bool", "DATE": "date"}.get(t, t.lower())
-
-
 def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
     t0 = time.time()
     df = query(spark, sf_dir)
