@@ -11,6 +11,7 @@ their natural order; the column functions read them from here.
 
 # Local time zone of the audience (East Africa Time, UTC+3, no DST).
 LOCAL_TZ = "Africa/Nairobi"
+LOCAL_UTC_OFFSET_HOURS = 3
 
 # Recommendation score weights.
 SCORE_VOLUME_WEIGHT = 0.5

@@ -83,8 +83,13 @@ def stream_dedupe(spark: SparkSession, landing: str, schema: T.StructType,
 
 
 def category_day_windows(rows: DataFrame, ts_col: str = "start_date", delay: str = "1 hour",
-                         day_start_utc_hours: int = 21) -> DataFrame:
-    """Per category and local day (a day starts at ``day_start_utc_hours`` UTC): counts and volume."""
+                         utc_offset_hours: int = K.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
+    """Per category and local day: counts and volume.
+
+    Tumbling one-day windows shifted so they start at local midnight (for UTC+3
+    that is 21:00 UTC); a fixed offset is right for zones without DST.
+    """
+    day_start_utc_hours = (24 - utc_offset_hours) % 24
     ts = rows.withColumn("_event_ts", ntz_to_instant(ts_col)).withWatermark("_event_ts", delay)
     agg = ts.groupBy(F.window("_event_ts", "1 day", startTime=f"{day_start_utc_hours} hours"),
                      "categories").agg(
