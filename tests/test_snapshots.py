@@ -96,3 +96,20 @@ def test_empty_batch_is_a_no_op(spark):
     assert ro.rollover(s, rows(spark, []), dt.datetime(2024, 2, 1), "ts", 2) == "no_data"
     assert ro.rollover_merge(s, rows(spark, []), dt.datetime(2024, 2, 1), "ts") == "no_data"
     assert s.months() == []
+
+
+def test_refresh_writes_marts_from_one_staging_copy(spark, sf_dir):
+    from trendcast.catalog import REGISTRY
+    from trendcast.plans.refresh import refresh_marts
+    from trendcast.sources import fixtures as fx
+
+    out = shared_dir(spark, "refresh", fresh=True)
+    paths = refresh_marts(spark, fx.trends(spark, sf_dir), fx.keyword_videos(spark, sf_dir), fx.AS_OF, out)
+    for name in ("mart_category_pulse", "mart_keyword_recurrence", "mart_gap_analysis", "mart_trending_topics"):
+        got = spark.read.parquet(paths[name])
+        want = REGISTRY[name](spark, sf_dir)
+        cols = sorted(want.columns)
+        assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0, name
+        assert got.count() == want.count(), name
+    failures = {(r.model, r.column): r.failures for r in spark.read.parquet(paths["dq_not_null"]).collect()}
+    assert failures and all(v == 0 for v in failures.values())
