@@ -3,7 +3,7 @@
 Each query reads whole tables of the test data (through the adapters in
 ``trendcast.sources.fixtures``) and runs one operator or pipeline of the
 library. ``trendcast.oracle.QUERIES`` holds the DuckDB statement of the same
-result where SQL can state it.
+result for every one of them.
 """
 
 from __future__ import annotations
@@ -34,11 +34,11 @@ REGISTRY: dict[str, Query] = {}
 
 
 def register(name: str):
-    def deco(fn: Query) -> Query:
+    def deco(query: Query) -> Query:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = fn
-        return fn
+        REGISTRY[name] = query
+        return query
     return deco
 
 
