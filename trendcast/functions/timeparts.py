@@ -113,15 +113,25 @@ def parse_iso_ts(col) -> Column:
     return F.when(zoned, instant_to_ntz(c.try_cast("timestamp"))).otherwise(c.try_cast("timestamp_ntz"))
 
 
-def ntz_to_instant(col) -> Column:
-    """UTC wall time (TIMESTAMP_NTZ) -> TIMESTAMP instant, whatever the session time zone.
+_EPOCH_DATE = dt.date(1970, 1, 1)
+
+
+def epoch_micros(col) -> Column:
+    """UTC wall time (TIMESTAMP_NTZ) -> microseconds since 1970-01-01 00:00 UTC.
 
-    Built from the wall-time fields with an explicit UTC zone; casting NTZ to
-    TIMESTAMP would read it in the session zone instead.
+    Plain arithmetic on the value's own fields (days, hour, minute, second):
+    no time zone takes part, unlike a cast of NTZ to TIMESTAMP, which reads the
+    value in the session zone.
     """
     c = _c(col)
-    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
-                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+    days = F.datediff(F.to_date(c), F.lit(_EPOCH_DATE)).cast("bigint")
+    whole = days * F.lit(86400) + F.hour(c) * F.lit(3600) + F.minute(c) * F.lit(60)
+    return whole * F.lit(1000000) + (F.date_part(F.lit("SECOND"), c) * F.lit(1000000)).cast("bigint")
+
+
+def ntz_to_instant(col) -> Column:
+    """UTC wall time (TIMESTAMP_NTZ) -> TIMESTAMP instant, whatever the session time zone."""
+    return F.timestamp_micros(epoch_micros(col))
 
 
 def epoch_seconds(col) -> Column:
