@@ -578,3 +578,11 @@ def q_published_views(spark, sf_dir):
                min(t.rank_in_category) as best_rank
         from mart_trending_topics t
         group by t.categories, t.urgency_tier""")
+
+
+def prepare_inputs(spark: SparkSession, sf_dir: str) -> None:
+    """Land every API-shaped input once for this application (later queries reuse the files)."""
+    for pages, name in ((lf.trends_pages(spark, sf_dir), "trends"), (lf.jobs_pages(spark, sf_dir), "jobs"),
+                        (lf.posts_pages(spark, sf_dir), "posts"), (lf.popular_pages(spark, sf_dir), "popular"),
+                        (lf.search_pages(spark, sf_dir), "search"), (lf.detail_pages(spark, sf_dir), "details")):
+        lf.land(pages, name, key=sf_dir)
