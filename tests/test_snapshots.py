@@ -113,3 +113,11 @@ def test_refresh_writes_marts_from_one_staging_copy(spark, sf_dir):
         assert got.count() == want.count(), name
     failures = {(r.model, r.column): r.failures for r in spark.read.parquet(paths["dq_not_null"]).collect()}
     assert failures and all(v == 0 for v in failures.values())
+
+
+def test_replace_with_empty_removes_month(spark):
+    s = store(spark)
+    s.append(rows(spark, [("a", dt.datetime(2024, 1, 5), 1)]), "2024_jan")
+    s.append(rows(spark, [("b", dt.datetime(2024, 2, 5), 1)]), "2024_feb")
+    s.replace(rows(spark, []), "2024_jan")
+    assert s.months() == ["2024_feb"] and s.load("2024_jan").count() == 0 and ids(s.load("2024_feb")) == ["b"]

@@ -89,13 +89,17 @@ class SnapshotStore:
 
         ``df`` is first written to a staging folder (hidden by its leading
         underscore), so the read of the old month finishes before the swap;
-        the swap is a dynamic partition overwrite of that month only.
+        the swap is a dynamic partition overwrite of that month only. An empty
+        ``df`` removes the month (a dynamic overwrite would leave it in place).
         """
         staging = f"{self.base}/_staging/{uuid.uuid4().hex}"
         self._balanced(conform(df, self.schema).withColumn(self.part_col, F.lit(month))).write.parquet(staging)
         staged = self.spark.read.schema(self.stored_schema).parquet(staging)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.part_col).parquet(self.base))
+        if staged.isEmpty():
+            self._delete(f"{self.base}/{self.part_col}={month}")
+        else:
+            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(self.part_col).parquet(self.base))
         self._delete(staging)
 
     # -- retention --------------------------------------------------------------------
