@@ -121,3 +121,22 @@ def test_replace_with_empty_removes_month(spark):
     s.append(rows(spark, [("b", dt.datetime(2024, 2, 5), 1)]), "2024_feb")
     s.replace(rows(spark, []), "2024_jan")
     assert s.months() == ["2024_feb"] and s.load("2024_jan").count() == 0 and ids(s.load("2024_feb")) == ["b"]
+
+
+def test_cli_ingest_then_refresh(spark, sf_dir):
+    from trendcast.__main__ import main
+    from trendcast.sources import fixtures as fx
+    from trendcast.sources import landing_fixtures as lf
+
+    landing_dir = lf.land(lf.trends_pages(spark, sf_dir), "cli-trends")
+    store_dir = shared_dir(spark, "cli-store", fresh=True)
+    videos = shared_dir(spark, "cli-videos", fresh=True)
+    fx.keyword_videos(spark, sf_dir).write.parquet(videos)
+    out = shared_dir(spark, "cli-out", fresh=True)
+    got = main(["ingest", "--landing", landing_dir, "--store", store_dir, "--as-of", "2024-01-31T00:00:00"])
+    assert got["action"] == "appended" and got["month"] == "2024_jan"
+    paths = main(["refresh", "--store", store_dir, "--videos", videos, "--out", out,
+                  "--as-of", "2024-01-31T00:00:00"])
+    n_trends = spark.read.parquet(paths["stg_trending_now"]).count()
+    assert n_trends == fx.trends(spark, sf_dir).count()
+    assert spark.read.parquet(paths["mart_category_pulse"]).count() > 0
