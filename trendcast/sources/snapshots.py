@@ -60,13 +60,14 @@ class SnapshotStore:
 
     # -- writes -----------------------------------------------------------------------
     def _balanced(self, df: DataFrame) -> DataFrame:
-        """Cluster rows by partition before a partitioned write: AQE merges small
-        pieces and splits a hot partition, so files come out near the advisory
-        size instead of one file per task and partition."""
+        """Cluster rows by partition before a write into many partitions: AQE merges
+        small pieces and splits a hot partition, so files come out near the
+        advisory size instead of one file per task and partition. A write into a
+        single month needs no such shuffle: it already makes one file per task."""
         return df.hint("rebalance", self.part_col)
 
     def append(self, df: DataFrame, month: str) -> None:
-        (self._balanced(conform(df, self.schema).withColumn(self.part_col, F.lit(month)))
+        (conform(df, self.schema).withColumn(self.part_col, F.lit(month))
          .write.mode("append").partitionBy(self.part_col).parquet(self.base))
 
     def load_parts(self, parts: list[str]) -> DataFrame:
@@ -93,7 +94,7 @@ class SnapshotStore:
         ``df`` removes the month (a dynamic overwrite would leave it in place).
         """
         staging = f"{self.base}/_staging/{uuid.uuid4().hex}"
-        self._balanced(conform(df, self.schema).withColumn(self.part_col, F.lit(month))).write.parquet(staging)
+        conform(df, self.schema).withColumn(self.part_col, F.lit(month)).write.parquet(staging)
         staged = self.spark.read.schema(self.stored_schema).parquet(staging)
         if staged.isEmpty():
             self._delete(f"{self.base}/{self.part_col}={month}")
