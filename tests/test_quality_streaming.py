@@ -82,3 +82,20 @@ def test_category_windows_close_with_watermark(spark):
     # 20:00 UTC is 23:00 on Jan 1 in Nairobi; 22:00 UTC is already Jan 2.
     assert got == [(dt.date(2024, 1, 1), 1, 10), (dt.date(2024, 1, 2), 1, 5), (dt.date(2024, 1, 3), 1, 1)]
 
+
+
+def test_jobs_nested_parts_kept_as_json_or_null(spark):
+    page = json.dumps({"jobs_results": [
+        {"title": "a", "job_highlights": [{"title": "Q", "items": ["x"]}], "extensions": [],
+         "detected_extensions": {}, "job_id": "1"},
+        {"title": "b", "extensions": ["full time"], "detected_extensions": {"posted_at": "2 days"},
+         "apply_options": None, "job_id": "2"},
+    ]})
+    pages = landing.parse_payloads(spark.createDataFrame([(page,)], "value string"), "value",
+                                   schemas.JOBS_PAYLOAD)
+    got = {r.job_id: r for r in landing.flatten_jobs(pages, dt.datetime(2024, 1, 1)).collect()}
+    a, b = got["1"], got["2"]
+    assert a.job_highlights == '[{"title":"Q","items":["x"]}]'
+    assert (a.extensions, a.detected_extensions, a.apply_options) == (None, None, None)
+    assert (b.extensions, b.detected_extensions) == ('["full time"]', '{"posted_at":"2 days"}')
+    assert b.apply_options is None and b.scraped_at == dt.datetime(2024, 1, 1)
