@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from trendcast.llm import exact_dedup
+from trendcast.llm import exact_dedup, language_id
 from trendcast.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_language_id": language_id.op9_language_id,
 }
 
 ORACLES: dict[str, str] = {
