@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from trendcast.llm import exact_dedup, language_id
+from trendcast.llm import exact_dedup, language_id, packing
 from trendcast.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_language_id": language_id.op9_language_id,
+    "op7_harmonic_packing": packing.op7_harmonic_packing,
 }
 
 ORACLES: dict[str, str] = {
