@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from trendcast.llm import exact_dedup, language_id, packing
+from trendcast.llm import chat_format, exact_dedup, language_id, packing, secret_scan
 from trendcast.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_language_id": language_id.op9_language_id,
     "op7_harmonic_packing": packing.op7_harmonic_packing,
+    "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op5_chat_format": chat_format.op5_chat_format,
 }
 
 ORACLES: dict[str, str] = {
