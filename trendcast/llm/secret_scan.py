@@ -51,7 +51,7 @@ PLACEHOLDERS = {"changeme", "example", "placeholder", "password", "secret", "non
 THRESHOLD = 1.0
 LITERAL_MIN = 6
 
-_LINE = re.compile(r"[^\n]*[:=][^\n]*")
+_SIGN = re.compile(r"[:=]")
 _LEX = re.compile(r"""
     (?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')
   | (?P<ref>\$\{[A-Za-z_]\w*\}|\$[A-Za-z_]\w*)
@@ -102,6 +102,16 @@ def literal_score(value: str) -> float:
     return max(0.0, min(1.0, entropy / 5 + 0.1 * (classes - 1) + 0.1 * (n >= 20) - spaced))
 
 
+def _lines(text: str) -> Iterator[tuple[int, str]]:
+    """(start, line) of the lines that hold an assignment sign."""
+    at = 0
+    while (sign := _SIGN.search(text, at)) is not None:
+        start = text.rfind("\n", 0, sign.start()) + 1
+        at = text.find("\n", sign.end())
+        at = len(text) if at < 0 else at
+        yield start, text[start:at]
+
+
 def _joined(tokens: list, at: int) -> tuple[list, int]:
     """Literals that are joined to the one at ``at`` by ``+`` or by standing next to it."""
     parts, i = [tokens[at]], at + 1
@@ -122,10 +132,9 @@ def pairs(text: str) -> Iterator[tuple[str, str, int, int]]:
     place under the new name.
     """
     constants: dict[str, tuple[str, int, int]] = {}
-    for line in _LINE.finditer(text):
-        base = line.start()
+    for base, line in _lines(text):
         tokens = [(m.lastgroup, m.group(), base + m.start(), base + m.end())
-                  for m in _LEX.finditer(line.group()) if m.lastgroup != "gap"]
+                  for m in _LEX.finditer(line) if m.lastgroup != "gap"]
         for i in range(1, len(tokens) - 1):
             if tokens[i][0] != "sign" or tokens[i][1] not in _SIGNS:
                 continue
