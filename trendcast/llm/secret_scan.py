@@ -56,8 +56,8 @@ _LEX = re.compile(r"""
     (?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')
   | (?P<ref>\$\{[A-Za-z_]\w*\}|\$[A-Za-z_]\w*)
   | (?P<sign>:=|=>|==|!=|<=|>=|[:=])
+  | (?P<plus>\+(?=[\x20\t]*["']))
   | (?P<word>[A-Za-z0-9_+/.-]+(?:=+(?=\s|$))?)
-  | (?P<plus>\+)
   | (?P<gap>[\x20\t]+)
   | (?P<other>.)
 """, re.VERBOSE | re.ASCII)
