@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trendcast.llm import chat_format, exact_dedup, language_id, packing, secret_scan, source_mixing
+from trendcast.llm import chat_format, exact_dedup, language_id, license_scan, packing, secret_scan, source_mixing
 from trendcast.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -12,6 +12,7 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_chat_format": chat_format.op5_chat_format,
     "op10_source_mixing": source_mixing.op10_source_mixing,
+    "op6_license_scan": license_scan.op6_license_scan,
 }
 
 ORACLES: dict[str, str] = {
