@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trendcast.llm import chat_format, exact_dedup, language_id, license_scan, packing, secret_scan, source_mixing
+from trendcast.llm import ann_search, chat_format, exact_dedup, language_id, license_scan, packing, secret_scan, source_mixing
 from trendcast.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -13,6 +13,7 @@ QUERIES: dict[str, Query] = {
     "op5_chat_format": chat_format.op5_chat_format,
     "op10_source_mixing": source_mixing.op10_source_mixing,
     "op6_license_scan": license_scan.op6_license_scan,
+    "op3_ann_search": ann_search.op3_ann_search,
 }
 
 ORACLES: dict[str, str] = {
