@@ -14,9 +14,10 @@ ones whose centroid is within ``CLOSURE`` times the least distance. *Search*: a
 query visits the lists whose centroid is within the pruning ratio; there is no
 limit on their number.
 
-A list is stored in chunks of at most ``CHUNK`` vectors, and the queries of a
-list are dealt out in blocks, so neither a crowd of equal vectors nor a crowd of
-queries at one list meets in one task. Scores are taken from the original
+Neighbouring lists form parts of ``LISTS_PER_PART``; a task compares a part's
+vectors with the queries that visit it, list by list, and returns the best k of
+each. A part is dealt out in chunks of about ``CHUNK`` vectors and its queries in
+blocks, so neither a crowd of equal vectors nor a crowd of queries meets in one task. Scores are taken from the original
 vectors in double precision, component by component in order.
 """
 
@@ -37,8 +38,9 @@ K = 20
 LIST_SIZE = 256
 MAX_LISTS = 1 << 14
 SAMPLE_PER_LIST = 64
-CHUNK = 4096
+CHUNK = 8192
 QUERY_BLOCK = 1024
+LISTS_PER_PART = 16
 DEGREE = 24
 BEAM = 16
 CLOSURE, MAX_REPLICAS = 1.01, 4
@@ -223,22 +225,26 @@ def _postings(vectors: DataFrame, index: ListIndex) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                got = list(index.homes(_matrix(b["v"])))
-                at = [i for i, _ in got]
-                yield pd.DataFrame({"list": [c for _, c in got], "vec_id": b["vec_id"].to_numpy()[at], "v": b["v"].to_numpy()[at]})
+                got = np.array(list(index.homes(_matrix(b["v"]))))
+                yield pd.DataFrame({"part": got[:, 1] // LISTS_PER_PART, "list": got[:, 1],
+                                    "vec_id": b["vec_id"].to_numpy()[got[:, 0]], "v": b["v"].to_numpy()[got[:, 0]]})
 
-    return vectors.select("vec_id", "v").mapInPandas(run, "list int, vec_id bigint, v array<double>")
+    return vectors.select("vec_id", "v").mapInPandas(run, "part int, list int, vec_id bigint, v array<double>")
 
 
 def _visits(queries: DataFrame, index: ListIndex) -> DataFrame:
+    """A row for each query and part of the index that it visits, with the lists it visits there."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                got = list(index.probes(_matrix(b["v"])))
-                at = [i for i, _ in got]
-                yield pd.DataFrame({"list": [c for _, c in got], "query_id": b["vec_id"].to_numpy()[at], "v": b["v"].to_numpy()[at]})
+                got = pd.DataFrame(list(index.probes(_matrix(b["v"]))), columns=["at", "list"])
+                got["part"] = got["list"] // LISTS_PER_PART
+                by_part = got.groupby(["at", "part"], sort=False)["list"].agg(list).reset_index()
+                at = by_part["at"].to_numpy()
+                yield pd.DataFrame({"part": by_part["part"], "lists": by_part["list"],
+                                    "query_id": b["vec_id"].to_numpy()[at], "v": b["v"].to_numpy()[at]})
 
-    return queries.select("vec_id", "v").mapInPandas(run, "list int, query_id bigint, v array<double>")
+    return queries.select("vec_id", "v").mapInPandas(run, "part int, lists array<int>, query_id bigint, v array<double>")
 
 
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -251,24 +257,31 @@ def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _best_in_chunk(k: int):
     def run(key, queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
-        cols = ["query_id", "vec_id", "score"]
         if not len(queries) or not len(vectors):
-            return pd.DataFrame({c: pd.Series(dtype="float64" if c == "score" else "int64") for c in cols})
-        vectors = vectors.sort_values("vec_id")
+            return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
+        vectors = vectors.sort_values("vec_id", kind="stable")
         q, v = _matrix(queries["v"]), _matrix(vectors["v"])
-        qid, vid, parts = queries["query_id"].to_numpy(), vectors["vec_id"].to_numpy(), []
-        rough = q @ v.T
-        rough[qid[:, None] == vid[None, :]] = -np.inf
+        qid, vid = queries["query_id"].to_numpy(), vectors["vec_id"].to_numpy()
+        # A vector may be in several lists here: one candidate, visited if any of its lists is.
+        first = np.concatenate([[True], (vid[1:] != vid[:-1]) | (v[1:] != v[:-1]).any(axis=1)])
+        at = np.cumsum(first) - 1
+        base = int(key[0]) * LISTS_PER_PART
+        holds = np.zeros((LISTS_PER_PART, int(at[-1]) + 1), dtype=np.float32)
+        holds[vectors["list"].to_numpy() - base, at] = 1
+        visits = np.zeros((len(q), LISTS_PER_PART), dtype=np.float32)
+        for i, lists in enumerate(queries["lists"]):
+            visits[i, np.asarray(lists) - base] = 1
+        v, vid = v[first], vid[first]
+        rough = np.where((visits @ holds > 0) & (qid[:, None] != vid[None, :]), q @ v.T, -np.inf)
         take = min(k, len(vid))
         edge = -np.partition(-rough, take - 1, axis=1)[:, take - 1:take]
         # All within rounding of the k-th are scored exactly, then ties go to the smaller id.
-        near = (rough >= edge - 1e-9 * np.maximum(1, np.abs(edge))) & np.isfinite(rough)
-        for i in range(len(qid)):
-            j = np.flatnonzero(near[i])
-            s = inner_products(np.broadcast_to(q[i], (len(j), q.shape[1])), v[j])
-            order = np.lexsort((vid[j], -s))[:k]
-            parts.append(pd.DataFrame({"query_id": qid[i], "vec_id": vid[j][order], "score": s[order]}))
-        return pd.concat(parts)
+        i, j = np.nonzero((rough >= edge - 1e-9 * np.maximum(1, np.abs(edge))) & np.isfinite(rough))
+        score = inner_products(q[i], v[j])
+        order = np.lexsort((vid[j], -score, i))
+        i, j, score = i[order], j[order], score[order]
+        kept = np.arange(len(i)) - np.searchsorted(i, i) < k
+        return pd.DataFrame({"query_id": qid[i[kept]], "vec_id": vid[j[kept]], "score": score[kept]})
 
     return run
 
@@ -287,18 +300,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, index: ListIndex
         return spark.createDataFrame([], schema)
     posted = materialize(_postings(vectors, index), "ann_postings")
     visits = materialize(_visits(queries, index), "ann_visits")
-    # At most MAX_LISTS rows: how finely each list and its queries are dealt out.
-    parts = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    blocks = visits.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks"))
-    plan = F.broadcast(parts.join(blocks, "list"))
-
-    v_side = posted.join(plan, "list").select(
-        "list", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "v")
-    q_side = visits.join(plan, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-        F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block"), "query_id", "v")
-    on = ["list", "chunk", "block"]
+    # At most MAX_LISTS rows: how finely each part and its queries are dealt out.
+    chunks = posted.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    blocks = visits.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks"))
+    plan = F.broadcast(chunks.join(blocks, "part"))
+
+    v_side = posted.join(plan, "part").select(
+        "part", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "list", "vec_id", "v")
+    q_side = visits.join(plan, "part").select(
+        "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+        F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block"), "query_id", "lists", "v")
+    on = ["part", "chunk", "block"]
     hits = q_side.groupBy(*on).cogroup(v_side.groupBy(*on)).applyInPandas(
         _best_in_chunk(k), "query_id bigint, vec_id bigint, score double")
     # A vector found through two of its lists has one score; the window limit cuts before the shuffle.
