@@ -29,12 +29,18 @@ def key_cell(key: Column, bits: int) -> Column:
     return F.xxhash64(key).bitwiseAND(F.lit(bits - 1))
 
 
-def maybe_in(rows: DataFrame, key: str, members: DataFrame, count: int) -> DataFrame:
-    """The ``rows`` whose ``key`` may be among ``members`` (``count`` of them): all that are, few others."""
+def flag(rows: DataFrame, key: str, members: DataFrame, count: int) -> DataFrame:
+    """``rows`` with ``_maybe``: whether ``key`` may be among ``members`` (``count`` rows); null keys are not."""
     bits = filter_bits(count)
     words = bit_words(members.select(key_cell(F.col(key), bits).alias("cell")))
     side = F.broadcast(words.select(F.col("word").alias("_word"), F.col("mask").alias("_mask")))
-    cell = key_cell(F.col(key), bits)
-    probed = rows.join(side, F.shiftright(cell, 5) == F.col("_word"))
+    celled = rows.withColumn("_cell", key_cell(F.col(key), bits))
     one = F.expr("shiftleft(1L, cast(_cell & 31 as int))")
-    return probed.withColumn("_cell", cell).filter(F.col("_mask").bitwiseAND(one) != 0).drop("_word", "_mask", "_cell")
+    hit = F.col(key).isNotNull() & (F.coalesce("_mask", F.lit(0)).bitwiseAND(one) != 0)
+    return celled.join(side, F.shiftright("_cell", 5) == F.col("_word"), "left").withColumn(
+        "_maybe", hit).drop("_word", "_mask", "_cell")
+
+
+def maybe_in(rows: DataFrame, key: str, members: DataFrame, count: int) -> DataFrame:
+    """The ``rows`` whose ``key`` may be among ``members`` (``count`` of them): all that are, few others."""
+    return flag(rows, key, members, count).filter("_maybe").drop("_maybe")

@@ -46,10 +46,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Substrings:
-    """Hashes of the substrings of one byte string."""
+    """Hashes of the substrings of one string of bytes, or of ``values``: a random number per symbol."""
 
-    def __init__(self, data: np.ndarray):
-        terms = _BYTE[data] * _power(_BASE, len(data))
+    def __init__(self, data: np.ndarray, values: bool = False):
+        terms = (data if values else _BYTE[data]) * _power(_BASE, len(data))
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
