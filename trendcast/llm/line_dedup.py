@@ -35,6 +35,7 @@ MAX_EDITS = 2
 MIN_CHARS = 32
 BLOCK = 4096
 FLIPS_PER_EDIT = 4
+PORTION = 1 << 20
 # Fixed value: the white space that lines are trimmed of.
 TRIM = " \t\n\v\f\r"
 
@@ -97,6 +98,15 @@ class Lines:
                         yield mix(self.part.hashes(s, s + size[ok]) ^ tag[ok]).astype(np.int64), ok, not shorter and not shift
 
 
+def _portions(b: pd.DataFrame, chars: int = PORTION) -> Iterator[pd.DataFrame]:
+    """A batch in parts of about ``chars`` characters, so that a part's arrays stay small."""
+    sizes = np.array([len(t) if t else 0 for t in b["text"]], dtype=np.int64)
+    part = np.cumsum(sizes) // chars
+    for at in np.split(np.arange(len(b)), np.flatnonzero(np.diff(part)) + 1):
+        if len(at):
+            yield b.iloc[at]
+
+
 def segment(length: np.ndarray, number: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
     """(begin, size) of a segment: all as long as can be, the last ones one longer."""
     size, extra = length // (edits + 1), length % (edits + 1)
@@ -154,7 +164,7 @@ def within_edits(a: str, b: str, limit: int) -> bool:
 
 def _measure(rows: DataFrame, min_chars: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (p for batch in batches for p in _portions(batch)):
             lines = Lines(b["text"].tolist(), min_chars)
             one, two = lines.signatures()
             yield pd.DataFrame({"form": lines.forms(), "doc_id": b["doc_id"].to_numpy()[lines.row],
@@ -167,7 +177,7 @@ def _measure(rows: DataFrame, min_chars: int) -> DataFrame:
 def _shared_keys(rows: DataFrame, min_chars: int, edits: int) -> DataFrame:
     """(key, form, index): members of the keys that bring an index form and another form together."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (p for batch in batches for p in _portions(batch)):
             lines = Lines(b["text"].tolist(), min_chars)
             forms = lines.forms()
             for key, at, index in lines.keys(edits):
@@ -281,7 +291,8 @@ def _verified(rows: DataFrame, pairs: DataFrame, forms: DataFrame, edits: int) -
 def _of_own_form(found: DataFrame) -> DataFrame:
     @F.pandas_udf("bigint")
     def form_of(content: pd.Series) -> pd.Series:
-        return pd.Series(Lines(content.tolist(), 0).forms())
+        parts = [Lines(p["text"].tolist(), 0).forms() for p in _portions(content.to_frame("text"))]
+        return pd.Series(np.concatenate(parts) if parts else np.empty(0, np.int64))
 
     return found.filter(form_of("content") == F.col("form"))
 
