@@ -41,8 +41,8 @@ from trendcast.llm.hashing import set_key, shingles
 THRESHOLD = 75
 # A shingle is frequent where this many of about STRETCH shingles in a row are it;
 # the FREQUENT most frequent go last in the order. This is a matter of speed only.
-STRETCH, STRETCH_LEAST, FREQUENT = 2_000_000, 6, 1 << 17
-BLOCK_SHINGLES = 1 << 21
+STRETCH, STRETCH_LEAST, FREQUENT = 4_000_000, 2, 1 << 20
+BLOCK_SHINGLES = 1 << 22
 LEAF, FAN = 16, 8
 MIN_BITS, MAX_BITS = 256, 1 << 15
 
@@ -67,18 +67,20 @@ def _measure(rows: DataFrame) -> DataFrame:
                              "key": got[keep].astype(np.int64), "n": n[keep]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
+        held, size, known = [], 0, set()
         for b in batches:
             keys, counts = [], []
             for text in b["text"]:
                 s = shingles(text)
                 keys.append(set_key(s))
                 counts.append(len(s))
-                held.append(s)
-                size += len(s)
+                if keys[-1] not in known:  # copies say nothing about other documents
+                    known.add(keys[-1])
+                    held.append(s)
+                    size += len(s)
                 if size >= STRETCH:
                     yield frequent(held)
-                    held, size = [], 0
+                    held, size, known = [], 0, set()
             yield pd.DataFrame({"kind": 0, "doc_id": b["doc_id"].astype("Int64"), "key": keys, "n": counts})
         if held:
             yield frequent(held)
@@ -91,11 +93,21 @@ def _measure(rows: DataFrame) -> DataFrame:
 
 def _frequent(measured: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, sorted by hash, and their places in the order; at most ``FREQUENT``."""
-    top = (measured.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "key").limit(FREQUENT).select("key").toPandas())
-    hashes = top["key"].to_numpy(np.int64).astype(np.uint64)
+    counts = materialize(measured.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n")), "ngram_frequent")
+    room, least = FREQUENT, None
+    for n, shingles_ in sorted(((r["n"], r["c"]) for r in counts.groupBy(F.least("n", F.lit(10_000)).alias("n"))
+                                .agg(F.count(F.lit(1)).alias("c")).collect()), reverse=True):
+        if shingles_ > room:
+            break
+        room, least = room - shingles_, n
+    if least is None:
+        return np.empty(0, np.uint64), np.empty(0, np.int32)
+    top = counts.filter(F.col("n") >= least).toPandas()
+    hashes, n = top["key"].to_numpy(np.int64).astype(np.uint64), top["n"].to_numpy()
+    place = np.empty(len(top), dtype=np.int32)
+    place[np.lexsort((hashes, n))] = np.arange(1, len(top) + 1)
     order = np.argsort(hashes)
-    return hashes[order], (len(hashes) - np.arange(len(hashes)))[order]
+    return hashes[order], place[order]
 
 
 def _prefixes(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], threshold: int) -> DataFrame:
@@ -109,7 +121,7 @@ def _prefixes(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], threshol
                 s = shingles(text)
                 if not len(s):
                     continue
-                p, late = prefix_length(len(s), threshold), np.zeros(len(s), dtype=np.int64)
+                p, late = prefix_length(len(s), threshold), np.zeros(len(s), dtype=np.int32)
                 if len(hashes):
                     at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
                     late = np.where(hashes[at] == s, places[at], 0)
