@@ -371,8 +371,16 @@ def op2_line_dedup(spark, sf_dir):
         F.coalesce("removed_lines", F.lit("")).alias("removed_lines"))
 
 
+def _has_words():
+    return F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
 def without_repeats(spark, docs, sf_dir):
-    """Pipeline stage: documents without the lines that repeat earlier ones; those that lose all their text go."""
-    kept = without_lines(docs, duplicate_lines(docs))
-    was = F.length(F.trim(F.coalesce("text", F.lit(""))))
-    return kept.filter(was > 0).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Pipeline stage: documents without the lines that repeat earlier ones; those that lose all their text go.
+
+    ``n_chars`` is counted anew. Documents that had no text to begin with stay.
+    """
+    kept = without_lines(docs.withColumn("_had", _has_words()), duplicate_lines(docs))
+    left = _has_words()
+    counted = kept.filter(left | ~F.col("_had")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return counted.select(*docs.columns)
