@@ -30,10 +30,12 @@ DIMS = 4096
 SAMPLE_PER_LANGUAGE = 1500
 CENTROIDS = 4
 MAX_LANGUAGES = 1000
-# Rejection: this fraction of the lowest cosine that the central 99 % of training
-# texts of the same length class reach.
+# Rejection: this fraction of the cosine that 99 % of a language's training texts of
+# about the same length reach (neighbouring length classes join until there are
+# LENGTH_LEAST texts).
 REJECT_QUANTILE = 0.01
-REJECT_FRACTION = 0.6
+REJECT_FRACTION = 0.4
+LENGTH_LEAST = 50
 _CHUNK = 1 << 20
 _BATCH = 128
 _PRIMES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
@@ -62,16 +64,14 @@ def gram_counts(text: str | None) -> np.ndarray | None:
     for at in range(0, len(text), _CHUNK):
         cp = np.frombuffer(text[at:at + _CHUNK].lower().encode("utf-32-le", "replace"), dtype=np.uint32)
         is_letter = letter[cp]
-        if not is_letter.any():
-            tail = np.concatenate([tail[-1:], [32]]).astype(np.uint32) if tail[-1] != 32 else tail
-            continue
-        seen = True
-        cp = np.where(is_letter, cp, 32).astype(np.uint32)
+        seen = seen or bool(is_letter.any())
+        # Of each run of other characters only the first stays, as a blank.
         keep = is_letter.copy()
         keep[1:] |= is_letter[:-1]
         keep[0] |= bool(tail[-1] != 32)
-        counts += _hash_grams(np.concatenate([tail, cp[keep]]), len(tail))
-        tail = np.concatenate([tail, cp[keep]])[-2:]
+        s = np.concatenate([tail, np.where(is_letter, cp, 32).astype(np.uint32)[keep]])
+        counts += _hash_grams(s, len(tail))
+        tail = s[-2:]
     if not seen:
         return None
     if tail[-1] != 32:
@@ -213,7 +213,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         x = _unit(np.log1p(counts) * idf)
         centres = _cluster(x, centroids)
         own = (x @ centres.T).max(axis=1)
-        low = [float(np.quantile(own[lengths == k], REJECT_QUANTILE)) if (lengths == k).any() else None for k in range(16)]
+        low = [_low(own, lengths, k) for k in range(16)]
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in centres],
                              "low": [low] * len(centres)})
 
@@ -225,18 +225,19 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                          idf, _limits([r["low"] for r in fitted]))
 
 
-def _limits(lows: list[list[float | None]]) -> np.ndarray:
-    """Cosine limit of each length class: the lowest over languages; unseen classes take the next longer's, then shorter's."""
-    out = np.full(16, np.nan)
-    for k in range(16):
-        have = [low[k] for low in lows if low[k] is not None]
-        if have:
-            out[k] = min(have) * REJECT_FRACTION
-    known = np.flatnonzero(~np.isnan(out))
-    for k in range(16):
-        if np.isnan(out[k]):
-            out[k] = out[known[np.abs(known - k).argmin()]] if len(known) else 0.0
-    return np.minimum.accumulate(out[::-1])[::-1]  # a shorter text never needs more than a longer one
+def _low(own: np.ndarray, lengths: np.ndarray, k: int) -> float:
+    """The low quantile of the cosines of texts in length class k and as many neighbouring classes as needed."""
+    for reach in range(16):
+        near = own[np.abs(lengths - k) <= reach]
+        if len(near) >= LENGTH_LEAST:
+            break
+    return float(np.quantile(near, REJECT_QUANTILE))
+
+
+def _limits(lows: list[list[float]]) -> np.ndarray:
+    """Cosine limit of each length class: by the language that reaches least; shorter texts never need more."""
+    least = REJECT_FRACTION * np.min(np.array(lows), axis=0)
+    return np.minimum.accumulate(least[::-1])[::-1]
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
