@@ -35,7 +35,7 @@ MAX_EDITS = 2
 MIN_CHARS = 32
 BLOCK = 4096
 FLIPS_PER_EDIT = 4
-PORTION = 1 << 20
+PORTION = 1 << 18
 # Fixed value: the white space that lines are trimmed of.
 TRIM = " \t\n\v\f\r"
 
@@ -273,11 +273,12 @@ def _verified(rows: DataFrame, pairs: DataFrame, forms: DataFrame, edits: int) -
             for text, want in zip(b["text"], b["want"], strict=True):
                 lines = (text or "").split("\n")
                 out += [(w["form"], lines[w["line"]].strip(TRIM)) for w in want if w["line"] < len(lines)]
-            yield pd.DataFrame(out, columns=["form", "content"])
+            for part in _portions(pd.DataFrame(out, columns=["form", "text"])):
+                # Rows that share an id may give a form another row's line: the hash tells.
+                own = Lines(part["text"].tolist(), 0).forms() == part["form"].to_numpy(np.int64)
+                yield part[own].rename(columns={"text": "content"})
 
-    # Rows that share an id may give a form another row's line: the hash tells.
-    found = texts.mapInPandas(pick, "form bigint, content string")
-    contents = materialize(_of_own_form(found).dropDuplicates(["form"]), "line_contents")
+    contents = materialize(texts.mapInPandas(pick, "form bigint, content string").dropDuplicates(["form"]), "line_contents")
 
     @F.pandas_udf("boolean")
     def near(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -288,15 +289,6 @@ def _verified(rows: DataFrame, pairs: DataFrame, forms: DataFrame, edits: int) -
     return pairs.join(left, "a").join(right, "b").filter(near("x", "y")).select("a", "b")
 
 
-def _of_own_form(found: DataFrame) -> DataFrame:
-    @F.pandas_udf("bigint")
-    def form_of(content: pd.Series) -> pd.Series:
-        parts = [Lines(p["text"].tolist(), 0).forms() for p in _portions(content.to_frame("text"))]
-        return pd.Series(np.concatenate(parts) if parts else np.empty(0, np.int64))
-
-    return found.filter(form_of("content") == F.col("form"))
-
-
 # --- the operator --------------------------------------------------------------------
 
 
