@@ -6,6 +6,7 @@ import pytest
 
 from trendcast import constants as K
 from trendcast import functions as fn
+from trendcast.operators import arg_max_per_group
 
 
 def one(spark, schema, rows, expr):
@@ -176,10 +177,9 @@ def test_json_and_names(spark):
     df = spark.createDataFrame([([{"id": 1, "name": "Sports"}, {"id": 2, "name": "Climate"}], ["a", "b"]),
                                 (None, None)],
                                "cats array<struct<id:int,name:string>>, tb array<string>")
-    rows = df.select(fn.join_names("cats", "name").alias("c"), fn.join_names("tb").alias("t"),
-                     fn.json_or_null("tb").alias("j")).collect()
-    assert (rows[0].c, rows[0].t, rows[0].j) == ("Sports, Climate", "a, b", '["a","b"]')
-    assert (rows[1].c, rows[1].t, rows[1].j) == ("", "", None)
+    rows = df.select(fn.join_names("cats", "name").alias("c"), fn.join_names("tb").alias("t")).collect()
+    assert (rows[0].c, rows[0].t) == ("Sports, Climate", "a, b")
+    assert (rows[1].c, rows[1].t) == ("", "")
 
 
 def test_int_or_zero_and_defaults(spark):
@@ -189,17 +189,19 @@ def test_int_or_zero_and_defaults(spark):
     assert (r.active, r.category_name) == (False, "Unknown")
 
 
-def test_top_value_ties_lowest_and_skips_null(spark):
-    df = spark.createDataFrame([("a", 3), ("a", 1), ("a", 3), ("a", 1), ("a", None), ("a", None), ("a", None)],
+def test_most_counted_ties_lowest_and_skips_null(spark):
+    df = spark.createDataFrame([("a", 3), ("a", 1), ("a", 3), ("a", 1), ("a", None), ("a", None), ("a", None), ("b", None)],
                                "g string, h long")
-    assert df.groupBy("g").agg(fn.top_value("h")).first()[1] == 1
+    domain = [3, 0, 1]
+    agg = df.groupBy("g").agg(*fn.domain_counts("h", domain, "_h"))
+    assert {r.g: r.m for r in agg.select("g", fn.most_counted(domain, "_h").alias("m")).collect()} == {"a": 1, "b": None}
 
 
-def test_arg_max_nulls_last_and_tie(spark):
-    df = spark.createDataFrame([("g", "b", 5), ("g", "a", 5), ("g", "c", None), ("h", "z", None)],
-                               "g string, q string, sv long")
-    got = {r.g: r.t for r in df.groupBy("g").agg(fn.arg_max("q", "sv").alias("t")).collect()}
-    assert got == {"g": "a", "h": "z"}
+def test_arg_max_nulls_last_tie_and_fractions(spark):
+    df = spark.createDataFrame([("g", "b", 5.0), ("g", "a", 5.0), ("g", "c", None), ("h", "z", None), ("f", "x", 1.2), ("f", "y", 1.4),
+                                (None, "n", 0.5)], "g string, q string, sv double")
+    got = {r.g: r.t for r in arg_max_per_group(df, ["g"], "q", "sv", "t").collect()}
+    assert got == {"g": "a", "h": "z", "f": "y", None: "n"}
 
 
 def test_approx_median_is_a_value(spark):

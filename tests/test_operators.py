@@ -7,7 +7,7 @@ from trendcast import operators as op
 from trendcast.operators import ranking
 
 
-def test_range_numbering_matches_window_with_hot_group(spark):
+def test_split_numbering_matches_window_with_hot_group(spark):
     # One group holds most rows, including runs of identical rows.
     hot = spark.range(0, 5000).select(F.lit("hot").alias("g"), (F.col("id") % 97).alias("s"),
                                       (F.col("id") % 13).alias("t"))
@@ -17,22 +17,13 @@ def test_range_numbering_matches_window_with_hot_group(spark):
                                       F.lit(1).cast("bigint").alias("t"))
     df = hot.unionByName(cold).unionByName(nulls)
     order = [F.col("s").desc(), F.col("t").asc()]
-    got = ranking.row_number_by_range(df, ["g"], order, "rn", num_partitions=16)
+    got = ranking.row_number_split(df, ["g"], order, "rn", lead=["s"])
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("bigint"))
     key = ["g", "s", "t", "rn"]
     assert sorted(map(tuple, got.select(*key).collect()), key=repr) == \
         sorted(map(tuple, want.select(*key).collect()), key=repr)
-    # The hot group was split over several range partitions.
-    assert got.where("g = 'hot'").count() == 5000
-
-
-def test_row_number_per_group_switches_on_size(spark):
-    df = spark.range(0, 100).select((F.col("id") % 3).cast("string").alias("g"), F.col("id").alias("s"))
-    a = op.row_number_by_range(df, ["g"], [F.col("s")], "rn")
-    b = ranking.row_number_per_group(df, ["g"], [F.col("s")], "rn", max_group_rows=1000)
-    c = ranking.row_number_per_group(df, ["g"], [F.col("s")], "rn", max_group_rows=10)
-    rows = lambda d: sorted(map(tuple, d.select("g", "s", "rn").collect()))
-    assert rows(a) == rows(b) == rows(c)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "hashpartitioning(g#" in plan
 
 
 def test_top_n_uses_partial_group_limit(spark):
@@ -57,14 +48,15 @@ def test_duplicate_count(spark):
     assert (r.total_rows, r.distinct_keys, r.duplicates) == (5, 3, 2)
 
 
-def test_lookup_default_and_broadcast_bound(spark):
+def test_lookup_default_without_a_hint(spark):
     df = spark.createDataFrame([("1",), ("2",), (None,)], "code string")
     dim = spark.createDataFrame([("1", "Kenya")], "code string, name string")
     small = op.lookup(df, dim, on="code", value="name")
-    big = op.lookup(df, dim, on="code", value="name", max_rows=0)
     assert sorted(r.name for r in small.collect()) == ["Kenya", "Unknown", "Unknown"]
-    assert sorted(r.name for r in big.collect()) == ["Kenya", "Unknown", "Unknown"]
-    assert "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
+    two = op.lookup(df.selectExpr("code", "'x' as c2"), dim.selectExpr("code", "'x' as c2", "name"), on=["code", "c2"], value="name")
+    assert sorted(r.name for r in two.collect()) == ["Kenya", "Unknown", "Unknown"]
+    plan = small._jdf.queryExecution().optimizedPlan().toString()
+    assert "SinglePartition" not in plan and "strategy=broadcast" not in plan
 
 
 def test_not_yet_present_null_safe(spark):

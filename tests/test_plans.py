@@ -32,7 +32,27 @@ def test_scans_read_only_needed_columns(spark, sf_dir):
 
 def test_pulse_aggregates_partially_before_shuffle(spark, sf_dir):
     p = plan(marts.mart_category_pulse(stg(spark, sf_dir)))
-    assert "partial_mode" in p and "partial_min_by" in p and "partial_count" in p
+    assert "partial_count" in p and "partial_max" in p
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
+
+
+def test_recurrence_and_top_queries_use_hash_aggregates(spark, sf_dir):
+    for name in ("mart_keyword_recurrence", "top_keyword", "top_value_per_group", "scheduling_tip"):
+        p = plan(REGISTRY[name](spark, sf_dir))
+        assert "SortAggregate" not in p and "ObjectHashAggregate" not in p, name
+
+
+def test_ranking_and_lookups_run_no_job_before_the_action(spark, sf_dir):
+    jobs = spark.sparkContext.statusTracker()
+    for name in ("mart_trending_topics", "rank_in_category", "lookup_country", "lookup_category"):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        df = REGISTRY[name](spark, sf_dir)
+        ran = [i for i in jobs.getJobIdsForGroup(f"build-{name}")]
+        # Reading a file's schema is a job of one task; nothing else may run.
+        assert all(len(jobs.getStageInfo(s).name) and jobs.getStageInfo(s).numTasks == 1
+                   for i in ran for s in jobs.getJobInfo(i).stageIds), name
+        assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_gap_aggregates_both_sides_before_join(spark, sf_dir):

@@ -116,10 +116,8 @@ def q_recur_label(spark, sf_dir):
 @register("scheduling_tip")
 def q_tip(spark, sf_dir):
     agg = (stg(spark, sf_dir).withColumn("_tod", fn.time_of_day())
-           .groupBy("query", "categories").agg(
-               fn.top_value("_tod").alias("most_common_time_of_day"),
-               fn.top_value("day_of_week").alias("most_common_day")))
-    return agg.withColumn("scheduling_tip", fn.scheduling_tip())
+           .groupBy("query", "categories").agg(*marts.common_time_counts()))
+    return marts.with_common_times(agg).withColumn("scheduling_tip", fn.scheduling_tip())
 
 
 def _gap(spark, sf_dir):
@@ -228,8 +226,7 @@ def q_median(spark, sf_dir):
 
 @register("top_keyword")
 def q_top_keyword(spark, sf_dir):
-    return stg(spark, sf_dir).groupBy("categories", "trend_date").agg(
-        fn.arg_max("query", "search_volume").alias("top_keyword"))
+    return op.arg_max_per_group(stg(spark, sf_dir), ["categories", "trend_date"], "query", "search_volume", "top_keyword")
 
 
 @register("keyword_peak_volume")
@@ -251,8 +248,7 @@ def q_dup_count(spark, sf_dir):
 
 @register("rank_in_category")
 def q_rank(spark, sf_dir):
-    """The split (range-partitioned) numbering, forced, so it is checked at any size."""
-    return marts.mart_trending_topics(stg(spark, sf_dir), max_group_rows=None).select(
+    return marts.mart_trending_topics(stg(spark, sf_dir)).select(
         "query", "start_date", "categories", "recommendation_score", "rank_in_category")
 
 

@@ -47,6 +47,8 @@ TIME_OF_DAY = [
     (17, 20, "Evening"),
 ]
 TIME_OF_DAY_REST = "Night"
+TIMES_OF_DAY = ["Morning", "Afternoon", "Evening", "Night"]
+WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 # Recurrence label.
 RECUR_SERIES = (10, 30, "Series Material — Trends Regularly")   # times, span days

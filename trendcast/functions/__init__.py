@@ -1,4 +1,4 @@
-from trendcast.functions.aggregates import approx_median, arg_max, top_value
+from trendcast.functions.aggregates import approx_median, counter_names, domain_counts, most_counted
 from trendcast.functions.scoring import (
     content_window,
     engagement_intensity,
@@ -16,7 +16,6 @@ from trendcast.functions.text import (
     int_or_zero,
     iso_duration_secs,
     join_names,
-    json_or_null,
     tags_text,
 )
 from trendcast.functions.timeparts import (
@@ -32,10 +31,10 @@ from trendcast.functions.timeparts import (
 )
 
 __all__ = [
-    "approx_median", "arg_max", "top_value",
+    "approx_median", "counter_names", "domain_counts", "most_counted",
     "content_window", "engagement_intensity", "engagement_rate", "gap_score", "opportunity",
     "recommendation_score", "recurrence_label", "scheduling_tip", "time_of_day", "urgency_tier",
-    "fill_defaults", "int_or_zero", "iso_duration_secs", "join_names", "json_or_null", "tags_text",
+    "fill_defaults", "int_or_zero", "iso_duration_secs", "join_names", "tags_text",
     "duration_hours", "from_epoch", "local_parts", "monday_week", "month_suffix", "month_tag",
     "ntz_literal", "parse_iso_ts", "to_local",
 ]

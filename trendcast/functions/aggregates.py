@@ -14,26 +14,25 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def top_value(col) -> Column:
-    """Most frequent non-NULL value; ties go to the lowest value.
+def domain_counts(col, domain: list, prefix: str) -> list[Column]:
+    """One counter per value of a small fixed domain: plain hash aggregation, no map per group."""
+    return [F.count_if(_c(col) == F.lit(v)).alias(f"{prefix}{i}") for i, v in enumerate(domain)]
 
-    Keeps one counter per distinct value per group, so use it for bounded
-    domains (hours, weekdays, dayparts); see ``operators.topk.top_value_per_group``
-    for unbounded ones.
-    """
-    return F.mode(_c(col), deterministic=True)
 
+def most_counted(domain: list, prefix: str) -> Column:
+    """The value of the largest counter of :func:`domain_counts` (ties -> lowest value; no value -> NULL)."""
+    # The first of equal counters wins, so the counters are compared in order of their values.
+    order = sorted(range(len(domain)), key=lambda i: domain[i])
+    counts = [F.col(f"{prefix}{i}") for i in order]
+    largest = F.greatest(*counts)
+    picked = F.coalesce(*[F.when(c == largest, F.lit(domain[i])) for c, i in zip(counts, order, strict=True)])
+    return F.when(largest > 0, picked)
 
-def approx_median(col, accuracy: int = 10000) -> Column:
-    """Approximate median that is an actual value of the group (mergeable sketch)."""
-    return F.percentile_approx(_c(col), 0.5, accuracy)
 
+def counter_names(domain: list, prefix: str) -> list[str]:
+    return [f"{prefix}{i}" for i in range(len(domain))]
 
-def arg_max(value, by) -> Column:
-    """``value`` of the row with the largest ``by``; NULL ``by`` sorts last, ties -> lowest value.
 
-    Still returns a value when every ``by`` is NULL.
-    """
-    v, b = _c(value), _c(by)
-    key = F.struct(b.isNull().alias("n"), (-b.cast("decimal(38,0)")).alias("k"), v.alias("v"))
-    return F.min_by(v, key)
+def approx_median(col, accuracy: int = 10000) -> Column:
+    """Approximate median that is an actual value of the group (mergeable sketch)."""
+    return F.percentile_approx(_c(col), 0.5, accuracy)

@@ -18,13 +18,6 @@ def join_names(arr, field: str | None = None, sep: str = ", ") -> Column:
     return F.array_join(a, sep)
 
 
-def json_or_null(col) -> Column:
-    """Nested value as JSON text; NULL when absent or empty (empty array/struct/map)."""
-    c = _c(col)
-    text = F.to_json(c)
-    return F.when(c.isNull() | text.isin("[]", "{}", "null"), F.lit(None).cast("string")).otherwise(text)
-
-
 # ISO-8601 duration with weeks, days, hours, minutes, seconds (fractions allowed).
 # Calendar components (years, months) have no fixed length and give 0, like a bad value.
 _NUM = r"(\d+(?:[.,]\d+)?)"

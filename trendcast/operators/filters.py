@@ -39,10 +39,6 @@ def has_rows_in_month(df: DataFrame, ts_col: str, month: dt.datetime) -> bool:
     return not rows_in_month(df, ts_col, month).isEmpty()
 
 
-def count_in_month(df: DataFrame, ts_col: str, month: dt.datetime) -> int:
-    return rows_in_month(df, ts_col, month).count()
-
-
 def last_hours(df: DataFrame, ts_col: str, as_of: dt.datetime,
                hours: int = K.KEYWORD_WINDOW_HOURS) -> DataFrame:
     return df.where(F.col(ts_col) >= ntz_literal(as_of - dt.timedelta(hours=hours)))

@@ -7,36 +7,24 @@ from pyspark.sql import functions as F
 
 from trendcast import constants as K
 
-# A dimension is broadcast only when it has at most this many rows (checked).
-BROADCAST_MAX_ROWS = 2_000_000
 
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only after counting at most ``max_rows + 1`` of its rows.
-
-    Above the bound the join is left to the planner (sort-merge, or AQE's
-    runtime choice), so a dimension that grows with the data never has to fit
-    into every executor.
-    """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
-
-
-def lookup(df: DataFrame, dim: DataFrame, on: str, value: str, out: str | None = None,
-           dim_key: str | None = None, default: str = K.UNKNOWN,
-           max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, on: str | list[str], value: str, out: str | None = None,
+           dim_key: str | list[str] | None = None, default: str = K.UNKNOWN) -> DataFrame:
     """Left join a key -> value dimension; missing keys get ``default``.
 
-    ``dim`` must be unique on its key (a mapping). The dimension's key is
-    renamed so the input keeps its own column.
+    ``dim`` must be unique on its key (a mapping; several columns may form it).
+    The dimension's key is renamed so the input keeps its own columns. No hint
+    is given: the planner broadcasts the dimension where its bytes are under
+    ``spark.sql.autoBroadcastJoinThreshold``, and AQE decides anew at run time.
     """
-    dim_key = dim_key or on
+    on = [on] if isinstance(on, str) else on
+    dim_key = on if dim_key is None else [dim_key] if isinstance(dim_key, str) else dim_key
     out = out or value
-    right = dim.select(F.col(dim_key).alias("_lk_key"), F.col(value).alias("_lk_val"))
-    joined = df.join(broadcast_if_small(right, max_rows), F.col(on) == F.col("_lk_key"), "left")
+    right = dim.select(*[F.col(k).alias(f"_lk_{i}") for i, k in enumerate(dim_key)], F.col(value).alias("_lk_val"))
+    cond = [F.col(c) == F.col(f"_lk_{i}") for i, c in enumerate(on)]
+    joined = df.join(right, cond, "left")
     return (joined.withColumn(out, F.coalesce(F.col("_lk_val"), F.lit(default)))
-            .drop("_lk_key", "_lk_val"))
+            .drop("_lk_val", *[f"_lk_{i}" for i in range(len(on))]))
 
 
 def not_yet_present(df: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

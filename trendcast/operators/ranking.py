@@ -2,10 +2,9 @@
 
 ``Window.partitionBy(g)`` sends every row of a group to one task. When one
 group can hold a third of the data, a full per-group numbering has to be split:
-``row_number_by_range`` sorts the data into range partitions over
-(group, order keys) — a hot group spans many partitions — numbers rows inside
-each partition, and adds, per (partition, group), the count of that group's
-rows in earlier partitions.
+``row_number_split`` counts the rows of each (group, leading order values) first
+and numbers only the rows that are equal in all of these within one task; what
+stands before them comes from running sums over the counts.
 
 Top-k and keep-one (``row_number() <= k``) need no such machinery: Catalyst
 plans them with a partial ``WindowGroupLimit`` before the shuffle, so each map
@@ -17,100 +16,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendcast.session import shared_dir
-
-# Row bound on the per-(partition, group) offsets table for broadcasting it.
-OFFSETS_BROADCAST_ROWS = 500_000
-# Largest group a single task may number with a plain window (sorted with spill).
-GROUP_ROWS_PER_TASK = 5_000_000
-# Target rows per range partition of the split numbering.
-ROWS_PER_RANGE = 2_000_000
-
-_PID, _RID, _SEQ, _FIRST, _N, _BEFORE = (
-    "_rk_pid", "_rk_rid", "_rk_seq", "_rk_first", "_rk_n", "_rk_before")
+_N, _COARSE, _FINE = "_rk_n", "_rk_coarse", "_rk_fine"
 
 
 def _sort_cols(order_by: list) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
-def row_number_by_range(df: DataFrame, partition_by: list[str], order_by: list, name: str,
-                        num_partitions: int | None = None,
-                        broadcast_rows: int = OFFSETS_BROADCAST_ROWS) -> DataFrame:
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal or both-NULL keys; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"_rk_r{i}" for i, k in enumerate(keys)})
+    cond = [F.col(k).eqNullSafe(F.col(f"_rk_r{i}")) for i, k in enumerate(keys)]
+    return left.join(renamed, cond).drop(*[f"_rk_r{i}" for i in range(len(keys))])
+
+
+def row_number_split(df: DataFrame, partition_by: list[str], order_by: list, name: str,
+                     lead: list[str]) -> DataFrame:
     """``row_number() over (partition by .. order by ..)`` without one task per group.
 
-    The range-sorted, locally numbered rows are written once as a parquet table
-    in the shared checkpoint folder: range bounds come from a seeded sample, so
-    two evaluations of the same plan could cut different ranges; reading one
-    materialized copy keeps numbers and offsets consistent and survives lost
-    executors. Ties in ``order_by`` are numbered in input order; pass a total
-    order for repeatable numbers.
-    """
-    spark = df.sparkSession
-    n = num_partitions or range_count(spark, df.count())
-    group_cols = [F.col(c) for c in partition_by]
-    # The sequence number only splits runs of identical sort keys across ranges.
-    keys = group_cols + _sort_cols(order_by) + [F.col(_SEQ)]
-    path = shared_dir(spark, "ranked", fresh=True)
-    (df.withColumn(_SEQ, F.monotonically_increasing_id())
-     .repartitionByRange(n, *keys)
-     .sortWithinPartitions(*keys)
-     .withColumn(_PID, F.spark_partition_id())
-     .withColumn(_RID, F.monotonically_increasing_id())
-     .drop(_SEQ)
-     .write.parquet(path))
-    ranged = spark.read.parquet(path)
-
-    runs = ranged.groupBy(_PID, *partition_by).agg(
-        F.min(_RID).alias(_FIRST), F.count(F.lit(1)).alias(_N))
-    earlier = (Window.partitionBy(*partition_by).orderBy(_PID)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = runs.withColumn(_BEFORE, F.coalesce(F.sum(_N).over(earlier), F.lit(0))).drop(_N)
-    right = offsets.select(*[F.col(c).alias(f"_rk_g{i}") for i, c in enumerate(partition_by)],
-                           F.col(_PID).alias("_rk_pid_r"), _FIRST, _BEFORE)
-    # At most (partitions + distinct groups - 1) rows, since ranges are contiguous;
-    # counted (two pruned columns) before it may be broadcast.
-    if right.count() <= broadcast_rows:
-        right = F.broadcast(right)
-    cond = F.col(_PID) == F.col("_rk_pid_r")
-    for i, c in enumerate(partition_by):
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_rk_g{i}"))
-    # Without the broadcast this is a join on (range partition, group): still split.
-    joined = ranged.join(right, cond, "inner")
-    rn = F.col(_RID) - F.col(_FIRST) + F.lit(1) + F.col(_BEFORE)
-    return (joined.withColumn(name, rn.cast("bigint"))
-            .drop(_PID, _RID, _FIRST, _BEFORE, "_rk_pid_r",
-                  *[f"_rk_g{i}" for i in range(len(partition_by))]))
-
-
-def range_count(spark, total_rows: int) -> int:
-    """Number of ranges: enough for ``ROWS_PER_RANGE`` rows each, at least the shuffle partitions."""
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(base, -(-total_rows // ROWS_PER_RANGE))
-
-
-def group_sizes(df: DataFrame, partition_by: list[str]) -> tuple[int, int]:
-    """(rows in the biggest group, total rows) in one partially aggregated pass over the key columns."""
-    row = (df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
-           .agg(F.max("_n"), F.sum("_n")).first())
-    return int(row[0] or 0), int(row[1] or 0)
-
-
-def row_number_per_group(df: DataFrame, partition_by: list[str], order_by: list, name: str,
-                         max_group_rows: int | None = GROUP_ROWS_PER_TASK) -> DataFrame:
-    """Full per-group numbering that splits hot groups only when they exist.
-
-    One cheap pass counts the largest group. Up to ``max_group_rows`` a plain
-    window (one hash shuffle on the group key) is used; above it, or with
-    ``max_group_rows=None``, the range-partitioned numbering splits every
-    group across tasks.
+    ``lead`` names the first one or two columns of ``order_by``. A task sorts
+    the rows of one (group, lead values); the running sums are taken over one
+    row per distinct first value of a group, and per distinct second value
+    within a first one. Nothing is computed before the caller's action and
+    nothing is written. Ties in ``order_by`` are numbered in any order; pass a
+    total order for repeatable numbers.
     """
-    largest, total = group_sizes(df, partition_by)
-    if max_group_rows is not None and largest <= max_group_rows:
-        w = Window.partitionBy(*partition_by).orderBy(*_sort_cols(order_by))
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    return row_number_by_range(df, partition_by, order_by, name,
-                               num_partitions=range_count(df.sparkSession, total))
+    cols = _sort_cols(order_by)
+    before_me = (Window.unboundedPreceding, -1)
+    first = [*partition_by, lead[0]]
+    both = [*partition_by, *lead]
+    counts = df.groupBy(*both).agg(F.count(F.lit(1)).alias(_N))
+    per_first = counts.groupBy(*first).agg(F.sum(_N).alias(_N))
+    in_group = Window.partitionBy(*partition_by).orderBy(cols[0]).rowsBetween(*before_me)
+    offsets = per_first.select(*first, F.coalesce(F.sum(_N).over(in_group), F.lit(0)).alias(_COARSE))
+    if len(lead) == 1:
+        offsets = offsets.withColumn(_FINE, F.lit(0))
+    else:
+        in_first = Window.partitionBy(*first).orderBy(cols[1]).rowsBetween(*before_me)
+        fine = counts.select(*both, F.coalesce(F.sum(_N).over(in_first), F.lit(0)).alias(_FINE))
+        offsets = _join_null_safe(fine, offsets, first)
+    joined = _join_null_safe(df, offsets, both)
+    own = Window.partitionBy(*both).orderBy(*(cols[len(lead):] or [F.lit(0)]))
+    rn = F.col(_COARSE) + F.col(_FINE) + F.row_number().over(own)
+    return joined.withColumn(name, rn.cast("bigint")).drop(_COARSE, _FINE)
 
 
 def top_n_per_group(df: DataFrame, partition_by: list[str], order_by: list, n: int,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendcast import constants as K
-from trendcast.functions.aggregates import approx_median, arg_max, top_value
+from trendcast.functions.aggregates import approx_median, counter_names, domain_counts, most_counted
 from trendcast.functions.scoring import (
     content_window,
     gap_score,
@@ -20,8 +20,10 @@ from trendcast.functions.scoring import (
     urgency_tier,
 )
 from trendcast.functions.timeparts import ntz_literal
-from trendcast.operators.ranking import GROUP_ROWS_PER_TASK, row_number_per_group
+from trendcast.operators.ranking import row_number_split
+from trendcast.operators.topk import arg_max_per_group
 
+# The published column lists of the marts.
 TOPIC_COLUMNS = ["query", "start_date", "end_date", "active", "search_volume", "increase_percentage",
                  "categories", "trend_breakdown", "trend_duration_hrs", "trend_date", "start_hour_eat",
                  "day_of_week", "month_name"]
@@ -46,23 +48,28 @@ def rank_order() -> list:
             + [F.col(c).asc_nulls_first() for c in RANK_TIEBREAK])
 
 
-def mart_trending_topics(stg: DataFrame, sort: bool = False,
-                         max_group_rows: int | None = GROUP_ROWS_PER_TASK) -> DataFrame:
+def mart_trending_topics(stg: DataFrame, sort: bool = False) -> DataFrame:
     """Scored and labelled trends with their rank inside the category.
 
-    A category larger than ``max_group_rows`` (None: always) is numbered
-    across many tasks instead of one.
+    The numbering is split over (category, score, query), so a category of any
+    size spreads over many tasks.
     """
-    ranked = row_number_per_group(scored_topics(stg), ["categories"], rank_order(), "rank_in_category",
-                                  max_group_rows)
+    ranked = row_number_split(scored_topics(stg), ["categories"], rank_order(), "rank_in_category",
+                              lead=["recommendation_score", "query"])
     return ranked.orderBy(F.col("recommendation_score").desc_nulls_last()) if sort else ranked
 
 
 PULSE_KEYS = ["categories", "trend_date", "day_of_week", "week_number", "month_name"]
 
 
+HOURS = list(range(24))
+_HOUR, _DAY, _TOD = "_hour_", "_day_", "_tod_"
+
+
 def category_day_aggregates(stg: DataFrame) -> DataFrame:
-    return stg.groupBy(*PULSE_KEYS).agg(
+    """Per category and day: one hash aggregate, the hour of most starts from 24 counters; the
+    top keyword from a second one over (category, day, query), joined on its one row per group."""
+    agg = stg.groupBy(*PULSE_KEYS).agg(
         F.count(F.lit(1)).alias("total_keywords"),
         F.sum("search_volume").alias("total_search_volume"),
         F.round(F.avg("search_volume"), 0).alias("avg_search_volume"),
@@ -71,9 +78,13 @@ def category_day_aggregates(stg: DataFrame) -> DataFrame:
         F.max("increase_percentage").alias("max_increase_pct"),
         F.count_if(F.col("active")).alias("active_keyword_count"),
         F.round(F.avg("trend_duration_hrs"), 1).alias("avg_trend_duration_hrs"),
-        top_value("start_hour_eat").alias("peak_start_hour_eat"),
-        arg_max("query", "search_volume").alias("top_keyword"),
-    )
+        *domain_counts("start_hour_eat", HOURS, _HOUR),
+    ).withColumn("peak_start_hour_eat", most_counted(HOURS, _HOUR).cast("bigint")).drop(*counter_names(HOURS, _HOUR))
+    keys = ["categories", "trend_date"]
+    top = arg_max_per_group(stg, keys, "query", "search_volume", "top_keyword")
+    right = top.select(*[F.col(k).alias(f"_top_{k}") for k in keys], "top_keyword")
+    cond = [F.col(k).eqNullSafe(F.col(f"_top_{k}")) for k in keys]
+    return agg.join(right, cond, "left").drop(*[f"_top_{k}" for k in keys])
 
 
 def vs_trailing_avg(col: str, partition: list[str], order: str, rows: int = K.TRAILING_ROWS):
@@ -102,6 +113,19 @@ def mart_category_pulse(stg: DataFrame, sort: bool = False) -> DataFrame:
     return out
 
 
+def common_time_counts() -> list:
+    """Counters of daypart (column ``_tod``) and weekday; see :func:`with_common_times`."""
+    return [*domain_counts("_tod", K.TIMES_OF_DAY, _TOD), *domain_counts("day_of_week", K.WEEKDAYS, _DAY)]
+
+
+def with_common_times(agg: DataFrame) -> DataFrame:
+    """The most common daypart and weekday from their counters, which go."""
+    return agg.withColumns({
+        "most_common_time_of_day": most_counted(K.TIMES_OF_DAY, _TOD),
+        "most_common_day": most_counted(K.WEEKDAYS, _DAY),
+    }).drop(*counter_names(K.TIMES_OF_DAY, _TOD), *counter_names(K.WEEKDAYS, _DAY))
+
+
 def mart_keyword_recurrence(stg: DataFrame, as_of: dt.datetime, sort: bool = False) -> DataFrame:
     """One row per (query, categories): how often and when a keyword trends."""
     today = F.lit(as_of.date())
@@ -115,13 +139,12 @@ def mart_keyword_recurrence(stg: DataFrame, as_of: dt.datetime, sort: bool = Fal
                F.max("search_volume").alias("peak_search_volume"),
                F.round(F.avg("increase_percentage"), 0).alias("avg_increase_pct"),
                F.round(F.avg("trend_duration_hrs"), 1).alias("avg_trend_duration_hrs"),
-               top_value("_tod").alias("most_common_time_of_day"),
-               top_value("day_of_week").alias("most_common_day"),
+               *common_time_counts(),
                F.bool_or("active").alias("currently_active"),
                F.max("start_date").alias("last_trend_start"),
                F.datediff(today, F.max("trend_date")).cast("bigint").alias("days_since_last_trend"),
            ))
-    out = agg.withColumns({
+    out = with_common_times(agg).withColumns({
         "recurrence_label": recurrence_label(),
         "scheduling_tip": scheduling_tip(),
     })

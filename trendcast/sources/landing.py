@@ -21,7 +21,7 @@ from trendcast.functions.timeparts import from_epoch, ntz_literal
 from trendcast.functions.scoring import engagement_intensity, engagement_rate
 from trendcast.operators.dedupe import keep_one
 from trendcast.operators.filters import with_id
-from trendcast.operators.joins import attach_stats, broadcast_if_small, lookup
+from trendcast.operators.joins import attach_stats, lookup
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -69,8 +69,7 @@ def flatten_jobs(payloads: DataFrame, scraped_at: dt.datetime) -> DataFrame:
 def flatten_posts(payloads: DataFrame, subreddits: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Forum listing pages -> 20-column post rows with engagement metrics.
 
-    Subscribers come from the subreddit dimension through a size-checked
-    broadcast lookup; one row is kept per post id.
+    Subscribers come from the subreddit dimension; one row is kept per post id.
     """
     p = payloads.select("genre", F.explode("posts").alias("p")).select("genre", "p.*")
     rows = p.select(
@@ -85,7 +84,7 @@ def flatten_posts(payloads: DataFrame, subreddits: DataFrame, as_of: dt.datetime
         ntz_literal(as_of).alias("today_date"),
     )
     subs = subreddits.select("subreddit", F.col("subscribers").cast("bigint").alias("subscribers"))
-    with_subs = rows.join(broadcast_if_small(subs), "subreddit", "left")
+    with_subs = rows.join(subs, "subreddit", "left")
     out = with_subs.select(
         *[c for c in schemas.POSTS.fieldNames() if c not in ("engagement_rate", "engagement_intensity")],
         engagement_rate().alias("engagement_rate"),
