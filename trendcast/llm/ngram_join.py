@@ -7,9 +7,10 @@ the result is each document's connected component.
 1. One pass over the texts: (doc_id, set size, set key) of each document, and the
    shingles that are frequent in a stretch of documents. Equal sets are one class.
 2. *Candidates.* Shingles are ordered, frequent ones last, and each document gives
-   its first ``n - ceil(0.75 n) + 1``: two linked documents share one of these
-   whatever the order. Documents that share one and whose sizes allow a link are
-   chained (not paired), and chains grow into candidate clusters.
+   its first ``n - ceil(0.75 n) + k``: two linked documents share ``k`` of these
+   whatever the order. Documents that share too few with others go. The rest are
+   chained (not paired) where they share one and their sizes allow a link, and
+   chains grow into candidate clusters.
 3. *Signature trees.* The sets of clustered classes, and no others, are read again
    from the texts. A cluster is cut into blocks of bounded bytes along set size,
    and each pair of blocks whose sizes are compatible is one task's work: its
@@ -43,12 +44,26 @@ THRESHOLD = 75
 # the FREQUENT most frequent go last in the order. This is a matter of speed only.
 STRETCH, STRETCH_LEAST, FREQUENT = 4_000_000, 2, 1 << 20
 BLOCK_SHINGLES = 1 << 22
+# Of n shingles a document gives n // EXTRA more than one shared shingle would need.
+EXTRA = 16
 LEAF, FAN = 16, 8
 MIN_BITS, MAX_BITS = 256, 1 << 15
 
 
 def prefix_length(n: int, threshold: int = THRESHOLD) -> int:
-    return n - -(-threshold * n // 100) + 1
+    """How many shingles a document of n gives: linked ones share ``shared_least`` of these.
+
+    Two linked sets have at least ``ceil(threshold * larger size)`` shingles in
+    common. Of the first k of these in any order, each set has all among its
+    first ``n - ceil(threshold * n) + k``. Here k is ``n // EXTRA + 1``; as the
+    smaller set of a link has ``threshold`` of the larger one's size at least,
+    both keep the number that ``shared_least`` asks for.
+    """
+    return min(n, n - -(-threshold * n // 100) + n // EXTRA + 1)
+
+
+def shared_least(n: int, threshold: int = THRESHOLD) -> int:
+    return threshold * n // 100 // EXTRA + 1
 
 
 def linked(common: int, a: int, b: int, threshold: int = THRESHOLD) -> bool:
@@ -150,30 +165,60 @@ def local_labels(u: np.ndarray, v: np.ndarray, count: int) -> np.ndarray:
             label = label[label]
 
 
-def _chains(prefixes: DataFrame, threshold: int) -> DataFrame:
-    """(u, v): stars over the classes that chains of equal shingles connect within a partition.
+def _gathered(batches: Iterator[pd.DataFrame], threshold: int) -> tuple[np.ndarray, ...] | None:
+    """A partition's rows as arrays (token, key, n) by token, size and key, each class once per token,
+    and whether a row's successor shares its token and may link by size.
 
-    In a chain, documents that share a shingle stand in order of set size; it
-    breaks where the next one is too large to link with this or any smaller one.
+    Rows of a token stand in order of set size, so where one and the next are too
+    far apart in size, so are all before and all after.
     """
+    parts = [b for b in batches if len(b)]
+    if not parts:
+        return None
+    t, k, n = (np.concatenate([p[c].to_numpy() for p in parts]) for c in ("token", "key", "n"))
+    order = np.lexsort((k, n, t))
+    t, k, n = t[order], k[order], n[order].astype(np.int64)
+    once = np.concatenate([[True], (t[1:] != t[:-1]) | (k[1:] != k[:-1])])
+    t, k, n = t[once], k[once], n[once]
+    return t, k, n, (t[1:] == t[:-1]) & (100 * n[:-1] >= threshold * n[1:])
+
+
+def _shared(prefixes: DataFrame, threshold: int) -> DataFrame:
+    """(token, key, n): the prefix shingles that a class shares with one of a size that may link."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        t, k, n = (np.concatenate([p[c].to_numpy() for p in parts]) for c in ("token", "key", "n"))
-        order = np.lexsort((k, n, t))
-        t, k, n = t[order], k[order], n[order].astype(np.int64)
-        near = (t[1:] == t[:-1]) & (k[1:] != k[:-1]) & (100 * n[:-1] >= threshold * n[1:])
-        nodes, at = np.unique(np.concatenate([k[:-1][near], k[1:][near]]), return_inverse=True)
-        half = int(near.sum())
-        label = local_labels(at[:half], at[half:], len(nodes))
-        other = label != np.arange(len(nodes))
-        yield pd.DataFrame({"u": nodes[other], "v": nodes[label[other]]})
+        got = _gathered(batches, threshold)
+        if got is not None:
+            t, k, n, near = got
+            has = np.concatenate([near, [False]]) | np.concatenate([[False], near])
+            yield pd.DataFrame({"token": t[has], "key": k[has], "n": n[has]})
 
     dealt = prefixes.repartition(parallelism(prefixes.sparkSession), "token")
+    return dealt.mapInPandas(run, "token bigint, key bigint, n int")
+
+
+def _chains(shared: DataFrame, threshold: int) -> DataFrame:
+    """(u, v): stars over the classes that chains of equal shingles connect within a partition."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = _gathered(batches, threshold)
+        if got is not None:
+            _, k, _, near = got
+            nodes, at = np.unique(np.concatenate([k[:-1][near], k[1:][near]]), return_inverse=True)
+            half = int(near.sum())
+            label = local_labels(at[:half], at[half:], len(nodes))
+            other = label != np.arange(len(nodes))
+            yield pd.DataFrame({"u": nodes[other], "v": nodes[label[other]]})
+
+    dealt = shared.repartition(parallelism(shared.sparkSession), "token")
     return dealt.mapInPandas(run, "u bigint, v bigint")
 
 
+def _likely(shared: DataFrame, threshold: int) -> DataFrame:
+    """``shared`` without the classes that share fewer shingles than any link of theirs would."""
+    least = F.floor(F.floor(F.max("n") * threshold / 100) / EXTRA) + 1
+    enough = shared.groupBy("key").agg(F.count(F.lit(1)).alias("_shared"), least.alias("_least")).filter("_shared >= _least")
+    return shared.join(materialize(enough.select("key"), "ngram_likely"), "key")
+
+
 # --- 3: signature trees --------------------------------------------------------------
 
 
@@ -372,7 +417,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linkable = sizes.filter("doc_id is not null and n > 0")
 
     tokens = _prefixes(rows.filter("doc_id is not null"), _frequent(measured), threshold)
-    clusters = components(materialize(_chains(tokens, threshold), "ngram_chains"), "ngram_clusters")
+    shared = materialize(_shared(tokens, threshold), "ngram_shared")
+    clusters = components(materialize(_chains(_likely(shared, threshold), threshold), "ngram_chains"), "ngram_clusters")
     clustered = clusters.select(F.col("node").alias("key"), F.col("component").alias("cluster")).unionByName(
         clusters.select(F.col("component").alias("key"), F.col("component").alias("cluster")).distinct())
     classes = linkable.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
