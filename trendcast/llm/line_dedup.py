@@ -342,6 +342,7 @@ def without_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", t
             out.append(text)
         return pd.Series(out, dtype=object)
 
+    cut = cut.asNondeterministic()  # else each later use of the text would run it again
     keyed = docs.withColumn("_id", F.col(id_col).cast("bigint"))
     flagged = bloom.flag(keyed, "_id", lists, count)
     same = flagged.filter("not _maybe").select(*docs.columns)
