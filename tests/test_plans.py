@@ -1,7 +1,8 @@
 """Plan shapes that the scale design relies on."""
 
 
-from trendcast.catalog import REGISTRY, _posts_store, stg
+from trendcast.catalog import REGISTRY, _new_videos_store, _posts_store, _videos_split, stg
+from trendcast.operators import rows_in_month
 from trendcast.plans import marts
 from trendcast.sources import fixtures as fx
 
@@ -20,9 +21,25 @@ def test_recent_keywords_filter_reaches_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(ts," in p
 
 
-def test_month_read_prunes_partitions(spark, sf_dir):
-    p = _posts_store(spark, sf_dir).load("1998_jul")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(snapshot_month" in p and "= 1998_jul" in p
+def test_month_read_lists_only_its_own_folders(spark, sf_dir):
+    store = _posts_store(spark, sf_dir)
+    store.append(fx.posts(spark, sf_dir).limit(5), "1998_sep")
+    files = store.load("1998_sep").inputFiles()
+    assert files and not set(files) & set(store.load("1998_jul").inputFiles())
+
+
+def test_month_range_reaches_the_store_scan(spark, sf_dir):
+    store = _new_videos_store(spark)
+    store.append(_videos_split(spark, sf_dir)[0], "1998_jul")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    p = rows_in_month(store.load("1998_jul"), "published_ts", fx.ROLLOVER_AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(published_ts," in p and "LessThan(published_ts," in p
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_details_scan_leaves_out_the_description(spark, sf_dir):
+    p = REGISTRY["ingest_keyword_videos"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "publishedAt" in p and "description" not in p
 
 
 def test_scans_read_only_needed_columns(spark, sf_dir):

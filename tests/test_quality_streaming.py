@@ -42,46 +42,72 @@ def _land(spark, path, pages):
 T0 = 1704067200  # 2024-01-01 00:00:00 UTC
 
 
+def _stream(spark, name):
+    schema = T.StructType([*schemas.TRENDS.fields, T.StructField(si.BATCH_COL, T.LongType())])
+    target = SnapshotStore(spark, shared_dir(spark, f"t-target-{name}", fresh=True), schema, "start_date")
+    return shared_dir(spark, "t-landing", fresh=True), shared_dir(spark, "t-ckpt", fresh=True), target
+
+
+def _upsert(spark, land, ckpt, target, **more):
+    si.stream_upsert(spark, land, schemas.TRENDS_PAYLOAD, "trending_searches", landing.flatten_trends, target,
+                     ["query", "start_date"], ckpt, **more)
+
+
 def test_stream_upsert_replaces_by_key(spark):
-    land = shared_dir(spark, "t-landing", fresh=True)
-    ckpt = shared_dir(spark, "t-ckpt", fresh=True)
-    schema = T.StructType(list(schemas.TRENDS.fields) + [T.StructField(si.BATCH_COL, T.LongType())])
-    target = SnapshotStore(spark, shared_dir(spark, "t-target", fresh=True), schema, part_col="start_day")
+    land, ckpt, target = _stream(spark, "upsert")
     _land(spark, land, [_page([_item("a", T0), _item("b", T0 + 60)])])
-    si.stream_upsert(spark, land, schemas.TRENDS_PAYLOAD, landing.flatten_trends, target, ["query", "start_date"],
-                     "start_date", ckpt)
+    _upsert(spark, land, ckpt, target)
     _land(spark, land, [_page([_item("a", T0, end=T0 + 7200, active=False)])])
-    si.stream_upsert(spark, land, schemas.TRENDS_PAYLOAD, landing.flatten_trends, target, ["query", "start_date"],
-                     "start_date", ckpt)
-    got = {r.query: (r.active, r.end_date) for r in target.scan().collect()}
+    _upsert(spark, land, ckpt, target)
+    got = {r.query: (r.active, r.end_date) for r in target.load(si.TABLE).collect()}
     assert got == {"a": (False, dt.datetime(2024, 1, 1, 2, 0)), "b": (True, None)}
 
 
-def test_stream_dedupe_drops_overlap(spark):
-    land = shared_dir(spark, "t-landing", fresh=True)
-    ckpt = shared_dir(spark, "t-ckpt", fresh=True)
-    sink = shared_dir(spark, "t-sink", fresh=True)
-    day = 86400
+def test_stream_upsert_keeps_rows_without_a_day_and_rejects_bad_pages(spark):
+    land, ckpt, target = _stream(spark, "bad")
+    rejects = shared_dir(spark, "t-rejects", fresh=True)
+    _land(spark, land, [_page([_item("a", "soon"), _item("b", T0)]), _page([_item("cut", T0)])[:40]])
+    _upsert(spark, land, ckpt, target, rejects=rejects)
+    bad = _page([_item("c", "later"), _item("d", T0)]).replace('"search_volume": 100', '"search_volume": "5K+"')
+    _land(spark, land, [bad])
+    _upsert(spark, land, ckpt, target, rejects=rejects)
+    got = {r.query: (r.start_date, r.search_volume) for r in target.load(si.TABLE).collect()}
+    day = dt.datetime(2024, 1, 1)
+    assert got == {"a": (None, 100), "b": (day, 100), "c": (None, None), "d": (day, None)}
+    assert sorted(r.lost for r in spark.read.parquet(rejects).collect()) == [False, True]
+
+
+def test_stream_dedupe_drops_overlap_and_counts_late_rows(spark):
+    land, ckpt, _ = _stream(spark, "dedupe")
+    sink, day = shared_dir(spark, "t-sink", fresh=True), 86400
+    run = lambda: si.stream_dedupe(spark, land, schemas.TRENDS_PAYLOAD, landing.flatten_trends,
+                                   ["query", "start_date"], "start_date", "7 days", sink, ckpt)
     _land(spark, land, [_page([_item("a", T0), _item("b", T0 + 10 * day)])])
-    si.stream_dedupe(spark, land, schemas.TRENDS_PAYLOAD, landing.flatten_trends, ["query", "start_date"],
-                     "start_date", "7 days", sink, ckpt)
-    # Second capture repeats b (inside the delay) and a (older than the watermark: late, dropped).
-    _land(spark, land, [_page([_item("a", T0), _item("b", T0 + 10 * day), _item("c", T0 + 11 * day)])])
-    si.stream_dedupe(spark, land, schemas.TRENDS_PAYLOAD, landing.flatten_trends, ["query", "start_date"],
-                     "start_date", "7 days", sink, ckpt)
+    assert run() == 0
+    # The second capture repeats b (inside the delay) and a (behind the watermark), and brings a late new key.
+    _land(spark, land, [_page([_item("a", T0), _item("b", T0 + 10 * day), _item("c", T0 + 11 * day), _item("late", T0 + day)])])
+    assert run() == 2
     assert sorted(r.query for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
 
 
-def test_category_windows_close_with_watermark(spark):
-    rows = spark.createDataFrame(
-        [("Sports", dt.datetime(2024, 1, 1, 20, 0), 10), ("Sports", dt.datetime(2024, 1, 1, 22, 0), 5),
-         ("Sports", dt.datetime(2024, 1, 3, 12, 0), 1)],
-        "categories string, start_date timestamp_ntz, search_volume long")
-    out = si.category_day_windows(rows).collect()   # batch use: every window is emitted
-    got = sorted((r.trend_date, r.total_keywords, r.total_search_volume) for r in out)
+def test_stream_pulse_equals_batch_pulse_over_overlapping_and_late_runs(spark):
+    land, ckpt, target = _stream(spark, "pulse")
+    pulse = SnapshotStore(spark, shared_dir(spark, "t-pulse", fresh=True), si.PULSE, "trend_date")
+    hour, day = 3600, 86400
+    runs = [[_item("a", T0 + 20 * hour), _item("b", T0 + 22 * hour), _item("c", T0 + 5 * day)],
+            [_item("b", T0 + 22 * hour), _item("c", T0 + 5 * day, active=False), _item("d", T0 + 6 * day)],
+            [_item("late", T0 - 20 * day), _item("a", T0 + 20 * hour, end=T0 + 30 * hour)]]
+    for items in runs:
+        _land(spark, land, [_page(items)])
+        si.stream_category_pulse(spark, land, schemas.TRENDS_PAYLOAD, "trending_searches", landing.flatten_trends, target,
+                                 pulse, ["query", "start_date"], ckpt)
+    got = {r.trend_date: (r.total_keywords, r.total_search_volume) for r in pulse.load(si.TABLE).collect()}
     # 20:00 UTC is 23:00 on Jan 1 in Nairobi; 22:00 UTC is already Jan 2.
-    assert got == [(dt.date(2024, 1, 1), 1, 10), (dt.date(2024, 1, 2), 1, 5), (dt.date(2024, 1, 3), 1, 1)]
-
+    assert got == {dt.date(2023, 12, 12): (1, 100), dt.date(2024, 1, 1): (1, 100), dt.date(2024, 1, 2): (1, 100),
+                   dt.date(2024, 1, 6): (1, 100), dt.date(2024, 1, 7): (1, 100)}
+    batch = si.category_days(target.load(si.TABLE))
+    cols = si.PULSE.fieldNames()
+    assert batch.select(*cols).exceptAll(pulse.load(si.TABLE).select(*cols)).count() == 0
 
 
 def test_jobs_nested_parts_kept_as_json_or_null(spark):
@@ -90,7 +116,9 @@ def test_jobs_nested_parts_kept_as_json_or_null(spark):
          "detected_extensions": {}, "job_id": "1"},
         {"title": "b", "extensions": ["full time"], "detected_extensions": {"posted_at": "2 days"},
          "apply_options": None, "job_id": "2"},
-    ]})
+        {"title": "c", "job_highlights": "", "extensions": "plain \"text\"", "detected_extensions": 0, "apply_options": False,
+         "job_id": "3"},
+    ]}).replace('"extensions": []', '"extensions": [ ]').replace('"detected_extensions": {}', '"detected_extensions": { }')
     pages = landing.parse_payloads(spark.createDataFrame([(page,)], "value string"), "value",
                                    schemas.JOBS_PAYLOAD)
     got = {r.job_id: r for r in landing.flatten_jobs(pages, dt.datetime(2024, 1, 1)).collect()}
@@ -98,4 +126,15 @@ def test_jobs_nested_parts_kept_as_json_or_null(spark):
     assert a.job_highlights == '[{"title":"Q","items":["x"]}]'
     assert (a.extensions, a.detected_extensions, a.apply_options) == (None, None, None)
     assert (b.extensions, b.detected_extensions) == ('["full time"]', '{"posted_at":"2 days"}')
+    c = got["3"]
+    assert (c.job_highlights, c.detected_extensions, c.apply_options) == (None, None, None)
+    assert c.extensions == json.dumps('plain "text"')
     assert b.apply_options is None and b.scraped_at == dt.datetime(2024, 1, 1)
+
+
+def test_malformed_counts_can_be_seen(spark):
+    page = json.dumps({"region_code": "KE", "items": [
+        {"id": "v1", "statistics": {"viewCount": "12", "likeCount": "5K+"}}, {"id": "v2", "statistics": {"viewCount": "many"}}]})
+    pages = landing.parse_payloads(spark.createDataFrame([(page,)], "value string"), "value", schemas.VIDEOS_PAYLOAD)
+    got = sorted(map(tuple, landing.malformed_counts(pages).collect()))
+    assert got == [("v1", "likeCount", "5K+"), ("v2", "viewCount", "many")]

@@ -3,9 +3,11 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendcast.plans import loads
 from trendcast.plans import rollover as ro
 from trendcast.session import shared_dir
 from trendcast.sources.snapshots import SnapshotStore
@@ -19,7 +21,7 @@ def rows(spark, items):
 
 
 def store(spark):
-    return SnapshotStore(spark, shared_dir(spark, "test-store", fresh=True), SCHEMA)
+    return SnapshotStore(spark, shared_dir(spark, "test-store", fresh=True), SCHEMA, "ts")
 
 
 def ids(df):
@@ -123,20 +125,166 @@ def test_replace_with_empty_removes_month(spark):
     assert s.months() == ["2024_feb"] and s.load("2024_jan").count() == 0 and ids(s.load("2024_feb")) == ["b"]
 
 
-def test_cli_ingest_then_refresh(spark, sf_dir):
+def versions(s):
+    return s._list(f"{s.base}/data", "_v=")
+
+
+def test_rollover_and_compaction_write_each_row_once(spark):
+    s = store(spark)
+    s.append(rows(spark, [(f"a{i}", dt.datetime(2024, 1, 1 + i), i) for i in range(20)]), "2024_jan")
+    ro.compact(s, "2024_jan", ["id"], ["v"])
+    before = versions(s)
+    batch = rows(spark, [("b", dt.datetime(2024, 2, 1, 1), 2), ("b", dt.datetime(2024, 2, 1, 1), 3)])
+    assert ro.rollover(s, batch, dt.datetime(2024, 2, 1, 6), "ts", grace_days=2) == "rolled_over"
+    assert len(versions(s)) == len(before) + 1          # history is carried by the manifest
+    assert s.uncompacted_days("2024_feb") == ["2024_02_01"]
+    ro.compact(s, "2024_feb", ["id"], ["v"])
+    assert len(versions(s)) == len(before) + 2          # only the new day was rewritten
+    assert s.load("2024_feb").count() == 21 and s.load("2024_jan").count() == 20
+    assert [r.v for r in s.load("2024_feb").where("id = 'b'").collect()] == [3]
+
+
+def test_a_failed_write_is_never_read_and_is_vacuumed(spark, monkeypatch):
+    s = store(spark)
+    s.append(rows(spark, [("a", dt.datetime(2024, 1, 5), 1)]), "2024_jan")
+    monkeypatch.setattr(SnapshotStore, "_commit", lambda self, change: (_ for _ in ()).throw(OSError("lost")))
+    for step in (lambda: s.append(rows(spark, [("b", dt.datetime(2024, 1, 6), 1)]), "2024_jan"),
+                 lambda: s.replace(rows(spark, [("c", dt.datetime(2024, 1, 6), 1)]), "2024_jan")):
+        with pytest.raises(OSError):
+            step()
+    monkeypatch.undo()
+    assert ids(s.load("2024_jan")) == ["a"] and len(versions(s)) == 3
+    assert len(s.vacuum()) == 2 and ids(s.load("2024_jan")) == ["a"]
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, monkeypatch):
+    s = store(spark)
+    s.append(rows(spark, [("a", dt.datetime(2024, 1, 5), 1)]), "2024_jan")
+    seen = s._manifest_numbers()
+    s.append(rows(spark, [("b", dt.datetime(2024, 1, 5), 1)]), "2024_jan")
+    monkeypatch.setattr(s, "_manifest_numbers", lambda: seen)   # a writer that has read the older state
+    with pytest.raises(RuntimeError, match="another writer"):
+        s.append(rows(spark, [("c", dt.datetime(2024, 1, 5), 1)]), "2024_jan")
+    monkeypatch.undo()
+    assert ids(s.load("2024_jan")) == ["a", "b"]
+
+
+def test_null_day_rows_survive_replacement(spark):
+    s = store(spark)
+    s.append(rows(spark, [("a", None, 1), ("b", dt.datetime(2024, 1, 5), 1)]), "2024_jan")
+    s.append(rows(spark, [("c", None, 2)]), "2024_jan")
+    ro.compact(s, "2024_jan", ["id"], ["v"])
+    assert ids(s.load("2024_jan")) == ["a", "b", "c"] and "none" in s.days("2024_jan")
+    assert s.expire(dt.datetime(2026, 1, 1), 60) == ["2024_jan"]
+
+
+def test_compact_needs_an_order(spark):
+    with pytest.raises(ValueError):
+        ro.compact(store(spark), "2024_jan", ["id"], [])
+
+
+def test_merge_reads_only_days_that_leaked(spark):
+    s = store(spark)
+    s.append(rows(spark, [("a", dt.datetime(2024, 1, 5), 1), ("b", dt.datetime(2024, 1, 6), 2), ("b2", dt.datetime(2024, 1, 5), 2)]), "2024_jan")
+    s.append(rows(spark, [("a", dt.datetime(2024, 1, 5), 1)]), "2024_feb")
+    assert ro.rollover_merge(s, rows(spark, [("c", dt.datetime(2024, 2, 2), 3)]), dt.datetime(2024, 2, 3), "ts", keys=["id", "ts"]) == "merged"
+    assert ids(s.load("2024_feb")) == ["a", "b", "b2", "c"]
+
+
+# --- scheduled loads ---------------------------------------------------------------------
+
+
+def _folders(spark, name):
+    return [shared_dir(spark, f"load-{part}-{name}", fresh=True) for part in ("landing", "store", "ckpt")]
+
+
+def test_cli_load_takes_each_file_once_then_refresh(spark, sf_dir):
     from trendcast.__main__ import main
     from trendcast.sources import fixtures as fx
     from trendcast.sources import landing_fixtures as lf
 
-    landing_dir = lf.land(lf.trends_pages(spark, sf_dir), "cli-trends")
-    store_dir = shared_dir(spark, "cli-store", fresh=True)
-    videos = shared_dir(spark, "cli-videos", fresh=True)
-    fx.keyword_videos(spark, sf_dir).write.parquet(videos)
-    out = shared_dir(spark, "cli-out", fresh=True)
-    got = main(["ingest", "--landing", landing_dir, "--store", store_dir, "--as-of", "2024-01-31T00:00:00"])
-    assert got["action"] == "appended" and got["month"] == "2024_jan"
-    paths = main(["refresh", "--store", store_dir, "--videos", videos, "--out", out,
-                  "--as-of", "2024-01-31T00:00:00"])
-    n_trends = spark.read.parquet(paths["stg_trending_now"]).count()
-    assert n_trends == fx.trends(spark, sf_dir).count()
+    land, base, ckpt = _folders(spark, "trends")
+    args = ["load", "trends", "--landing", land, "--store", base, "--checkpoint", ckpt, "--as-of", "2024-01-31T00:00:00"]
+    lf.trends_pages(spark, sf_dir).write.mode("append").json(land)
+    got = main(args)
+    assert got["actions"] == ["appended"] and got["month"] == "2024_jan"
+    trends = loads.store_of(spark, "trends", base)
+    first = versions(trends)
+    assert main(args)["actions"] == ["no_data"] and versions(trends) == first
+    lf.trends_pages(spark, sf_dir, captured_at=lf.SECOND_CAPTURE).write.mode("append").json(land)
+    assert main(args)["actions"] == ["appended"]
+    want = fx.trends(spark, sf_dir).count()
+    now = trends.load("2024_jan")
+    assert now.count() == want
+    assert now.where("captured_at = timestamp_ntz'2024-01-31 04:00:00'").count() == want     # the newest capture won
+
+    videos, out = shared_dir(spark, "cli-videos", fresh=True), shared_dir(spark, "cli-out", fresh=True)
+    loads.store_of(spark, "keyword_videos", videos).append(fx.keyword_videos(spark, sf_dir).withColumn(
+        "published_ts", F.lit(None).cast("timestamp_ntz")), "2024_jan")
+    paths = main(["refresh", "--store", base, "--videos", videos, "--out", out, "--as-of", "2024-01-31T00:00:00"])
+    assert spark.read.parquet(paths["stg_trending_now"]).count() == want
     assert spark.read.parquet(paths["mart_category_pulse"]).count() > 0
+
+
+@pytest.mark.parametrize("dataset", ["jobs", "posts", "popular"])
+def test_scheduled_loads_run_twice(spark, sf_dir, dataset):
+    from trendcast.sources import fixtures as fx
+    from trendcast.sources import landing_fixtures as lf
+
+    as_of = dt.datetime(1998, 8, 20)
+    land, base, ckpt = _folders(spark, dataset)
+    pages = {"jobs": lf.jobs_pages, "posts": lf.posts_pages, "popular": lf.popular_pages}[dataset](spark, sf_dir)
+    dims = {"subreddits": fx.subreddits(spark, sf_dir), "countries": fx.countries(spark, sf_dir),
+            "regions": fx.country_regions(spark, sf_dir), "categories": fx.country_categories(spark, sf_dir)}
+    spark.createDataFrame([("{\"jobs_results\": [{\"title\": \"cut",)], "value string").write.mode("append").text(land)
+    pages.write.mode("append").json(land)
+    if dataset in ("posts", "popular"):   # years of days: a coarser grain for the test
+        pages = pages.limit(1)
+    s = loads.store_of(spark, dataset, base)
+    s.grain = "yyyy"
+    run = lambda: loads.load(spark, dataset, land, base, ckpt, as_of, dims)
+    real, loads.store_of = loads.store_of, lambda *a: s
+    try:
+        assert run()["actions"] == ["appended"]
+        first = sorted(map(str, s.load("1998_aug").collect()))
+        assert run()["actions"] == ["no_data"]
+        pages.write.mode("append").json(land)
+        assert run()["actions"] == ["appended"]
+    finally:
+        loads.store_of = real
+    assert first and sorted(map(str, s.load("1998_aug").collect())) == first
+    assert spark.read.parquet(f"{base}_rejects").where("lost").count() == 1
+
+
+def test_keyword_video_load_runs_twice(spark, sf_dir):
+    from trendcast.sources import fixtures as fx
+    from trendcast.sources import landing_fixtures as lf
+
+    land, base, ckpt = _folders(spark, "keyword_videos")
+    details = shared_dir(spark, "load-details", fresh=True)
+    lf.search_pages(spark, sf_dir).write.mode("append").json(land)
+    lf.detail_pages(spark, sf_dir).where(f"captured_at = {lf.FIRST_CAPTURE}").write.mode("append").json(details)
+    stores = []
+    real = SnapshotStore.__init__
+
+    def coarse(self, *a, **k):
+        real(self, *a, **{**k, "grain": "yyyy"})
+        stores.append(self)
+    SnapshotStore.__init__ = coarse
+    try:
+        run = lambda: loads.load_keyword_videos(spark, land, details, base, ckpt, dt.datetime(1998, 8, 20),
+                                                fx.video_categories(spark, sf_dir))
+        assert run()["actions"] == ["appended"]
+        s = loads.store_of(spark, "keyword_videos", base)
+        n = s.load("1998_aug").count()
+        assert n > 0 and run()["actions"] == ["no_data"]
+        lf.detail_pages(spark, sf_dir).where(f"captured_at = {lf.SECOND_CAPTURE}").write.mode("append").json(details)
+        lf.search_pages(spark, sf_dir).write.mode("append").json(land)
+        assert run()["actions"] == ["appended"]
+        now = s.load("1998_aug")
+        assert now.count() >= n
+        assert now.groupBy("keyword", "video_id").count().where("count > 1").count() == 0
+        later = now.where("captured_at = timestamp_ntz'2024-01-31 04:00:00'")
+        assert later.count() > 0 and later.where("view_count < 5000").count() == 0
+    finally:
+        SnapshotStore.__init__ = real

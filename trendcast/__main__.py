@@ -1,14 +1,16 @@
 """Job entry points.
 
-    spark-submit trendcast/__main__.py ingest  --landing DIR --store DIR [--as-of ISO]
-    spark-submit trendcast/__main__.py refresh --store DIR --videos PATH --out DIR [--as-of ISO]
+    spark-submit trendcast/__main__.py load DATASET --landing DIR --store DIR --checkpoint DIR [--dimensions DIR] [--as-of ISO]
+    spark-submit trendcast/__main__.py load keyword_videos --landing DIR --details DIR --store DIR --checkpoint DIR ...
+    spark-submit trendcast/__main__.py refresh --store DIR --videos DIR --out DIR [--as-of ISO]
     python -m trendcast ...            (local run)
 
-``ingest`` is one scheduled load: landed trending-search pages are flattened,
-rolled into this month's snapshot (flag form, trends grace days) and the month
-is compacted on the trend key. ``refresh`` rebuilds staging and the marts from
-this month's snapshot and writes them as tables. The session comes from the
-environment (spark-submit), so no master is set here.
+``load`` is one scheduled load of trends, jobs, posts, popular or keyword_videos:
+the files that are new in the landing folder are flattened, rolled into this
+month's snapshot, and the month is compacted on the dataset's key. ``refresh``
+rebuilds staging and the marts from this month's snapshots and writes them as
+tables. The session comes from the environment (spark-submit), so no master is
+set here.
 """
 
 from __future__ import annotations
@@ -19,15 +21,10 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from trendcast import constants as K
-from trendcast import schemas
 from trendcast.functions.timeparts import month_tag
-from trendcast.plans import rollover
+from trendcast.plans import loads
 from trendcast.plans.refresh import refresh_marts
-from trendcast.sources import landing
-from trendcast.sources.snapshots import SnapshotStore
 
 
 def _as_of(text: str | None) -> dt.datetime:
@@ -36,44 +33,43 @@ def _as_of(text: str | None) -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def ingest(spark: SparkSession, landing_dir: str, store_dir: str, as_of: dt.datetime) -> dict:
-    pages = landing.read_landing(spark, landing_dir, schemas.TRENDS_PAYLOAD)
-    if pages.isEmpty():
-        return {"action": "no_data"}
-    batch = landing.flatten_trends(pages)
-    store = SnapshotStore(spark, store_dir, schemas.TRENDS)
-    action = rollover.rollover(store, batch, as_of, "start_date", K.GRACE_DAYS["trends"],
-                               guard_empty=False)
-    month = month_tag(as_of)
-    # Between captures of one trend the ended one is newer (trends do not restart).
-    rollover.compact(store, month, K.KEYS["trends"], [F.col("end_date").desc_nulls_last()])
-    return {"action": action, "month": month}
+def load(spark: SparkSession, args: argparse.Namespace) -> dict:
+    dimensions = loads.dimensions_from(spark, args.dimensions)
+    if args.dataset == "keyword_videos":
+        return loads.load_keyword_videos(spark, args.landing, args.details, args.store, args.checkpoint, _as_of(args.as_of),
+                                         loads.distinct_pairs(dimensions["categories"]))
+    return loads.load(spark, args.dataset, args.landing, args.store, args.checkpoint, _as_of(args.as_of), dimensions,
+                      args.when_present)
 
 
-def refresh(spark: SparkSession, store_dir: str, videos: str, out: str, as_of: dt.datetime) -> dict:
-    trends = SnapshotStore(spark, store_dir, schemas.TRENDS).load(month_tag(as_of))
-    return refresh_marts(spark, trends, spark.read.parquet(videos), as_of, out)
+def refresh(spark: SparkSession, args: argparse.Namespace) -> dict:
+    as_of = _as_of(args.as_of)
+    month = month_tag(as_of)
+    trends = loads.store_of(spark, "trends", args.store).load(month)
+    videos = loads.store_of(spark, "keyword_videos", args.videos).load(month)
+    return refresh_marts(spark, trends, videos, as_of, args.out)
 
 
 def main(argv: list[str] | None = None) -> dict:
     parser = argparse.ArgumentParser(prog="trendcast")
     sub = parser.add_subparsers(dest="command", required=True)
-    p_ing = sub.add_parser("ingest")
-    p_ing.add_argument("--landing", required=True)
-    p_ing.add_argument("--store", required=True)
-    p_ing.add_argument("--as-of")
+    p_load = sub.add_parser("load")
+    p_load.add_argument("dataset", choices=[*loads.LOADS, "keyword_videos"])
+    for name in ("--landing", "--store", "--checkpoint"):
+        p_load.add_argument(name, required=True)
+    p_load.add_argument("--details")
+    p_load.add_argument("--dimensions")
+    p_load.add_argument("--when-present", choices=["append", "skip"], default="append")
+    p_load.add_argument("--as-of")
     p_ref = sub.add_parser("refresh")
-    p_ref.add_argument("--store", required=True)
-    p_ref.add_argument("--videos", required=True)
-    p_ref.add_argument("--out", required=True)
+    for name in ("--store", "--videos", "--out"):
+        p_ref.add_argument(name, required=True)
     p_ref.add_argument("--as-of")
     args = parser.parse_args(argv)
+    if args.command == "load" and args.dataset == "keyword_videos" and not (args.details and args.dimensions):
+        parser.error("keyword_videos needs --details and --dimensions")
     spark = SparkSession.builder.appName(f"trendcast-{args.command}").getOrCreate()
-    as_of = _as_of(args.as_of)
-    if args.command == "ingest":
-        result = ingest(spark, args.landing, args.store, as_of)
-    else:
-        result = refresh(spark, args.store, args.videos, args.out, as_of)
+    result = load(spark, args) if args.command == "load" else refresh(spark, args)
     print(json.dumps(result, default=str))
     return result
 

@@ -9,7 +9,9 @@ result for every one of them.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from trendcast import constants as K
 from trendcast import functions as fn
 from trendcast import operators as op
 from trendcast import schemas
-from trendcast.plans import dashboards, gap_chain, marts, quality, staging, views
+from trendcast.plans import dashboards, gap_chain, marts, quality, refresh, staging, views
 from trendcast.plans import rollover as ro
 from trendcast.session import shared_dir
 from trendcast.sources import fixtures as fx
@@ -42,6 +44,20 @@ def register(name: str):
     return deco
 
 
+# Seconds spent on making the state that a query starts from (stores of earlier
+# runs, landed files), since the last reset: the bench reports them apart.
+SETUP = {"secs": 0.0}
+
+
+@contextmanager
+def setting_up():
+    began = time.perf_counter()
+    try:
+        yield
+    finally:
+        SETUP["secs"] += time.perf_counter() - began
+
+
 def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_trending_now(fx.trends(spark, sf_dir), fx.AS_OF)
 
@@ -183,7 +199,7 @@ def q_defaults(spark, sf_dir):
 
 @register("filter_watchable")
 def q_watchable(spark, sf_dir):
-    return marts.watchable(fx.keyword_videos(spark, sf_dir)).select(
+    return op.watchable(fx.keyword_videos(spark, sf_dir)).select(
         "keyword", "video_id", "duration_secs", "view_count")
 
 
@@ -220,7 +236,7 @@ def q_top_value(spark, sf_dir):
 
 @register("median_views")
 def q_median(spark, sf_dir):
-    return marts.watchable(fx.keyword_videos(spark, sf_dir)).groupBy("keyword").agg(
+    return op.watchable(fx.keyword_videos(spark, sf_dir)).groupBy("keyword").agg(
         fn.approx_median("view_count").alias("median_views"))
 
 
@@ -252,6 +268,17 @@ def q_rank(spark, sf_dir):
         "query", "start_date", "categories", "recommendation_score", "rank_in_category")
 
 
+@register("sorted_topics")
+def q_sorted_topics(spark, sf_dir):
+    """The mart in its published order (a range-partitioned global sort)."""
+    return marts.mart_trending_topics(stg(spark, sf_dir), sort=True)
+
+
+@register("sorted_recurrence")
+def q_sorted_recurrence(spark, sf_dir):
+    return marts.mart_keyword_recurrence(stg(spark, sf_dir), fx.AS_OF, sort=True)
+
+
 @register("daily_category_rank")
 def q_daily_rank(spark, sf_dir):
     return marts.mart_category_pulse(stg(spark, sf_dir)).select(
@@ -296,8 +323,7 @@ def q_lookup_category(spark, sf_dir):
 
 @register("lookup_country")
 def q_lookup_country(spark, sf_dir):
-    cust = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", F.col("c_nationkey").cast("string").alias("country_code"))
+    cust = fx.customer_countries(spark, sf_dir)
     named = op.lookup(cust, fx.countries(spark, sf_dir), on="country_code", value="country_name")
     return op.lookup(named, fx.country_regions(spark, sf_dir), on="country_code", value="region")
 
@@ -306,15 +332,10 @@ def q_lookup_country(spark, sf_dir):
 
 @register("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
-    s = stg(spark, sf_dir)
-    models = {
-        "stg_trending_now": s,
-        "mart_trending_topics": marts.scored_topics(s),
-        "mart_category_pulse": marts.mart_category_pulse(s),
-        "mart_keyword_recurrence": marts.mart_keyword_recurrence(s, fx.AS_OF),
-    }
-    return quality.combine(*[quality.check_not_null(models[m], m, cols)
-                             for m, cols in K.NOT_NULL_RULES.items()])
+    """The report that a refresh writes, from the tables it has written."""
+    paths = refresh.refresh_marts(spark, fx.trends(spark, sf_dir), fx.keyword_videos(spark, sf_dir), fx.AS_OF,
+                                  shared_dir(spark, "refresh", fresh=True))
+    return spark.read.parquet(paths["dq_not_null"])
 
 
 @register("dq_accepted_values")
@@ -363,17 +384,30 @@ def q_ingest_posts(spark, sf_dir):
 @register("ingest_popular")
 def q_ingest_popular(spark, sf_dir):
     pages = _landed(spark, lf.popular_pages(spark, sf_dir), "popular", schemas.VIDEOS_PAYLOAD, sf_dir)
-    return landing.flatten_popular(pages, fx.video_categories(spark, sf_dir), fx.countries(spark, sf_dir),
+    return landing.flatten_popular(pages, fx.country_categories(spark, sf_dir), fx.countries(spark, sf_dir),
                                    fx.country_regions(spark, sf_dir))
 
 
 @register("ingest_keyword_videos")
 def q_ingest_kw_videos(spark, sf_dir):
     hits = _landed(spark, lf.search_pages(spark, sf_dir), "search", schemas.SEARCH_PAYLOAD, sf_dir)
-    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.VIDEOS_PAYLOAD, sf_dir)
+    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.DETAILS_PAYLOAD, sf_dir)
     return landing.flatten_keyword_videos(hits, details, fx.video_categories(spark, sf_dir))
 
 
+@register("ingest_rejects")
+def q_ingest_rejects(spark, sf_dir):
+    """Pages that do not fit: how many, whether they are lost, and how many rows the others still give."""
+    path = shared_dir(spark, "landing", "damaged", fresh=True)
+    lf.damaged_trends_pages(spark, sf_dir).write.text(path)
+    pages = landing.read_landing(spark, path, schemas.TRENDS_PAYLOAD)
+    lost = landing.rejected_pages(pages, "trending_searches").groupBy("lost").agg(F.count(F.lit(1)).alias("n"))
+    rows = landing.flatten_trends(pages)
+    return lost.select(F.when(F.col("lost"), "pages lost").otherwise("pages with bad values").alias("what"), "n").unionByName(
+        rows.groupBy(F.when(F.col("search_volume").isNull(), "rows without a volume").otherwise("rows").alias("what"))
+        .agg(F.count(F.lit(1)).alias("n")))
+
+
 # --- snapshots, rollover, compaction -----------------------------------------------------
 
 
@@ -392,10 +426,18 @@ def _posts_batch(spark, sf_dir, run_at, upto=None):
     return p.withColumn("today_date", fn.ntz_literal(run_at))
 
 
+MONTHLY = "yyyy_MM"   # the orders span seven years, a few a day
+
+
+def _new_posts_store(spark) -> SnapshotStore:
+    return SnapshotStore(spark, shared_dir(spark, "store", "posts", fresh=True), schemas.POSTS, "created", MONTHLY)
+
+
 def _posts_store(spark, sf_dir) -> SnapshotStore:
-    """Previous month written, then two runs on the 1st: roll over, then the month is present."""
-    store = SnapshotStore(spark, shared_dir(spark, "store", "posts", fresh=True), schemas.POSTS)
-    store.append(_posts_before_aug(spark, sf_dir), "1998_jul")
+    """The previous month's snapshot: all history before August."""
+    store = _new_posts_store(spark)
+    with setting_up():
+        store.append(_posts_before_aug(spark, sf_dir), "1998_jul")
     return store
 
 
@@ -415,18 +457,29 @@ def q_conform(spark, sf_dir):
 
 @register("scan_snapshot")
 def q_scan_snapshot(spark, sf_dir):
-    store = _posts_store(spark, sf_dir)
+    """A full scan of one month, and of one that was never written."""
+    store = _new_posts_store(spark)
+    store.append(fx.posts(spark, sf_dir).withColumn("today_date", F.col("created")), "1998_jul")
     return op.union_all(store.load("1998_jul"), store.load("1998_sep"))
 
 
 @register("append_then_scan")
 def q_append_scan(spark, sf_dir):
-    store = SnapshotStore(spark, shared_dir(spark, "store", "posts", fresh=True), schemas.POSTS)
+    store = _new_posts_store(spark)
     store.append(_posts_before_aug(spark, sf_dir), "1998_aug")
     store.append(_posts_batch(spark, sf_dir, fx.ROLLOVER_AS_OF), "1998_aug")
     return store.load("1998_aug")
 
 
+@register("rollover_empty_batch")
+def q_rollover_empty(spark, sf_dir):
+    """An empty batch does nothing, on the first day of a month too."""
+    store = _posts_store(spark, sf_dir)
+    nothing = _posts_batch(spark, sf_dir, fx.ROLLOVER_AS_OF).where("false")
+    action = ro.rollover(store, nothing, fx.ROLLOVER_AS_OF, "created", K.GRACE_DAYS["posts"])
+    return store.row_counts().withColumn("action", F.lit(action))
+
+
 @register("rollover_union")
 def q_rollover_union(spark, sf_dir):
     prev = conform(_posts_before_aug(spark, sf_dir), schemas.POSTS)
@@ -464,45 +517,71 @@ def q_row_counts(spark, sf_dir):
 
 @register("snapshot_retention")
 def q_retention(spark, sf_dir):
-    store = SnapshotStore(spark, shared_dir(spark, "store", "posts_monthly", fresh=True), schemas.POSTS)
-    posts = conform(fx.posts(spark, sf_dir), schemas.POSTS).withColumn("snapshot_month", fn.month_suffix("created"))
-    posts.write.partitionBy("snapshot_month").parquet(store.base)
+    store = _new_posts_store(spark)
+    store.append_by_month(fx.posts(spark, sf_dir))
     store.expire(fx.ROLLOVER_AS_OF, K.SNAPSHOT_RETENTION_DAYS)
+    store.vacuum()
     return store.row_counts()
 
 
 def _videos_split(spark, sf_dir):
-    v = fx.keyword_videos(spark, sf_dir)
-    ts = fn.parse_iso_ts("published_at")
+    v = fx.keyword_videos(spark, sf_dir).withColumn("published_ts", fn.parse_iso_ts("published_at"))
+    ts = F.col("published_ts")
     return v.where(ts < fn.ntz_literal(_AUG)), v.where(ts >= fn.ntz_literal(_AUG))
 
 
+def _new_videos_store(spark) -> SnapshotStore:
+    return SnapshotStore(spark, shared_dir(spark, "store", "keyword_videos", fresh=True), schemas.KEYWORD_VIDEOS,
+                         "published_ts", MONTHLY)
+
+
 @register("rollover_antijoin")
 def q_rollover_antijoin(spark, sf_dir):
     prev, _ = _videos_split(spark, sf_dir)
     leaked = prev.where(F.col("like_count") > 40).select(*K.ROLLOVER_MATCH_KEYS)
-    return op.not_yet_present(prev, leaked, K.ROLLOVER_MATCH_KEYS)
+    return op.not_yet_present(prev.drop("published_ts"), leaked, K.ROLLOVER_MATCH_KEYS)
 
 
 @register("rollover_merge")
 def q_rollover_merge(spark, sf_dir):
     prev, batch = _videos_split(spark, sf_dir)
-    store = SnapshotStore(spark, shared_dir(spark, "store", "keyword_videos", fresh=True),
-                          schemas.KEYWORD_VIDEOS)
-    store.append(prev, "1998_jul")
-    store.append(prev.where(F.col("like_count") > 40), "1998_aug")
-    ro.rollover_merge(store, batch, fx.MERGE_AS_OF, "published_at")
+    store = _new_videos_store(spark)
+    with setting_up():
+        store.append(prev, "1998_jul")
+        store.append(prev.where(F.col("like_count") > 40), "1998_aug")
+    ro.rollover_merge(store, batch, fx.MERGE_AS_OF, "published_ts")
     return store.load("1998_aug")
 
 
+@register("compact_trends")
+def q_compact_trends(spark, sf_dir):
+    """Two captures of all trends, the later one with larger volumes: it stays."""
+    store = SnapshotStore(spark, shared_dir(spark, "store", "trends", fresh=True), schemas.TRENDS, "start_date")
+    for at in (lf.SECOND_CAPTURE, lf.FIRST_CAPTURE):
+        pages = landing.read_landing(spark, lf.land(lf.trends_pages(spark, sf_dir, captured_at=at), "capture"), schemas.TRENDS_PAYLOAD)
+        store.append(landing.flatten_trends(pages), "2024_jan")
+    return ro.compact(store, "2024_jan", K.KEYS["trends"], ["captured_at"])
+
+
+@register("compact_keyword_videos")
+def q_compact_videos(spark, sf_dir):
+    """Two loads of the keyword videos, the second captured later with more views: it stays."""
+    store = _new_videos_store(spark)
+    videos = fx.keyword_videos(spark, sf_dir).withColumn("published_ts", fn.parse_iso_ts("published_at"))
+    store.append(videos.withColumn("captured_at", fn.ntz_literal(fx.SECOND_RUN_AS_OF)).withColumn(
+        "view_count", F.col("view_count") + 5000), "1998_aug")
+    store.append(videos.withColumn("captured_at", fn.ntz_literal(fx.ROLLOVER_AS_OF)), "1998_aug")
+    return ro.compact(store, "1998_aug", K.KEYS["keyword_videos"], ["captured_at"])
+
+
 # --- end-to-end keyword gap ----------------------------------------------------------------
 
 
 @register("gap_end_to_end")
 def q_gap_end_to_end(spark, sf_dir):
     search = _landed(spark, lf.search_pages(spark, sf_dir), "search", schemas.SEARCH_PAYLOAD, sf_dir)
-    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.VIDEOS_PAYLOAD, sf_dir)
-    store = SnapshotStore(spark, shared_dir(spark, "store", "keyword_videos", fresh=True), schemas.KEYWORD_VIDEOS)
+    details = _landed(spark, lf.detail_pages(spark, sf_dir), "details", schemas.DETAILS_PAYLOAD, sf_dir)
+    store = _new_videos_store(spark)
     return gap_chain.keyword_gap(stg(spark, sf_dir), search, details, fx.video_categories(spark, sf_dir),
                                  fx.trends(spark, sf_dir), store, fx.AS_OF)
 
@@ -511,35 +590,33 @@ def q_gap_end_to_end(spark, sf_dir):
 
 
 def _append_landing(pages: DataFrame, path: str) -> None:
-    pages.write.mode("append").json(path)
+    with setting_up():
+        pages.write.mode("append").json(path)
+
+
+def _stream_folders(spark, name: str) -> tuple[str, str, SnapshotStore]:
+    """(landing folder, checkpoint, keyed store of trends)"""
+    schema = _T.StructType([*schemas.TRENDS.fields, _T.StructField(si.BATCH_COL, _T.LongType())])
+    target = SnapshotStore(spark, shared_dir(spark, "store", name, fresh=True), schema, "start_date")
+    return shared_dir(spark, "landing", name, fresh=True), shared_dir(spark, "checkpoints", name, fresh=True), target
 
 
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
     """Two scheduled runs: a full capture, then a re-capture of the 'view' trends (now ended)."""
-    land_dir = shared_dir(spark, "landing", "stream_trends", fresh=True)
-    ckpt = shared_dir(spark, "checkpoints", "stream_ingest", fresh=True)
-    schema = _T.StructType(list(schemas.TRENDS.fields) + [_T.StructField(si.BATCH_COL, _T.LongType())])
-    target = SnapshotStore(spark, shared_dir(spark, "store", "trends_stream", fresh=True), schema,
-                           part_col="start_day")
+    land_dir, ckpt, target = _stream_folders(spark, "stream_ingest")
     for pages in (lf.trends_pages(spark, sf_dir), lf.trends_pages(spark, sf_dir, rescrape_views=True)):
         _append_landing(pages, land_dir)
-        si.stream_upsert(spark, land_dir, schemas.TRENDS_PAYLOAD, _flatten_trends, target,
-                         K.KEYS["trends"], "start_date", ckpt)
-    return target.scan().drop(si.BATCH_COL, "start_day")
-
-
-def _flatten_trends(df):
-    return landing.flatten_trends(df)
+        si.stream_upsert(spark, land_dir, schemas.TRENDS_PAYLOAD, "trending_searches", landing.flatten_trends, target,
+                         K.KEYS["trends"], ckpt)
+    return target.load(si.TABLE).drop(si.BATCH_COL)
 
 
 @register("stream_dedupe")
 def q_stream_dedupe(spark, sf_dir):
-    """Two runs whose captures overlap by five days; overlap rows are dropped with bounded state.
+    """Two runs whose captures overlap by five days; rows seen before are dropped with bounded state.
 
-    Returns the kept keys: when two rows with one key arrive in the same
-    micro-batch the stream keeps whichever it meets first, so only the keys
-    (one row each) are repeatable; the kept rows are checked in the unit tests.
+    All columns are the key here, so the kept rows are the same on every run.
     """
     land_dir = shared_dir(spark, "landing", "stream_dedupe", fresh=True)
     ckpt = shared_dir(spark, "checkpoints", "stream_dedupe", fresh=True)
@@ -547,19 +624,24 @@ def q_stream_dedupe(spark, sf_dir):
     for where in ("start_date < timestamp_ntz'2024-01-25 00:00:00'",
                   "start_date >= timestamp_ntz'2024-01-20 00:00:00'"):
         _append_landing(lf.trends_pages(spark, sf_dir, where=where), land_dir)
-        si.stream_dedupe(spark, land_dir, schemas.TRENDS_PAYLOAD, _flatten_trends, K.KEYS["trends"],
+        si.stream_dedupe(spark, land_dir, schemas.TRENDS_PAYLOAD, landing.flatten_trends, schemas.TRENDS.fieldNames(),
                          "start_date", "7 days", sink, ckpt)
-    return spark.read.schema(schemas.TRENDS).parquet(sink).select(*K.KEYS["trends"])
+    return spark.read.schema(schemas.TRENDS).parquet(sink)
 
 
 @register("stream_category_pulse")
 def q_stream_pulse(spark, sf_dir):
-    land_dir = shared_dir(spark, "landing", "stream_pulse", fresh=True)
-    ckpt = shared_dir(spark, "checkpoints", "stream_pulse", fresh=True)
-    sink = shared_dir(spark, "sinks", "stream_pulse", fresh=True)
-    _append_landing(lf.trends_pages(spark, sf_dir), land_dir)
-    si.stream_category_pulse(spark, land_dir, schemas.TRENDS_PAYLOAD, _flatten_trends, sink, ckpt)
-    return spark.read.parquet(sink)
+    """Two runs: the later days first, then late and overlapping pages of the earlier ones, captured
+    anew. Every day of the batch pulse comes out, each keyword counted once at its newest volume."""
+    land_dir, ckpt, target = _stream_folders(spark, "stream_pulse")
+    pulse = SnapshotStore(spark, shared_dir(spark, "store", "pulse", fresh=True), si.PULSE, "trend_date")
+    for pages in (lf.trends_pages(spark, sf_dir, where="start_date >= timestamp_ntz'2024-01-12 00:00:00'"),
+                  lf.trends_pages(spark, sf_dir, where="start_date < timestamp_ntz'2024-01-20 00:00:00'",
+                                  captured_at=lf.SECOND_CAPTURE)):
+        _append_landing(pages, land_dir)
+        si.stream_category_pulse(spark, land_dir, schemas.TRENDS_PAYLOAD, "trending_searches", landing.flatten_trends,
+                                 target, pulse, K.KEYS["trends"], ckpt)
+    return pulse.load(si.TABLE)
 
 
 # --- published views ---------------------------------------------------------------------
@@ -567,13 +649,20 @@ def q_stream_pulse(spark, sf_dir):
 
 @register("published_views")
 def q_published_views(spark, sf_dir):
-    """Marts published as views and queried with SQL, as a dashboard would."""
-    views.publish_trend_views(spark, fx.trends(spark, sf_dir), fx.AS_OF)
+    """Refreshed marts published as views and queried with SQL, as a dashboard would."""
+    out = shared_dir(spark, "refresh", fresh=True)
+    views.publish_views(spark, refresh.refresh_marts(
+        spark, fx.trends(spark, sf_dir), fx.keyword_videos(spark, sf_dir), fx.AS_OF, out))
     return spark.sql("""
-        select t.categories, t.urgency_tier, count(*) as keywords, max(t.recommendation_score) as best_score,
-               min(t.rank_in_category) as best_rank
-        from mart_trending_topics t
-        group by t.categories, t.urgency_tier""")
+        select 'topics' as mart, urgency_tier as label, count(*) as n, max(recommendation_score) as best
+        from mart_trending_topics group by urgency_tier
+        union all select 'pulse', day_of_week, count(*), cast(max(total_search_volume) as double)
+        from mart_category_pulse group by day_of_week
+        union all select 'recurrence', recurrence_label, count(*), cast(max(times_trended) as double)
+        from mart_keyword_recurrence group by recurrence_label
+        union all select 'gap', opportunity, count(*), max(gap_score) from mart_gap_analysis group by opportunity
+        union all select 'staging', month_name, count(*), cast(max(search_volume) as double)
+        from stg_trending_now group by month_name""")
 
 
 def prepare_inputs(spark: SparkSession, sf_dir: str) -> None:

@@ -18,22 +18,26 @@ def join_names(arr, field: str | None = None, sep: str = ", ") -> Column:
     return F.array_join(a, sep)
 
 
-# ISO-8601 duration with weeks, days, hours, minutes, seconds (fractions allowed).
-# Calendar components (years, months) have no fixed length and give 0, like a bad value.
-_NUM = r"(\d+(?:[.,]\d+)?)"
-ISO_DURATION = rf"^P(?:{_NUM}W)?(?:{_NUM}D)?(?:T(?:{_NUM}H)?(?:{_NUM}M)?(?:{_NUM}S)?)?$"
+# ISO-8601 duration: a sign, calendar parts (years, months), weeks, days, hours, minutes, seconds.
+# Calendar parts have no fixed length and count nothing; the other parts beside them do.
+_NUM = r"\d+(?:[.,]\d+)?"
+ISO_DURATION = (rf"^([+-]?)P(?!$)(?:{_NUM}Y)?(?:{_NUM}M)?(?:({_NUM})W)?(?:({_NUM})D)?"
+                rf"(?:T(?:({_NUM})H)?(?:({_NUM})M)?(?:({_NUM})S)?)?$")
 _UNIT_SECS = (604800, 86400, 3600, 60, 1)
 
 
 def iso_duration_secs(col) -> Column:
-    """ISO-8601 duration text -> whole seconds (fraction cut); bad or NULL -> 0."""
-    c = _c(col)
+    """ISO-8601 duration text -> whole seconds (fraction cut towards zero); bad or NULL -> 0.
+
+    One regular-expression pass turns the text into its parts, split by bars.
+    """
+    parts = F.split(F.regexp_replace(_c(col), ISO_DURATION, r"$1|$2|$3|$4|$5|$6"), r"\|")
     total = F.lit(0.0)
     for idx, secs in enumerate(_UNIT_SECS, start=1):
-        part = F.regexp_replace(F.regexp_extract(c, ISO_DURATION, idx), ",", ".")
-        total = total + F.coalesce(part.try_cast("double"), F.lit(0.0)) * F.lit(float(secs))
-    well_formed = c.rlike(ISO_DURATION) & (c != "P") & ~c.endswith("T")
-    return F.when(well_formed, F.floor(total)).otherwise(F.lit(0)).cast("bigint")
+        value = F.replace(F.get(parts, F.lit(idx)), F.lit(","), F.lit(".")).try_cast("double")
+        total = total + F.coalesce(value, F.lit(0.0)) * F.lit(float(secs))
+    signed = F.when(F.get(parts, F.lit(0)) == "-", -F.floor(total)).otherwise(F.floor(total))
+    return F.when((F.size(parts) == 6) & ~F.contains(_c(col), F.lit("|")), signed).otherwise(F.lit(0)).cast("bigint")
 
 
 def int_or_zero(col) -> Column:

@@ -4,6 +4,7 @@ from trendcast.operators.filters import (
     in_month,
     last_hours,
     rows_in_month,
+    watchable,
     with_id,
 )
 from trendcast.operators.joins import (
@@ -18,7 +19,7 @@ from trendcast.operators.unions import union_all
 
 __all__ = [
     "duplicate_count", "keep_one", "has_rows_in_month", "in_month", "last_hours",
-    "rows_in_month", "with_id", "attach_stats", "lookup", "not_yet_present",
+    "rows_in_month", "watchable", "with_id", "attach_stats", "lookup", "not_yet_present",
     "semi_on_folded", "leaderboard", "row_number_split", "top_n_per_group",
     "arg_max_per_group", "top_value_per_group", "union_all",
 ]

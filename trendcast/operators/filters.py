@@ -47,3 +47,8 @@ def last_hours(df: DataFrame, ts_col: str, as_of: dt.datetime,
 def with_id(df: DataFrame, col: str) -> DataFrame:
     """Keep rows whose id is present and not empty."""
     return df.where(F.col(col).isNotNull() & (F.col(col) != ""))
+
+
+def watchable(videos: DataFrame, min_secs: int = K.MIN_DURATION_SECS, min_views: int = K.MIN_VIEWS) -> DataFrame:
+    """Playable and watched: long enough and at least one view (pushed to the scan)."""
+    return videos.where((F.col("duration_secs") >= min_secs) & (F.col("view_count") >= min_views))

@@ -33,8 +33,9 @@ def category_hour_heatmap(stg: DataFrame) -> DataFrame:
 
 
 def category_wow_growth(stg: DataFrame) -> DataFrame:
-    """Weekly keyword count and volume per category and the change against the prior week.
+    """Weekly keyword count and volume per category and the change against the week before.
 
+    A category without trends in the calendar week before has no growth (NULL).
     The window runs over the weekly aggregate (a handful of rows per category).
     """
     weekly = (stg.withColumn("week_start", F.date_trunc("week", F.col("trend_date")).cast("date"))
@@ -42,7 +43,8 @@ def category_wow_growth(stg: DataFrame) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("keywords"),
                    F.sum("search_volume").alias("total_search_volume")))
     w = Window.partitionBy("categories").orderBy("week_start")
-    prev = F.lag("total_search_volume").over(w)
+    is_next = F.lag("week_start").over(w) == F.date_sub("week_start", 7)
+    prev = F.when(is_next, F.lag("total_search_volume").over(w))
     return weekly.withColumns({
         "prev_search_volume": prev,
         "volume_growth_pct": F.round(

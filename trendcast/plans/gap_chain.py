@@ -28,6 +28,6 @@ def keyword_gap(stg: DataFrame, search_pages: DataFrame, detail_pages: DataFrame
         keywords = keywords_last_hours(stg, as_of, hours)
         hits = semi_on_folded(search_pages, "keyword", keywords, "query")
         videos = flatten_keyword_videos(hits, detail_pages, categories)
-        rollover_merge(store, videos, as_of, "published_at", guard_empty=False)
-        compact(store, cur, K.KEYS["keyword_videos"])
+        rollover_merge(store, videos, as_of, "published_ts", guard_empty=False)
+        compact(store, cur, K.KEYS["keyword_videos"], ["captured_at"])
     return mart_gap_analysis(store.load(cur), trends, as_of)

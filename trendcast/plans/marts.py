@@ -20,6 +20,7 @@ from trendcast.functions.scoring import (
     urgency_tier,
 )
 from trendcast.functions.timeparts import ntz_literal
+from trendcast.operators.filters import watchable
 from trendcast.operators.ranking import row_number_split
 from trendcast.operators.topk import arg_max_per_group
 
@@ -153,12 +154,6 @@ def mart_keyword_recurrence(stg: DataFrame, as_of: dt.datetime, sort: bool = Fal
     return out
 
 
-def watchable(videos: DataFrame, min_secs: int = K.MIN_DURATION_SECS,
-              min_views: int = K.MIN_VIEWS) -> DataFrame:
-    """Playable and watched: long enough and at least one view (pushed to the scan)."""
-    return videos.where((F.col("duration_secs") >= min_secs) & (F.col("view_count") >= min_views))
-
-
 def keyword_supply(videos: DataFrame) -> DataFrame:
     """Per-keyword video supply; map-side partial aggregation, median as a sketch."""
     return watchable(videos).groupBy("keyword").agg(

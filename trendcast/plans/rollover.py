@@ -1,20 +1,21 @@
-"""Month rollover: carry the previous month's cumulative snapshot into the new month.
+"""Month rollover: let the new month's snapshot start from the previous month's.
 
 The driver only decides which branch to take, from an existence check or two
-counts; every data movement is a Spark write.
+counts; carrying a month over is a manifest entry of the store, so history is
+neither read nor written again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from trendcast import constants as K
 from trendcast.operators.dedupe import keep_one
-from trendcast.operators.filters import has_rows_in_month, rows_in_month
+from trendcast.operators.filters import has_rows_in_month, in_month
 from trendcast.operators.joins import not_yet_present
-from trendcast.operators.unions import union_all
 from trendcast.sources.snapshots import SnapshotStore, month_tags, previous_month
 
 
@@ -31,7 +32,8 @@ def rollover(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, ts_col:
     cur, prev = month_tags(as_of)
     if as_of.day <= grace_days:
         if not has_rows_in_month(store.load(cur), ts_col, as_of):
-            store.append(union_all(store.load(prev), batch), cur)
+            store.carry(prev, cur)
+            store.append(batch, cur)
             return "rolled_over"
         if when_present == "skip":
             return "skipped"
@@ -45,6 +47,10 @@ def rollover_merge(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, t
     """Count form: inside the grace days the previous month counts as merged when it is
     empty or the new month already holds at least as many of its rows; otherwise
     the previous rows not yet present (by ``keys``, NULL-safe) are carried over.
+
+    ``ts_col`` is a timestamp column, so that the month range reaches the scan.
+    Days of which the new month has no row yet are carried as they are; only the
+    days that leaked into it are read, compared and written.
     """
     keys = keys or K.ROLLOVER_MATCH_KEYS
     if guard_empty and batch.isEmpty():
@@ -53,19 +59,34 @@ def rollover_merge(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, t
     if as_of.day > grace_days:
         store.append(batch, cur)
         return "appended"
-    prev_rows = store.load(prev)
-    prev_total = prev_rows.count()
-    leaked = rows_in_month(store.load(cur), ts_col, previous_month(as_of))
+    prev_total = store.load(prev).count()
+    now = store.load(cur)
+    leaked = now.where(in_month(now, ts_col, previous_month(as_of)))
     leaked_total = leaked.count()
     if prev_total == 0 or leaked_total >= prev_total:
         store.append(batch, cur)
         return "appended"
-    carried = not_yet_present(prev_rows, leaked.select(*keys), keys) if leaked_total else prev_rows
-    store.append(union_all(carried, batch), cur)
+    have = set(store.days(cur))
+    store.carry(prev, cur, [d for d in store.days(prev) if d not in have])
+    both = [d for d in store.days(prev) if d in have]
+    if both:
+        left_over = not_yet_present(store.load_days(prev, both), leaked.select(*keys), keys)
+        batch = left_over.unionByName(batch, allowMissingColumns=True)
+    store.append(batch, cur)
     return "merged"
 
 
-def compact(store: SnapshotStore, month: str, keys: list[str], order: list | None = None) -> DataFrame:
-    """Keyed dedupe of one month, written back in place; returns the month as stored."""
-    store.replace(keep_one(store.load(month), keys, order), month)
+def compact(store: SnapshotStore, month: str, keys: list[str], order: list[str | Column]) -> DataFrame:
+    """Keyed dedupe of one month: the first row by ``order`` stays (newest capture first, as a rule).
+
+    Only days with rows that no compaction has seen are read and rewritten, once.
+    Rows of one key lie in one day, because the store's day column is part of the
+    key or fixed by it; a store without a day column is rewritten whole.
+    """
+    if not order:
+        raise ValueError("a compaction needs an order: which of two captures stays")
+    dirty = store.uncompacted_days(month)
+    if dirty:
+        order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order]
+        store.replace_days(keep_one(store.load_days(month, dirty), keys, order), month, dirty, compacted=True)
     return store.load(month)

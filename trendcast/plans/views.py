@@ -1,24 +1,19 @@
-"""Publishing the staging view and marts as named views for SQL users."""
+"""Publishing refreshed tables as named views for SQL users."""
 
 from __future__ import annotations
 
-import datetime as dt
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
+VIEWS = ["stg_trending_now", "mart_trending_topics", "mart_category_pulse", "mart_keyword_recurrence",
+         "mart_gap_analysis"]
 
-from trendcast.plans import marts, staging
 
+def publish_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
+    """A view per table of ``paths`` (see ``refresh_marts``).
 
-def register(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Publish ``df`` under ``name`` (a lazy view: recomputed on read, like the original views)."""
-    df.createOrReplaceTempView(name)
-    return spark.table(name)
-
-
-def publish_trend_views(spark: SparkSession, raw_trends: DataFrame, as_of: dt.datetime) -> list[str]:
-    """Staging plus the three trend marts, in dependency order."""
-    stg = register(spark, "stg_trending_now", staging.stg_trending_now(raw_trends, as_of))
-    register(spark, "mart_trending_topics", marts.mart_trending_topics(stg))
-    register(spark, "mart_category_pulse", marts.mart_category_pulse(stg))
-    register(spark, "mart_keyword_recurrence", marts.mart_keyword_recurrence(stg, as_of))
-    return ["stg_trending_now", "mart_trending_topics", "mart_category_pulse", "mart_keyword_recurrence"]
+    The views are SQL text over the tables' folders: each query resolves them
+    anew, so it sees the files of the latest refresh. No job runs here.
+    """
+    for name in VIEWS:
+        spark.sql(f"create or replace temporary view {name} as select * from parquet.`{paths[name]}`")
+    return list(VIEWS)

@@ -56,6 +56,9 @@ VIDEO_COLUMNS = [
     "'KE' as region_code",
 ]
 
+# One part in nine has no category, so that lookups can miss.
+CATEGORY_ID = "case when l_partkey % 9 = 0 then concat('none', cast(l_partkey as string)) else cast(l_partkey as string) end as category_id"
+
 JOBS_COLUMNS = [
     "lang as title",
     "concat('co ', lang) as company_name",
@@ -103,10 +106,15 @@ def subreddits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country code -> name; codes 20+ are left out so lookups can miss."""
-    return (read_table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 20)
-            .select(F.col("n_nationkey").cast("string").alias("country_code"),
-                    F.col("n_name").alias("country_name")))
+    """Country code -> name."""
+    return read_table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("country_code"), F.col("n_name").alias("country_name"))
+
+
+def customer_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with a country code; one in ten has a code that no country has."""
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "case when c_custkey % 10 = 0 then '99' else cast(c_nationkey as string) end as country_code")
 
 
 def country_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,13 +127,22 @@ def country_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def video_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Category id -> title from the part table; sizes above 40 are left out so lookups can miss."""
-    return (read_table(spark, sf_dir, "part").where(F.col("p_size") <= 40)
-            .select(F.col("p_partkey").cast("string").alias("category_id"),
-                    F.col("p_type").alias("category_title")))
+    """Category id -> title from the part table."""
+    return read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("category_id"), F.col("p_type").alias("category_title"))
+
+
+def country_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(country code, category id) -> title, as each country names its categories; from the
+    (supplier, part) pairs that occur."""
+    pairs = read_table(spark, sf_dir, "lineitem").selectExpr("cast(l_suppkey % 30 as string) as country_code", "l_partkey").distinct()
+    part = read_table(spark, sf_dir, "part")
+    return pairs.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "country_code", F.col("p_partkey").cast("string").alias("category_id"),
+        F.concat_ws(" / ", "p_type", "country_code").alias("category_title"))
 
 
-# Duration texts covering every ISO-8601 part handled, plus calendar and bad values.
+# Duration texts covering every ISO-8601 part handled, plus calendar parts, signs and bad values.
 DURATION_VARIANT = """
 case l_linenumber
   when 1 then concat('PT', cast(l_suppkey % 60 as string), 'M', cast(l_partkey % 60 as string), 'S')
@@ -134,6 +151,7 @@ case l_linenumber
   when 4 then concat('PT', cast(l_partkey % 90 as string), '.', cast(l_suppkey % 10 as string), 'S')
   when 5 then concat('P', cast(l_suppkey % 2 + 1 as string), 'W')
   when 6 then case when l_partkey % 2 = 0 then 'n/a' else 'P1Y2M' end
+  when 7 then element_at(array('P1M2DT3H', '-PT5M', 'P1DT', 'P', 'PT', '+PT1,5S'), cast(l_partkey % 6 as int) + 1)
 end as duration"""
 
 
@@ -146,4 +164,4 @@ def duration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def video_category_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem").selectExpr(
         "concat('v', cast(l_orderkey as string), '_', cast(l_linenumber as string)) as video_id",
-        "cast(l_partkey as string) as category_id")
+        CATEGORY_ID)

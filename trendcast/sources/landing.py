@@ -17,31 +17,73 @@ from pyspark.sql import types as T
 from trendcast import constants as K
 from trendcast import schemas
 from trendcast.functions.text import int_or_zero, iso_duration_secs, join_names, tags_text
-from trendcast.functions.timeparts import from_epoch, ntz_literal
+from trendcast.functions.timeparts import from_epoch, ntz_literal, parse_iso_ts
 from trendcast.functions.scoring import engagement_intensity, engagement_rate
 from trendcast.operators.dedupe import keep_one
-from trendcast.operators.filters import with_id
+from trendcast.operators.filters import watchable, with_id
 from trendcast.operators.joins import attach_stats, lookup
 
 
+CORRUPT = "_corrupt_record"
+
+
+def with_corrupt_column(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
 def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    """Pages of a landing folder. A page that does not fit the schema keeps its text in
+    ``_corrupt_record``: truncated ones have nothing else, ones with a bad value have
+    NULL there and all other values. See :func:`rejected_pages`."""
+    return (spark.read.schema(with_corrupt_column(schema)).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+
+
+def rejected_pages(payloads: DataFrame, items: str) -> DataFrame:
+    """(payload, lost) of the pages that did not fit: ``lost`` when no item could be read,
+    else only single values are missing and the page's rows are among the flattened ones."""
+    return (payloads.select(CORRUPT, items).where(F.col(CORRUPT).isNotNull())
+            .select(F.col(CORRUPT).alias("payload"), F.col(items).isNull().alias("lost")))
 
 
 def parse_payloads(df: DataFrame, text_col: str, schema: T.StructType) -> DataFrame:
-    return df.select(F.from_json(F.col(text_col), schema).alias("_p")).select("_p.*")
+    """Pages from JSON text in a column, with ``_corrupt_record`` as :func:`read_landing` has it."""
+    parsed = F.from_json(F.col(text_col), with_corrupt_column(schema), {"columnNameOfCorruptRecord": CORRUPT})
+    return df.select(parsed.alias("_p")).select("_p.*")
+
+
+# A nested part that is absent or falsy by value, whatever its spacing.
+_FALSY = r"^\s*(\[\s*\]|\{\s*\}|null|false|-?0+(\.0+)?([eE][+-]?\d+)?|)\s*$"
+_JSON_VALUE = r"^\s*([\[{]|true\b|-?\d)"
 
 
-def _falsy_json_null(col: str):
-    """Raw JSON text of a nested part, NULL when the part is absent or empty/falsy."""
+def _nested_json(col: str):
+    """A nested part as JSON text; NULL when it is absent or falsy (empty, null, false, 0).
+
+    The reader keeps the raw text of arrays, objects, numbers and booleans, and
+    the bare characters of a string, which are quoted again here.
+    """
     c = F.col(col)
-    return F.when(c.isNull() | c.isin("[]", "{}", "null", '""', "false", "0"),
-                  F.lit(None).cast("string")).otherwise(c)
+    quoted = F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'^\{"v":(.*)\}$', 1)
+    return F.when(c.isNull() | c.rlike(_FALSY), F.lit(None).cast("string")).when(c.rlike(_JSON_VALUE), c).otherwise(quoted)
+
+
+def malformed_counts(payloads: DataFrame) -> DataFrame:
+    """(video_id, counter, value) of counters that are present but no whole numbers.
+
+    :func:`video_rows` takes them as 0, so a bad view count removes the video
+    from the watchable ones; this is where it can be seen.
+    """
+    v = payloads.select(F.explode("items").alias("v"))
+    counters = ["viewCount", "likeCount", "commentCount"]
+    each = v.select(F.col("v.id").alias("video_id"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("counter"), F.col(f"v.statistics.{c}").alias("value")) for c in counters])).alias("c"))
+    return each.select("video_id", "c.*").where(F.col("value").isNotNull() & F.col("value").try_cast("bigint").isNull())
 
 
 def flatten_trends(payloads: DataFrame) -> DataFrame:
     """Trending-searches pages -> trends rows (links dropped, names joined, epochs parsed)."""
-    t = payloads.select(F.explode("trending_searches").alias("t")).select("t.*")
+    t = payloads.select("captured_at", F.explode("trending_searches").alias("t")).select("captured_at", "t.*")
     return t.select(
         F.col("query"),
         from_epoch("start_timestamp").alias("start_date"),
@@ -51,6 +93,7 @@ def flatten_trends(payloads: DataFrame) -> DataFrame:
         F.col("increase_percentage"),
         join_names("categories", "name").alias("categories"),
         join_names("trend_breakdown").alias("trend_breakdown"),
+        from_epoch("captured_at").alias("captured_at"),
     )
 
 
@@ -60,7 +103,7 @@ def flatten_jobs(payloads: DataFrame, scraped_at: dt.datetime) -> DataFrame:
     nested = ["job_highlights", "extensions", "detected_extensions", "apply_options"]
     return j.select(
         "title", "company_name", "location", "via", "description",
-        *[_falsy_json_null(c).alias(c) for c in nested],
+        *[_nested_json(c).alias(c) for c in nested],
         "job_id",
         ntz_literal(scraped_at).alias("scraped_at"),
     )
@@ -71,8 +114,9 @@ def flatten_posts(payloads: DataFrame, subreddits: DataFrame, as_of: dt.datetime
 
     Subscribers come from the subreddit dimension; one row is kept per post id.
     """
-    p = payloads.select("genre", F.explode("posts").alias("p")).select("genre", "p.*")
+    p = payloads.select("genre", F.posexplode("posts").alias("_at", "p")).select("genre", "_at", "p.*")
     rows = p.select(
+        "_at",
         "genre", "title", F.col("link_flair_text").alias("flair"), "score", "id", "subreddit", "url",
         "num_comments", F.col("selftext").alias("body"), "upvote_ratio",
         F.coalesce(F.col("total_awards_received"), F.lit(0).cast("bigint")).alias("awards"),
@@ -86,24 +130,32 @@ def flatten_posts(payloads: DataFrame, subreddits: DataFrame, as_of: dt.datetime
     subs = subreddits.select("subreddit", F.col("subscribers").cast("bigint").alias("subscribers"))
     with_subs = rows.join(subs, "subreddit", "left")
     out = with_subs.select(
-        *[c for c in schemas.POSTS.fieldNames() if c not in ("engagement_rate", "engagement_intensity")],
+        "_at", *[c for c in schemas.POSTS.fieldNames() if c not in ("engagement_rate", "engagement_intensity")],
         engagement_rate().alias("engagement_rate"),
         engagement_intensity().alias("engagement_intensity"),
     )
-    return keep_one(out, K.KEYS["posts"])
+    # The listing's first occurrence stays, as it is met first.
+    return keep_one(out, K.KEYS["posts"], [F.col("_at"), F.col("genre")]).drop("_at")
 
 
 def video_rows(payloads: DataFrame) -> DataFrame:
-    """Video-detail pages -> one row per item, counts as numbers (missing -> 0)."""
-    v = payloads.select("region_code", F.explode("items").alias("v"))
+    """Video-detail pages -> one row per item, counts as numbers (missing -> 0).
+
+    Pages read without descriptions (``schemas.DETAILS_PAYLOAD``) give rows without them.
+    """
+    snippet = payloads.schema["items"].dataType.elementType["snippet"].dataType
+    described = [F.col("v.snippet.description").alias("description")] if "description" in snippet.fieldNames() else []
+    v = payloads.select("region_code", "captured_at", F.explode("items").alias("v"))
     return v.select(
         "region_code",
+        from_epoch("captured_at").alias("captured_at"),
         F.col("v.id").alias("video_id"),
         F.col("v.snippet.title").alias("title"),
-        F.col("v.snippet.description").alias("description"),
+        *described,
         F.col("v.snippet.channelTitle").alias("channel_title"),
         F.col("v.snippet.categoryId").alias("category_id"),
         F.col("v.snippet.publishedAt").alias("published_at"),
+        parse_iso_ts("v.snippet.publishedAt").alias("published_ts"),
         F.col("v.snippet.tags").alias("tags"),
         F.col("v.contentDetails.duration").alias("duration"),
         int_or_zero("v.statistics.viewCount").alias("view_count"),
@@ -112,20 +164,25 @@ def video_rows(payloads: DataFrame) -> DataFrame:
     )
 
 
-def _watchable(df: DataFrame) -> DataFrame:
-    return df.where((F.col("duration_secs") >= K.MIN_DURATION_SECS) & (F.col("view_count") >= K.MIN_VIEWS))
+def newest_first() -> list:
+    """The order of a dedupe in which the newest capture wins."""
+    return [F.col("captured_at").desc_nulls_last()]
 
 
 def flatten_popular(payloads: DataFrame, categories: DataFrame, countries: DataFrame,
                     regions: DataFrame) -> DataFrame:
-    """Most-popular pages per country -> popular-video rows with country, region and category names."""
+    """Most-popular pages per country -> popular-video rows with country, region and category names.
+
+    Category titles are looked up per country (``categories``: country_code,
+    category_id, category_title), as each country has its own list.
+    """
     v = video_rows(payloads).withColumnRenamed("region_code", "country_code")
     v = lookup(v, countries, on="country_code", value="country_name")
     v = lookup(v, regions, on="country_code", value="region")
-    v = lookup(v, categories, on="category_id", value="category_title", out="category_name")
+    v = lookup(v, categories, on=["country_code", "category_id"], value="category_title", out="category_name")
     v = tags_text(v, "tags").withColumn("duration_secs", iso_duration_secs("duration"))
-    out = _watchable(v).select(*schemas.POPULAR.fieldNames())
-    return keep_one(out, K.KEYS["popular"])
+    out = watchable(v).select(*schemas.POPULAR.fieldNames())
+    return keep_one(out, K.KEYS["popular"], newest_first())
 
 
 def search_hits(payloads: DataFrame) -> DataFrame:
@@ -139,13 +196,19 @@ def flatten_keyword_videos(hits: DataFrame, stats: DataFrame, categories: DataFr
                            region_code: str = "KE") -> DataFrame:
     """Keyword search hits x video details -> keyword-video rows (watchable only).
 
-    Details are reduced to one row per video before the join, so each hit
-    matches at most once; hits without details drop out.
+    Details are cut to the stored columns and reduced to one row per video (the
+    newest capture) before the join, so each hit matches at most once; hits
+    without details drop out.
     """
-    details = keep_one(video_rows(stats).drop("region_code"), ["video_id"])
+    rows = video_rows(stats).drop("region_code", "description")
+    return join_keyword_videos(hits, keep_one(rows, ["video_id"], newest_first()), categories, region_code)
+
+
+def join_keyword_videos(hits: DataFrame, details: DataFrame, categories: DataFrame, region_code: str = "KE") -> DataFrame:
+    """Search pages x one details row per video (as :func:`video_rows` has them) -> keyword-video rows."""
     joined = attach_stats(search_hits(hits), details, "video_id")
     joined = lookup(joined, categories, on="category_id", value="category_title", out="category_name")
     joined = (tags_text(joined, "tags")
               .withColumn("duration_secs", iso_duration_secs("duration"))
               .withColumn("region_code", F.lit(region_code)))
-    return _watchable(joined).select(*schemas.KEYWORD_VIDEOS.fieldNames())
+    return watchable(joined).select(*schemas.KEYWORD_VIDEOS.fieldNames())

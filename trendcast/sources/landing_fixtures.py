@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from trendcast.functions.timeparts import epoch_seconds
 from trendcast.session import shared_dir
-from trendcast.sources.fixtures import POSTS_COLUMNS, TRENDS_COLUMNS, VIDEO_COLUMNS
+from trendcast.sources.fixtures import CATEGORY_ID, POSTS_COLUMNS, TRENDS_COLUMNS, VIDEO_COLUMNS
 from trendcast.sources.tables import read_table
 
+# When the pages were fetched: the first capture of a day, and a later one.
+FIRST_CAPTURE, SECOND_CAPTURE = 1706659200, 1706673600
+
 # Orders per landed page: pages are bounded by a key range, never by a whole group.
 PAGE_ORDERS = 2000
 
@@ -43,12 +46,12 @@ def land(df: DataFrame, name: str, key: tuple | None = None) -> str:
 
 
 def trends_pages(spark: SparkSession, sf_dir: str, where: str | None = None,
-                 rescrape_views: bool = False) -> DataFrame:
+                 rescrape_views: bool = False, captured_at: int = FIRST_CAPTURE) -> DataFrame:
     """Trending-searches pages from the events table.
 
     ``where`` keeps a time slice (a scrape's look-back); ``rescrape_views`` is a
     later capture of the 'view' trends, now ended (inactive, end = start + 2 h
-    when it had none).
+    when it had none). ``captured_at`` stamps the pages; a later one has larger volumes.
     """
     ev = read_table(spark, sf_dir, "events").selectExpr(*TRENDS_COLUMNS, "event_id", "event_type",
                                                        "event_id div 1000 as page")
@@ -66,14 +69,25 @@ def trends_pages(spark: SparkSession, sf_dir: str, where: str | None = None,
         _epoch_secs("start_date").cast("string").alias("start_timestamp"),
         end_text.alias("end_timestamp"),
         F.col("active"),
-        F.col("search_volume"),
+        (F.col("search_volume") + (0 if captured_at == FIRST_CAPTURE else 7)).alias("search_volume"),
         F.col("increase_percentage"),
         F.transform(F.split("categories", ", "),
                     lambda x: F.struct(F.lit(7).alias("id"), x.alias("name"))).alias("categories"),
         F.split("trend_breakdown", ", ").alias("trend_breakdown"),
         F.concat(F.lit("trends?q="), F.col("query")).alias("serpapi_google_trends_link"),
     )
-    return ev.groupBy("page").agg(F.collect_list(item).alias("trending_searches")).drop("page")
+    return ev.groupBy("page").agg(F.lit(captured_at).cast("bigint").alias("captured_at"),
+                                  F.collect_list(item).alias("trending_searches")).drop("page")
+
+
+def damaged_trends_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as JSON text: of every three by number one is cut off in the middle, one has a
+    volume with letters in it, and one is sound."""
+    pages = trends_pages(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+    kind = F.get_json_object("value", "$.trending_searches[0].start_timestamp").cast("bigint") % 3
+    return pages.select(F.when(kind == 0, F.expr("left(value, length(value) div 2)"))
+                        .when(kind == 1, F.regexp_replace("value", r'"search_volume":(\d+)', r'"search_volume":"$1K+"'))
+                        .otherwise(F.col("value")).alias("value"))
 
 
 def jobs_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,12 +139,15 @@ def posts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _video_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem").selectExpr(
         *VIDEO_COLUMNS, "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus",
-        "cast(l_partkey as string) as category_id", "cast(l_suppkey % 25 as string) as country_code")
+        CATEGORY_ID, "cast(l_suppkey % 30 as string) as country_code")
 
 
-def _video_item():
+def _video_item(later: bool = False):
+    """An item of a details page; ``later`` is a second capture, with more views."""
+    views = F.col("view_count") + (5000 if later else 0)
     return F.struct(
-        F.col("video_id").alias("id"),
+        # Details of returned lines come back under an id that no search has given.
+        F.when(F.col("l_returnflag") == "R", F.concat(F.lit("gone_"), F.col("video_id"))).otherwise(F.col("video_id")).alias("id"),
         F.struct(
             F.concat(F.lit("video "), F.col("video_id")).alias("title"),
             F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("description"),
@@ -140,7 +157,7 @@ def _video_item():
             F.split(F.lower(F.col("keyword")), " ").alias("tags"),
         ).alias("snippet"),
         F.struct(
-            F.col("view_count").cast("string").alias("viewCount"),
+            views.cast("string").alias("viewCount"),
             F.when(F.col("like_count") % 10 != 0, F.col("like_count").cast("string")).alias("likeCount"),
             F.col("comment_count").cast("string").alias("commentCount"),
         ).alias("statistics"),
@@ -151,7 +168,7 @@ def _video_item():
 def popular_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _video_source(spark, sf_dir).withColumn("page", F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)))
     return (v.groupBy(F.col("country_code").alias("region_code"), "page")
-            .agg(F.collect_list(_video_item()).alias("items")).drop("page"))
+            .agg(F.lit(FIRST_CAPTURE).cast("bigint").alias("captured_at"), F.collect_list(_video_item()).alias("items")).drop("page"))
 
 
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,11 +181,11 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Video details; returned ('R') items are missing, first lines are fetched twice."""
-    v = _video_source(spark, sf_dir).where(F.col("l_returnflag") != "R")
-    once = v.withColumn("page", F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)))
-    again = v.where(F.col("l_linenumber") == 1).withColumn(
-        "page", -F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)) - F.lit(1))
-    return (once.unionByName(again).groupBy("page")
-            .agg(F.lit("KE").alias("region_code"), F.collect_list(_video_item()).alias("items"))
-            .drop("page"))
+    """Video details; second lines are fetched again later, with more views."""
+    v = _video_source(spark, sf_dir)
+    page = F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS))
+    once = v.groupBy(page.alias("page")).agg(F.lit(FIRST_CAPTURE).cast("bigint").alias("captured_at"),
+                                             F.collect_list(_video_item()).alias("items"))
+    again = v.where(F.col("l_linenumber") == 2).groupBy(page.alias("page")).agg(
+        F.lit(SECOND_CAPTURE).cast("bigint").alias("captured_at"), F.collect_list(_video_item(later=True)).alias("items"))
+    return once.unionByName(again).withColumn("region_code", F.lit("KE")).drop("page")

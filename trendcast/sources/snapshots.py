@@ -1,18 +1,25 @@
-"""Monthly cumulative snapshots as one parquet folder partitioned by ``snapshot_month``.
+"""Monthly cumulative snapshots as manifests over day-partitioned, immutable parquet.
 
-Each month partition holds the whole history as of that month (the monthly
-table of the original design); reading a month is a pruned scan of one
-partition directory. Writes append new files, or replace one month through a
-staged copy and a dynamic partition overwrite — the old month stays readable
-until the new one is committed, and no other month is touched.
+A month's snapshot holds the whole history as of that month. Rows are written
+once, below ``data/v=<version>/day=<day>``; a month is an entry in a manifest
+that lists, per day, the versions that make it up. Rolling a month over copies
+manifest entries, not rows; a compaction rewrites only the days that got new
+rows since the last one.
+
+Every change writes a new manifest file with the next number, under a temporary
+name that is then renamed: readers see the old state or the new one. What a
+failed run has written is in no manifest, is never read, and goes with
+:meth:`SnapshotStore.vacuum`.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
 import uuid
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +27,8 @@ from pyspark.sql import types as T
 from trendcast.functions.timeparts import add_months, month_tag
 
 MONTH_COL = "snapshot_month"
+NO_DAY = "none"
+_DAY, _VERSION = "_day", "_v"
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -34,102 +43,205 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 class SnapshotStore:
-    """A parquet folder partitioned by one string column (the month tag by default)."""
+    """Snapshots of one dataset.
+
+    ``day_col`` names the timestamp whose UTC day partitions the rows (NULL goes
+    to a day of its own); without one all rows form a single partition. ``grain``
+    may be coarser than a day where few rows come each day over many years.
+    """
 
-    def __init__(self, spark: SparkSession, base: str, schema: T.StructType, part_col: str = MONTH_COL):
+    def __init__(self, spark: SparkSession, base: str, schema: T.StructType, day_col: str | None = None,
+                 grain: str = "yyyy_MM_dd", part_col: str = MONTH_COL):
         self.spark = spark
         self.base = base.rstrip("/")
         self.schema = schema
+        self.day_col = day_col
+        self.grain = grain
         self.part_col = part_col
-        self.stored_schema = T.StructType(list(schema.fields) + [T.StructField(part_col, T.StringType())])
 
     # -- reads ------------------------------------------------------------------------
     def scan(self) -> DataFrame:
-        """All months; an absent store reads as empty."""
-        try:
-            return self.spark.read.schema(self.stored_schema).parquet(self.base)
-        except AnalysisException:
-            return self.spark.createDataFrame([], self.stored_schema)
+        """All months with their tag; an absent store reads as empty."""
+        tagged = [self.load(m).withColumn(self.part_col, F.lit(m)) for m in self.months()]
+        empty = self._empty().withColumn(self.part_col, F.lit(None).cast("string"))
+        return reduce(DataFrame.unionByName, tagged) if tagged else empty
 
     def load(self, month: str) -> DataFrame:
-        """One month (partition-pruned scan); a month never written reads as empty."""
-        return self.scan().where(F.col(self.part_col) == month).drop(self.part_col)
+        """One month; a month never written reads as empty."""
+        return self._read(self._manifest()["months"].get(month, {}))
+
+    def load_days(self, month: str, days: list[str]) -> DataFrame:
+        entries = self._manifest()["months"].get(month, {})
+        return self._read({d: entries[d] for d in days if d in entries})
 
     def row_counts(self) -> DataFrame:
         return self.scan().groupBy(self.part_col).agg(F.count(F.lit(1)).alias("row_count"))
 
-    # -- writes -----------------------------------------------------------------------
-    def _balanced(self, df: DataFrame) -> DataFrame:
-        """Cluster rows by partition before a write into many partitions: AQE merges
-        small pieces and splits a hot partition, so files come out near the
-        advisory size instead of one file per task and partition. A write into a
-        single month needs no such shuffle: it already makes one file per task."""
-        return df.hint("rebalance", self.part_col)
+    def months(self) -> list[str]:
+        return sorted(m for m, days in self._manifest()["months"].items() if days)
+
+    def days(self, month: str) -> list[str]:
+        return sorted(self._manifest()["months"].get(month, {}))
+
+    def day_of(self):
+        """The partition of a row, as a column expression."""
+        if self.day_col is None:
+            return F.lit(NO_DAY)
+        return F.coalesce(F.date_format(self.day_col, self.grain), F.lit(NO_DAY))
 
+    # -- writes -----------------------------------------------------------------------
     def append(self, df: DataFrame, month: str) -> None:
-        (conform(df, self.schema).withColumn(self.part_col, F.lit(month))
-         .write.mode("append").partitionBy(self.part_col).parquet(self.base))
-
-    def load_parts(self, parts: list[str]) -> DataFrame:
-        """Several partitions, partition column kept (pruned scan)."""
-        return self.scan().where(F.col(self.part_col).isin(parts))
-
-    def replace_parts(self, df: DataFrame) -> None:
-        """Swap every partition present in ``df`` (which carries the partition column)
-        in one staged write and one dynamic partition overwrite."""
-        staging = f"{self.base}/_staging/{uuid.uuid4().hex}"
-        cols = [f.name for f in self.stored_schema.fields]
-        self._balanced(df.select(*cols)).write.partitionBy(self.part_col).parquet(staging)
-        staged = self.spark.read.schema(self.stored_schema).parquet(staging)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.part_col).parquet(self.base))
-        self._delete(staging)
+        """Add rows to a month: one write, then one manifest."""
+        version, days = self._write(df)
+
+        def add(state: dict) -> None:
+            entries = state["months"].setdefault(month, {})
+            for d in days:
+                entries.setdefault(d, []).append(version)
+        self._commit(add)
+
+    def append_by_month(self, df: DataFrame) -> None:
+        """Add rows to the months of their own days, in one write."""
+        version, days = self._write(df)
+
+        def add(state: dict) -> None:
+            for d in days:
+                month = d if d == NO_DAY else month_tag(dt.date(int(d[:4]), int(d[5:7]), 1))
+                state["months"].setdefault(month, {}).setdefault(d, []).append(version)
+        self._commit(add)
 
     def replace(self, df: DataFrame, month: str) -> None:
-        """Swap one month for ``df`` (which may be computed from that month).
+        """Swap a month for ``df``, which may be computed from it; an empty ``df`` removes the month."""
+        version, days = self._write(df)
 
-        ``df`` is first written to a staging folder (hidden by its leading
-        underscore), so the read of the old month finishes before the swap;
-        the swap is a dynamic partition overwrite of that month only. An empty
-        ``df`` removes the month (a dynamic overwrite would leave it in place).
-        """
-        staging = f"{self.base}/_staging/{uuid.uuid4().hex}"
-        conform(df, self.schema).withColumn(self.part_col, F.lit(month)).write.parquet(staging)
-        staged = self.spark.read.schema(self.stored_schema).parquet(staging)
-        if staged.isEmpty():
-            self._delete(f"{self.base}/{self.part_col}={month}")
-        else:
-            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(self.part_col).parquet(self.base))
-        self._delete(staging)
+        def swap(state: dict) -> None:
+            state["months"][month] = {d: [version] for d in days}
+        self._commit(swap)
 
-    # -- retention --------------------------------------------------------------------
-    def months(self) -> list[str]:
-        """Month partitions present, read from the folder listing (no data scan)."""
-        fs, path = self._fs(self.base)
-        if not fs.exists(path):
-            return []
-        prefix = f"{self.part_col}="
-        names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-        return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
+    def replace_days(self, df: DataFrame, month: str, days: list[str], compacted: bool = False) -> None:
+        """Swap the rows of some days of a month for ``df`` (all of whose rows lie in these days)."""
+        version, written = self._write(df)
+        if not set(written) <= set(days):
+            raise ValueError("rows outside the days that are replaced")
+
+        def swap(state: dict) -> None:
+            entries = state["months"].setdefault(month, {})
+            for d in days:
+                entries.pop(d, None)
+            entries.update({d: [version] for d in written})
+            if compacted:
+                state["compacted"].append(version)
+        self._commit(swap)
 
+    def carry(self, source: str, target: str, days: list[str] | None = None) -> None:
+        """Let month ``target`` start from (some days of) month ``source``: a manifest entry, no rows are moved."""
+        def copy(state: dict) -> None:
+            into = state["months"].setdefault(target, {})
+            for d, versions in state["months"].get(source, {}).items():
+                if days is None or d in days:
+                    into[d] = into.get(d, []) + [v for v in versions if v not in into.get(d, [])]
+        self._commit(copy)
+
+    def uncompacted_days(self, month: str) -> list[str]:
+        """Days of a month that hold rows no compaction has seen together."""
+        state = self._manifest()
+        done = set(state["compacted"])
+        return sorted(d for d, versions in state["months"].get(month, {}).items()
+                      if len(versions) > 1 or versions[0] not in done)
+
+    # -- retention --------------------------------------------------------------------
     def expire(self, as_of: dt.datetime, days: int) -> list[str]:
-        """Drop month partitions whose month ended more than ``days`` before ``as_of``."""
-        cutoff = as_of - dt.timedelta(days=days)
-        dropped = []
-        for m in self.months():
-            start = dt.datetime.strptime(m, "%Y_%b")
-            if add_months(start, 1) <= cutoff.replace(hour=0, minute=0, second=0, microsecond=0):
-                self._delete(f"{self.base}/{self.part_col}={m}")
-                dropped.append(m)
+        """Drop months that ended more than ``days`` before ``as_of``; other tags than months stay."""
+        cutoff = (as_of - dt.timedelta(days=days)).replace(hour=0, minute=0, second=0, microsecond=0)
+        dropped = [m for m in self.months() if re.fullmatch(r"\d{4}_[a-z]{3}", m)
+                   and add_months(dt.datetime.strptime(m, "%Y_%b"), 1) <= cutoff]
+        if dropped:
+            self._commit(lambda state: [state["months"].pop(m) for m in dropped])
         return dropped
 
+    def vacuum(self) -> list[str]:
+        """Delete versions that no month refers to (of expired months, replaced days, failed runs).
+
+        Run it when no writer and no reader of an older state is active.
+        """
+        state = self._manifest()
+        used = {v for days in state["months"].values() for versions in days.values() for v in versions}
+        gone = [v for v in self._list(f"{self.base}/data", f"{_VERSION}=") if v not in used]
+        for v in gone:
+            self._delete(f"{self.base}/data/{_VERSION}={v}")
+        return gone
+
+    def drop(self) -> None:
+        """Delete the whole store."""
+        self._delete(self.base)
+
+    # -- storage ----------------------------------------------------------------------
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
+
+    def _read(self, entries: dict[str, list[str]]) -> DataFrame:
+        paths = [f"{self.base}/data/{_VERSION}={v}/{_DAY}={d}" for d, versions in sorted(entries.items()) for v in versions]
+        if not paths:
+            return self._empty()
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def _write(self, df: DataFrame) -> tuple[str, list[str]]:
+        """Write rows as a new version; the version and the days it has."""
+        version = uuid.uuid4().hex
+        path = f"{self.base}/data/{_VERSION}={version}"
+        rows = conform(df, self.schema).withColumn(_DAY, self.day_of())
+        # AQE merges small days and splits a hot one, so files come out near the advisory size.
+        (rows.hint("rebalance", _DAY) if self.day_col else rows).write.partitionBy(_DAY).parquet(path)
+        return version, self._list(path, f"{_DAY}=")
+
+    def _manifest(self) -> dict:
+        numbers = self._manifest_numbers()
+        if not numbers:
+            return {"months": {}, "compacted": []}
+        fs, path = self._fs(f"{self.base}/manifest/{numbers[-1]:012d}.json")
+        stream = fs.open(path)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    def _manifest_numbers(self) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n in self._list(f"{self.base}/manifest", "") if n.endswith(".json"))
+
+    def _commit(self, change) -> None:
+        """Apply ``change`` to the newest manifest and publish the result under the next number."""
+        state = self._manifest()
+        change(state)
+        state["compacted"] = sorted({v for v in state["compacted"] for days in state["months"].values()
+                                     for versions in days.values() if v in versions})
+        numbers = self._manifest_numbers()
+        target = f"{self.base}/manifest/{(numbers[-1] if numbers else 0) + 1:012d}.json"
+        fs, temporary = self._fs(f"{self.base}/manifest/_{uuid.uuid4().hex}.tmp")
+        stream = fs.create(temporary, True)
+        try:
+            stream.write(bytearray(json.dumps(state).encode()))
+        finally:
+            stream.close()
+        _, path = self._fs(target)
+        if fs.exists(path) or not fs.rename(temporary, path):
+            fs.delete(temporary, False)
+            raise RuntimeError(f"another writer published {target} first; run again")
+
     # -- file system ------------------------------------------------------------------
     def _fs(self, p: str):
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(p)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
+    def _list(self, p: str, prefix: str) -> list[str]:
+        """Names in a folder that start with ``prefix``, without it; an absent folder has none."""
+        fs, path = self._fs(p)
+        if not fs.exists(path):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(path)]
+        return sorted(n[len(prefix):] for n in names if n.startswith(prefix) and not n.startswith(("_SUCCESS", ".")))
+
     def _delete(self, p: str) -> None:
         fs, path = self._fs(p)
         fs.delete(path, True)

@@ -2,114 +2,146 @@
 
 Each run processes the files that arrived since the previous run
 (``trigger(availableNow=True)`` with a checkpoint in the shared folder) — the
-streaming form of a scheduled scrape-and-load.
-
-* ``stream_upsert``: keyed replace into a day-partitioned table, so a later
-  capture of the same trend (now ended) replaces the earlier one.
-* ``stream_dedupe``: append-only overlap removal with bounded state: a key seen
-  within the watermark delay is dropped, older state is evicted.
-* ``stream_category_pulse``: tumbling local-day windows per category, emitted
-  once the watermark has passed the end of the day.
+streaming form of a scheduled scrape-and-load. A run takes the files in
+micro-batches of ``max_bytes``, so a backfill is many bounded batches.
+
+* ``stream_upsert``: keyed replace into a day-partitioned store, so a later
+  capture of the same trend (now ended) replaces the earlier one. Pages that do
+  not fit the schema go to a reject folder.
+* ``stream_category_pulse``: the same, and the day counts of every local day that
+  a batch touches are computed again from the stored rows: overlapping captures
+  count once, late rows count, and the open day is there as far as it goes.
+* ``stream_dedupe``: append-only overlap removal with bounded state.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendcast import constants as K
-from trendcast.functions.timeparts import instant_to_ntz, ntz_to_instant, to_local
+from trendcast.functions.timeparts import ntz_to_instant, to_local
 from trendcast.operators.dedupe import keep_one
-from trendcast.sources.snapshots import SnapshotStore
+from trendcast.session import shared_dir
+from trendcast.sources.landing import CORRUPT, rejected_pages, with_corrupt_column
+from trendcast.sources.snapshots import NO_DAY, SnapshotStore
 
 BATCH_COL = "ingest_batch"
+TABLE = "all"
+MAX_BYTES_PER_TRIGGER = 10 << 30
 
 
-def _source(spark: SparkSession, landing: str, schema: T.StructType,
-            flatten: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    return flatten(spark.readStream.schema(schema).json(landing))
+def source(spark: SparkSession, landing: str, schema: T.StructType,
+           max_bytes: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
+    return (spark.readStream.schema(with_corrupt_column(schema)).option("columnNameOfCorruptRecord", CORRUPT)
+            .option("maxBytesPerTrigger", max_bytes).json(landing))
 
 
-def day_tag(col) -> Column:
-    """'2024_01_31' tag of the (UTC) day of a timestamp: the upsert partition."""
-    return F.date_format(F.col(col) if isinstance(col, str) else col, "yyyy_MM_dd")
+def run_available(pages: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Process what has arrived, batch by batch, and stop."""
+    (pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
 
 
-def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType,
-                  flatten: Callable[[DataFrame], DataFrame], target: SnapshotStore, keys: list[str],
-                  ts_col: str, checkpoint: str,
-                  partition_of: Callable[[str], Column] = day_tag) -> None:
-    """One incremental run: new landed files -> keyed replace into ``target``.
-
-    ``target`` is partitioned by ``partition_of(ts_col)`` (days by default);
-    per micro-batch only the partitions the batch touches are rewritten (a
-    scrape with a 7-day look-back touches about 8 days), and inside a
-    partition the newest batch wins for a key. Keys must determine the
-    partition (here: the key holds the timestamp).
+def merge_batch(rows: DataFrame, batch_id: int, target: SnapshotStore, keys: list[str], table: str = TABLE) -> list[str]:
+    """Keyed replace of one batch into ``target``; the newest batch wins. Returns the days touched.
+
+    The batch is written once as a version of its own, which gives its days
+    without another pass; then the touched days are merged and replaced. A NULL
+    day is a day like any other. Keys fix the day.
     """
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        stamped = (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-                   .withColumn(target.part_col, partition_of(ts_col))
-                   .persist(StorageLevel.MEMORY_AND_DISK))
-        parts = [r[0] for r in stamped.select(target.part_col).distinct().collect()]  # a few day tags
-        if parts:
-            merged = keep_one(target.load_parts(parts).unionByName(stamped), keys,
-                              [F.col(BATCH_COL).desc_nulls_last()])
-            target.replace_parts(merged)
-        stamped.unpersist()
-
-    q = (_source(spark, landing, schema, flatten).writeStream
-         .foreachBatch(upsert)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    staged = SnapshotStore(target.spark, shared_dir(target.spark, "micro_batches", fresh=True), target.schema, target.day_col)
+    staged.append(rows.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), table)
+    days = staged.days(table)
+    if days:
+        merged = target.load_days(table, days).unionByName(staged.load(table))
+        target.replace_days(keep_one(merged, keys, [F.col(BATCH_COL).desc_nulls_last()]), table, days, compacted=True)
+    staged.drop()
+    return days
 
 
-def stream_dedupe(spark: SparkSession, landing: str, schema: T.StructType,
-                  flatten: Callable[[DataFrame], DataFrame], keys: list[str], ts_col: str,
-                  delay: str, sink: str, checkpoint: str) -> None:
-    """One incremental run: drop keys already seen within ``delay`` of event time, append the rest."""
-    rows = _source(spark, landing, schema, flatten).withColumn("_event_ts", ntz_to_instant(ts_col))
-    deduped = rows.withWatermark("_event_ts", delay).dropDuplicatesWithinWatermark(keys).drop("_event_ts")
-    q = (deduped.writeStream.format("parquet").outputMode("append")
-         .option("path", sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, items: str,
+                  flatten: Callable[[DataFrame], DataFrame], target: SnapshotStore, keys: list[str],
+                  checkpoint: str, rejects: str | None = None, max_bytes: int = MAX_BYTES_PER_TRIGGER,
+                  after: Callable[[list[str]], None] | None = None) -> None:
+    """One incremental run: new landed pages -> keyed replace into ``target``.
+
+    ``items`` names the pages' array; pages that do not fit ``schema`` are
+    appended to ``rejects`` (payload, lost) if it is given. ``after`` is called
+    with the days each batch touched. A batch that is run again after a failure
+    replaces its days by the same rows; rejects may then occur twice.
+    """
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if rejects:
+            rejected_pages(batch, items).write.mode("append").parquet(rejects)
+        days = merge_batch(flatten(batch), batch_id, target, keys)
+        if after and days:
+            after(days)
 
+    run_available(source(spark, landing, schema, max_bytes), each, checkpoint)
 
-def category_day_windows(rows: DataFrame, ts_col: str = "start_date", delay: str = "1 hour",
-                         utc_offset_hours: int = K.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
-    """Per category and local day: counts and volume.
 
-    Tumbling one-day windows shifted so they start at local midnight (for UTC+3
-    that is 21:00 UTC); a fixed offset is right for zones without DST.
-    """
-    day_start_utc_hours = (24 - utc_offset_hours) % 24
-    ts = rows.withColumn("_event_ts", ntz_to_instant(ts_col)).withWatermark("_event_ts", delay)
-    agg = ts.groupBy(F.window("_event_ts", "1 day", startTime=f"{day_start_utc_hours} hours"),
-                     "categories").agg(
+def category_days(rows: DataFrame, ts_col: str = "start_date") -> DataFrame:
+    """Per category and local day: counts and volume. A row without a time belongs to no day."""
+    local = rows.withColumn("trend_date", F.to_date(to_local(ts_col, K.LOCAL_TZ))).where("trend_date is not null")
+    return local.groupBy("categories", "trend_date").agg(
         F.count(F.lit(1)).alias("total_keywords"),
         F.sum("search_volume").alias("total_search_volume"),
         F.max("search_volume").alias("peak_search_volume"),
     )
-    start = instant_to_ntz(F.col("window.start"))
-    return agg.select(
-        "categories",
-        F.to_date(to_local(start, K.LOCAL_TZ)).alias("trend_date"),
-        "total_keywords", "total_search_volume", "peak_search_volume",
-    )
 
 
-def stream_category_pulse(spark: SparkSession, landing: str, schema: T.StructType,
-                          flatten: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
-                          delay: str = "1 hour") -> None:
-    rows = _source(spark, landing, schema, flatten)
-    q = (category_day_windows(rows, delay=delay).writeStream.format("parquet").outputMode("append")
+PULSE = T.StructType([T.StructField("categories", T.StringType()), T.StructField("trend_date", T.DateType()),
+                      T.StructField("total_keywords", T.LongType()), T.StructField("total_search_volume", T.LongType()),
+                      T.StructField("peak_search_volume", T.LongType())])
+
+
+def _around(days: list[str]) -> tuple[list[dt.date], list[str]]:
+    """The local days that rows of these UTC days may fall in, and the UTC days these are made of.
+
+    No zone is more than 14 hours from UTC, so a neighbouring day on either side is enough.
+    """
+    utc = [dt.datetime.strptime(d, "%Y_%m_%d").date() for d in days if d != NO_DAY]
+    near = lambda ds: sorted({d + dt.timedelta(n) for d in ds for n in (-1, 0, 1)})
+    local = near(utc)
+    return local, [d.strftime("%Y_%m_%d") for d in near(local)]
+
+
+def refresh_pulse(target: SnapshotStore, pulse: SnapshotStore, days: list[str], ts_col: str = "start_date") -> None:
+    """Compute the day counts around the touched days again and replace them in ``pulse`` (by ``trend_date``)."""
+    local, utc = _around(days)
+    if local:
+        fresh = category_days(target.load_days(TABLE, utc), ts_col).where(F.col("trend_date").isin(local))
+        pulse.replace_days(fresh, TABLE, [d.strftime("%Y_%m_%d") for d in local])
+
+
+def stream_category_pulse(spark: SparkSession, landing: str, schema: T.StructType, items: str,
+                          flatten: Callable[[DataFrame], DataFrame], target: SnapshotStore, pulse: SnapshotStore,
+                          keys: list[str], checkpoint: str, rejects: str | None = None) -> None:
+    """One incremental run: rows into ``target`` by key, their days' counts into ``pulse``."""
+    stream_upsert(spark, landing, schema, items, flatten, target, keys, checkpoint, rejects,
+                  after=lambda days: refresh_pulse(target, pulse, days))
+
+
+def stream_dedupe(spark: SparkSession, landing: str, schema: T.StructType,
+                  flatten: Callable[[DataFrame], DataFrame], keys: list[str], ts_col: str,
+                  delay: str, sink: str, checkpoint: str, max_bytes: int = MAX_BYTES_PER_TRIGGER) -> int:
+    """One incremental run: drop keys already seen within ``delay`` of event time, append the rest.
+
+    ``delay`` bounds the state, and with it what can be told apart: rows that
+    come more than ``delay`` behind the newest event time are dropped as late,
+    new keys among them. The run returns how many these were; where none may be
+    lost, use :func:`stream_upsert`, which keeps no state. Rows of one key in
+    one micro-batch meet in one task.
+    """
+    rows = flatten(source(spark, landing, schema, max_bytes)).withColumn("_event_ts", ntz_to_instant(ts_col))
+    deduped = rows.withWatermark("_event_ts", delay).dropDuplicatesWithinWatermark(keys).drop("_event_ts")
+    q = (deduped.writeStream.format("parquet").outputMode("append")
          .option("path", sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
