@@ -28,13 +28,13 @@ def ntz_literal(value: dt.datetime | str) -> Column:
 def duration_hours(start="start_date", end="end_date", as_of: dt.datetime | None = None) -> Column:
     """Whole hours from start to end (NULL end = still running until ``as_of``), truncated.
 
-    Measured between UTC instants: a difference of NTZ values would be taken
-    in the session time zone and lose or gain an hour across a DST change.
+    The difference of two NTZ values takes part in no time zone: an hour is an
+    hour across a DST change of the session zone.
     """
     end_col = _c(end)
     if as_of is not None:
         end_col = F.coalesce(end_col, ntz_literal(as_of))
-    return F.timestamp_diff("HOUR", ntz_to_instant(_c(start)), ntz_to_instant(end_col))
+    return (end_col - _c(start)).cast("interval hour").cast("bigint")
 
 
 def to_local(ts="start_date", tz: str = K.LOCAL_TZ) -> Column:
@@ -113,20 +113,14 @@ def parse_iso_ts(col) -> Column:
     return F.when(zoned, instant_to_ntz(c.try_cast("timestamp"))).otherwise(c.try_cast("timestamp_ntz"))
 
 
-_EPOCH_DATE = dt.date(1970, 1, 1)
-
-
 def epoch_micros(col) -> Column:
     """UTC wall time (TIMESTAMP_NTZ) -> microseconds since 1970-01-01 00:00 UTC.
 
-    Plain arithmetic on the value's own fields (days, hour, minute, second):
-    no time zone takes part, unlike a cast of NTZ to TIMESTAMP, which reads the
-    value in the session zone.
+    From the difference to the epoch as NTZ values: no time zone takes part,
+    unlike a cast of NTZ to TIMESTAMP, which reads the value in the session zone.
     """
-    c = _c(col)
-    days = F.datediff(F.to_date(c), F.lit(_EPOCH_DATE)).cast("bigint")
-    whole = days * F.lit(86400) + F.hour(c) * F.lit(3600) + F.minute(c) * F.lit(60)
-    return whole * F.lit(1000000) + (F.date_part(F.lit("SECOND"), c) * F.lit(1000000)).cast("bigint")
+    since = _c(col) - F.expr(_EPOCH)
+    return (since.cast("interval second").cast("decimal(38,6)") * F.lit(1000000)).cast("bigint")
 
 
 def ntz_to_instant(col) -> Column:
