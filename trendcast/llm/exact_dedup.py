@@ -7,7 +7,7 @@ passes straight through; only the others ("possibly repeated") are shuffled by
 their exact digest. A false positive costs a shuffled row, never a result.
 
 Everything is DataFrame expressions. The filter that is broadcast holds one bit
-per cell, packed 32 to an integer, so it is at most ``MAX_BITS / 32`` rows of 12
+per cell, packed 32 to an integer, so it is at most ``bloom.MAX_BITS / 32`` rows of 12
 bytes whatever the input; beyond that size the filter just lets more rows through
 to the exact shuffle.
 """
@@ -17,20 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendcast.llm import bloom
 from trendcast.llm.common import SPACE_CLASS, materialize, table, text_or_empty
 
 BITS_PER_ROW = 16
-MAX_BITS = 1 << 26
 HASHES = 2
 
 
-def _filter_bits(rows: int, bits_per_row: int, max_bits: int) -> int:
-    bits = 1 << 12
-    while bits < rows * bits_per_row and bits < max_bits:
-        bits *= 2
-    return bits
-
-
 def text_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_sha256) of the text with each run of white space as one blank; null is empty."""
     normal = F.regexp_replace(text_or_empty(text_col), f"{SPACE_CLASS}+", " ")
@@ -42,8 +35,7 @@ def repeated_cells(keys: DataFrame, bits: int, hashes: int) -> DataFrame:
     cells = keys.select(F.explode(F.array(*_cells(bits, hashes))).alias("cell"))
     # The partial aggregate runs before the shuffle, so a hot text sends one row per task.
     twice = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return (twice.select(F.shiftright("cell", 5).alias("word"), F.expr("shiftleft(1L, cast(cell & 31 as int))").alias("bit"))
-            .groupBy("word").agg(F.bit_or("bit").alias("mask")))
+    return bloom.bit_words(twice)
 
 
 def _cells(bits: int, hashes: int):
@@ -66,7 +58,7 @@ def probe(keys: DataFrame, cells: DataFrame, bits: int, hashes: int) -> DataFram
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                bits_per_row: int = BITS_PER_ROW, max_bits: int = MAX_BITS, hashes: int = HASHES) -> DataFrame:
+                bits_per_row: int = BITS_PER_ROW, max_bits: int = bloom.MAX_BITS, hashes: int = HASHES) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after each run of white space became one
@@ -80,7 +72,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not 1 <= hashes <= 4:
         raise ValueError("hashes must be 1 to 4: each takes 15 digits of the digest")
     keys = materialize(text_keys(docs, id_col, text_col), "exact_dedup_keys")
-    bits = _filter_bits(keys.count(), bits_per_row, max_bits)
+    bits = bloom.filter_bits(keys.count(), bits_per_row, max_bits)
     flagged = probe(keys, repeated_cells(keys, bits, hashes), bits, hashes)
 
     alone = flagged.filter(~F.col("maybe")).select(
