@@ -45,6 +45,15 @@ def test_ann_recall_and_exact_scores(spark, monkeypatch):
         assert all(exact[a] == s for a, s in got[q] if a in exact)
 
 
+def test_ann_finds_k_where_the_near_lists_are_small(spark, monkeypatch):
+    monkeypatch.setattr(ann_search, "LIST_SIZE", 2)
+    rng = np.random.default_rng(5)
+    v = np.vstack([rng.normal(size=(3, 8)) * 0.01 + 5, rng.normal(size=(60, 8)) - 5])
+    vectors = ann_search.usable_vectors(spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(63), "embedding": v.tolist()})))
+    got = ann_search.search(vectors, vectors.filter("vec_id in (0, 20)")).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == {0: 20, 20: 20}
+
+
 def test_ann_edges(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [None, 1.0]),
             (5, [float("inf"), 1.0]), (None, [1.0, 1.0]), (6, [3.0, 3.0])]

@@ -11,8 +11,8 @@ to their nearest ones; a best-first search over this graph, kept in memory by
 every task, finds all centroids within a ratio of the nearest. *Index*: every
 vector goes to its nearest list and, if it lies near a boundary, also to further
 ones whose centroid is within ``CLOSURE`` times the least distance. *Search*: a
-query visits the lists whose centroid is within the pruning ratio; there is no
-limit on their number.
+query visits the lists whose centroid is within the pruning ratio, and more where
+these hold too few vectors; there is no limit on their number.
 
 Neighbouring lists form parts of ``LISTS_PER_PART``; a task compares a part's
 vectors with the queries that visit it, list by list, and returns the best k of
@@ -24,7 +24,7 @@ vectors in double precision, component by component in order.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -57,10 +57,13 @@ class ListIndex:
     entries: np.ndarray
     scale: float
     ratio: float
+    sizes: np.ndarray | None = None
 
-    def nearest(self, points: np.ndarray, ratio: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def nearest(self, points: np.ndarray, ratio: float, whole: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each point the lists whose distance is within ``ratio`` of the least: (distances, lists), nearest first.
 
+        ``whole`` gives all lists that the search has seen, the further ones too.
+
         The search starts at the entry centroids. Each wave opens, for all points
         of a block at once, the centroids seen that are within the ratio or among
         the nearest ``BEAM``, and sees their neighbours, until none is left.
@@ -88,7 +91,7 @@ class ListIndex:
                 who, what = pair // count, pair % count
             for row in dist:
                 order = np.argsort(row, kind="stable")
-                order = order[row[order] <= ratio * row[order[0]] + 1e-12]
+                order = order[np.isfinite(row[order]) if whole else row[order] <= ratio * row[order[0]] + 1e-12]
                 yield row[order], order
 
     def homes(self, vectors: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -97,10 +100,19 @@ class ListIndex:
             for c in lists[:MAX_REPLICAS]:
                 yield i, int(c)
 
-    def probes(self, queries: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(row, list) of each list that a query visits."""
-        for i, (_, lists) in enumerate(self.nearest(_as_query(queries), self.ratio)):
-            for c in lists:
+    def probes(self, queries: np.ndarray, least: int = 0) -> Iterator[tuple[int, int]]:
+        """(row, list) of each list that a query visits.
+
+        These are the lists within the pruning ratio, and further ones, next
+        nearest first, until they hold ``least`` postings (or all are visited).
+        """
+        sizes = np.zeros(len(self.centroids), np.int64) if self.sizes is None else self.sizes
+        for i, (dist, lists) in enumerate(self.nearest(_as_query(queries), self.ratio, whole=True)):
+            count = int((dist <= self.ratio * dist[0] + 1e-12).sum())
+            if sizes[lists].sum() < least:
+                lists = np.concatenate([lists, np.setdiff1d(np.arange(len(sizes)), lists)])
+            enough = int(np.searchsorted(np.cumsum(sizes[lists]), least)) + 1 if self.sizes is not None else 0
+            for c in lists[:max(count, enough)]:
                 yield i, int(c)
 
 
@@ -232,12 +244,12 @@ def _postings(vectors: DataFrame, index: ListIndex) -> DataFrame:
     return vectors.select("vec_id", "v").mapInPandas(run, "part int, list int, vec_id bigint, v array<double>")
 
 
-def _visits(queries: DataFrame, index: ListIndex) -> DataFrame:
+def _visits(queries: DataFrame, index: ListIndex, k: int) -> DataFrame:
     """A row for each query and part of the index that it visits, with the lists it visits there."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                got = pd.DataFrame(list(index.probes(_matrix(b["v"]))), columns=["at", "list"])
+                got = pd.DataFrame(list(index.probes(_matrix(b["v"]), (k + 1) * MAX_REPLICAS)), columns=["at", "list"])
                 got["part"] = got["list"] // LISTS_PER_PART
                 by_part = got.groupby(["at", "part"], sort=False)["list"].agg(list).reset_index()
                 at = by_part["at"].to_numpy()
@@ -299,7 +311,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, index: ListIndex
     if index is None:
         return spark.createDataFrame([], schema)
     posted = materialize(_postings(vectors, index), "ann_postings")
-    visits = materialize(_visits(queries, index), "ann_visits")
+    sizes = np.zeros(len(index.centroids), np.int64)  # at most MAX_LISTS numbers
+    for r in posted.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[r["list"]] = r["n"]
+    visits = materialize(_visits(queries, replace(index, sizes=sizes), k), "ann_visits")
     # At most MAX_LISTS rows: how finely each part and its queries are dealt out.
     chunks = posted.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
     blocks = visits.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks"))
