@@ -43,7 +43,8 @@ THRESHOLD = 75
 # A shingle is frequent where this many of about STRETCH shingles in a row are it;
 # the FREQUENT most frequent go last in the order. This is a matter of speed only.
 STRETCH, STRETCH_LEAST, FREQUENT = 4_000_000, 2, 1 << 20
-BLOCK_SHINGLES = 1 << 22
+# A block of a cluster holds about this many shingles, and documents, at most.
+BLOCK_SHINGLES, BLOCK_DOCS = 1 << 22, 1 << 12
 # Of n shingles a document gives n // EXTRA more than one shared shingle would need.
 EXTRA = 16
 LEAF, FAN = 16, 8
@@ -334,10 +335,10 @@ def find_links(sets: list[np.ndarray], side: np.ndarray, threshold: int = THRESH
 
 def _blocks(members: DataFrame, threshold: int) -> DataFrame:
     """``members`` with ``tasks``: the (i, j, side) pairs of blocks of its cluster that each takes part in."""
-    by_size = members.groupBy("cluster", "n").agg(F.sum("n").alias("shingles"))
-    before = F.sum("shingles").over(Window.partitionBy("cluster").orderBy("n")) - F.col("shingles")
-    cut = by_size.select("cluster", "n", F.floor(before / BLOCK_SHINGLES).alias("base"),
-                         F.ceil(F.col("shingles") / BLOCK_SHINGLES).alias("parts"))
+    share = F.greatest(F.col("n") / BLOCK_SHINGLES, F.lit(1 / BLOCK_DOCS))  # of a block
+    by_size = members.groupBy("cluster", "n").agg(F.sum(share).alias("size"))
+    before = F.sum("size").over(Window.partitionBy("cluster").orderBy("n")) - F.col("size")
+    cut = by_size.select("cluster", "n", F.floor(F.round(before, 9)).alias("base"), F.ceil(F.round("size", 9)).alias("parts"))
     part = F.pmod(F.xxhash64("key"), F.col("parts"))
     placed = materialize(members.join(cut, ["cluster", "n"]).withColumn("block", F.col("base") * (1 << 24) + part)
                          .drop("base", "parts"), "ngram_placed")
