@@ -332,10 +332,11 @@ def q_lookup_country(spark, sf_dir):
 
 @register("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
-    """The report that a refresh writes, from the tables it has written."""
-    paths = refresh.refresh_marts(spark, fx.trends(spark, sf_dir), fx.keyword_videos(spark, sf_dir), fx.AS_OF,
-                                  shared_dir(spark, "refresh", fresh=True))
-    return spark.read.parquet(paths["dq_not_null"])
+    """The not-null rules over the tables that a refresh has written."""
+    with setting_up():
+        paths = refresh.refresh_marts(spark, fx.trends(spark, sf_dir), fx.keyword_videos(spark, sf_dir), fx.AS_OF,
+                                      shared_dir(spark, "refresh", fresh=True))
+    return refresh.not_null_report(spark, paths)
 
 
 @register("dq_accepted_values")
