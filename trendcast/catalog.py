@@ -28,7 +28,6 @@ from trendcast.sources import fixtures as fx
 from trendcast.sources import landing
 from trendcast.sources import landing_fixtures as lf
 from trendcast.sources.snapshots import SnapshotStore, conform
-from trendcast.sources.tables import read_table
 from trendcast.streaming import ingest as si
 
 Query = Callable[[SparkSession, str], DataFrame]
