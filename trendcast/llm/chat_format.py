@@ -33,8 +33,9 @@ CLOSE = "</turn>"
 LOSS_ROLE = "assistant"
 MAX_ESCAPES = 3
 
-_CONTROL = re.compile(r"(\\*)(### |</turn>)")
-_ESCAPED = re.compile(r"\\(\\*)(### |</turn>)")
+# Matches start at the first of a run of backslashes only, so long runs cost no more than short ones.
+_CONTROL = re.compile(r"(?<!\\)(\\*)(### |</turn>)")
+_ESCAPED = re.compile(r"(?<!\\)\\(\\*)(### |</turn>)")
 _HEADER = re.compile(r"### [^\n:]*: role=([^\n]*)\n")
 _END = re.compile(r"\n(?<!\\)</turn>\n")
 
