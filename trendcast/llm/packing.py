@@ -42,7 +42,7 @@ PIECES = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bi
 # Within these characters both tokenizer libraries split texts alike (their Unicode
 # tables may be of different versions elsewhere), so the faster one may be used.
 _COMMON = re.compile(r"[^\t\n\r\x20-\x7e¡-ɏ]|<\|")
-_LONG_WORD = re.compile(r"\S{4000}")
+_LONG_WORD = re.compile(r"(?<!\S)\S{4000}")
 # A blank between letters always starts a token of this vocabulary.
 _SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
