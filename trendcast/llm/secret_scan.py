@@ -35,7 +35,7 @@ from trendcast.llm.common import table
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-HEX = re.compile(r"[0-9a-f]{24,}")  # greedy, so each match is a whole run
+HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")  # whole runs
 ASSIGN_MIN, ACCESS_MIN = 6, 20
 KIND_ORDER = ["assign", "access", "hex", "literal"]
 
