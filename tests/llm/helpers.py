@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -47,7 +48,7 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def repeated_lines(docs, edits, least, trim):
+def repeated_lines(docs, edits, least, trim, within=lambda a, b, n: edit_distance(a, b) <= n):
     """{(doc_id, line, near)} to remove, by comparing each line with all before it."""
     first, seen = {}, []
     for i, t in sorted((d for d in docs if d[0] is not None), key=lambda d: d[0]):
@@ -58,7 +59,7 @@ def repeated_lines(docs, edits, least, trim):
                 seen.append((i, n, line))
     forms = sorted(first, key=first.get)
     near = {f for k, f in enumerate(forms) if any(
-        abs(len(f) - len(g)) <= edits and edit_distance(f, g) <= edits for g in forms[:k])}
+        abs(len(f) - len(g)) <= edits and within(f, g, edits) for g in forms[:k])}
     return {(i, n, first[x] == (i, n)) for i, n, x in seen if first[x] != (i, n) or x in near}
 
 
@@ -72,3 +73,38 @@ def secret_bases(text):
     for kind, (name, pattern, least) in enumerate((("access", r"AKIA[A-Z0-9]+", 20), ("hex", r"[0-9a-f]+", 24)), 1):
         out += [(m.start(), kind, f"{name}:{m.start()}:{m.end()}") for m in re.finditer(pattern, text) if len(m.group()) >= least]
     return [s for _, _, s in sorted(out)]
+
+
+def plain_topic(text):
+    if re.search(r"[{};]\x20*\n|</?[a-z]+>|=\x20*\x22", text):
+        return "code"
+    return "table" if text.count("|") >= 5 else "prose"
+
+
+def plain_sample(docs, targets, other, budget):
+    """The ids that proportional fitting samples, from (id, text, lang, source) rows, in plain loops."""
+    def cell(text, lang, source):
+        return tuple(v if v in t else other for v, t in zip((source, lang, plain_topic(text)), targets, strict=True))
+
+    tokens = {}
+    for _, text, lang, source in docs:
+        k = cell(text, lang, source)
+        tokens[k] = tokens.get(k, 0) + len(WORDS.findall(text))
+    total = sum(tokens.values())
+    weight = {k: n / total for k, n in tokens.items()}
+    most = {k: w / budget for k, w in weight.items()}
+    for _ in range(400):
+        for d, t in enumerate(targets):
+            have = {}
+            for k, w in weight.items():
+                have[k[d]] = have.get(k[d], 0) + w
+            seen = {v for k in tokens for v in [k[d]] if tokens[k]}
+            rest = sum(n for k, n in tokens.items() if k[d] == other) / total
+            scale = sum(t[v] for v in seen if v != other)
+            goal = {v: rest if v == other else t[v] / scale * (1 - rest) for v in seen}
+            weight = {k: w * goal[k[d]] / have[k[d]] if have[k[d]] else 0 for k, w in weight.items()}
+        weight = {k: min(w, most[k]) for k, w in weight.items()}
+    norm = sum(weight.values())
+    chance = {k: min(1.0, weight[k] / norm * budget * total / n) if n else 1.0 for k, n in tokens.items()}
+    draw = {i: int(hashlib.md5(f"{i}:0".encode()).hexdigest()[:13], 16) / float(1 << 52) for i, *_ in docs}
+    return {i for i, text, lang, source in docs if draw[i] < chance[cell(text, lang, source)]}

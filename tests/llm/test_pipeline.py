@@ -1,8 +1,9 @@
 """The pipeline's stages: column contract, decisions, empty and odd tables."""
 
 import corpus_pipeline
-from helpers import DOCS, shingle_set
+from helpers import DOCS, jaccard_components, plain_sample, repeated_lines, shingle_set
 
+from trendcast.llm import line_dedup, source_mixing
 from trendcast.llm.common import materialize, release
 from trendcast.session import shared_dir
 
@@ -27,6 +28,29 @@ def test_stages_on_the_small_table(spark, sf_dir):
     assert tokens.n > 0.95 * 1024 * tokens.s
 
 
+def test_pipeline_matches_plain_python(spark, sf_dir):
+    """run() against each stage's rule in plain loops (the language model keeps all of these documents)."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
+    gone = {(i, n) for i, n, _ in repeated_lines([r[:2] for r in rows], line_dedup.MAX_EDITS, line_dedup.MIN_CHARS, line_dedup.TRIM,
+                                                 line_dedup.within_edits)}
+    cut = [(i, "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone), lang, source) for i, t, lang, source in rows]
+    cut = [r for r in cut if r[1].strip(line_dedup.TRIM)]
+    first = jaccard_components([r[:2] for r in cut])
+    alone = [r for r in cut if first[r[0]][1] == r[0]]
+    targets = (source_mixing.SOURCE_TARGETS, source_mixing.LANGUAGE_TARGETS, source_mixing.TOPIC_TARGETS)
+    taken = plain_sample(alone, targets, source_mixing.OTHER, source_mixing.BUDGET)
+
+    encoder = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    want = {i: [*encoder.encode(t, add_special_tokens=False).ids, 0] for i, t, _, _ in alone if i in taken}
+    got = {}
+    for r in sorted(corpus_pipeline.run(spark, sf_dir).collect(), key=lambda r: (r.doc_id, r.start)):
+        got.setdefault(r.doc_id, []).extend(memoryview(bytes(r.ids)).cast("I").tolist())
+    assert got == want and len(want) > 20
+
+
 def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
     rows = [(1, None, None, None, None), (2, "", "en", "src1", 0), (3, "the and of the thing is with the", "en", None, 9),
             (3, "the and of the thing is with the", "en", None, 9), (None, "a the of and that", None, "src0", 1), (4, "123", "de", "src3", 3)]
