@@ -45,6 +45,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_SYMBOLS = 1 << 11
+_symbol = mix(np.arange(1, _SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def symbol_values(points: np.ndarray) -> np.ndarray:
+    """An odd random number for each code point; the frequent low ones come from a table."""
+    if len(points) and points.max() >= _SYMBOLS:
+        return mix(points.astype(np.uint64) + np.uint64(1)) | np.uint64(1)
+    return _symbol[points]
+
+
 class Substrings:
     """Hashes of the substrings of one string of bytes, or of ``values``: a random number per symbol."""
 

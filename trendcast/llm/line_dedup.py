@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from trendcast.llm import bloom
 from trendcast.llm.common import materialize, parallelism, table
-from trendcast.llm.hashing import Substrings, mix
+from trendcast.llm.hashing import Substrings, mix, symbol_values
 
 MAX_EDITS = 2
 MIN_CHARS = 32
@@ -40,6 +40,11 @@ PORTION = 1 << 18
 TRIM = " \t\n\v\f\r"
 
 
+PAIR = np.uint64(0xD6E8FEB86659FD93)
+BIT = np.zeros((2, 128), dtype=np.uint64)  # the bit of each class of pairs in each half of a signature
+BIT[0, :64] = BIT[1, 64:] = np.uint64(1) << np.arange(64, dtype=np.uint64)
+
+
 # --- lines of a batch as one array ---------------------------------------------------
 
 
@@ -57,8 +62,8 @@ class Lines:
                     kept.append(line)
         self.length = np.array([len(x) for x in kept], dtype=np.int64)
         self.start = np.cumsum(self.length) - self.length
-        points = np.frombuffer("".join(kept).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        self.points = mix(points + np.uint64(1)) | np.uint64(1)
+        points = np.frombuffer("".join(kept).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.points = symbol_values(points)
         self.part = Substrings(self.points, values=True)
 
     def forms(self) -> np.ndarray:
@@ -68,13 +73,12 @@ class Lines:
         """Parities of 128 classes of character pairs, as two numbers of 64 bits."""
         if not len(self.points):
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        pairs = mix(self.points[:-1] * np.uint64(3) + self.points[1:])
-        place, high = pairs & np.uint64(63), (pairs >> np.uint64(6)) & np.uint64(1)
-        bit = np.uint64(1) << place
+        # Code points are random numbers already, so one step mixes a pair; its upper seven bits are its class.
+        place = (self.points[:-1] * PAIR + self.points[1:]) >> np.uint64(57)
         out = []
         for half in (0, 1):
-            run = np.zeros(len(pairs) + 1, dtype=np.uint64)
-            np.bitwise_xor.accumulate(np.where(high == half, bit, np.uint64(0)), out=run[1:])
+            run = np.zeros(len(place) + 1, dtype=np.uint64)
+            np.bitwise_xor.accumulate(BIT[half][place], out=run[1:])
             out.append((run[self.start + self.length - 1] ^ run[self.start]).astype(np.int64))
         return out[0], out[1]
 
