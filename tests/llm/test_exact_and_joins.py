@@ -158,6 +158,19 @@ def test_line_dedup_matches_brute_force(spark, monkeypatch):
     assert line_dedup.duplicate_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_takes_equal_lines_of_any_length(spark):
+    rng = random.Random(6)
+    short = ["".join(rng.choice("abcde ") for _ in range(rng.randint(1, 31))) for _ in range(40)] + ["}", "é", "to.", "of."]
+    docs = [(d, "\n".join(rng.choice(short) + rng.choice(["", "", "", "z"]) for _ in range(6))) for d in range(60)]
+    docs += [(100, "All rights reserved.\n}\n \n\n"), (101, "\t}\nAll rights reserved.\n"), (102, "All right reserved.")]
+    equal = repeated_lines(docs, 0, 1, line_dedup.TRIM, lambda a, b, n: False)
+    near = {x for x in repeated_lines(docs, line_dedup.MAX_EDITS, line_dedup.MIN_CHARS, line_dedup.TRIM) if x[2]}
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in docs], DOCS)
+    got = {(r.doc_id, r.line, r.near) for r in line_dedup.duplicate_lines(df).collect()}
+    assert got == equal | near
+    assert (101, 1, False) in got and (101, 0, False) in got and (102, 0, True) in got
+
+
 def test_edit_distance_limit():
     rng = random.Random(3)
     for _ in range(4000):

@@ -51,6 +51,18 @@ def test_pipeline_matches_plain_python(spark, sf_dir):
     assert got == want and len(want) > 20
 
 
+def test_line_stage_takes_equal_lines_of_any_length(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    gone = repeated_lines(rows, 0, 1, line_dedup.TRIM, lambda a, b, n: False)
+    assert any(len(t.split("\n")[n].strip(line_dedup.TRIM)) < line_dedup.MIN_CHARS for i, t in rows for j, n, _ in gone if i == j)
+    gone |= repeated_lines(rows, line_dedup.MAX_EDITS, line_dedup.MIN_CHARS, line_dedup.TRIM, line_dedup.within_edits)
+    places = {(i, n) for i, n, _ in gone}
+    cut = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in places) for i, t in rows}
+    got = {r.doc_id: r.text for r in line_dedup.without_repeats(spark, docs, sf_dir).collect()}
+    assert got == {i: t for i, t in cut.items() if t.strip(line_dedup.TRIM)}
+
+
 def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
     rows = [(1, None, None, None, None), (2, "", "en", "src1", 0), (3, "the and of the thing is with the", "en", None, 9),
             (3, "the and of the thing is with the", "en", None, 9), (None, "a the of and that", None, "src0", 1), (4, "123", "de", "src3", 3)]
