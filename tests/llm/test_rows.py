@@ -160,6 +160,17 @@ def test_language_held_out_accuracy(spark):
     assert language_id.identify(docs.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
+def test_left_out_language_is_mostly_rejected(spark, left_out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.train(docs.filter(~language_id.held_out() & (F.col("lang") != left_out)))
+    found = language_id.identify(docs, model).select("lang", language_id.held_out().alias("held"), "language.rejected").collect()
+    strange = [r.rejected for r in found if r.lang == left_out]
+    known = [r.rejected for r in found if r.lang != left_out and r.held]
+    assert np.mean(strange) >= 0.8
+    assert np.mean(known) <= 0.02
+
+
 def test_language_model_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id bigint, text string, lang string")
     model = language_id.train(docs)

@@ -4,8 +4,11 @@ A text becomes a vector of hashed character 1- to 3-grams over its letters
 (logarithmic counts times inverse document frequency, unit length). Each
 language is described by a few centroids, found by spherical k-means over its
 training texts; a text takes the language of the centroid with the largest
-cosine. A text too far from every centroid for its length is ``rejected``: the
-limit is a fraction of what training texts of that length reach.
+cosine. A text too far from that centroid for its length is ``rejected``: the
+limit of each language and length class lies between what its own texts reach by
+centroids that were fitted without them, and what texts of the other languages
+reach whose own centroids are left out. Prefixes of the training texts stand for
+short ones.
 
 Learning uses at most ``sample_per_language`` texts of each language, picked by
 a hash of the id (a documented bound; the vectors of one language are fitted in
@@ -15,6 +18,7 @@ broadcast, ``languages x centroids x DIMS`` floats.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,11 +34,12 @@ DIMS = 4096
 SAMPLE_PER_LANGUAGE = 1500
 CENTROIDS = 4
 MAX_LANGUAGES = 1000
-# Rejection: this fraction of the cosine that 99 % of a language's training texts of
-# about the same length reach (neighbouring length classes join until there are
-# LENGTH_LEAST texts).
+# Rejection: of the gap between the cosine that 90 % of the strange texts of about the same
+# length do not reach and the one that 99 % of a language's own reach, the limit is this part
+# up; without a gap, the latter (neighbouring length classes join until there are LENGTH_LEAST texts).
 REJECT_QUANTILE = 0.01
-REJECT_FRACTION = 0.4
+STRANGE_QUANTILE = 0.9
+GAP_PART = 0.25
 LENGTH_LEAST = 50
 _CHUNK = 1 << 20
 _BATCH = 128
@@ -102,7 +107,7 @@ class LanguageModel:
     languages: list[str]          # of each centroid
     centroids: np.ndarray         # unit rows, centroids x DIMS
     idf: np.ndarray
-    reject_below: np.ndarray      # cosine limit by length class
+    reject_below: np.ndarray      # cosine limit by centroid and length class
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         return _unit(np.log1p(counts).astype(np.float32) * self.idf)
@@ -123,7 +128,7 @@ class LanguageModel:
             cosine = self.vectors(x) @ self.centroids.T
             best = cosine.argmax(axis=1)
             top = np.clip(cosine[np.arange(len(rows)), best], 0, 1)
-            low = top < self.reject_below[_length_class(x.sum(axis=1))]
+            low = top < self.reject_below[best, _length_class(x.sum(axis=1))]
             for k, i in enumerate(rows):
                 lang[i], score[i], reject[i] = self.languages[best[k]], float(top[k]), bool(low[k])
         return pd.DataFrame({"lang_pred": lang, "score": score, "rejected": reject})
@@ -171,7 +176,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} language values; clean the labels first")
     if not sizes:
-        return LanguageModel([], np.zeros((0, DIMS), np.float32), np.ones(DIMS, np.float32), np.zeros(16))
+        return LanguageModel([], np.zeros((0, DIMS), np.float32), np.ones(DIMS, np.float32), np.zeros((0, 16)))
     share = {r["_l"]: min(1.0, sample_per_language / r["_n"]) for r in sizes}
     rate = F.create_map(*[F.lit(v) for kv in share.items() for v in kv])
     dice = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) / float(1 << 30)
@@ -181,13 +186,17 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         for b in batches:
             rows = []
             for lang, text in zip(b["lang"], b["text"], strict=True):
-                c = gram_counts(text)
-                if c is not None:
-                    at = np.flatnonzero(c)
-                    rows.append((lang, at.astype(np.int16).tobytes(), c[at].astype(np.int32).tobytes()))
-            yield pd.DataFrame(rows, columns=["lang", "at", "n"])
-
-    sample = materialize(picked.mapInPandas(to_counts, "lang string, at binary, n binary"), "language_sample")
+                dice = zlib.crc32(text.encode("utf-8", "replace"))
+                short = text[:4 << (dice >> 1) % 10]
+                for part in (text, short) if len(short) < len(text) else (text,):
+                    c = gram_counts(part)
+                    if c is not None:
+                        at = np.flatnonzero(c)
+                        rows.append((lang, part is text, dice & 1, at.astype(np.int16).tobytes(), c[at].astype(np.int32).tobytes()))
+            yield pd.DataFrame(rows, columns=["lang", "whole", "fold", "at", "n"])
+
+    parts = materialize(picked.mapInPandas(to_counts, "lang string, whole boolean, fold int, at binary, n binary"), "language_sample")
+    sample = parts.filter("whole")
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, n = np.zeros(DIMS, dtype=np.int64), 0
@@ -205,39 +214,76 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     hard_cap = 2 * sample_per_language
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["at", "n"]).iloc[:hard_cap]
-        counts = np.zeros((len(group), DIMS), dtype=np.float32)
-        for i, (at, c) in enumerate(zip(group["at"], group["n"], strict=True)):
-            counts[i, np.frombuffer(at, np.int16)] = np.frombuffer(c, np.int32)
+        group = group.sort_values(["whole", "at", "n"], ascending=False)
+        group = pd.concat([group[group["whole"]].iloc[:hard_cap], group[~group["whole"]].iloc[:hard_cap]])
+        whole, fold = group["whole"].to_numpy(bool), group["fold"].to_numpy()
+        counts = _dense(group)
         lengths = _length_class(counts.sum(axis=1))
         x = _unit(np.log1p(counts) * idf)
-        centres = _cluster(x, centroids)
+        centres = _cluster(x[whole], centroids)
+        # Each half is measured by centroids of the other half, if that has enough texts.
         own = (x @ centres.T).max(axis=1)
-        low = [_low(own, lengths, k) for k in range(16)]
+        for half in (0, 1):
+            if (others := whole & (fold != half)).sum() > centroids:
+                own[fold == half] = (x[fold == half] @ _cluster(x[others], centroids).T).max(axis=1)
+        low = [_quantile(own, lengths, k, REJECT_QUANTILE) for k in range(16)]
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in centres],
                              "low": [low] * len(centres)})
 
-    fitted = sorted(sample.groupBy("lang").applyInPandas(fit, "lang string, centroid binary, low array<double>").collect(),
+    with_whole = parts.join(sample.select("lang").distinct(), "lang", "left_semi")
+    fitted = sorted(with_whole.groupBy("lang").applyInPandas(fit, "lang string, centroid binary, low array<double>").collect(),
                     key=lambda r: (r["lang"], r["centroid"]))
     if not fitted:
-        return LanguageModel([], np.zeros((0, DIMS), np.float32), idf, np.zeros(16))
-    return LanguageModel([r["lang"] for r in fitted], np.stack([np.frombuffer(r["centroid"], np.float32) for r in fitted]),
-                         idf, _limits([r["low"] for r in fitted]))
+        return LanguageModel([], np.zeros((0, DIMS), np.float32), idf, np.zeros((0, 16)))
+    names = [r["lang"] for r in fitted]
+    model = LanguageModel(names, np.stack([np.frombuffer(r["centroid"], np.float32) for r in fitted]), idf, np.zeros((len(names), 16)))
+    strange = _strange(parts, model)
+    model.reject_below = np.array([_limits(r["low"], strange.get(r["lang"])) for r in fitted])
+    return model
+
+
+def _dense(rows: pd.DataFrame) -> np.ndarray:
+    counts = np.zeros((len(rows), DIMS), dtype=np.float32)
+    for i, (at, c) in enumerate(zip(rows["at"], rows["n"], strict=True)):
+        counts[i, np.frombuffer(at, np.int16)] = np.frombuffer(c, np.int32)
+    return counts
+
+
+def _strange(parts: DataFrame, model: LanguageModel) -> dict[str, list[float]]:
+    """By language and length class: the high quantile of the cosines of texts that it is nearest to with their own language left out."""
+    names = np.array(model.languages, dtype=object)
+
+    def nearest_other(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in (batch.iloc[at:at + _BATCH] for batch in batches for at in range(0, len(batch), _BATCH)):
+            counts = _dense(b)
+            cosine = model.vectors(counts) @ model.centroids.T
+            cosine[b["lang"].to_numpy(object)[:, None] == names[None, :]] = -1
+            best = cosine.argmax(axis=1)
+            top = cosine[np.arange(len(b)), best]
+            found = pd.DataFrame({"lang": names[best], "k": _length_class(counts.sum(axis=1)), "top": top.astype(np.float64)})
+            yield found[top >= 0]
+
+    def high(group: pd.DataFrame) -> pd.DataFrame:
+        top, lengths = group["top"].to_numpy(), group["k"].to_numpy()
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "high": [[_quantile(top, lengths, k, STRANGE_QUANTILE) for k in range(16)]]})
+
+    nearest = parts.mapInPandas(nearest_other, "lang string, k bigint, top double")
+    return {r["lang"]: r["high"] for r in nearest.groupBy("lang").applyInPandas(high, "lang string, high array<double>").collect()}
 
 
-def _low(own: np.ndarray, lengths: np.ndarray, k: int) -> float:
-    """The low quantile of the cosines of texts in length class k and as many neighbouring classes as needed."""
+def _quantile(cosines: np.ndarray, lengths: np.ndarray, k: int, q: float) -> float:
+    """A quantile of the cosines of texts in length class k and as many neighbouring classes as needed."""
     for reach in range(16):
-        near = own[np.abs(lengths - k) <= reach]
+        near = cosines[np.abs(lengths - k) <= reach]
         if len(near) >= LENGTH_LEAST:
             break
-    return float(np.quantile(near, REJECT_QUANTILE))
+    return float(np.quantile(near, q))
 
 
-def _limits(lows: list[list[float]]) -> np.ndarray:
-    """Cosine limit of each length class: by the language that reaches least; shorter texts never need more."""
-    least = REJECT_FRACTION * np.min(np.array(lows), axis=0)
-    return np.minimum.accumulate(least[::-1])[::-1]
+def _limits(low: list[float], high: list[float] | None) -> np.ndarray:
+    """A language's cosine limit by length class: between the strange texts and its own, never above the latter."""
+    known, strange = np.array(low), np.zeros(16) if high is None else np.array(high)
+    return np.minimum(known, strange + GAP_PART * (known - strange))
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
