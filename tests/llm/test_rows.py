@@ -37,6 +37,33 @@ def test_assignment_lexer(text, name, literal):
     assert found and found[0].name == name
 
 
+@pytest.mark.parametrize(("text", "name", "literal"), [
+    ('config["password"] = "Zx9kLmN0pQr"', "password", "Zx9kLmN0pQr"),
+    ("os.environ['API_KEY'] = 'q7Rt-55xyZ'", "API_KEY", "q7Rt-55xyZ"),
+    ('password: str = "hunter2xyz"', "password", "hunter2xyz"),
+    ('api_token: Optional[Dict[str, str]] = "hunter2xyz"', "api_token", "hunter2xyz"),
+    ('val token: String = "hunter2xyz"', "token", "hunter2xyz"),
+    ('const token: string | null = "hunter2xyz";', "token", "hunter2xyz"),
+    ('var apiKey string = "hunter2xyz"', "apiKey", "hunter2xyz"),
+    ('note: password = "hunter2xyz"', "password", "hunter2xyz"),
+    ('password = (\n    "Zx9kLm"\n    "N0pQr7"\n)\n', "password", 'Zx9kLm"\n    "N0pQr7'),
+    ('password = "Zx9kLm" +\n    "N0pQr7"\n', "password", 'Zx9kLm" +\n    "N0pQr7'),
+    ('password = "Zx9kLm"\n  + "N0pQr7"\n', "password", 'Zx9kLm"\n  + "N0pQr7'),
+    ('password = \\\n    "hunter2xyz"\n', "password", "hunter2xyz"),
+    ('"password":\n    "hunter2xyz",\n', "password", "hunter2xyz"),
+    ("password:\n  hunter2xyz\n", "password", "hunter2xyz"),
+])
+def test_lexer_subscripts_types_and_line_ends(text, name, literal):
+    at = text.index(literal)
+    found = secret_scan.literal_spans(text)
+    assert [(s.name, s.start, s.end) for s in found] == [(name, at, at + len(literal))]
+
+
+def test_lexer_does_not_run_lines_together():
+    for text in ("credentials:\n  username: bob\n", 'token: String\n', 'x = "Zx9kLmN0pQr"\n"password": 5\n', "f(token: int, size = 'Zx9kLmN0pQr')"):
+        assert not [s for s in secret_scan.literal_spans(text) if s.end - s.start > 6], text
+
+
 def test_lexer_leaves_plain_values_alone():
     for text in ('color = "blue green"', "password = changeme", "title: The story of a secret", "a == b", "token: none"):
         assert not secret_scan.literal_spans(text)

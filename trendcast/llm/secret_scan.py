@@ -7,8 +7,10 @@ Two layers look at each whole text.
 *Assignment lexer*: lines that hold an assignment sign are lexed into names,
 string literals, bare words and signs. The parser reads source and configuration
 forms (``name = "..."``, ``name: ...``, ``"name": "..."``, ``export NAME=...``,
-``name := ...``, ``name => ...``, keyword arguments) as name-literal pairs, joins
-adjacent literals (``"ab" + "cd"``), and follows constants: a value that is an
+``name := ...``, ``name => ...``, keyword arguments, ``table["name"] = ...``,
+``name: type = ...``, ``var name type = ...``) as name-literal pairs, joins
+adjacent literals (``"ab" + "cd"``), goes on over the line end where a value or a
+joined literal is still to come, and follows constants: a value that is an
 earlier name (``x``, ``$x``, ``${x}``) stands for that name's literal. Each pair
 gets a score from how sensitive its name is and how random its literal looks;
 literals at or above the threshold are reported as kind ``literal``, at the
@@ -56,12 +58,24 @@ _LEX = re.compile(r"""
     (?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')
   | (?P<ref>\$\{[A-Za-z_]\w*\}|\$[A-Za-z_]\w*)
   | (?P<sign>:=|=>|==|!=|<=|>=|[:=])
-  | (?P<plus>\+(?=[\x20\t]*["']))
+  | (?P<plus>\+(?=\s*["']))
   | (?P<word>[A-Za-z0-9_+/.-]+(?:=+(?=\s|$))?)
   | (?P<gap>[\x20\t]+)
   | (?P<other>.)
 """, re.VERBOSE | re.ASCII)
 _SIGNS = {"=", ":", ":=", "=>"}
+# What the end of a line leaves open, and what goes on with it at the start of the next.
+_VALUE_DUE = re.compile(r"(?:(?<![=!<>:=])[:=]|:=|=>)[\x20\t]*(\(?)[\x20\t]*(\\?)[\x20\t\r]*\Z")
+_PART_DUE = re.compile(r"""["'][\x20\t]*\+[\x20\t]*\\?[\x20\t\r]*\Z""")
+_PART_END = re.compile(r"""["'][\x20\t]*(\\?)[\x20\t\r]*\Z""")
+_IN_PARENS = re.compile(r"""[:=][\x20\t]*\([\x20\t]*["'][^()]*\Z""")
+_NEXT_LITERAL = re.compile(r"""[\x20\t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')(?![\x20\t]*[:=])""")
+_NEXT_PLUS = re.compile(r"""[\x20\t]*\+[\x20\t]*["']""")
+_NEXT_WORD = re.compile(r"[\x20\t]+[A-Za-z0-9_+/.-]+=*[\x20\t\r]*(?=\n|\Z)", re.ASCII)
+_TAIL = 4096  # of a line is looked at for what it leaves open
+# Between a colon and an equals sign: a type.
+_TYPE_SIGNS = set("[]<>|?&*!,()")
+_TYPE_MOST = 24
 _NAME = re.compile(r"[A-Za-z_][\w.-]*", re.ASCII)
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", re.ASCII)
 
@@ -103,20 +117,71 @@ def literal_score(value: str) -> float:
 
 
 def _lines(text: str) -> Iterator[tuple[int, str]]:
-    """(start, line) of the lines that hold an assignment sign."""
+    """(start, line) of the lines that hold an assignment sign, with the lines that go on with them."""
     at = 0
     while (sign := _SIGN.search(text, at)) is not None:
-        start = text.rfind("\n", 0, sign.start()) + 1
+        start = max(text.rfind("\n", 0, sign.start()) + 1, at)
         at = text.find("\n", sign.end())
         at = len(text) if at < 0 else at
+        own, parens = start, False
+        while at < len(text):
+            tail = text[max(own, at - _TAIL):at]
+            due = _VALUE_DUE.search(tail)
+            end = _PART_END.search(tail)
+            parens = parens or bool(due and due.group(1)) or bool(_IN_PARENS.search(tail))
+            go_on = (due and (_NEXT_LITERAL.match(text, at + 1) or _NEXT_WORD.match(text, at + 1))
+                     or _PART_DUE.search(tail) and _NEXT_LITERAL.match(text, at + 1)
+                     or end and (_NEXT_PLUS.match(text, at + 1) or (parens or end.group(1)) and _NEXT_LITERAL.match(text, at + 1)))
+            if not go_on:
+                break
+            own = at + 1
+            at = text.find("\n", own)
+            at = len(text) if at < 0 else at
         yield start, text[start:at]
 
 
+def _typed(tokens: list, at: int) -> int:
+    """The place of the colon whose type ends before the equals sign at ``at``; -1 without one."""
+    depth, word = 0, False
+    for i in range(at - 1, max(0, at - 1 - _TYPE_MOST), -1):
+        kind, raw = tokens[i][:2]
+        if kind == "sign" and raw == ":":
+            return i if not depth and i < at - 1 else -1
+        if kind == "word":
+            if word:
+                return -1
+            word = True
+        elif kind == "other" and raw in _TYPE_SIGNS:
+            depth += (raw in "])>") - (raw in "[(<")
+            if depth < 0 or raw == "," and not depth:
+                return -1
+            word = False
+        else:
+            return -1
+    return -1
+
+
+def _names(tokens: list, at: int) -> list[tuple[str, bool]]:
+    """(name, constant?) of what the sign at ``at`` may assign to."""
+    places = [at - 1]
+    if tokens[at - 1][1] == "]" and at >= 3 and tokens[at - 2][0] == "str" and tokens[at - 3][1] == "[":
+        return [(tokens[at - 2][1][1:-1], False)]
+    if tokens[at][1] == "=":
+        if (colon := _typed(tokens, at)) > 0:
+            places.append(colon - 1)
+        elif at >= 2 and tokens[at - 1][0] == tokens[at - 2][0] == "word" and (
+                tokens[at - 1][1] == "string" or at >= 3 and tokens[at - 3][1] in ("var", "const")):
+            places.append(at - 2)
+    return [(raw[1:-1] if kind == "str" else raw, True) for kind, raw in (tokens[i][:2] for i in places) if kind in ("str", "word")]
+
+
 def _joined(tokens: list, at: int) -> tuple[list, int]:
     """Literals that are joined to the one at ``at`` by ``+`` or by standing next to it."""
     parts, i = [tokens[at]], at + 1
     while i < len(tokens):
         j = i + 1 if tokens[i][0] == "plus" else i
+        if j == i and tokens[i][1] == "\\" and i + 1 < len(tokens) and tokens[i + 1][0] == "str":
+            j = i + 1  # a literal goes on behind a continued line
         if j < len(tokens) and tokens[j][0] == "str" and (j > i or tokens[at][0] == "str"):
             parts.append(tokens[j])
             i = j + 1
@@ -135,13 +200,14 @@ def pairs(text: str) -> Iterator[tuple[str, str, int, int]]:
     for base, line in _lines(text):
         tokens = [(m.lastgroup, m.group(), base + m.start(), base + m.end())
                   for m in _LEX.finditer(line) if m.lastgroup != "gap"]
-        for i in range(1, len(tokens) - 1):
-            if tokens[i][0] != "sign" or tokens[i][1] not in _SIGNS:
-                continue
-            kind, raw = tokens[i - 1][:2]
-            name = raw[1:-1] if kind == "str" else raw if kind == "word" else ""
-            if not _NAME.fullmatch(name):
+        signs = [i for i in range(1, len(tokens) - 1) if tokens[i][0] == "sign" and tokens[i][1] in _SIGNS]
+        types = {_typed(tokens, i) for i in signs if tokens[i][1] == "="}
+        for i in signs:
+            names = [] if i in types else [n for n in _names(tokens, i) if _NAME.fullmatch(n[0])]
+            if not names:
                 continue
+            while i + 2 < len(tokens) and tokens[i + 1][1] in ("(", "\\"):
+                i += 1
             kind, raw, start, end = tokens[i + 1]
             if kind == "str":
                 parts, _ = _joined(tokens, i + 1)
@@ -155,8 +221,10 @@ def pairs(text: str) -> Iterator[tuple[str, str, int, int]]:
                 value = raw
             else:
                 continue
-            constants[name] = (value, start, end)
-            yield name, value, start, end
+            for name, constant in names:
+                if constant:
+                    constants[name] = (value, start, end)
+                yield name, value, start, end
 
 
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
