@@ -112,6 +112,23 @@ def test_license_scan_cases(spark, license_model):
     assert license_scan.scan_licenses(df.limit(0), license_model).count() == 0
 
 
+def test_license_scan_wrapped_notices(spark, license_model):
+    mpl = ["/* This Source Code Form is subject to the terms of the Mozilla Public", " * License, v. 2.0. If a copy of the MPL was not distributed with this",
+           " * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"]
+    mit = ["// Permission is hereby granted, free of charge, to any person obtaining a copy", "// of this software and associated documentation files (the \"Software\"), to deal",
+           "// in the Software without restriction, including without limitation the rights", "// to use, copy, modify, merge, publish, distribute, sublicense, and/or sell", "// copies of the Software"]
+    bsd = ["# Redistribution and use in source and binary forms, with or without", "# modification, are permitted provided that the following conditions are met:",
+           "# 1. Redistributions of source code must retain the above copyright", "#    notice, this list of conditions and the following disclaimer."]
+    gpl = ["-- This program is free software: you can redistribute it and/or modify", "-- it under the terms of the GNU General Public License as published by",
+           "-- the Free Software Foundation, either version 3 of the License, or", "-- (at your option) any later version."]
+    free = ["This is free and unencumbered software released into the public", "domain."]
+    rows = [(1, "\n".join(["int a;", "", *mpl, "", "int b;"])), (2, "\n".join([*mit, "//", "// more"])), (3, "\n".join(bsd)), (4, "\n".join(gpl)), (5, "\n".join(free))]
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string"), license_model).collect()
+    confirmed = {(r.doc_id, r.family) for r in found if r.confirmed}
+    assert {(1, "MPL"), (2, "MIT"), (3, "BSD"), (4, "GPL"), (5, "CC0")} <= confirmed, confirmed
+    assert len({(r.doc_id, r.line, r.part) for r in found}) == len(found)
+
+
 def test_license_plan_has_no_python(spark, license_model):
     df = spark.createDataFrame([(1, "MIT License")], "doc_id bigint, text string")
     plan = license_scan.scan_licenses(spark.range(1).select(F.col("id").alias("doc_id"), F.lit("MIT License").alias("text")),
