@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from trendcast.llm import ann_search, chat_format, exact_dedup, language_id, license_scan, line_dedup, ngram_join, packing, secret_scan, source_mixing
+from trendcast.llm import (
+    ann_search,
+    chat_format,
+    conversation_repair,
+    exact_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    packing,
+    secret_scan,
+    source_mixing,
+)
 from trendcast.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -16,6 +28,7 @@ QUERIES: dict[str, Query] = {
     "op3_ann_search": ann_search.op3_ann_search,
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
