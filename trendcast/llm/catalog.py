@@ -14,6 +14,7 @@ from trendcast.llm import (
     packing,
     secret_scan,
     source_mixing,
+    spelling_variants,
 )
 from trendcast.llm.common import Query
 
@@ -29,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_spelling_variants": spelling_variants.op12_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
