@@ -6,6 +6,7 @@ from trendcast.llm import (
     ann_search,
     chat_format,
     conversation_repair,
+    embedding_dedup,
     exact_dedup,
     language_id,
     license_scan,
@@ -31,6 +32,7 @@ QUERIES: dict[str, Query] = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
     "op12_spelling_variants": spelling_variants.op12_spelling_variants,
+    "op13_embedding_dedup": embedding_dedup.op13_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {
