@@ -59,6 +59,14 @@ def test_many_small_leaves_rounds_and_blocks(spark, leaf, levels, block):
     assert got == want and sum(r[1] for r in want) > 120 * 100
 
 
+def test_chunks_without_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, p.tolist()) for i, p in enumerate(cluster(rng, rng.standard_normal(8), 60, 3.0))]
+    classes = frame(spark, rows).selectExpr("vec_id * 1024 as id", "embedding as v")
+    placed = ed.forest_leaves(classes, ed.Forest(0.95, 8, 2, 0.6), sample=40, chunk=1).collect()
+    assert sorted(r["id"] for r in placed) == [1024 * i for i in range(60)] and all(r["leaves"] for r in placed)
+
+
 def test_recall_at_the_threshold(spark):
     """Pairs whose cosine is just above 0.95, the hardest to keep together."""
     rng = np.random.default_rng(7)

@@ -174,10 +174,12 @@ def _routed(open_rows: DataFrame, forest: Forest, trees: int, sample: int, chunk
 
     fitted = materialize(drawn.groupBy("node").applyInPandas(fit, "node bigint, trees string"), "forest_trees")
     chunks = F.ceil(F.col("size") / chunk).cast("int")
-    rows = open_rows.join(sizes, "node").select("node", F.pmod("id", chunks).alias("chunk"), "id", "v")
+    rows = open_rows.join(sizes, "node").select("node", F.pmod(F.xxhash64("id"), chunks).alias("chunk"), "id", "v")
     plans = sizes.join(fitted, "node", "left").select("node", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "trees")
 
     def route(key, group: pd.DataFrame, plan: pd.DataFrame) -> pd.DataFrame:
+        if not len(group):  # a chunk that no id fell into
+            return pd.DataFrame({c: [] for c in ("id", "leaves", "open", *["v"] * keep)}, dtype=object)
         node, raw = int(key[0]), _matrix(group["v"], kind)
         made = plan["trees"].iloc[0] if len(plan) else None
         if made:
@@ -287,7 +289,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     blocks = materialize(members.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("m")), "leaf_sizes")
     blocks = blocks.filter("m > 1").select("leaf", F.ceil(F.col("m") / block).cast("int").alias("parts"))
     dealt = members.select("id", "n", "v", "leaves", F.explode("leaves").alias("leaf")).join(blocks, "leaf").withColumn(
-        "part", F.pmod("id", "parts").cast("int"))
+        "part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
     pairs = dealt.select("leaf", "part", "id", "n", "v", "leaves", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
         "leaf", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "n", "v", "leaves")
     kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
