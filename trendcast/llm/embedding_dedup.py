@@ -35,9 +35,10 @@ from trendcast.llm.components import components
 
 THRESHOLD = 0.95
 TREES = 4
-LEAF = 2048
-LEVELS = 8
+LEAF = 512
+LEVELS = 10
 SAMPLE = 8192
+FEW = 16  # a cut is not drawn from fewer sample vectors; such a node waits for the next round's sample
 # Half the band is this many standard deviations of how far a random direction parts a pair at the threshold.
 SPILL = 0.6
 DIRECTIONS = 4
@@ -115,8 +116,8 @@ class Forest:
             if parent is not None:
                 out[parent[0]][parent[1]] = at
             cut = None
-            small = len(rows) * weight <= self.leaf or len(rows) < 8
-            if not small and level < self.levels:
+            small = len(rows) * weight <= self.leaf or not level and len(rows) < FEW
+            if not small and level < self.levels and len(rows) >= FEW:
                 for i in range(DIRECTIONS):
                     seed = _number(node, tree, path, i)
                     p = x[rows] @ _direction(seed, x.shape[1])
@@ -232,15 +233,27 @@ def _linked(threshold: float, kind: str):
         group = group.sort_values(["part", "id"], kind="stable")
         raw, part = _matrix(group["v"], kind), group["part"].to_numpy()
         unit = unit_rows(raw)
-        near = np.zeros((len(unit), len(unit)), dtype=bool)
+        # Single precision finds the rows that may have a link at all; it is off by less than this.
+        rough, slack = unit.astype(np.float32), 2.5e-7 * unit.shape[1]
+        if left == right:
+            near_to = rough @ rough.T
+            np.fill_diagonal(near_to, -1)
+            hit = np.flatnonzero(near_to.max(axis=1) >= threshold - slack)
+        else:
+            cut = int(np.searchsorted(part, right))
+            near_to = rough[:cut] @ rough[cut:].T >= threshold - slack
+            hit = np.flatnonzero(np.concatenate([near_to.any(axis=1), near_to.any(axis=0)]))
+        del near_to
+        unit, raw, part, group = unit[hit], raw[hit], part[hit], group.iloc[hit]
         near_to = unit @ unit.T
-        near[near_to >= threshold + 1e-9] = True
+        near = near_to >= threshold + 1e-9
         i, j = np.nonzero(np.triu(np.abs(near_to - threshold) < 1e-9, 1))
-        near[i, j] = near[j, i] = cosines(raw[i], raw[j]) >= threshold
+        if len(i):
+            near[i, j] = near[j, i] = cosines(raw[i], raw[j]) >= threshold
         np.fill_diagonal(near, False)
         if left != right:
             near &= part[:, None] != part[None, :]
-        hit = np.flatnonzero(near.any(axis=1))
+        hit = np.flatnonzero(near.any(axis=1)) if len(hit) else hit
         if not len(hit):
             return pd.DataFrame({"id": [], "links": [], "least": []}).astype("int64")
         near, group = near[np.ix_(hit, hit)], group.iloc[hit]
