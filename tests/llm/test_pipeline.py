@@ -1,7 +1,9 @@
 """The pipeline's stages: column contract, decisions, empty and odd tables."""
 
 import corpus_pipeline
+import pytest
 from helpers import DOCS, jaccard_components, plain_sample, repeated_lines, shingle_set
+from pyspark.sql import functions as F
 
 from trendcast.llm import line_dedup, source_mixing
 from trendcast.llm.common import materialize, release
@@ -10,6 +12,12 @@ from trendcast.session import shared_dir
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def repeated_places(rows):
+    """Equal lines of any length above 0, and near ones from ``MIN_CHARS`` characters on."""
+    equal = repeated_lines(rows, 0, 1, line_dedup.TRIM, lambda a, b, n: False)
+    return equal | repeated_lines(rows, line_dedup.MAX_EDITS, line_dedup.MIN_CHARS, line_dedup.TRIM, line_dedup.within_edits)
+
+
 def test_stages_on_the_small_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_duplicates", "mixing", "packing"]
@@ -34,8 +42,7 @@ def test_pipeline_matches_plain_python(spark, sf_dir):
     from tokenizers import Tokenizer
 
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
-    gone = {(i, n) for i, n, _ in repeated_lines([r[:2] for r in rows], line_dedup.MAX_EDITS, line_dedup.MIN_CHARS, line_dedup.TRIM,
-                                                 line_dedup.within_edits)}
+    gone = {(i, n) for i, n, _ in repeated_places([r[:2] for r in rows])}
     cut = [(i, "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone), lang, source) for i, t, lang, source in rows]
     cut = [r for r in cut if r[1].strip(line_dedup.TRIM)]
     first = jaccard_components([r[:2] for r in cut])
@@ -54,9 +61,8 @@ def test_pipeline_matches_plain_python(spark, sf_dir):
 def test_line_stage_takes_equal_lines_of_any_length(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    gone = repeated_lines(rows, 0, 1, line_dedup.TRIM, lambda a, b, n: False)
+    gone = repeated_places(rows)
     assert any(len(t.split("\n")[n].strip(line_dedup.TRIM)) < line_dedup.MIN_CHARS for i, t in rows for j, n, _ in gone if i == j)
-    gone |= repeated_lines(rows, line_dedup.MAX_EDITS, line_dedup.MIN_CHARS, line_dedup.TRIM, line_dedup.within_edits)
     places = {(i, n) for i, n, _ in gone}
     cut = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in places) for i, t in rows}
     got = {r.doc_id: r.text for r in line_dedup.without_repeats(spark, docs, sf_dir).collect()}
@@ -73,6 +79,23 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
         assert out.count() <= 2 * len(data)
 
 
+CLASHING = ["language", "mix", "_id", "_cut", "_maybe", "_had", "_cell", "_word", "_mask", "label", "key", "n", "component_id", "form",
+            "_mix_0", "_mix_tokens", "tokens", "probability", "a`b", "x.y", "_columns_of_the_caller"]
+
+
+@pytest.mark.parametrize("name", ["language_id", "line_dedup", "near_duplicates", "mixing"])
+def test_columns_of_any_name_come_out_unchanged(spark, sf_dir, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id < 60")
+    given = docs.select(F.lit("mine").alias("first"), *docs.columns, *[F.concat(F.lit(f"{c}:"), "doc_id").alias(c) for c in CLASHING])
+    got = stage(spark, given, sf_dir)
+    assert got.columns == given.columns
+    plain = {r["doc_id"]: r["text"] for r in stage(spark, docs, sf_dir).collect()}
+    rows = got.collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == plain and plain
+    assert all(r[c] == f"{c}:{r['doc_id']}" for r in rows for c in CLASHING) and {r["first"] for r in rows} == {"mine"}
+
+
 def test_release_deletes_scratch_tables(spark):
     path = shared_dir(spark, "llm", spark.sparkContext.applicationId)
     materialize(spark.range(3).toDF("x"), "scratch")
@@ -87,5 +110,5 @@ def test_entry_registers_every_operator():
 
     names = entry.queries()
     assert "pipeline" in names
-    assert [len([n for n in names if n.startswith(f"op{i}_")]) for i in range(1, 11)] == [1] * 10
+    assert [len([n for n in names if n.startswith(f"op{i}_")]) for i in range(1, 14)] == [1] * 13
     assert "op8_exact_dedup" in entry.oracle_sql()

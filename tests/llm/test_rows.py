@@ -141,7 +141,6 @@ def test_packing_keeps_every_id_once(spark):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     by_doc, by_seq = {}, {}
     for r in got:
         by_doc.setdefault(r.doc_id, []).append(r)

@@ -5,6 +5,7 @@ have in common."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,5 +51,30 @@ def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+_OTHERS = "_columns_of_the_caller"
+
+
+def apart(df: DataFrame, needed: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``df`` while all columns but ``needed`` are out of its way in one struct, whatever their names.
+
+    ``work`` returns the columns it was given.
+    """
+    others = [c for c in df.columns if c not in needed]
+    if not others:
+        return work(df)
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in others]
+    done = work(df.select(*needed, F.struct(*quoted).alias(_OTHERS)))
+    back = [F.col(c) if c in needed else F.col(_OTHERS).getField(c).alias(c) for c in df.columns]
+    return done.select(*back)
+
+
+def document_stage(stage):
+    """A pipeline stage that returns the columns it was given: its own names can't clash with a caller's columns."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return apart(docs, ["doc_id", "text", "lang", "source", "n_chars"], lambda df: stage(spark, df, sf_dir))
+    return run
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendcast.llm.common import materialize, table
+from trendcast.llm.common import document_stage, materialize, table
 
 UNKNOWN = "und"
 DIMS = 4096
@@ -309,6 +309,7 @@ def op9_language_id(spark, sf_dir):
     return found.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score", "language.rejected")
 
 
+@document_stage
 def keep_identified(spark, docs, sf_dir):
     """Pipeline stage: documents with a language that the model knows; the rest go."""
     model = train(docs.filter(~held_out()))

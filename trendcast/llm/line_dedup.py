@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendcast.llm import bloom
-from trendcast.llm.common import materialize, parallelism, table
+from trendcast.llm.common import apart, document_stage, materialize, parallelism, table
 from trendcast.llm.hashing import Substrings, mix, symbol_values
 
 MAX_EDITS = 2
@@ -339,7 +339,12 @@ def without_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", t
     """``docs`` with the lines in ``removed`` cut out of their texts, the other lines as they were.
 
     Documents that lose nothing are not shuffled: a small filter lets them pass.
+    Other columns come out as they were, whatever their names.
     """
+    return apart(docs, [id_col, text_col], lambda df: _without_lines(df, removed, id_col, text_col))
+
+
+def _without_lines(docs: DataFrame, removed: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lists = materialize(removed.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_cut")), "line_cuts")
     count = lists.count()
 
@@ -379,6 +384,7 @@ def _has_words():
     return F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
 
+@document_stage
 def without_repeats(spark, docs, sf_dir):
     """Pipeline stage: documents without the lines that repeat earlier ones; those that lose all their text go.
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trendcast.llm import bloom
-from trendcast.llm.common import materialize, parallelism, table
+from trendcast.llm.common import document_stage, materialize, parallelism, table
 from trendcast.llm.components import components
 from trendcast.llm.hashing import set_key, shingles
 
@@ -441,6 +441,7 @@ def op1_ngram_jaccard_join(spark, sf_dir):
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
+@document_stage
 def one_of_each_group(spark, docs, sf_dir):
     """Pipeline stage: of each group of near copies the document with the smallest id."""
     groups = materialize(ngram_join(docs).filter("doc_id != component_id").select("doc_id").distinct(), "ngram_others")

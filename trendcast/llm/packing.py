@@ -48,7 +48,7 @@ _SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
 def byte_bpe(vocabulary: str = VOCABULARY, ranks: str | None = RANKS) -> Callable[[str], np.ndarray]:
-    """Text -> ids of a public byte-level vocabulary, strings of special tokens being ordinary text.
+    """Text -> ids of a public byte-level vocabulary, as ``tokenizers`` gives them: a special token's string is that token.
 
     ``ranks`` names the same vocabulary in the other library's format; texts of
     common characters go through it, about four times faster, with equal ids.
@@ -57,7 +57,6 @@ def byte_bpe(vocabulary: str = VOCABULARY, ranks: str | None = RANKS) -> Callabl
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    whole.encode_special_tokens = True
     fast = None
     if ranks:
         import tiktoken
@@ -181,6 +180,7 @@ def with_digest(pieces: DataFrame) -> DataFrame:
 
 
 def op7_harmonic_packing(spark, sf_dir):
+    """The pieces of every document, with a checksum in place of the ids."""
     return with_digest(pack(table(spark, sf_dir, "documents")))
 
 
