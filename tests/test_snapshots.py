@@ -2,6 +2,7 @@
 ``when_present`` behaviours, repeated runs."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from trendcast.plans import loads
 from trendcast.plans import rollover as ro
 from trendcast.session import shared_dir
-from trendcast.sources.snapshots import SnapshotStore
+from trendcast.sources.snapshots import Batch, Conflict, SnapshotStore
 
 SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("ts", T.TimestampNTZType()),
                        T.StructField("v", T.LongType())])
@@ -288,3 +289,176 @@ def test_keyword_video_load_runs_twice(spark, sf_dir):
         assert later.count() > 0 and later.where("view_count < 5000").count() == 0
     finally:
         SnapshotStore.__init__ = real
+
+
+# --- races, replays, runs, the ledger, buckets, rules --------------------------------------
+
+
+def test_an_interleaved_append_is_kept(spark, monkeypatch):
+    """A writer that publishes between another one's reading and its commit loses nothing, nor does the other."""
+    s = store(spark)
+    s.append(rows(spark, [("a", dt.datetime(2024, 1, 5), 1)]), "2024_jan")
+    real, calls = SnapshotStore._state, []
+
+    def state(self):
+        got = real(self)
+        if not calls:
+            calls.append(1)
+            s.append(rows(spark, [(x, dt.datetime(2024, 1, 5), 1) for x in "xyz"]), "2024_jan")
+        return got
+    other = SnapshotStore(spark, s.base, SCHEMA, "ts")
+    monkeypatch.setattr(other, "_state", state.__get__(other))
+    other.append(rows(spark, [("b", dt.datetime(2024, 1, 5), 1)]), "2024_jan")
+    assert ids(s.load("2024_jan")) == ["a", "b", "x", "y", "z"]
+
+
+def test_a_replacement_keeps_later_rows_and_refuses_replaced_ones(spark):
+    s = store(spark)
+    day = "2024_01_05"
+    s.append(rows(spark, [("a", dt.datetime(2024, 1, 5), 1), ("a", dt.datetime(2024, 1, 5), 2)]), "2024_jan")
+    seen = s.entries("2024_jan")
+    kept = s.read(seen).where("v = 2")
+    s.append(rows(spark, [("late", dt.datetime(2024, 1, 5), 3)]), "2024_jan")       # while the days are compacted
+    s.replace_days(kept, "2024_jan", [day], compacted=True, seen=seen)
+    assert ids(s.load("2024_jan")) == ["a", "late"] and s.uncompacted_days("2024_jan") == [day]
+    with pytest.raises(Conflict):
+        s.replace_days(kept, "2024_jan", [day], seen=seen)                          # computed from what is gone
+    assert ids(s.load("2024_jan")) == ["a", "late"]
+
+
+def test_manifest_numbers_are_taken_once(spark):
+    s = store(spark)
+    assert s._publish(1, "{}") and not s._publish(1, "{}") and s._manifest_numbers() == [1]
+
+
+def history(spark, n=25):
+    return rows(spark, [(f"h{i}", dt.datetime(2023, 8 + i % 5, 3 + i // 5), i) for i in range(n)])
+
+
+def test_daily_merges_carry_history_once(spark):
+    """25 rows over five months, three daily runs in the grace week: each adds its own row alone."""
+    s = store(spark)
+    s.append(history(spark), "2023_dec")
+    s.append(rows(spark, [("h4", dt.datetime(2023, 12, 3), 4)]), "2024_jan")        # leaked earlier, of last month
+    s.append(rows(spark, [("h0", dt.datetime(2023, 8, 3), 0)]), "2024_jan")         # and of an older one
+    merge = lambda day, i: ro.rollover_merge(s, rows(spark, [(f"n{i}", dt.datetime(2024, 1, day), i)]), dt.datetime(2024, 1, day), "ts",
+                                             keys=["id", "ts"])
+    assert merge(1, 1) == "merged" and s.load("2024_jan").count() == 26
+    before, wrote = s.entries("2024_jan"), versions(s)
+    for day, n in ((2, 27), (3, 28)):
+        assert merge(day, day) == "appended" and s.load("2024_jan").count() == n
+    after = s.entries("2024_jan")
+    assert len(versions(s)) == len(wrote) + 2
+    assert {d: v for d, v in after.items() if d in before} == before                # old days keep their versions
+    # The previous month is compacted, then gets a late row: only that day is compared, only that row comes over.
+    ro.compact(s, "2023_dec", ["id"], ["v"])
+    s.append(rows(spark, [("late", dt.datetime(2023, 9, 4), 1)]), "2023_dec")
+    assert merge(4, 4) == "merged" and s.load("2024_jan").count() == 30
+    assert sorted(s.load("2024_jan").groupBy("id").count().where("count > 1").collect()) == []
+
+
+def test_vacuum_and_expiry_forget_the_ledger(spark):
+    s = store(spark)
+    s.append(history(spark), "2023_dec")
+    ro.rollover_merge(s, rows(spark, [("n", dt.datetime(2024, 1, 1), 1)]), dt.datetime(2024, 1, 1), "ts", keys=["id", "ts"])
+    assert s._manifest()["carried"]["2024_jan"]
+    s.expire(dt.datetime(2024, 9, 1), 60)
+    assert s._manifest()["carried"] == {} and s.months() == []
+
+
+def _skip_load(spark, land, base, ckpt, **more):
+    return loads.load(spark, "posts", land, base, ckpt, dt.datetime(2024, 2, 1, 6), {"subreddits": spark.createDataFrame(
+        [("r", 5)], "subreddit string, subscribers bigint")}, when_present="skip", **more)
+
+
+def _post(i, day):
+    at = dt.datetime(2024, day // 100, day % 100, tzinfo=dt.timezone.utc).timestamp()
+    return json.dumps({"genre": "g", "posts": [{"id": i, "subreddit": "r", "score": 1, "num_comments": 1, "upvote_ratio": 0.5, "created": at}]})
+
+
+def _files(spark, land, pages):
+    for p in pages:
+        spark.createDataFrame([(p,)], "value string").coalesce(1).write.mode("append").text(land)
+
+
+def test_a_skip_load_in_three_batches_keeps_all_or_nothing(spark):
+    land, base, ckpt = _folders(spark, "skip")
+    s = loads.store_of(spark, "posts", base)
+    _files(spark, land, [_post(f"p{i}", 201) for i in range(3)])
+    got = _skip_load(spark, land, base, ckpt, max_bytes=1)
+    assert got["actions"] == ["rolled_over", "appended", "appended"]                # one run, one decision
+    assert ids(s.load("2024_feb")) == ["p0", "p1", "p2"]
+    _files(spark, land, [_post(f"q{i}", 201) for i in range(3)])
+    assert _skip_load(spark, land, base, ckpt, max_bytes=1)["actions"] == ["skipped"] * 3
+    assert ids(s.load("2024_feb")) == ["p0", "p1", "p2"]
+
+
+def test_a_run_that_fails_half_way_goes_on_as_it_began(spark, monkeypatch):
+    """The second batch is lost after its rows were published: it is run again, changes nothing, and the third follows."""
+    land, base, ckpt = _folders(spark, "half")
+    _files(spark, land, [_post(f"p{i}", 201) for i in range(3)] + [_post("cut", 201)[:60]])
+    real, n = loads.compacted, []
+
+    def fails(*a):
+        n.append(1)
+        if len(n) == 2:
+            raise OSError("lost")
+        return real(*a)
+    monkeypatch.setattr(loads, "compacted", fails)
+    with pytest.raises(Exception, match="lost"):
+        _skip_load(spark, land, base, ckpt, max_bytes=1)
+    got = _skip_load(spark, land, base, ckpt, max_bytes=1)
+    assert got["actions"][0] == "replayed" and set(got["actions"][1:]) == {"appended"}
+    s = loads.store_of(spark, "posts", base)
+    assert ids(s.load("2024_feb")) == ["p0", "p1", "p2"]
+    assert spark.read.parquet(f"{base}_rejects").count() == 1
+    assert s._manifest()["writers"] and all(w["run"] is None for w in s._manifest()["writers"].values())
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark):
+    s = store(spark)
+    by = Batch("w", 0)
+    for _ in range(2):
+        s.append(rows(spark, [("a", dt.datetime(2024, 1, 5), 1)]), "2024_jan", by=by)
+        s.replace_days(rows(spark, [("b", dt.datetime(2024, 1, 6), 1)]), "2024_jan", ["2024_01_06"], by=Batch("other", 3))
+    assert ids(s.load("2024_jan")) == ["a", "b"] and len(versions(s)) == 2
+    assert ro.rollover(s, rows(spark, [("c", dt.datetime(2024, 1, 7), 1)]), dt.datetime(2024, 1, 9), "ts", 2, by=by) == "replayed"
+    assert not s.applied(Batch("w", 1)) and not s.applied(Batch("new", 0))
+
+
+def test_untouched_buckets_are_neither_read_nor_written(spark):
+    s = SnapshotStore(spark, shared_dir(spark, "test-buckets", fresh=True), SCHEMA, buckets=(["id"], 16))
+    s.append(rows(spark, [(f"k{i}", None, i) for i in range(200)]), "2024_jan")
+    ro.compact(s, "2024_jan", ["id"], ["v"])
+    before = s.entries("2024_jan")
+    assert len(before) == 16
+    s.append(rows(spark, [("k7", None, 1000), ("new", None, 1)]), "2024_jan")
+    touched = s.uncompacted_days("2024_jan")
+    assert len(touched) in (1, 2)
+    seen = s.read(s.entries("2024_jan", touched)).inputFiles()
+    assert all(any(f"_day={b}/" in f for b in touched) for f in seen)
+    out = ro.compact(s, "2024_jan", ["id"], ["v"])
+    assert {d: v for d, v in s.entries("2024_jan").items() if d not in touched} == {d: v for d, v in before.items() if d not in touched}
+    got = {r.id: r.v for r in out.collect()}
+    assert len(got) == 201 == out.count() and got["k7"] == 1000
+    # The number of buckets is the store's, whatever a later program says.
+    again = SnapshotStore(spark, s.base, SCHEMA, buckets=(["id"], 64))
+    again.append(rows(spark, [("k7", None, 2000)]), "2024_jan")
+    assert again.buckets[1] == 16 and {r.id: r.v for r in ro.compact(again, "2024_jan", ["id"], ["v"]).collect()}["k7"] == 2000
+
+
+def test_rows_that_break_a_rule_are_not_published(spark):
+    land, base, ckpt = _folders(spark, "rules")
+    _files(spark, land, [_post("p", 201)])
+    assert _skip_load(spark, land, base, ckpt, required=["id", "created"])["actions"] == ["rolled_over"]
+    s = loads.store_of(spark, "posts", base)
+    before = s._manifest()
+    _files(spark, land, [_post(None, 201)])
+    with pytest.raises(Exception, match="not_null:id"):
+        loads.load(spark, "posts", land, base, ckpt, dt.datetime(2024, 2, 9), {"subreddits": spark.createDataFrame(
+            [("r", 5)], "subreddit string, subscribers bigint")}, required=["id", "created"])
+    assert s._manifest() == before and ids(s.load("2024_feb")) == ["p"]
+    reports = {r["action"]: r for r in loads.load_reports(spark, base).collect()}
+    assert "not_null:id (1)" in reports["refused"]["broken_rules"] and reports["rolled_over"]["rows"] == 1
+    # Without the rule the same files are taken by the next run.
+    assert _skip_load(spark, land, base, ckpt)["actions"] == ["skipped"]

@@ -1,6 +1,6 @@
 """Job entry points.
 
-    spark-submit trendcast/__main__.py load DATASET --landing DIR --store DIR --checkpoint DIR [--dimensions DIR] [--as-of ISO]
+    spark-submit trendcast/__main__.py load DATASET --landing DIR --store DIR --checkpoint DIR [--dimensions DIR] [--required COL ...] [--as-of ISO]
     spark-submit trendcast/__main__.py load keyword_videos --landing DIR --details DIR --store DIR --checkpoint DIR ...
     spark-submit trendcast/__main__.py refresh --store DIR --videos DIR --out DIR [--as-of ISO]
     python -m trendcast ...            (local run)
@@ -39,7 +39,7 @@ def load(spark: SparkSession, args: argparse.Namespace) -> dict:
         return loads.load_keyword_videos(spark, args.landing, args.details, args.store, args.checkpoint, _as_of(args.as_of),
                                          loads.distinct_pairs(dimensions["categories"]))
     return loads.load(spark, args.dataset, args.landing, args.store, args.checkpoint, _as_of(args.as_of), dimensions,
-                      args.when_present)
+                      args.when_present, args.required)
 
 
 def refresh(spark: SparkSession, args: argparse.Namespace) -> dict:
@@ -60,6 +60,7 @@ def main(argv: list[str] | None = None) -> dict:
     p_load.add_argument("--details")
     p_load.add_argument("--dimensions")
     p_load.add_argument("--when-present", choices=["append", "skip"], default="append")
+    p_load.add_argument("--required", nargs="*", help="columns without which a row is not published")
     p_load.add_argument("--as-of")
     p_ref = sub.add_parser("refresh")
     for name in ("--store", "--videos", "--out"):

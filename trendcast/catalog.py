@@ -549,7 +549,7 @@ def q_rollover_merge(spark, sf_dir):
     with setting_up():
         store.append(prev, "1998_jul")
         store.append(prev.where(F.col("like_count") > 40), "1998_aug")
-    ro.rollover_merge(store, batch, fx.MERGE_AS_OF, "published_ts")
+    ro.rollover_merge(store, batch, fx.MERGE_AS_OF, "published_ts", against="leaked")
     return store.load("1998_aug")
 
 

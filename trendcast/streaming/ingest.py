@@ -17,9 +17,12 @@ micro-batches of ``max_bytes``, so a backfill is many bounded batches.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +31,7 @@ from trendcast.functions.timeparts import ntz_to_instant, to_local
 from trendcast.operators.dedupe import keep_one
 from trendcast.session import shared_dir
 from trendcast.sources.landing import CORRUPT, rejected_pages, with_corrupt_column
-from trendcast.sources.snapshots import NO_DAY, SnapshotStore
+from trendcast.sources.snapshots import NO_DAY, Batch, SnapshotStore
 
 BATCH_COL = "ingest_batch"
 TABLE = "all"
@@ -41,25 +44,83 @@ def source(spark: SparkSession, landing: str, schema: T.StructType,
             .option("maxBytesPerTrigger", max_bytes).json(landing))
 
 
-def run_available(pages: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Process what has arrived, batch by batch, and stop."""
-    (pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+def _writer(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint gives its query: kept over restarts, another one in a new checkpoint."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return ""
+    stream = fs.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
 
 
-def merge_batch(rows: DataFrame, batch_id: int, target: SnapshotStore, keys: list[str], table: str = TABLE) -> list[str]:
-    """Keyed replace of one batch into ``target``; the newest batch wins. Returns the days touched.
+def run_available(pages: DataFrame, each: Callable[[DataFrame, Batch], None], checkpoint: str) -> str:
+    """Process what has arrived, batch by batch, and stop; the writer's id.
+
+    A batch comes with its name, under which a store applies it once: after a
+    failure Spark runs the last batch again.
+    """
+    spark = pages.sparkSession
+    (pages.writeStream.foreachBatch(lambda rows, n: each(rows, Batch(_writer(spark, checkpoint), n)))
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+    return _writer(spark, checkpoint)
+
+
+def batch_dir(base: str, by: Batch) -> str:
+    """Where a batch puts its side output below ``base``: the same place if it runs again."""
+    return f"{base.rstrip('/')}/writer={by.writer}/batch={by.number}"
+
+
+@dataclass(frozen=True)
+class Pages:
+    """The pages of a batch, parsed once, and how many there are, do not fit, and are lost."""
+    rows: DataFrame
+    count: int
+    rejected: int
+    lost: int
+
+
+@contextmanager
+def parsed_once(pages: DataFrame, items: str, rejects: str | None, by: Batch):
+    """The pages of a batch written and read back, so that JSON is parsed once; pages that do not fit go to ``rejects``.
+
+    The numbers are taken in the writing pass.
+    """
+    spark, seen = pages.sparkSession, Observation()
+    path = shared_dir(spark, "micro_batches", fresh=True)
+    bad = F.col(CORRUPT).isNotNull()
+    pages.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"),
+                  F.count_if(bad & F.col(items).isNull()).alias("lost")).write.parquet(path)
+    rows = spark.read.schema(pages.schema).parquet(path)
+    if rejects and seen.get["bad"]:
+        rejected_pages(rows, items).write.mode("overwrite").parquet(batch_dir(rejects, by))
+    try:
+        yield Pages(rows, seen.get["n"], seen.get["bad"], seen.get["lost"])
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def merge_batch(rows: DataFrame, by: Batch, target: SnapshotStore, keys: list[str], table: str = TABLE) -> list[str]:
+    """Keyed replace of one batch into ``target``; the newest batch wins. Returns the days (or key buckets) touched.
 
     The batch is written once as a version of its own, which gives its days
     without another pass; then the touched days are merged and replaced. A NULL
-    day is a day like any other. Keys fix the day.
+    day is a day like any other. Keys fix the day. A batch that is in already
+    changes nothing.
     """
-    staged = SnapshotStore(target.spark, shared_dir(target.spark, "micro_batches", fresh=True), target.schema, target.day_col)
-    staged.append(rows.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), table)
+    staged = SnapshotStore(target.spark, shared_dir(target.spark, "micro_batches", fresh=True), target.schema, target.day_col,
+                           grain=target.grain, buckets=target.buckets)
+    staged.append(rows.withColumn(BATCH_COL, F.lit(by.number).cast("bigint")), table)
     days = staged.days(table)
-    if days:
-        merged = target.load_days(table, days).unionByName(staged.load(table))
-        target.replace_days(keep_one(merged, keys, [F.col(BATCH_COL).desc_nulls_last()]), table, days, compacted=True)
+    if days and not target.applied(by):
+        seen = target.entries(table, days)
+        merged = target.read(seen).unionByName(staged.load(table))
+        target.replace_days(keep_one(merged, keys, [F.col(BATCH_COL).desc_nulls_last()]), table, days, compacted=True,
+                            seen=seen, by=by)
     staged.drop()
     return days
 
@@ -71,14 +132,14 @@ def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, items
     """One incremental run: new landed pages -> keyed replace into ``target``.
 
     ``items`` names the pages' array; pages that do not fit ``schema`` are
-    appended to ``rejects`` (payload, lost) if it is given. ``after`` is called
-    with the days each batch touched. A batch that is run again after a failure
-    replaces its days by the same rows; rejects may then occur twice.
+    put below ``rejects`` (payload, lost) if it is given. ``after`` is called
+    with the days each batch touched, also for a batch that is run again after a
+    failure: that one changes nothing in the store or the rejects, but the
+    failure may have come before ``after``.
     """
-    def each(batch: DataFrame, batch_id: int) -> None:
-        if rejects:
-            rejected_pages(batch, items).write.mode("append").parquet(rejects)
-        days = merge_batch(flatten(batch), batch_id, target, keys)
+    def each(batch: DataFrame, by: Batch) -> None:
+        with parsed_once(batch, items, rejects, by) as pages:
+            days = merge_batch(flatten(pages.rows), by, target, keys)
         if after and days:
             after(days)
 
