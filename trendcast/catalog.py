@@ -21,13 +21,13 @@ from trendcast import constants as K
 from trendcast import functions as fn
 from trendcast import operators as op
 from trendcast import schemas
-from trendcast.plans import dashboards, gap_chain, marts, quality, refresh, staging, views
+from trendcast.plans import dashboards, gap_chain, loads, marts, quality, refresh, staging, views
 from trendcast.plans import rollover as ro
 from trendcast.session import shared_dir
 from trendcast.sources import fixtures as fx
 from trendcast.sources import landing
 from trendcast.sources import landing_fixtures as lf
-from trendcast.sources.snapshots import SnapshotStore, conform
+from trendcast.sources.snapshots import RulesBroken, SnapshotStore, conform, not_null
 from trendcast.streaming import ingest as si
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -553,6 +553,44 @@ def q_rollover_merge(spark, sf_dir):
     return store.load("1998_aug")
 
 
+@register("rollover_merge_twice")
+def q_rollover_merge_twice(spark, sf_dir):
+    """Two daily runs of the grace week, each with half of the new videos: history comes over once."""
+    prev, batch = _videos_split(spark, sf_dir)
+    store = _new_videos_store(spark)
+    with setting_up():
+        store.append(prev, "1998_jul")
+        store.append(prev.where(F.col("like_count") > 40), "1998_aug")
+    for half, as_of in ((0, fx.MERGE_AS_OF), (1, fx.MERGE_AS_OF + _dt.timedelta(days=1))):
+        ro.rollover_merge(store, batch.where(F.col("like_count") % 2 == half), as_of, "published_ts")
+    return store.load("1998_aug")
+
+
+@register("compact_jobs")
+def q_compact_jobs(spark, sf_dir):
+    """A capture of all jobs, then one of every second: in buckets of the key, the newest capture stays."""
+    store = SnapshotStore(spark, shared_dir(spark, "store", "jobs", fresh=True), schemas.JOBS, buckets=(K.KEYS["jobs"], 32))
+    pages = _landed(spark, lf.jobs_pages(spark, sf_dir), "jobs", schemas.JOBS_PAYLOAD, sf_dir)
+    later = landing.flatten_jobs(pages, fx.AS_OF + _dt.timedelta(hours=4)).where("cast(job_id as bigint) % 2 = 0")
+    for rows in (landing.flatten_jobs(pages, fx.AS_OF), later):
+        store.append(rows, "2024_jan")
+        ro.compact(store, "2024_jan", K.KEYS["jobs"], ["scraped_at"])
+    return store.load("2024_jan")
+
+
+@register("refused_batch")
+def q_refused_batch(spark, sf_dir):
+    """Rules run on a written batch before it is published: the month stays, the rule is named."""
+    store = SnapshotStore(spark, shared_dir(spark, "store", "ruled", fresh=True), schemas.TRENDS, "start_date")
+    trends = fx.trends(spark, sf_dir)
+    store.append(trends.where("end_date is not null"), "2024_jan", rules=not_null(["query", "end_date"]))
+    try:
+        store.append(trends, "2024_jan", rules=not_null(["query", "end_date"]))
+    except RulesBroken as e:
+        broken = spark.createDataFrame(sorted(e.counts.items()), "what string, n bigint")
+    return store.load("2024_jan").agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("what"), "n").unionByName(broken)
+
+
 @register("compact_trends")
 def q_compact_trends(spark, sf_dir):
     """Two captures of all trends, the later one with larger volumes: it stays."""
@@ -612,6 +650,39 @@ def q_stream_ingest(spark, sf_dir):
     return target.load(si.TABLE).drop(si.BATCH_COL)
 
 
+def _trend_loads(spark, sf_dir, name: str):
+    """(load, folder of its store, checkpoint): a load of trends over damaged pages that has run once."""
+    land_dir, ckpt, target = _stream_folders(spark, name)
+    with setting_up():
+        lf.damaged_trends_pages(spark, sf_dir).write.text(land_dir)
+    run = lambda: loads.load(spark, "trends", land_dir, target.base, ckpt, fx.AS_OF)
+    run()
+    return run, target.base, ckpt, land_dir
+
+
+@register("stream_replay")
+def q_stream_replay(spark, sf_dir):
+    """A load whose last batch runs again, as after a failure: rows, rejects and reports stay as they were."""
+    run, base, ckpt, _ = _trend_loads(spark, sf_dir, "stream_replay")
+    commit = spark._jvm.org.apache.hadoop.fs.Path(f"{ckpt}/commits/0")
+    commit.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commit, False)
+    action = run()["actions"][0]
+    rows = loads.store_of(spark, "trends", base).load("2024_jan")
+    counted = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("what"), "n")
+    rejects = spark.read.parquet(f"{base}_rejects").groupBy(F.when(F.col("lost"), "pages lost").otherwise("pages with bad values").alias("what"))
+    reports = loads.load_reports(spark, base).agg(F.count(F.lit(1)).alias("n")).select(F.lit("reports").alias("what"), "n")
+    return counted.unionByName(rejects.agg(F.count(F.lit(1)).alias("n"))).unionByName(reports).withColumn("second_run", F.lit(action))
+
+
+@register("load_report")
+def q_load_report(spark, sf_dir):
+    """What two loads did: of damaged pages, then of sound ones that capture the same trends later."""
+    run, base, _, land_dir = _trend_loads(spark, sf_dir, "load_report")
+    _append_landing(lf.trends_pages(spark, sf_dir, captured_at=lf.SECOND_CAPTURE), land_dir)
+    run()
+    return loads.load_reports(spark, base).select("dataset", "month", "action", "pages", "rejected_pages", "lost_pages", "rows", "duplicates")
+
+
 @register("stream_dedupe")
 def q_stream_dedupe(spark, sf_dir):
     """Two runs whose captures overlap by five days; rows seen before are dropped with bounded state.
