@@ -90,6 +90,40 @@ def test_stream_dedupe_drops_overlap_and_counts_late_rows(spark):
     assert sorted(r.query for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
 
 
+def test_stream_newest_replaces_by_key_and_returns_late_rows(spark):
+    land, ckpt, target = _stream(spark, "newest")
+    late, day = shared_dir(spark, "t-late", fresh=True), 86400
+    run = lambda **more: si.stream_newest(spark, land, schemas.TRENDS_PAYLOAD, landing.flatten_trends, ["query", "start_date"],
+                                          "start_date", "captured_at", "7 days", target, late, ckpt, **{"ttl_ms": 10**9, **more})
+
+    def page(at, *items):
+        return json.dumps({"captured_at": at, "trending_searches": list(items)})
+
+    def item(q, start, volume):
+        return _item(q, start) | {"search_volume": volume}
+    now = lambda: {(r["query"], r["start_date"]): r["search_volume"] for r in target.load(si.TABLE).collect()}
+    t = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    # The older capture comes last in the first batch; a row without a time is never late.
+    _land(spark, land, [page(200, item("a", T0, 2), item("b", T0 + 10 * day, 5), item("n", "never", 1)), page(100, item("a", T0, 1))])
+    assert run() == 0
+    assert now() == {("a", t(0)): 2, ("b", t(10)): 5, ("n", None): 1}
+    wrote = target.entries(si.TABLE)
+    # Captured before, captured anew, late ones (a known key, a new one), and one more without a time.
+    _land(spark, land, [page(150, item("b", T0 + 10 * day, 4)), page(300, item("c", T0 + 11 * day, 7), item("a", T0, 9),
+                                                                     item("late", T0 + day, 3), item("n", "never", 8))])
+    assert run() == 2
+    assert now() == {("a", t(0)): 2, ("b", t(10)): 5, ("c", t(11)): 7, ("n", None): 8}
+    assert target.entries(si.TABLE)["2024_01_11"] == wrote["2024_01_11"]     # nothing new there: not rewritten
+    assert sorted((r["query"], r["search_volume"]) for r in spark.read.parquet(late).collect()) == [("a", 9), ("late", 3)]
+    # The last batch is run again, as after a failure.
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{ckpt}/commits/1")
+    before = target._manifest()
+    commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commits, False)
+    assert run() == 2
+    assert target._manifest() == before and spark.read.parquet(late).count() == 2
+    assert run() == 0
+
+
 def test_stream_pulse_equals_batch_pulse_over_overlapping_and_late_runs(spark):
     land, ckpt, target = _stream(spark, "pulse")
     pulse = SnapshotStore(spark, shared_dir(spark, "t-pulse", fresh=True), si.PULSE, "trend_date")

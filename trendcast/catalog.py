@@ -685,19 +685,20 @@ def q_load_report(spark, sf_dir):
 
 @register("stream_dedupe")
 def q_stream_dedupe(spark, sf_dir):
-    """Two runs whose captures overlap by five days; rows seen before are dropped with bounded state.
-
-    All columns are the key here, so the kept rows are the same on every run.
-    """
-    land_dir = shared_dir(spark, "landing", "stream_dedupe", fresh=True)
-    ckpt = shared_dir(spark, "checkpoints", "stream_dedupe", fresh=True)
-    sink = shared_dir(spark, "sinks", "stream_dedupe", fresh=True)
-    for where in ("start_date < timestamp_ntz'2024-01-25 00:00:00'",
-                  "start_date >= timestamp_ntz'2024-01-20 00:00:00'"):
-        _append_landing(lf.trends_pages(spark, sf_dir, where=where), land_dir)
-        si.stream_dedupe(spark, land_dir, schemas.TRENDS_PAYLOAD, landing.flatten_trends, schemas.TRENDS.fieldNames(),
-                         "start_date", "7 days", sink, ckpt)
-    return spark.read.schema(schemas.TRENDS).parquet(sink)
+    """Two runs whose captures overlap: by (query, start_date) the later capture, with larger volumes, replaces;
+    what comes more than seven days behind the first run is returned as late."""
+    land_dir, ckpt, target = _stream_folders(spark, "stream_dedupe")
+    late = shared_dir(spark, "sinks", "stream_dedupe", fresh=True)
+    counts = []
+    for pages in (lf.trends_pages(spark, sf_dir, where="start_date < timestamp_ntz'2024-01-25 00:00:00'"),
+                  lf.trends_pages(spark, sf_dir, where="start_date >= timestamp_ntz'2024-01-10 00:00:00'",
+                                  captured_at=lf.SECOND_CAPTURE)):
+        _append_landing(pages, land_dir)
+        counts.append(si.stream_newest(spark, land_dir, schemas.TRENDS_PAYLOAD, landing.flatten_trends, K.KEYS["trends"],
+                                       "start_date", "captured_at", "7 days", target, late, ckpt, ttl_ms=30 * 86400 * 1000))
+    kept = target.load(si.TABLE).drop(si.BATCH_COL).withColumn("late", F.lit(False))
+    behind = spark.read.schema(schemas.TRENDS).parquet(late).drop("writer", "batch") if counts[1] else spark.createDataFrame([], schemas.TRENDS)
+    return kept.unionByName(behind.withColumn("late", F.lit(True))).withColumn("late_rows", F.lit(counts[1]).cast("bigint"))
 
 
 @register("stream_category_pulse")

@@ -12,19 +12,23 @@ micro-batches of ``max_bytes``, so a backfill is many bounded batches.
   a batch touches are computed again from the stored rows: overlapping captures
   count once, late rows count, and the open day is there as far as it goes.
 * ``stream_dedupe``: append-only overlap removal with bounded state.
+* ``stream_newest``: overlap removal by key with a state of one capture time per
+  key: a newer capture replaces, late rows go to a side output.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from trendcast import constants as K
 from trendcast.functions.timeparts import ntz_to_instant, to_local
@@ -206,3 +210,82 @@ def stream_dedupe(spark: SparkSession, landing: str, schema: T.StructType,
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+
+
+@contextmanager
+def _without_empty_batches(spark: SparkSession):
+    """State that expires by the clock would ask for empty batches forever; a run that ends has no use for them."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+_NTZ = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _newest(ttl_ms: int):
+    """Per key and batch: its newest row if it is newer than the state, and all rows behind the watermark as late ones."""
+    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        watermark, newest = state.getCurrentWatermarkMs(), None
+        for part in parts:  # a key's rows come in parts; one of them is kept
+            late = part["event_ms"] < watermark
+            yield pd.DataFrame({"row": part.loc[late, "row"], "late": True})
+            for at, row in zip(part.loc[~late, "captured_ms"], part.loc[~late, "row"], strict=True):
+                if newest is None or (-at, row) < newest:
+                    newest = (-at, row)
+        if newest is not None and (not state.exists or -newest[0] > state.get[0]):
+            state.update((int(-newest[0]),))
+            yield pd.DataFrame({"row": [newest[1]], "late": [False]})
+        if state.exists:
+            state.setTimeoutDuration(ttl_ms)
+    return update
+
+
+def stream_newest(spark: SparkSession, landing: str, schema: T.StructType, flatten: Callable[[DataFrame], DataFrame],
+                  keys: list[str], ts_col: str, captured_col: str, delay: str, target: SnapshotStore, late: str,
+                  checkpoint: str, ttl_ms: int, max_bytes: int = MAX_BYTES_PER_TRIGGER) -> int:
+    """One incremental run: of each key the newest capture into ``target``; the number of late rows.
+
+    The state holds one capture time per key, so rows that were captured before
+    are dropped without a look at the store, and only days with news are
+    rewritten. Of equal captures the lowest row stays. A key's state is dropped
+    ``ttl_ms`` after its last row; rows that come more than ``delay`` behind the
+    newest event time of earlier batches are not compared but put below ``late``.
+    Rows without an event time are never late; without a capture time they are
+    the oldest. Repeated batches change nothing, late rows included.
+    """
+    rows = flatten(source(spark, landing, schema, max_bytes)).withColumn("_event_ts", ntz_to_instant(ts_col))
+    marked = rows.withWatermark("_event_ts", delay)
+    no_time = F.lit((1 << 62))
+    grouped = marked.select(
+        F.to_json(F.struct(*keys), {**_NTZ, "ignoreNullFields": "false"}).alias("key"), "_event_ts",
+        F.coalesce(F.unix_millis("_event_ts"), no_time).alias("event_ms"),
+        F.coalesce(F.unix_millis(ntz_to_instant(captured_col)), F.lit(-1).cast("bigint")).alias("captured_ms"),
+        F.to_json(F.struct(*rows.drop("_event_ts").columns), _NTZ).alias("row")).groupBy("key")
+    told = grouped.applyInPandasWithState(_newest(ttl_ms), "row string, late boolean", "captured_ms bigint", "append",
+                                          GroupStateTimeout.ProcessingTimeTimeout)
+    counts = []
+
+    def each(batch: DataFrame, n: int) -> None:
+        by, seen = Batch(_writer(spark, checkpoint), n), Observation()
+        path = shared_dir(spark, "micro_batches", fresh=True)
+        batch.observe(seen, F.count_if("late").alias("late"), F.count_if(~F.col("late")).alias("kept")).write.parquet(path)
+        got = spark.read.schema(batch.schema).parquet(path).select(
+            F.from_json("row", T.StructType([f for f in target.schema.fields if f.name != BATCH_COL]), _NTZ).alias("r"), "late")
+        if seen.get["late"]:
+            got.where("late").select("r.*").write.mode("overwrite").parquet(batch_dir(late, by))
+        if seen.get["kept"]:
+            merge_batch(got.where("not late").select("r.*"), by, target, keys)
+        counts.append(seen.get["late"])
+
+    with _without_empty_batches(spark):
+        query = told.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return sum(counts)
