@@ -166,6 +166,20 @@ def test_jobs_nested_parts_kept_as_json_or_null(spark):
     assert b.apply_options is None and b.scraped_at == dt.datetime(2024, 1, 1)
 
 
+def test_kind_of_a_nested_part_comes_from_its_value(spark):
+    """Strings that look like JSON are strings; numbers, booleans and empty parts are falsy by value; odd entries are seen."""
+    values = ["5 days ago", "true story", "[draft] offer", "0", "null", "false", "{}", " [ ] ", "", 0, 0.0, -0.0, 1.5, 10**30, True, False,
+              None, [], {}, [[]], {"b": {"z": 1, "a": [None]}}, "two\nlines \"q\"", "5"]
+    page = json.dumps({"jobs_results": [{"job_id": str(i), "extensions": v} for i, v in enumerate(values)] + ["text", 7, None, []]})
+    pages = landing.parse_payloads(spark.createDataFrame([(page,)], "value string"), "value", schemas.JOBS_PAYLOAD)
+    got = {int(r.job_id): r.extensions for r in landing.flatten_jobs(pages, dt.datetime(2024, 1, 1)).collect()}
+    assert len(got) == len(values)
+    for i, v in enumerate(values):
+        assert (None if got[i] is None else json.loads(got[i])) == (v if v else None), v
+    assert got[3] == '"0"' and got[20] == '{"b":{"z":1,"a":[null]}}'
+    assert landing.malformed_jobs(pages).count() == 4
+
+
 def test_malformed_counts_can_be_seen(spark):
     page = json.dumps({"region_code": "KE", "items": [
         {"id": "v1", "statistics": {"viewCount": "12", "likeCount": "5K+"}}, {"id": "v2", "statistics": {"viewCount": "many"}}]})

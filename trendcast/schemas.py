@@ -60,7 +60,8 @@ TRENDS_PAYLOAD = _struct(("captured_at", L), ("trending_searches", T.ArrayType(T
 JOB_ITEM = _struct(("title", S), ("company_name", S), ("location", S), ("via", S), ("description", S),
                    ("job_highlights", S), ("extensions", S), ("detected_extensions", S),
                    ("apply_options", S), ("job_id", S))
-JOBS_PAYLOAD = _struct(("jobs_results", T.ArrayType(JOB_ITEM)))
+# A job stays JSON text in its page: the kind of a nested part is told from its value, not from its text.
+JOBS_PAYLOAD = _struct(("jobs_results", T.ArrayType(S)))
 
 POST_ITEM = _struct(("title", S), ("link_flair_text", S), ("score", L), ("id", S), ("subreddit", S),
                     ("url", S), ("num_comments", L), ("selftext", S), ("upvote_ratio", D),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,20 +52,29 @@ def parse_payloads(df: DataFrame, text_col: str, schema: T.StructType) -> DataFr
     return df.select(parsed.alias("_p")).select("_p.*")
 
 
-# A nested part that is absent or falsy by value, whatever its spacing.
-_FALSY = r"^\s*(\[\s*\]|\{\s*\}|null|false|-?0+(\.0+)?([eE][+-]?\d+)?|)\s*$"
-_JSON_VALUE = r"^\s*([\[{]|true\b|-?\d)"
+_EMPTY = r"^\s*(\[\s*\]|\{\s*\})\s*$"
 
 
-def _nested_json(col: str):
-    """A nested part as JSON text; NULL when it is absent or falsy (empty, null, false, 0).
+def _nested_json(name: str, text: Column, whole: Column) -> Column:
+    """Field ``name`` as JSON text; NULL when it is absent or falsy by its value (empty, null, false, 0, "").
 
-    The reader keeps the raw text of arrays, objects, numbers and booleans, and
-    the bare characters of a string, which are quoted again here.
+    ``text`` is the field as the reader has it: the raw text of arrays, objects,
+    numbers and booleans, and the bare characters of a string. Which of them it is
+    says ``whole``, the VARIANT of all fields; a string is quoted again.
     """
-    c = F.col(col)
-    quoted = F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'^\{"v":(.*)\}$', 1)
-    return F.when(c.isNull() | c.rlike(_FALSY), F.lit(None).cast("string")).when(c.rlike(_JSON_VALUE), c).otherwise(quoted)
+    part = F.try_variant_get(whole, f"$.{name}", "variant")
+    kind = F.schema_of_variant(part)
+    quoted = F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    number = F.try_variant_get(part, "$", "double")
+    falsy = ((kind == "VOID") | ((kind == "STRING") & (text == "")) | ((kind == "BOOLEAN") & (text == "false"))
+             | (kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)") & (number == 0)) | (kind.rlike("^(ARRAY|OBJECT)") & text.rlike(_EMPTY)))
+    return F.when(text.isNotNull() & ~F.coalesce(falsy, F.lit(False)), F.when(kind == "STRING", quoted).otherwise(text))
+
+
+def malformed_jobs(payloads: DataFrame) -> DataFrame:
+    """(job): entries of job pages that are no JSON objects; :func:`flatten_jobs` leaves them out."""
+    j = payloads.select(F.explode("jobs_results").alias("job"))
+    return j.where(F.col("job").isNull() | ~F.coalesce(F.schema_of_variant(F.try_parse_json("job")).startswith("OBJECT"), F.lit(False)))
 
 
 def malformed_counts(payloads: DataFrame) -> DataFrame:
@@ -98,13 +107,18 @@ def flatten_trends(payloads: DataFrame) -> DataFrame:
 
 
 def flatten_jobs(payloads: DataFrame, scraped_at: dt.datetime) -> DataFrame:
-    """Job-search pages -> job rows; nested parts kept as JSON text, stamped with the run time."""
-    j = payloads.select(F.explode("jobs_results").alias("j")).select("j.*")
+    """Job-search pages -> job rows; nested parts kept as JSON text, stamped with the run time.
+
+    Entries that are no JSON objects are left out (:func:`malformed_jobs`).
+    """
+    parsed = payloads.select(F.explode("jobs_results").alias("job")).select(
+        F.from_json("job", schemas.JOB_ITEM).alias("j"), F.try_parse_json("job").alias("v"))
+    j = parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
     nested = ["job_highlights", "extensions", "detected_extensions", "apply_options"]
     return j.select(
-        "title", "company_name", "location", "via", "description",
-        *[_nested_json(c).alias(c) for c in nested],
-        "job_id",
+        *[F.col(f"j.{c}").alias(c) for c in ("title", "company_name", "location", "via", "description")],
+        *[_nested_json(c, F.col(f"j.{c}"), F.col("v")).alias(c) for c in nested],
+        F.col("j.job_id").alias("job_id"),
         ntz_literal(scraped_at).alias("scraped_at"),
     )
 

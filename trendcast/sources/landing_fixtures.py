@@ -8,6 +8,8 @@ a folder below the shared checkpoint folder.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,9 @@ from trendcast.sources.tables import read_table
 # When the pages were fetched: the first capture of a day, and a later one.
 FIRST_CAPTURE, SECOND_CAPTURE = 1706659200, 1706673600
 
+# Strings in the place of a nested part: text that reads like JSON, and an empty one.
+PLAIN_PARTS = ["5 days ago", "true story", "[draft] offer", "0", "null", ""]
+
 # Orders per landed page: pages are bounded by a key range, never by a whole group.
 PAGE_ORDERS = 2000
 
@@ -100,8 +105,9 @@ def jobs_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("description"),
         F.array(F.struct(F.lit("Qualifications").alias("title"),
                          F.array(F.col("lang")).alias("items"))).alias("job_highlights"),
-        F.when(F.col("n_chars") % 2 == 0, F.array(F.col("source")))
-        .otherwise(F.array().cast("array<string>")).alias("extensions"),
+        # A list as a rule; some pages give a plain string there, and such strings may look like JSON.
+        F.parse_json(F.coalesce(F.get(F.array(*[F.lit(json.dumps(p)) for p in PLAIN_PARTS]), (F.col("doc_id") % 10).cast("int")),
+                                F.when(F.col("n_chars") % 2 == 0, F.to_json(F.array(F.col("source")))).otherwise("[]"))).alias("extensions"),
         F.when(F.col("n_chars") % 3 == 0,
                F.struct(F.col("n_chars").cast("string").alias("posted_at"))).alias("detected_extensions"),
         F.array(F.struct(F.concat(F.lit("Apply on "), F.col("source")).alias("title"))).alias("apply_options"),
