@@ -22,6 +22,7 @@ from trendcast import functions as fn
 from trendcast import operators as op
 from trendcast import schemas
 from trendcast.plans import dashboards, gap_chain, loads, marts, quality, refresh, staging, views
+from trendcast.plans import partials as pt
 from trendcast.plans import rollover as ro
 from trendcast.session import shared_dir
 from trendcast.sources import fixtures as fx
@@ -624,6 +625,55 @@ def q_gap_end_to_end(spark, sf_dir):
                                  fx.trends(spark, sf_dir), store, fx.AS_OF)
 
 
+# --- marts from stored partials --------------------------------------------------------------
+
+
+def _trend_partials(spark, sf_dir, day, name: str) -> SnapshotStore:
+    """Partials after two refreshes: of all days but the last two, then of the days that came or changed since."""
+    trends = fx.trends(spark, sf_dir)
+    source = SnapshotStore(spark, shared_dir(spark, "store", f"{name}_trends", fresh=True), schemas.TRENDS, "start_date")
+    rows = stg(spark, sf_dir)
+    partial = pt.partial_store(spark, shared_dir(spark, "partials", name, fresh=True), day, rows, "trend_date")
+    last_days = F.col("start_date") >= fn.ntz_literal(fx.AS_OF - _dt.timedelta(days=3))
+    for part, as_of in ((trends.where(~last_days | F.col("start_date").isNull()), fx.AS_OF - _dt.timedelta(days=3)),
+                        (trends.where(last_days), fx.AS_OF)):
+        source.append(part, "2024_jan")
+        pt.refresh_trend_partials(source, "2024_jan", partial, day, as_of)
+    return partial
+
+
+@register("pulse_by_partials")
+def q_pulse_by_partials(spark, sf_dir):
+    return pt.mart_category_pulse(_trend_partials(spark, sf_dir, pt.pulse_day, "pulse").load(si.TABLE))
+
+
+@register("recurrence_by_partials")
+def q_recurrence_by_partials(spark, sf_dir):
+    return pt.mart_keyword_recurrence(_trend_partials(spark, sf_dir, pt.recurrence_day, "recurrence").load(si.TABLE), fx.AS_OF)
+
+
+@register("top_hours_by_states")
+def q_top_hours(spark, sf_dir):
+    """Most frequent start hour per category over daily heavy-hitter states; trends without a time count as NULL."""
+    nulled = stg(spark, sf_dir).withColumn("start_hour_eat", F.when(F.col("search_volume") % 3 != 0, F.col("start_hour_eat")))
+    return pt.top_hours(pt.hours_day(nulled))
+
+
+@register("gap_by_partials")
+def q_gap_by_partials(spark, sf_dir):
+    """The gap mart with medians from quantile sketches of the days, stored and merged."""
+    recurrence = _trend_partials(spark, sf_dir, pt.recurrence_day, "gap").load(si.TABLE)
+    videos = fx.keyword_videos(spark, sf_dir).withColumn("published_ts", fn.parse_iso_ts("published_at"))
+    source = _new_videos_store(spark)
+    supply = SnapshotStore(spark, shared_dir(spark, "partials", "supply", fresh=True), pt.supply_day(videos.limit(0)).schema,
+                           "published_day", MONTHLY)
+    first = F.col("published_ts") < fn.ntz_literal(_AUG)
+    for part in (videos.where(first), videos.where(~first | first.isNull())):
+        source.append(part, "1998_aug")
+        pt.refresh_supply_partials(source, "1998_aug", supply)
+    return pt.mart_gap_analysis(supply.load(si.TABLE), recurrence, fx.AS_OF)
+
+
 # --- streaming ---------------------------------------------------------------------------
 
 

@@ -98,17 +98,21 @@ def daily_category_rank(total: str = "total_search_volume"):
     return F.rank().over(Window.partitionBy("trend_date").orderBy(F.col(total).desc_nulls_last()))
 
 
+def pulse_windows(agg: DataFrame) -> DataFrame:
+    """The comparisons between days and between categories, on one row per category and day."""
+    return agg.withColumns({
+        "keyword_count_vs_7d_avg": vs_trailing_avg("total_keywords", ["categories"], "trend_date"),
+        "daily_category_rank": daily_category_rank().cast("bigint"),
+    })
+
+
 def mart_category_pulse(stg: DataFrame, sort: bool = False) -> DataFrame:
     """One row per category and local day.
 
     The windows run on the aggregate (one row per category-day), so their
     groups are bounded by the number of days, not by raw rows.
     """
-    agg = category_day_aggregates(stg)
-    out = agg.withColumns({
-        "keyword_count_vs_7d_avg": vs_trailing_avg("total_keywords", ["categories"], "trend_date"),
-        "daily_category_rank": daily_category_rank().cast("bigint"),
-    })
+    out = pulse_windows(category_day_aggregates(stg))
     if sort:
         out = out.orderBy(F.col("trend_date").desc(), F.col("total_search_volume").desc())
     return out

@@ -185,12 +185,13 @@ class SnapshotStore:
         self._commit(swap)
 
     def replace_days(self, df: DataFrame, month: str, days: list[str], compacted: bool = False,
-                     seen: Entries | None = None, by: Batch | None = None) -> int:
+                     seen: Entries | None = None, by: Batch | None = None, note: dict | None = None) -> int:
         """Swap the rows of some days of a month for ``df`` (all of whose rows lie in these days); the number of rows.
 
         ``seen`` are the entries that ``df`` was computed from: rows that others have
         added to these days since stay beside it, and if some of ``seen`` are gone the
         change is refused. Without it the days become ``df`` whatever they hold by then.
+        ``note`` is kept with the change (see :meth:`note`).
         """
         if by and self.applied(by):
             return 0
@@ -209,6 +210,7 @@ class SnapshotStore:
                     entries[d] = new
             if compacted:
                 state["compacted"].append(version)
+            state["notes"].update(note or {})
         self._apply(swap, by, None, month)
         return rows
 
@@ -243,6 +245,10 @@ class SnapshotStore:
         return sorted(d for d, versions in state["months"].get(month, {}).items()
                       if len(versions) > 1 or versions[0] not in done)
 
+    def note(self, name: str, default):
+        """What a writer has noted with its last change, such as what its rows were computed from."""
+        return self._manifest()["notes"].get(name, default)
+
     # -- incremental writers ------------------------------------------------------------
     def applied(self, by: Batch) -> bool:
         """Whether the changes of this batch are in already."""
@@ -332,7 +338,7 @@ class SnapshotStore:
     def _state(self) -> tuple[int, dict]:
         """The newest manifest and its number, from one listing."""
         numbers = self._manifest_numbers()
-        state = {"months": {}, "compacted": [], "carried": {}, "writers": {}, "buckets": None}
+        state = {"months": {}, "compacted": [], "carried": {}, "writers": {}, "notes": {}, "buckets": None}
         if not numbers:
             return 0, state
         fs, path = self._fs(f"{self.base}/manifest/{numbers[-1]:012d}.json")

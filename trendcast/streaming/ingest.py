@@ -165,20 +165,23 @@ PULSE = T.StructType([T.StructField("categories", T.StringType()), T.StructField
                       T.StructField("peak_search_volume", T.LongType())])
 
 
-def _around(days: list[str]) -> tuple[list[dt.date], list[str]]:
+def near(days: list[dt.date]) -> list[dt.date]:
+    """The days and their neighbours."""
+    return sorted({d + dt.timedelta(n) for d in days for n in (-1, 0, 1)})
+
+
+def around(days: list[str]) -> tuple[list[dt.date], list[str]]:
     """The local days that rows of these UTC days may fall in, and the UTC days these are made of.
 
     No zone is more than 14 hours from UTC, so a neighbouring day on either side is enough.
     """
-    utc = [dt.datetime.strptime(d, "%Y_%m_%d").date() for d in days if d != NO_DAY]
-    near = lambda ds: sorted({d + dt.timedelta(n) for d in ds for n in (-1, 0, 1)})
-    local = near(utc)
+    local = near([dt.datetime.strptime(d, "%Y_%m_%d").date() for d in days if d != NO_DAY])
     return local, [d.strftime("%Y_%m_%d") for d in near(local)]
 
 
 def refresh_pulse(target: SnapshotStore, pulse: SnapshotStore, days: list[str], ts_col: str = "start_date") -> None:
     """Compute the day counts around the touched days again and replace them in ``pulse`` (by ``trend_date``)."""
-    local, utc = _around(days)
+    local, utc = around(days)
     if local:
         fresh = category_days(target.load_days(TABLE, utc), ts_col).where(F.col("trend_date").isin(local))
         pulse.replace_days(fresh, TABLE, [d.strftime("%Y_%m_%d") for d in local])
