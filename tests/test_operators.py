@@ -26,6 +26,24 @@ def test_split_numbering_matches_window_with_hot_group(spark):
     assert "SinglePartition" not in plan and "hashpartitioning(g#" in plan
 
 
+def test_numbering_of_all_different_and_of_equal_leads(spark):
+    """One group with different scores throughout, one large tie, odd numbers: right numbers, small units, two reads of the input."""
+    odd = [float("nan"), float("inf"), float("-inf"), 0.0, -0.0, -1.5, 1e300, -1e300, 1e-300, None]
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "different").when(F.col("id") % 3 == 1, "tie").otherwise("odd").alias("g"),
+        F.when(F.col("id") % 3 == 0, F.pmod(F.xxhash64("id"), F.lit(10**9)) / 7).when(F.col("id") % 3 == 1, 5.0)
+        .otherwise(F.get(F.array(*[F.lit(x).cast("double") for x in odd]), (F.col("id") % 10).cast("int"))).alias("s"),
+        F.concat(F.lit("q"), (F.col("id") * 7919 % 6000).cast("string")).alias("t"))
+    for order in ([F.col("s").desc_nulls_last(), F.col("t").asc_nulls_first()], [F.col("s").asc_nulls_first(), F.col("t").desc()]):
+        got = ranking.row_number_split(df, ["g"], order, "rn", lead=["s", "t"])
+        want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("bigint"))
+        key = lambda d: sorted(map(repr, d.select("g", "t", "rn").collect()))
+        assert key(got) == key(want)
+    cells = df.where("g = 'different'").groupBy(ranking._cell(df, "s")).count().agg(F.max("count")).first()[0]
+    values = df.where("g = 'tie'").groupBy(ranking._cell(df, "t")).count().agg(F.max("count")).first()[0]
+    assert cells < 20 and values < 400
+
+
 def test_top_n_uses_partial_group_limit(spark):
     df = spark.range(0, 1000).select((F.col("id") % 4).alias("g"), F.col("id").alias("s"))
     out = op.top_n_per_group(df, ["g"], [F.col("s").desc()], 2, rank_col="r")
