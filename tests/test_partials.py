@@ -110,3 +110,28 @@ def test_merged_states_count_null_and_find_heavy_values_beyond_capacity(spark):
     many = spark.range(60_000).select(F.lit("x").alias("categories"), F.lit(dt.date(2024, 1, 1)).alias("trend_date"),
                                       F.when(F.col("id") % 5 == 0, -1).otherwise(F.col("id")).cast("int").alias("start_hour_eat"))
     assert pt.top_hours(pt.hours_day(many)).first()["top_hour"] == -1
+
+
+def test_command_line_refresh_from_partials(spark):
+    """Two runs of the scheduled refresh: the marts equal the full rebuild, the second reads the new day's surroundings."""
+    from trendcast.__main__ import main
+    from trendcast.plans import loads
+
+    base, videos, parts, out, full = (shared_dir(spark, f"t-refresh-{n}", fresh=True) for n in ("s", "v", "p", "o", "f"))
+    trends, kw = loads.store_of(spark, "trends", base), loads.store_of(spark, "keyword_videos", videos)
+    video = lambda k, i, day, views: (k, f"v{i}", "t", "c", "n", "2024-01-01T00:00:00Z", "PT5M", 300, None, views, 1, 1, "KE",
+                                      dt.datetime(2024, 1, day), None)
+    trends.append(frames(spark, [trend(f"Q{d % 3}", d, 100 * d) for d in range(1, 16)]), "2024_jan")
+    kw.append(spark.createDataFrame([video("q1", i, 1 + i % 9, 10 * i + 1) for i in range(31)], schemas.KEYWORD_VIDEOS), "2024_jan")
+    args = ["--store", base, "--videos", videos, "--as-of", "2024-01-20T00:00:00"]
+    first = main(["refresh", *args, "--out", out, "--partials", parts])
+    assert len(first["pulse_day"]) >= 15 and len(first["supply_day"]) == 9
+    trends.append(frames(spark, [trend("q1", 3, 9000), trend("q2", 3, 1)]), "2024_jan")
+    kw.append(spark.createDataFrame([video("q2", 99, 4, 77)], schemas.KEYWORD_VIDEOS), "2024_jan")
+    assert main(["refresh", *args, "--out", out, "--partials", parts]) == {
+        "pulse_day": ["2024_01_02", "2024_01_03", "2024_01_04"], "recurrence_day": ["2024_01_02", "2024_01_03", "2024_01_04"],
+        "supply_day": ["2024_01_04"]}
+    main(["refresh", *args, "--out", full])
+    for mart in ("mart_category_pulse", "mart_keyword_recurrence", "mart_gap_analysis"):
+        got, want = (spark.read.parquet(f"{folder}/{mart}") for folder in (out, full))
+        assert same(got, want) and want.count() > 1, mart

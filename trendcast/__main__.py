@@ -2,14 +2,15 @@
 
     spark-submit trendcast/__main__.py load DATASET --landing DIR --store DIR --checkpoint DIR [--dimensions DIR] [--required COL ...] [--as-of ISO]
     spark-submit trendcast/__main__.py load keyword_videos --landing DIR --details DIR --store DIR --checkpoint DIR ...
-    spark-submit trendcast/__main__.py refresh --store DIR --videos DIR --out DIR [--as-of ISO]
+    spark-submit trendcast/__main__.py refresh --store DIR --videos DIR --out DIR [--partials DIR] [--as-of ISO]
     python -m trendcast ...            (local run)
 
 ``load`` is one scheduled load of trends, jobs, posts, popular or keyword_videos:
 the files that are new in the landing folder are flattened, rolled into this
 month's snapshot, and the month is compacted on the dataset's key. ``refresh``
 rebuilds staging and the marts from this month's snapshots and writes them as
-tables. The session comes from the environment (spark-submit), so no master is
+tables; with ``--partials`` the pulse, recurrence and gap marts come from stored
+partial aggregates, of which only changed days are computed again. The session comes from the environment (spark-submit), so no master is
 set here.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import SparkSession
 
 from trendcast.functions.timeparts import month_tag
 from trendcast.plans import loads
-from trendcast.plans.refresh import refresh_marts
+from trendcast.plans.refresh import refresh_from_partials, refresh_marts
 
 
 def _as_of(text: str | None) -> dt.datetime:
@@ -45,9 +46,11 @@ def load(spark: SparkSession, args: argparse.Namespace) -> dict:
 def refresh(spark: SparkSession, args: argparse.Namespace) -> dict:
     as_of = _as_of(args.as_of)
     month = month_tag(as_of)
-    trends = loads.store_of(spark, "trends", args.store).load(month)
-    videos = loads.store_of(spark, "keyword_videos", args.videos).load(month)
-    return refresh_marts(spark, trends, videos, as_of, args.out)
+    trends = loads.store_of(spark, "trends", args.store)
+    videos = loads.store_of(spark, "keyword_videos", args.videos)
+    if args.partials:
+        return refresh_from_partials(trends, videos, month, as_of, args.partials, args.out)
+    return refresh_marts(spark, trends.load(month), videos.load(month), as_of, args.out)
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -65,6 +68,7 @@ def main(argv: list[str] | None = None) -> dict:
     p_ref = sub.add_parser("refresh")
     for name in ("--store", "--videos", "--out"):
         p_ref.add_argument(name, required=True)
+    p_ref.add_argument("--partials", help="folder of stored partials: aggregate only what has changed since the last refresh")
     p_ref.add_argument("--as-of")
     args = parser.parse_args(argv)
     if args.command == "load" and args.dataset == "keyword_videos" and not (args.details and args.dimensions):
