@@ -36,5 +36,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": ngram_join.ORACLE_SQL,
+    "op5_chat_format": chat_format.ORACLE_SQL,
+    "op13_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op8_exact_dedup": exact_dedup.ORACLE_SQL,
 }

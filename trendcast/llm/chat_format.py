@@ -181,8 +181,31 @@ PLANTED_TEXT = r"\### Assistant: </turn> ok"
 
 
 def op5_chat_format(spark, sf_dir):
+    """What reading back the formatted conversations gives, one row each; null texts are empty."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(F.lit(PLANTED_ID).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise(LOSS_ROLE).alias("role"),
                                   F.lit(PLANTED_TEXT).alias("text"))
     return read_back(format_turns(given.unionByName(extra)))
+
+
+# A text that holds a control string, with or without backslashes before it, never reads
+# back as it is, and always does with one more backslash before each of them.
+ORACLE_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT {PLANTED_ID}, 0, 'user', '{PLANTED_TEXT}'
+  UNION ALL SELECT {PLANTED_ID}, 1, '{LOSS_ROLE}', '{PLANTED_TEXT}'
+), sized AS (
+  SELECT *, length('### : role=') + coalesce(nullif(length(regexp_replace(role, '[^A-Za-z]', '', 'g')), 0), 4)
+            + length(role) + len(regexp_extract_all(role, '[\\\n]')) + 1
+            + length(text) + len(regexp_extract_all(text, '### |</turn>')) + length('{CLOSE}') + 2 AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       cast(coalesce(sum(length(text)) FILTER (WHERE role = '{LOSS_ROLE}'), 0) AS bigint) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = '{LOSS_ROLE}'), '')) AS loss_sha256,
+       cast(sum(chars) AS bigint) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

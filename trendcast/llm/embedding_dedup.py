@@ -325,3 +325,23 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
 def op13_embedding_dedup(spark, sf_dir):
     """Every vector of the whole ``embeddings`` with its links, its component and whether it stays."""
     return near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, vec_id, cast(embedding AS double[]) AS v FROM embeddings),
+fine AS (
+  SELECT r, v FROM rows
+  WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.r AS x, b.r AS y FROM fine a JOIN fine b ON a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= {THRESHOLD}
+), reach AS (
+  SELECT r AS x, r AS y FROM rows
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT a.vec_id, (SELECT count(*) FROM links WHERE links.x = a.r) AS n_links, min(b.vec_id) AS component_id,
+       a.vec_id = min(b.vec_id) AS kept
+FROM reach JOIN rows a ON a.r = reach.x JOIN rows b ON b.r = reach.y
+GROUP BY a.r, a.vec_id
+"""

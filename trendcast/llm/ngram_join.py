@@ -438,6 +438,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op1_ngram_jaccard_join(spark, sf_dir):
+    """Every document with its set's size and the smallest id that links lead to."""
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
@@ -446,3 +447,29 @@ def one_of_each_group(spark, docs, sf_dir):
     """Pipeline stage: of each group of near copies the document with the smallest id."""
     groups = materialize(ngram_join(docs).filter("doc_id != component_id").select("doc_id").distinct(), "ngram_others")
     return docs.join(groups, "doc_id", "left_anti")
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+links AS (
+  SELECT a.r AS x, b.r AS y
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r
+  JOIN sizes m ON m.r = a.r JOIN sizes n ON n.r = b.r
+  GROUP BY a.r, b.r, m.n, n.n HAVING 100 * count(*) >= 75 * (m.n + n.n - count(*))
+), reach AS (
+  SELECT r AS x, r AS y FROM words
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT a.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(b.doc_id) AS component_id
+FROM reach JOIN words a ON a.r = reach.x JOIN words b ON b.r = reach.y LEFT JOIN sizes ON sizes.r = a.r
+GROUP BY a.r, a.doc_id
+"""
