@@ -66,6 +66,24 @@ def test_ann_edges(spark):
     assert ann_search.search(alone, alone).count() == 0
 
 
+def test_ann_norms_lengths_and_equal_ids(spark):
+    """Very long and very short vectors take part; lengths are searched apart; an id's other vectors are candidates of their own."""
+    rows = [(0, [1e200, 0.0]), (1, [1e-200, 0.0]), (2, [-1e200, 1e200]), (3, [5e-324, 0.0]), (20, [2.0, 1.0]), (20, [1.0, 3.0]), (20, [1.0, 3.0]),
+            (40, [1.0, 2.0, 3.0]), (41, [1.0, 0.0, 0.0]), (60, [7.0]), (4, [])]
+    vectors = ann_search.usable_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    assert vectors.count() == 10
+    found = ann_search.search_each_length(vectors, vectors.filter("vec_id % 20 = 0")).collect()
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found)
+    q0 = [(0, 1, 20, 2e200), (0, 2, 20, 1e200), (0, 3, 1, 1.0), (0, 4, 3, 1e200 * 5e-324), (0, 5, 2, float("-inf"))]
+    first = [(20, 0, 2e200), (20, 20, 5.0), (20, 1, 2e-200), (20, 3, 1e-323), (20, 2, -1e200)]
+    second = [(20, 2, 2e200), (20, 0, 1e200), (20, 20, 5.0), (20, 1, 1e-200), (20, 3, 5e-324)]
+    assert [g for g in got if g[0] == 0] == q0
+    assert sorted((a, c, d) for a, _, c, d in got if a == 20) == sorted(first + second)
+    assert [g for g in got if g[0] >= 40] == [(40, 1, 41, 1.0)]
+    with pytest.raises(ValueError, match="lengths"):
+        ann_search.search(vectors, vectors)
+
+
 def test_ann_graph_search_is_complete_on_small_graphs():
     rng = np.random.default_rng(0)
     c = rng.normal(size=(200, 9))

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,11 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trendcast.llm.common import materialize, table
+from trendcast.llm.embedding_dedup import unit_rows
 
 K = 20
 LIST_SIZE = 256
 MAX_LISTS = 1 << 14
 SAMPLE_PER_LIST = 64
+SAMPLE_VALUES = 1 << 26  # components of all sample vectors: the task that fits holds half a gigabyte
 CHUNK = 8192
 QUERY_BLOCK = 1024
 LISTS_PER_PART = 16
@@ -122,7 +125,7 @@ def _lift(x: np.ndarray, scale: float) -> np.ndarray:
 
 
 def _as_query(x: np.ndarray) -> np.ndarray:
-    return np.hstack([x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros((len(x), 1))])
+    return np.hstack([unit_rows(x), np.zeros((len(x), 1))])
 
 
 def _centroids(x: np.ndarray, lists: int, rng: np.random.Generator, rounds: int = 5) -> np.ndarray:
@@ -189,12 +192,18 @@ def _links(c: np.ndarray, degree: int) -> np.ndarray:
 
 
 def usable_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, v, norm) of the vectors that take part: not null or zero, no null or non-finite component."""
+    """(vec_id, v, norm, tag) of the vectors that take part: with an id, not null, empty or zero, no null or non-finite component.
+
+    Norms are taken of the vector over its largest component, so that no square
+    over- or underflows. ``tag`` tells rows of one id with different vectors apart.
+    """
     rows = rows.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     kept = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).filter(fine)
-    return kept.withColumn("norm", norm).filter((F.col("norm") > 0) & (F.col("norm") < float("inf")))
+    kept = kept.withColumn("_most", F.array_max(F.transform("v", F.abs))).filter(F.col("_most") > 0)
+    scaled = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.col("_most")) * (x / F.col("_most"))))
+    return kept.withColumn("norm", F.least(F.col("_most") * scaled, F.lit(np.finfo(float).max))).withColumn(
+        "tag", F.xxhash64("v")).drop("_most")
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
@@ -202,15 +211,15 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 
 def build_index(vectors: DataFrame, list_size: int = LIST_SIZE, max_lists: int = MAX_LISTS) -> ListIndex | None:
-    """Fit centroids on at most ``lists * SAMPLE_PER_LIST`` vectors; None without vectors."""
+    """Fit centroids on at most ``lists * SAMPLE_PER_LIST`` vectors, fewer where they are long; None without vectors."""
     facts = vectors.agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("m"), F.max(F.size("v")).alias("hi"),
                         F.min(F.size("v")).alias("lo")).first()
     if not facts["n"]:
         return None
     if facts["hi"] != facts["lo"]:
-        raise ValueError("vectors of different lengths")
+        raise ValueError("vectors of different lengths; search_each_length takes them apart")
     n, lists = facts["n"], max(1, min(max_lists, round(facts["n"] / list_size)))
-    bound, scale = lists * SAMPLE_PER_LIST, facts["m"]
+    bound, scale = min(lists * SAMPLE_PER_LIST, max(lists, SAMPLE_VALUES // facts["hi"])), facts["m"]
     dice = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) / float(1 << 30)
     sample = vectors.filter(dice < min(1.0, bound / n)).select("vec_id", "v")
     neighbours = max(5, round(K * min(1.0, bound / n)))
@@ -239,9 +248,10 @@ def _postings(vectors: DataFrame, index: ListIndex) -> DataFrame:
             if len(b):
                 got = np.array(list(index.homes(_matrix(b["v"]))))
                 yield pd.DataFrame({"part": got[:, 1] // LISTS_PER_PART, "list": got[:, 1],
-                                    "vec_id": b["vec_id"].to_numpy()[got[:, 0]], "v": b["v"].to_numpy()[got[:, 0]]})
+                                    "vec_id": b["vec_id"].to_numpy()[got[:, 0]], "tag": b["tag"].to_numpy()[got[:, 0]],
+                                    "v": b["v"].to_numpy()[got[:, 0]]})
 
-    return vectors.select("vec_id", "v").mapInPandas(run, "part int, list int, vec_id bigint, v array<double>")
+    return vectors.select("vec_id", "tag", "v").mapInPandas(run, "part int, list int, vec_id bigint, tag bigint, v array<double>")
 
 
 def _visits(queries: DataFrame, index: ListIndex, k: int) -> DataFrame:
@@ -254,9 +264,10 @@ def _visits(queries: DataFrame, index: ListIndex, k: int) -> DataFrame:
                 by_part = got.groupby(["at", "part"], sort=False)["list"].agg(list).reset_index()
                 at = by_part["at"].to_numpy()
                 yield pd.DataFrame({"part": by_part["part"], "lists": by_part["list"],
-                                    "query_id": b["vec_id"].to_numpy()[at], "v": b["v"].to_numpy()[at]})
+                                    "query_id": b["vec_id"].to_numpy()[at], "query_tag": b["tag"].to_numpy()[at],
+                                    "v": b["v"].to_numpy()[at]})
 
-    return queries.select("vec_id", "v").mapInPandas(run, "part int, lists array<int>, query_id bigint, v array<double>")
+    return queries.select("vec_id", "tag", "v").mapInPandas(run, "part int, lists array<int>, query_id bigint, query_tag bigint, v array<double>")
 
 
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -270,10 +281,12 @@ def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _best_in_chunk(k: int):
     def run(key, queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(vectors):
-            return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
-        vectors = vectors.sort_values("vec_id", kind="stable")
+            none = np.empty(0, np.int64)
+            return pd.DataFrame({"query_id": none, "query_tag": none, "vec_id": none, "tag": none, "score": np.empty(0)})
+        vectors = vectors.sort_values(["vec_id", "tag"], kind="stable")
         q, v = _matrix(queries["v"]), _matrix(vectors["v"])
         qid, vid = queries["query_id"].to_numpy(), vectors["vec_id"].to_numpy()
+        qtag, vtag = queries["query_tag"].to_numpy(), vectors["tag"].to_numpy()
         # A vector may be in several lists here: one candidate, visited if any of its lists is.
         first = np.concatenate([[True], (vid[1:] != vid[:-1]) | (v[1:] != v[:-1]).any(axis=1)])
         at = np.cumsum(first) - 1
@@ -283,17 +296,22 @@ def _best_in_chunk(k: int):
         visits = np.zeros((len(q), LISTS_PER_PART), dtype=np.float32)
         for i, lists in enumerate(queries["lists"]):
             visits[i, np.asarray(lists) - base] = 1
-        v, vid = v[first], vid[first]
-        rough = np.where((visits @ holds > 0) & (qid[:, None] != vid[None, :]), q @ v.T, -np.inf)
+        v, vid, vtag = v[first], vid[first], vtag[first]
+        # The query's own row is no candidate; another row of the same id is.
+        asked = (visits @ holds > 0) & ((qid[:, None] != vid[None, :]) | (qtag[:, None] != vtag[None, :]))
+        with np.errstate(over="ignore", invalid="ignore"):
+            rough = np.where(asked, q @ v.T, -np.inf)
         take = min(k, len(vid))
         edge = -np.partition(-rough, take - 1, axis=1)[:, take - 1:take]
         # All within rounding of the k-th are scored exactly, then ties go to the smaller id.
-        i, j = np.nonzero((rough >= edge - 1e-9 * np.maximum(1, np.abs(edge))) & np.isfinite(rough))
+        least = np.where(np.isfinite(edge), edge - 1e-9 * np.maximum(1, np.abs(np.where(np.isfinite(edge), edge, 0))), edge)
+        i, j = np.nonzero((rough >= least) & asked)
         score = inner_products(q[i], v[j])
         order = np.lexsort((vid[j], -score, i))
         i, j, score = i[order], j[order], score[order]
         kept = np.arange(len(i)) - np.searchsorted(i, i) < k
-        return pd.DataFrame({"query_id": qid[i[kept]], "vec_id": vid[j[kept]], "score": score[kept]})
+        i, j, score = i[kept], j[kept], score[kept]
+        return pd.DataFrame({"query_id": qid[i], "query_tag": qtag[i], "vec_id": vid[j], "tag": vtag[j], "score": score})
 
     return run
 
@@ -301,9 +319,10 @@ def _best_in_chunk(k: int):
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, index: ListIndex | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products found for each query, its own row left out.
 
-    Both frames are as :func:`usable_vectors` returns. Ties go to the smaller
-    vec_id. Repeated ids are one candidate if their vectors are equal too. No
-    vectors or no queries give no rows.
+    Both frames are as :func:`usable_vectors` returns, with vectors of one length.
+    Ties go to the smaller vec_id. Rows that repeat an id are one if their vectors
+    are equal too, else candidates, or queries, of their own. No vectors or no
+    queries give no rows.
     """
     spark = vectors.sparkSession
     index = index or build_index(vectors)
@@ -321,20 +340,31 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, index: ListIndex
     plan = F.broadcast(chunks.join(blocks, "part"))
 
     v_side = posted.join(plan, "part").select(
-        "part", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "list", "vec_id", "v")
+        "part", F.pmod(F.xxhash64("vec_id", "tag"), F.col("chunks")).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "list", "vec_id", "tag", "v")
     q_side = visits.join(plan, "part").select(
         "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-        F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block"), "query_id", "lists", "v")
+        F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block"), "query_id", "query_tag", "lists", "v")
     on = ["part", "chunk", "block"]
     hits = q_side.groupBy(*on).cogroup(v_side.groupBy(*on)).applyInPandas(
-        _best_in_chunk(k), "query_id bigint, vec_id bigint, score double")
+        _best_in_chunk(k), "query_id bigint, query_tag bigint, vec_id bigint, tag bigint, score double")
     # A vector found through two of its lists has one score; the window limit cuts before the shuffle.
-    once = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    once = hits.groupBy("query_id", "query_tag", "vec_id", "tag").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_tag").orderBy(F.desc("score"), "vec_id", "tag"))
     return once.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def search_each_length(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
+    """:func:`search` for vectors of several lengths: a query's candidates are the vectors of its own length.
+
+    Each length has an index of its own; there are few of them, as a rule one.
+    """
+    lengths = sorted(r["n"] for r in vectors.select(F.size("v").alias("n")).distinct().collect())
+    found = [search(vectors.filter(F.size("v") == n), queries.filter(F.size("v") == n), k) for n in lengths]
+    return reduce(DataFrame.unionByName, found) if found else search(vectors, queries, k)
+
+
 def op3_ann_search(spark, sf_dir):
+    """The 20 nearest found for every row whose vec_id is divisible by 20, among all other rows."""
     vectors = usable_vectors(table(spark, sf_dir, "embeddings"))
-    return search(vectors, vectors.filter(F.pmod("vec_id", F.lit(20)) == 0))
+    return search_each_length(vectors, vectors.filter(F.pmod("vec_id", F.lit(20)) == 0))
