@@ -42,6 +42,22 @@ def test_exact_dedup_edges(spark, max_bits):
     assert exact_dedup.exact_dedup(df.limit(0)).count() == 0
 
 
+def test_ranges_of_digests_keep_the_filter_sharp(spark):
+    """At forty times the load that one filter of this size is made for: right results, few unique rows shuffle."""
+    n, max_bits = 10_240, 1 << 12                      # 16 bits a row: one filter is made for 256 rows
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.when(F.col("id") % 50 == 0, F.lit(0)).otherwise(
+        F.col("id")).cast("string")).alias("text"))
+    got = exact_dedup.exact_dedup(docs, max_bits=max_bits)
+    counts = got.agg(F.count("*").alias("rows"), F.count_if("kept").alias("kept"), F.max("group_size").alias("most")).first()
+    assert tuple(counts) == (n, n - n // 50 + 1, n // 50)
+    keys = exact_dedup.text_keys(docs)
+    flagged = exact_dedup._flagged(keys, n, exact_dedup.BITS_PER_ROW, max_bits, exact_dedup.HASHES)
+    unique = flagged.join(docs.select("doc_id", "text"), "doc_id").filter("text != 'text 0'")
+    share = unique.agg(F.avg(F.col("maybe").cast("int"))).first()[0]
+    assert flagged.count() == n and share < 0.05
+    assert flagged.filter("doc_id % 50 = 0 and not maybe").isEmpty()
+
+
 def test_exact_dedup_unique_rows_do_not_shuffle(spark):
     df = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id bigint, text string")
     keys = exact_dedup.text_keys(df)

@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once below ``spark.checkpoint.dir`` and read it back.
 
     This cuts the lineage: an executor lost later re-reads files instead of
@@ -32,7 +32,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", spark.sparkContext.applicationId, label, fresh=True)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by or []).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,12 +8,16 @@ their exact digest. A false positive costs a shuffled row, never a result.
 
 Everything is DataFrame expressions. The filter that is broadcast holds one bit
 per cell, packed 32 to an integer, so it is at most ``bloom.MAX_BITS / 32`` rows of 12
-bytes whatever the input; beyond that size the filter just lets more rows through
-to the exact shuffle.
+bytes whatever the input. Where the rows need a larger one, the digests are cut
+into ranges: their keys (digest and id, not the texts) are written by range without
+a shuffle, and each range is filtered by itself with a filter of that size. So the
+share of unique rows that shuffle does not grow with the input.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +61,22 @@ def probe(keys: DataFrame, cells: DataFrame, bits: int, hashes: int) -> DataFram
     return out.select("doc_id", "text_sha256", hit.alias("maybe"))
 
 
+def _flagged(keys: DataFrame, rows: int, bits_per_row: int, max_bits: int, hashes: int) -> DataFrame:
+    """Both passes, over one range of digests or over several."""
+    ranges = max(1, -(-rows * bits_per_row // max_bits))
+    bits = bloom.filter_bits(-(-rows // ranges), bits_per_row, max_bits)
+    if ranges == 1:
+        return probe(keys, repeated_cells(keys, bits, hashes), bits, hashes)
+    # The last four digits of a digest are in none of its cells.
+    by_range = F.conv(F.substring("text_sha256", 61, 4), 16, 10).cast("int") % ranges
+    cut = materialize(keys.withColumn("_range", by_range), "exact_dedup_ranges", ["_range"])
+    done = []
+    for i in range(ranges):
+        part = cut.filter(F.col("_range") == i).drop("_range")
+        done.append(materialize(probe(part, repeated_cells(part, bits, hashes), bits, hashes), "exact_dedup_flagged"))
+    return reduce(DataFrame.unionByName, done)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 bits_per_row: int = BITS_PER_ROW, max_bits: int = bloom.MAX_BITS, hashes: int = HASHES) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
@@ -72,8 +92,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not 1 <= hashes <= 4:
         raise ValueError("hashes must be 1 to 4: each takes 15 digits of the digest")
     keys = materialize(text_keys(docs, id_col, text_col), "exact_dedup_keys")
-    bits = bloom.filter_bits(keys.count(), bits_per_row, max_bits)
-    flagged = probe(keys, repeated_cells(keys, bits, hashes), bits, hashes)
+    flagged = _flagged(keys, keys.count(), bits_per_row, max_bits, hashes)
 
     alone = flagged.filter(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
@@ -97,6 +116,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op8_exact_dedup(spark, sf_dir):
+    """Every document with the one that stays of its equals."""
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
