@@ -7,7 +7,7 @@ from helpers import DOCS, edit_distance, jaccard_components, repeated_lines, shi
 from oracle_check import compare
 from pyspark.sql import functions as F
 
-from trendcast.llm import exact_dedup, hashing, line_dedup, ngram_join
+from trendcast.llm import common, exact_dedup, hashing, line_dedup, ngram_join
 from trendcast.llm.components import components
 
 
@@ -198,3 +198,11 @@ def test_edit_distance_limit():
         b = "".join(b)
         for limit in range(5):
             assert line_dedup.within_edits(a, b, limit) == (edit_distance(a, b) <= limit)
+
+
+def test_seen_numbers_and_parts(spark):
+    seen = common.Seen(most=3)
+    assert seen.fresh([1, 2, 1]) == [True, True, False] and seen.fresh([2, 3, 4]) == [False, True, True]
+    assert seen.fresh([1]) == [True]                    # forgotten when there were more than three
+    n = common.parallelism(spark)
+    assert common.parts_for(spark, 0) == n and common.parts_for(spark, 10 ** 9) == -(-10 ** 9 // common.ROWS_A_PART)

@@ -54,6 +54,31 @@ def parallelism(spark: SparkSession) -> int:
 _OTHERS = "_columns_of_the_caller"
 
 
+ROWS_A_PART = 1_500_000
+KNOWN = 1 << 18
+
+
+def parts_for(spark: SparkSession, rows: int, rows_a_part: int = ROWS_A_PART) -> int:
+    """How many parts to deal ``rows`` small rows into, so that a task can hold a part: more rows, more parts."""
+    return max(parallelism(spark), -(-rows // rows_a_part))
+
+
+class Seen:
+    """Which numbers a task has met before, as far as ``KNOWN`` of them go back; forgetting one costs a repeated row."""
+
+    def __init__(self, most: int = KNOWN):
+        self.most, self.known = most, set()
+
+    def fresh(self, numbers: list[int]) -> list[bool]:
+        out = []
+        for x in numbers:
+            out.append(x not in self.known)
+            self.known.add(x)
+        if len(self.known) > self.most:
+            self.known.clear()
+        return out
+
+
 def apart(df: DataFrame, needed: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``work`` on ``df`` while all columns but ``needed`` are out of its way in one struct, whatever their names.
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendcast.llm import bloom
-from trendcast.llm.common import apart, document_stage, materialize, parallelism, table
+from trendcast.llm.common import Seen, apart, document_stage, materialize, parallelism, parts_for, table
 from trendcast.llm.hashing import Substrings, mix, symbol_values
 
 MAX_EDITS = 2
@@ -40,6 +40,7 @@ MAX_EDITS = 2
 MIN_CHARS = 16
 BLOCK = 4096
 FLIPS_PER_EDIT = 4
+KEYS_A_FORM = 20  # about as many index and probe keys has a form
 PORTION = 1 << 18
 # Fixed value: the white space that lines are trimmed of.
 TRIM = " \t\n\v\f\r"
@@ -87,8 +88,8 @@ class Lines:
             out.append((run[self.start + self.length - 1] ^ run[self.start]).astype(np.int64))
         return out[0], out[1]
 
-    def keys(self, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-        """(key, line, index?): the index keys and probe keys of all lines, one kind at a time."""
+    def keys(self, edits: int, chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """(key, line, index?): the index keys and probe keys of the ``chosen`` lines, one kind at a time."""
         every = np.arange(len(self.length))
         for shorter in range(edits + 1):
             target = self.length - shorter
@@ -100,7 +101,7 @@ class Lines:
                 low, high = np.maximum(low, 0), np.minimum(high, self.length - size)
                 for shift in range(-edits, edits + 1):
                     at = begin + shift
-                    ok = every[(at >= low) & (at <= high) & (target > edits)]
+                    ok = every[chosen & (at >= low) & (at <= high) & (target > edits)]
                     if len(ok):
                         s = self.start[ok] + at[ok]
                         # At its own length and place a probe is the index key itself.
@@ -184,13 +185,14 @@ def _measure(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "form bigint, doc_id bigint, line int, size int, sig1 bigint, sig2 bigint")
 
 
-def _shared_keys(rows: DataFrame, min_chars: int, edits: int) -> DataFrame:
+def _shared_keys(rows: DataFrame, min_chars: int, edits: int, forms_count: int) -> DataFrame:
     """(key, form, index): members of the keys that bring an index form and another form together."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = Seen()  # a line that occurs very often gives its keys once a task, not at each place
         for b in (p for batch in batches for p in _portions(batch)):
             lines = Lines(b["text"].tolist(), min_chars)
             forms = lines.forms()
-            for key, at, index in lines.keys(edits):
+            for key, at, index in lines.keys(edits, np.array(seen.fresh(forms.tolist()), dtype=bool)):
                 yield pd.DataFrame({"key": key, "form": forms[at], "index": index})
 
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,7 +210,7 @@ def _shared_keys(rows: DataFrame, min_chars: int, edits: int) -> DataFrame:
         yield pd.DataFrame({"key": key[keep], "form": form[keep], "index": index[keep]})
 
     schema = "key bigint, form bigint, index boolean"
-    dealt = rows.mapInPandas(emit, schema).repartition(parallelism(rows.sparkSession), "key")
+    dealt = rows.mapInPandas(emit, schema).repartition(parts_for(rows.sparkSession, forms_count * KEYS_A_FORM), "key")
     return dealt.mapInPandas(shared, schema)
 
 
@@ -320,7 +322,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                        F.max("sig1").alias("sig1"), F.max("sig2").alias("sig2"))
     forms = materialize(firsts.select("form", "first.doc_id", "first.line", "size", "sig1", "sig2"), "line_forms")
 
-    shared = materialize(_shared_keys(rows, min_chars, max_edits), "line_keys")
+    shared = materialize(_shared_keys(rows, min_chars, max_edits, forms.count()), "line_keys")
     pairs = materialize(_candidates(shared, forms, max_edits), "line_pairs")
     links = materialize(_verified(rows, pairs, forms, max_edits), "line_links")
 

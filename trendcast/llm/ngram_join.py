@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trendcast.llm import bloom
-from trendcast.llm.common import document_stage, materialize, parallelism, table
+from trendcast.llm.common import Seen, document_stage, materialize, parallelism, parts_for, table
 from trendcast.llm.components import components
 from trendcast.llm.hashing import set_key, shingles
 
@@ -132,11 +132,12 @@ def _prefixes(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], threshol
     hashes, places = frequent
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = Seen()  # copies of a document give its shingles once a task
         for b in batches:
             tokens, keys, sizes = [np.empty(0, np.uint64)], [], []
             for text in b["text"]:
                 s = shingles(text)
-                if not len(s):
+                if not len(s) or not seen.fresh([set_key(s)])[0]:
                     continue
                 p, late = prefix_length(len(s), threshold), np.zeros(len(s), dtype=np.uint8)
                 if len(hashes):
@@ -184,7 +185,7 @@ def _gathered(batches: Iterator[pd.DataFrame], threshold: int) -> tuple[np.ndarr
     return t, k, n, (t[1:] == t[:-1]) & (100 * n[:-1] >= threshold * n[1:])
 
 
-def _shared(prefixes: DataFrame, threshold: int) -> DataFrame:
+def _shared(prefixes: DataFrame, threshold: int, parts: int) -> DataFrame:
     """(token, key, n): the prefix shingles that a class shares with one of a size that may link."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = _gathered(batches, threshold)
@@ -193,11 +194,11 @@ def _shared(prefixes: DataFrame, threshold: int) -> DataFrame:
             has = np.concatenate([near, [False]]) | np.concatenate([[False], near])
             yield pd.DataFrame({"token": t[has], "key": k[has], "n": n[has]})
 
-    dealt = prefixes.repartition(parallelism(prefixes.sparkSession), "token")
+    dealt = prefixes.repartition(parts, "token")
     return dealt.mapInPandas(run, "token bigint, key bigint, n int")
 
 
-def _chains(shared: DataFrame, threshold: int) -> DataFrame:
+def _chains(shared: DataFrame, threshold: int, parts: int) -> DataFrame:
     """(u, v): stars over the classes that chains of equal shingles connect within a partition."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = _gathered(batches, threshold)
@@ -209,7 +210,7 @@ def _chains(shared: DataFrame, threshold: int) -> DataFrame:
             other = label != np.arange(len(nodes))
             yield pd.DataFrame({"u": nodes[other], "v": nodes[label[other]]})
 
-    dealt = shared.repartition(parallelism(shared.sparkSession), "token")
+    dealt = shared.repartition(parts, "token")
     return dealt.mapInPandas(run, "u bigint, v bigint")
 
 
@@ -418,8 +419,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linkable = sizes.filter("doc_id is not null and n > 0")
 
     tokens = _prefixes(rows.filter("doc_id is not null"), _frequent(measured), threshold)
-    shared = materialize(_shared(tokens, threshold), "ngram_shared")
-    clusters = components(materialize(_chains(_likely(shared, threshold), threshold), "ngram_chains"), "ngram_clusters")
+    # As many parts as the prefixes need, which the set sizes tell.
+    n = F.col("n")
+    longest = F.least(n, n - F.ceil(n * threshold / 100) + F.floor(n / EXTRA) + 1)
+    parts = parts_for(docs.sparkSession, linkable.agg(F.sum(longest)).first()[0] or 0)
+    shared = materialize(_shared(tokens, threshold, parts), "ngram_shared")
+    clusters = components(materialize(_chains(_likely(shared, threshold), threshold, parts), "ngram_chains"), "ngram_clusters")
     clustered = clusters.select(F.col("node").alias("key"), F.col("component").alias("cluster")).unionByName(
         clusters.select(F.col("component").alias("key"), F.col("component").alias("cluster")).distinct())
     classes = linkable.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
