@@ -65,17 +65,16 @@ _LEX = re.compile(r"""
 """, re.VERBOSE | re.ASCII)
 _SIGNS = {"=", ":", ":=", "=>"}
 # What the end of a line leaves open, and what goes on with it at the start of the next.
-_VALUE_DUE = re.compile(r"(?:(?<![=!<>:=])[:=]|:=|=>)[\x20\t]*(\(?)[\x20\t]*(\\?)[\x20\t\r]*\Z")
-_PART_DUE = re.compile(r"""["'][\x20\t]*\+[\x20\t]*\\?[\x20\t\r]*\Z""")
-_PART_END = re.compile(r"""["'][\x20\t]*(\\?)[\x20\t\r]*\Z""")
-_IN_PARENS = re.compile(r"""[:=][\x20\t]*\([\x20\t]*["'][^()]*\Z""")
+# Their runs give nothing back, so a search takes time in proportion to the line.
+_VALUE_DUE = re.compile(r"(?:(?<![=!<>:=])[:=]|:=|=>)[\x20\t]*+(\(?+)[\x20\t]*+(\\?+)[\x20\t\r]*+\Z")
+_PART_DUE = re.compile(r"""["'][\x20\t]*+\+[\x20\t]*+\\?+[\x20\t\r]*+\Z""")
+_PART_END = re.compile(r"""["'][\x20\t]*+(\\?+)[\x20\t\r]*+\Z""")
+_IN_PARENS = re.compile(r"""[:=][\x20\t]*+\([\x20\t]*+["'][^()]*+\Z""")
 _NEXT_LITERAL = re.compile(r"""[\x20\t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')(?![\x20\t]*[:=])""")
 _NEXT_PLUS = re.compile(r"""[\x20\t]*\+[\x20\t]*["']""")
 _NEXT_WORD = re.compile(r"[\x20\t]+[A-Za-z0-9_+/.-]+=*[\x20\t\r]*(?=\n|\Z)", re.ASCII)
-_TAIL = 4096  # of a line is looked at for what it leaves open
 # Between a colon and an equals sign: a type.
 _TYPE_SIGNS = set("[]<>|?&*!,()")
-_TYPE_MOST = 24
 _NAME = re.compile(r"[A-Za-z_][\w.-]*", re.ASCII)
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", re.ASCII)
 
@@ -125,7 +124,7 @@ def _lines(text: str) -> Iterator[tuple[int, str]]:
         at = len(text) if at < 0 else at
         own, parens = start, False
         while at < len(text):
-            tail = text[max(own, at - _TAIL):at]
+            tail = text[own:at]
             due = _VALUE_DUE.search(tail)
             end = _PART_END.search(tail)
             parens = parens or bool(due and due.group(1)) or bool(_IN_PARENS.search(tail))
@@ -141,9 +140,12 @@ def _lines(text: str) -> Iterator[tuple[int, str]]:
 
 
 def _typed(tokens: list, at: int) -> int:
-    """The place of the colon whose type ends before the equals sign at ``at``; -1 without one."""
+    """The place of the colon whose type ends before the equals sign at ``at``; -1 without one.
+
+    The way back ends at the sign before, so all the types of a line take one pass over it.
+    """
     depth, word = 0, False
-    for i in range(at - 1, max(0, at - 1 - _TYPE_MOST), -1):
+    for i in range(at - 1, 0, -1):
         kind, raw = tokens[i][:2]
         if kind == "sign" and raw == ":":
             return i if not depth and i < at - 1 else -1
@@ -276,6 +278,7 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def op4_secret_scan(spark, sf_dir):
+    """Counts by kind, the digest of the base spans and all spans of every document."""
     return digest(scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
