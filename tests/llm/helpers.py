@@ -75,20 +75,26 @@ def secret_bases(text):
     return [s for _, _, s in sorted(out)]
 
 
-def plain_topic(text):
-    if re.search(r"[{};]\x20*\n|</?[a-z]+>|=\x20*\x22", text):
-        return "code"
-    return "table" if text.count("|") >= 5 else "prose"
+def plain_targets(values, tokens, power):
+    """{category: power of its tokens}, from parallel lists."""
+    sums = {}
+    for v, n in zip(values, tokens, strict=True):
+        sums[v] = sums.get(v, 0) + n
+    return {v: n ** power for v, n in sums.items() if v is not None and n}
+
+
+def n_words(text):
+    return len(WORDS.findall(text or ""))
 
 
 def plain_sample(docs, targets, other, budget):
-    """The ids that proportional fitting samples, from (id, text, lang, source) rows, in plain loops."""
-    def cell(text, lang, source):
-        return tuple(v if v in t else other for v, t in zip((source, lang, plain_topic(text)), targets, strict=True))
+    """The ids that proportional fitting samples, from (id, text, lang, source, topic) rows, in plain loops."""
+    def cell(lang, source, topic):
+        return tuple(v if v in t else other for v, t in zip((source, lang, topic), targets, strict=True))
 
     tokens = {}
-    for _, text, lang, source in docs:
-        k = cell(text, lang, source)
+    for _, text, *rest in docs:
+        k = cell(*rest)
         tokens[k] = tokens.get(k, 0) + len(WORDS.findall(text))
     total = sum(tokens.values())
     weight = {k: n / total for k, n in tokens.items()}
@@ -107,4 +113,4 @@ def plain_sample(docs, targets, other, budget):
     norm = sum(weight.values())
     chance = {k: min(1.0, weight[k] / norm * budget * total / n) if n else 1.0 for k, n in tokens.items()}
     draw = {i: int(hashlib.md5(f"{i}:0".encode()).hexdigest()[:13], 16) / float(1 << 52) for i, *_ in docs}
-    return {i for i, text, lang, source in docs if draw[i] < chance[cell(text, lang, source)]}
+    return {i for i, _, *rest in docs if draw[i] < chance[cell(*rest)]}

@@ -3,10 +3,10 @@
 import numpy as np
 import pandas as pd
 import pytest
-from helpers import DOCS
+from helpers import DOCS, n_words, plain_targets
 from pyspark.sql import functions as F
 
-from trendcast.llm import ann_search, license_scan, source_mixing
+from trendcast.llm import ann_search, license_scan, source_mixing, topics
 
 # --- 3: nearest neighbours -----------------------------------------------------------
 
@@ -179,15 +179,20 @@ def test_mix_against_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = source_mixing.mix(docs).select("doc_id", "text", F.col("lang").alias("l"), F.col("source").alias("s"), "mix.*").collect()
     assert len(rows) == docs.count()
+    found = topics.fit(docs).predict([r.text for r in rows])
+    assert [r.topic for r in rows] == [t or source_mixing.OTHER for t in found] and len(set(found)) == topics.TOPICS
+    sizes = [n_words(r.text) for r in rows]
+    derived = [plain_targets(v, sizes, source_mixing.POWER) for v in ([r.s for r in rows], found)]
     cells = {}
-    for r in rows:
+    for r, n in zip(rows, sizes, strict=True):
+        assert r.tokens == n
         assert r.tokens == len(r.text.split()) or any(ord(c) > 127 for c in r.text)
         assert r.lang == (r.l if r.l in source_mixing.LANGUAGE_TARGETS else source_mixing.OTHER)
         cells[r.source, r.lang, r.topic] = cells.get((r.source, r.lang, r.topic), 0) + r.tokens
     order = sorted(k for k in cells if cells[k])
     a = np.array([cells[k] for k in order], dtype=float)
     keys, shares = [], []
-    for d, targets in enumerate((source_mixing.SOURCE_TARGETS, source_mixing.LANGUAGE_TARGETS, source_mixing.TOPIC_TARGETS)):
+    for d, targets in enumerate((derived[0], source_mixing.LANGUAGE_TARGETS, derived[1])):
         names = sorted({k[d] for k in order})
         total = {n: sum(cells[k] for k in order if k[d] == n) for n in names}
         want = source_mixing.wanted_shares(total, targets)
@@ -210,6 +215,52 @@ def test_mix_edges(spark):
     df = spark.createDataFrame(rows, DOCS).withColumn("mix", F.lit("clash"))
     got = source_mixing.mix(df).collect()
     assert len(got) == len(rows) and all(0 <= r.mix.probability <= 1 for r in got)
-    assert {r.mix.source for r in got if r.doc_id == 3} == {source_mixing.OTHER}
+    assert {r.mix.lang for r in got if r.doc_id == 3} == {source_mixing.OTHER}
+    assert {r.mix.source for r in got} == {source_mixing.OTHER, "elsewhere", "src2"}  # src1 has no tokens
     assert len({r.mix.sampled for r in got if r.doc_id == 3}) == 1
     assert source_mixing.mix(df.limit(0)).count() == 0
+
+
+def test_derived_targets_follow_the_largest_categories(spark):
+    rows = [("a", 900), ("b", 100), ("a", 700), ("c", 100), (None, 50), (source_mixing.OTHER, 7), ("d", 0), ("e", 9), ("e", None)]
+    sums = spark.createDataFrame(rows, "source string, tokens bigint")
+    assert source_mixing.derived_targets(sums, "source") == {"a": 40.0, "b": 10.0, "c": 10.0, "e": 3.0}
+    assert source_mixing.derived_targets(sums, "source", power=0.0, most=2) == {"a": 1.0, "b": 1.0}  # ties: smallest name
+    assert source_mixing.derived_targets(sums.limit(0), "source") == {}
+
+
+def test_many_sources_share_what_the_listed_leave(spark, monkeypatch):
+    monkeypatch.setattr(source_mixing.derived_targets, "__defaults__", (0.5, 3))
+    df = spark.createDataFrame([(i, "word " * (1 + i % 40), "en", f"s{i % 40}") for i in range(800)], "doc_id long, text string, lang string, source string")
+    got = source_mixing.mix(df, [source_mixing.Marginal("source", F.col("source"))]).select("doc_id", "mix.*").collect()
+    assert {r.source for r in got} == {"s37", "s38", "s39", source_mixing.OTHER} and len(got) == 800
+    weights = {r.source: r.weight for r in got}
+    assert abs(sum(weights.values()) - 1) < 1e-9 and abs(weights[source_mixing.OTHER] - 703 / 820) < 1e-9
+
+
+def test_topics_part_texts_of_different_words(spark):
+    rng = np.random.default_rng(1)
+    vocabulary = [[f"{a}{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(8)] for a in ("kl", "mn", "pr")]
+    truth = rng.integers(0, 3, 400)
+    texts = [" ".join(rng.choice(vocabulary[t], 40)) for t in truth]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(900 + i, texts[0]) for i in range(300)], "doc_id bigint, text string")
+    model = topics.fit(df, topics=3)
+    found = model.predict(texts)
+    assert all(len({f for f, t in zip(found, truth, strict=True) if t == k}) == 1 for k in range(3)) and len(set(found)) == 3
+    again = topics.fit(df.repartition(7), topics=3)
+    assert (again.centroids == model.centroids).all() and again.predict(texts) == found
+    got = df.select("text", model.topic().alias("topic")).collect()
+    assert [r.topic for r in got] == model.predict([r.text for r in got])
+    assert model.predict([None, "", "12 !", "é", texts[0] * 30_000]) == [None, None, None, model.predict(["é"])[0], found[0]]
+    assert topics.fit(df.limit(0)).predict(["a"]) == [None]
+
+
+def test_word_counts_do_not_depend_on_chunks(monkeypatch):
+    text = "Wörter, words 12 und\nmehr; x " * 40
+    whole = topics.word_counts(text)
+    assert whole.sum() == 5 * 40
+    assert (topics.word_counts(text.upper()) == whole).all()
+    for chunk in (8, 11, 64):
+        monkeypatch.setattr(topics, "_CHUNK", chunk)
+        assert (topics.word_counts(text) == whole).all()
+    assert topics.word_counts("a" * 100).sum() == 2 and topics.word_counts("12 " * 50) is None

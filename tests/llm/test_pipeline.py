@@ -2,10 +2,10 @@
 
 import corpus_pipeline
 import pytest
-from helpers import DOCS, jaccard_components, plain_sample, repeated_lines, shingle_set
+from helpers import DOCS, jaccard_components, n_words, plain_sample, plain_targets, repeated_lines, shingle_set
 from pyspark.sql import functions as F
 
-from trendcast.llm import line_dedup, source_mixing
+from trendcast.llm import language_id, line_dedup, source_mixing, topics
 from trendcast.llm.common import materialize, release
 from trendcast.session import shared_dir
 
@@ -47,11 +47,15 @@ def test_pipeline_matches_plain_python(spark, sf_dir):
     cut = [r for r in cut if r[1].strip(line_dedup.TRIM)]
     first = jaccard_components([r[:2] for r in cut])
     alone = [r for r in cut if first[r[0]][1] == r[0]]
-    targets = (source_mixing.SOURCE_TARGETS, source_mixing.LANGUAGE_TARGETS, source_mixing.TOPIC_TARGETS)
+    model = topics.fit(spark.createDataFrame([r[:2] for r in alone], "doc_id bigint, text string"))
+    alone = [(*r, t) for r, t in zip(alone, model.predict([r[1] for r in alone]), strict=True)]
+    sizes = [n_words(r[1]) for r in alone]
+    derived = [plain_targets([r[k] for r in alone], sizes, source_mixing.POWER) for k in (3, 4)]
+    targets = (derived[0], source_mixing.LANGUAGE_TARGETS, derived[1])
     taken = plain_sample(alone, targets, source_mixing.OTHER, source_mixing.BUDGET)
 
     encoder = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    want = {i: [*encoder.encode(t, add_special_tokens=False).ids, 0] for i, t, _, _ in alone if i in taken}
+    want = {i: [*encoder.encode(t, add_special_tokens=False).ids, 0] for i, t, *_ in alone if i in taken}
     got = {}
     for r in sorted(corpus_pipeline.run(spark, sf_dir).collect(), key=lambda r: (r.doc_id, r.start)):
         got.setdefault(r.doc_id, []).extend(memoryview(bytes(r.ids)).cast("I").tolist())
@@ -69,6 +73,17 @@ def test_line_stage_takes_equal_lines_of_any_length(spark, sf_dir):
     assert got == {i: t for i, t in cut.items() if t.strip(line_dedup.TRIM)}
 
 
+def test_language_stage_fills_missing_labels(spark, sf_dir):
+    """A document without a label takes the predicted one; given labels stay, wrong ones too."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("lang is not null")
+    changed = docs.withColumn("lang", F.when(F.col("doc_id") % 7 == 0, None).when(F.col("doc_id") == 1, "de").otherwise(F.col("lang")))
+    got = {r.doc_id: r.lang for r in language_id.keep_identified(spark, changed, sf_dir).collect()}
+    want = {r.doc_id: "de" if r.doc_id == 1 else r.lang for r in docs.collect()}
+    assert len(got) >= 0.95 * len(want) and all(got[i] is not None for i in got)
+    assert {i: v for i, v in got.items() if i % 7} == {i: want[i] for i in got if i % 7}
+    assert sum(got[i] == want[i] for i in got) >= 0.97 * len(got)
+
+
 def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
     rows = [(1, None, None, None, None), (2, "", "en", "src1", 0), (3, "the and of the thing is with the", "en", None, 9),
             (3, "the and of the thing is with the", "en", None, 9), (None, "a the of and that", None, "src0", 1), (4, "123", "de", "src3", 3)]

@@ -69,6 +69,33 @@ def test_lexer_leaves_plain_values_alone():
         assert not secret_scan.literal_spans(text)
 
 
+def test_secret_spans_do_not_depend_on_line_or_type_length():
+    literal = "q7Zx9LmP2vRt8Kw"
+    for pad in (10, 5_000, 200_000):
+        head = "f(1);" * (pad // 5)
+        for text in (f'{head}password =\n    "{literal}"', f'{head}secret = "{literal[:7]}" +\n  "{literal[7:]}"',
+                     f'password = ({" " * pad}\\\n  "{literal}"', f'{head}api_key = ("{literal[:7]}"\n "{literal[7:]}")'):
+            at = text.index(literal[:7])
+            assert [s for s in secret_scan.literal_spans(text) if s.start == at and s.end >= at + len(literal)], text[-80:]
+    for n in (1, 10, 300):
+        kind = "Map[str, " * n + "int" + "]" * n
+        text = f'secret_token: {kind} = "{literal}"'
+        assert [(s.name, s.start) for s in secret_scan.literal_spans(text)] == [("secret_token", text.index(literal))], n
+
+
+def test_secret_lexer_takes_time_in_proportion_to_a_line():
+    import time
+
+    def seconds(text):
+        start = time.perf_counter()
+        secret_scan.scan_text(text)
+        return time.perf_counter() - start
+
+    for unit in ("a=b;", "= ", "=( ", "x:int=", "a:[b,", '"" +', "=   ", "' = \"", ":="):
+        small = min(seconds(unit * (40_000 // len(unit))) for _ in range(3))
+        assert seconds(unit * (320_000 // len(unit))) < 24 * small + 0.5, unit
+
+
 def test_secret_query_shape(spark):
     rows = [(1, None), (2, ""), (3, "é token = abcdef1234"), (None, "AKIA" + "A" * 16), (5, "a" * 400_000)]
     df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS).withColumn("secrets", F.lit(1))
@@ -197,6 +224,35 @@ def test_left_out_language_is_mostly_rejected(spark, left_out):
     assert np.mean(known) <= 0.02
 
 
+def test_language_query_against_plain_python(spark, sf_dir):
+    """The registered query: every document, predictions restated from the model in plain loops."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.train(docs.filter(~language_id.held_out()))
+    got = {r.doc_id: r for r in language_id.op9_language_id(spark, sf_dir).collect()}
+    rows = docs.select("doc_id", "text", "lang").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        vector = [float(np.float32(np.log1p(np.float32(n)))) * float(w) for n, w in zip(language_id.gram_counts(r.text), model.idf, strict=True)]
+        norm = sum(x * x for x in vector) ** 0.5
+        cosines = [sum(a * float(b) for a, b in zip(vector, c, strict=True) if a) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        q = got[r.doc_id]
+        assert q.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert abs(q.score - cosines[best]) < 1e-4
+        assert q.lang_pred in {model.languages[i] for i, c in enumerate(cosines) if cosines[best] - c < 1e-4}
+    held = [r for r in rows if got[r.doc_id].held_out]
+    assert sum(got[r.doc_id].lang_pred == r.lang for r in held) >= 0.95 * len(held)
+
+
+def test_language_learns_the_most_frequent_labels(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
+    rows = [(i, f"{w} {w}{w} text", w) for i, w in enumerate(["aba"] * 5 + ["cdc"] * 4 + ["bcb"] * 4 + ["zzz"])]
+    docs = spark.createDataFrame(rows + rows[:3] + [(50, "q", None)], "doc_id bigint, text string, lang string")
+    model = language_id.train(docs)
+    assert set(model.languages) == {"aba", "bcb"}  # ties go to the smallest
+    assert {r.language.lang_pred for r in language_id.identify(docs, model).collect()} <= {"aba", "bcb"}
+
+
 def test_language_model_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id bigint, text string, lang string")
     model = language_id.train(docs)

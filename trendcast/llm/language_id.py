@@ -48,7 +48,7 @@ _PRIMES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
 _letters: np.ndarray | None = None
 
 
-def _letter_table() -> np.ndarray:
+def letter_table() -> np.ndarray:
     """True for each code point that is a letter; built once in a worker."""
     global _letters
     if _letters is None:
@@ -64,7 +64,7 @@ def gram_counts(text: str | None) -> np.ndarray | None:
     """
     if not text:
         return None
-    letter, counts, tail = _letter_table(), np.zeros(DIMS, dtype=np.int64), np.array([32], dtype=np.uint32)
+    letter, counts, tail = letter_table(), np.zeros(DIMS, dtype=np.int64), np.array([32], dtype=np.uint32)
     seen = False
     for at in range(0, len(text), _CHUNK):
         cp = np.frombuffer(text[at:at + _CHUNK].lower().encode("utf-32-le", "replace"), dtype=np.uint32)
@@ -110,7 +110,7 @@ class LanguageModel:
     reject_below: np.ndarray      # cosine limit by centroid and length class
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        return _unit(np.log1p(counts).astype(np.float32) * self.idf)
+        return unit(np.log1p(counts).astype(np.float32) * self.idf)
 
     def predict(self, texts: pd.Series) -> pd.DataFrame:
         lang, score, reject = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
@@ -134,26 +134,26 @@ class LanguageModel:
         return pd.DataFrame({"lang_pred": lang, "score": score, "rejected": reject})
 
 
-def _unit(x: np.ndarray) -> np.ndarray:
+def unit(x: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(x, axis=1, keepdims=True)
     return x / np.where(norm > 0, norm, 1)
 
 
-def _cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means; the first centres are spread out greedily from the mean."""
+def cluster(x: np.ndarray, k: int, rounds: int = 12, start: np.ndarray | None = None) -> np.ndarray:
+    """Spherical k-means; without a start, the first centres are spread out greedily from the mean."""
     k = max(1, min(k, len(x)))
-    mean = _unit(x.mean(axis=0, keepdims=True))
-    centres = mean
+    centres = unit(x.mean(axis=0, keepdims=True)) if start is None else start
     while len(centres) < k:
         far = (x @ centres.T).max(axis=1).argmin()
         centres = np.vstack([centres, x[far:far + 1]])
     for _ in range(rounds):
         own = (x @ centres.T).argmax(axis=1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, own, x)
+        sums, order = np.zeros_like(centres), np.argsort(own, kind="stable")
+        taken, first = np.unique(own[order], return_index=True)
+        sums[taken] = np.add.reduceat(x[order], first, axis=0)
         empty = ~(sums != 0).any(axis=1)
         sums[empty] = centres[empty]
-        centres = _unit(sums)
+        centres = unit(sums)
     return centres
 
 
@@ -167,14 +167,15 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """Fit the model on the rows of ``labelled`` that have a language and a letter.
 
     The sample of a language has about ``sample_per_language`` rows whatever the
-    input (all rows, if there are fewer). No usable row: an empty model, which
-    answers ``und`` for everything.
+    input (all rows, if there are fewer). Of more than ``MAX_LANGUAGES`` label
+    values the most frequent are learned (ties: smallest); texts with the others
+    are predicted like any text. No usable row: an empty model, which answers
+    ``und`` for everything.
     """
     spark = labelled.sparkSession
     usable = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = usable.groupBy(F.col(lang_col).alias("_l")).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} language values; clean the labels first")
+    sizes = usable.groupBy(F.col(lang_col).alias("_l")).agg(F.count(F.lit(1)).alias("_n")).orderBy(
+        F.desc("_n"), "_l").limit(MAX_LANGUAGES).collect()
     if not sizes:
         return LanguageModel([], np.zeros((0, DIMS), np.float32), np.ones(DIMS, np.float32), np.zeros((0, 16)))
     share = {r["_l"]: min(1.0, sample_per_language / r["_n"]) for r in sizes}
@@ -219,13 +220,13 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         whole, fold = group["whole"].to_numpy(bool), group["fold"].to_numpy()
         counts = _dense(group)
         lengths = _length_class(counts.sum(axis=1))
-        x = _unit(np.log1p(counts) * idf)
-        centres = _cluster(x[whole], centroids)
+        x = unit(np.log1p(counts) * idf)
+        centres = cluster(x[whole], centroids)
         # Each half is measured by centroids of the other half, if that has enough texts.
         own = (x @ centres.T).max(axis=1)
         for half in (0, 1):
             if (others := whole & (fold != half)).sum() > centroids:
-                own[fold == half] = (x[fold == half] @ _cluster(x[others], centroids).T).max(axis=1)
+                own[fold == half] = (x[fold == half] @ cluster(x[others], centroids).T).max(axis=1)
         low = [_quantile(own, lengths, k, REJECT_QUANTILE) for k in range(16)]
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in centres],
                              "low": [low] * len(centres)})
@@ -303,6 +304,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
 
 def op9_language_id(spark, sf_dir):
+    """Every document's predicted language; learned from the rows whose id's checksum is not divisible by 5."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = train(docs.filter(~held_out()))
     found = identify(docs.select("doc_id", "text"), model)
@@ -311,7 +313,11 @@ def op9_language_id(spark, sf_dir):
 
 @document_stage
 def keep_identified(spark, docs, sf_dir):
-    """Pipeline stage: documents with a language that the model knows; the rest go."""
+    """Pipeline stage: documents with a language that the model knows; the rest go.
+
+    A document without a label gets the predicted one; given labels stay.
+    """
     model = train(docs.filter(~held_out()))
     found = identify(docs, model)
-    return found.filter(~F.col("language.rejected")).select(*docs.columns)
+    lang = F.coalesce("lang", "language.lang_pred").alias("lang")
+    return found.filter(~F.col("language.rejected")).select(*[lang if c == "lang" else c for c in docs.columns])
