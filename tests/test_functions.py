@@ -220,3 +220,10 @@ def test_hours_and_instants_ignore_dst_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert r.h == 3 and r.sec == 1710034200 and r.back == dt.datetime(2024, 3, 10, 1, 30)
+
+
+def test_iso_duration_parts_are_taken_once(spark, capsys):
+    """The regular expression is in the plan once, and no missing part is cast (a failing cast is slow)."""
+    spark.createDataFrame([("PT1M",)], "d string").select(fn.iso_duration_secs("d").alias("x")).explain(True)
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.count("regexp_replace(") == 1 and plan.count("try_cast(") == plan.count(" null else try_cast(")

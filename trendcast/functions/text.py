@@ -29,15 +29,21 @@ _UNIT_SECS = (604800, 86400, 3600, 60, 1)
 def iso_duration_secs(col) -> Column:
     """ISO-8601 duration text -> whole seconds (fraction cut towards zero); bad or NULL -> 0.
 
-    One regular-expression pass turns the text into its parts, split by bars.
+    One regular-expression pass turns the text into its parts, split by bars; they
+    are bound to a name, so the pass is not repeated for each of them.
     """
+    def secs_of(parts: Column) -> Column:
+        total = F.lit(0.0)
+        for idx, secs in enumerate(_UNIT_SECS, start=1):
+            # A missing part is not cast: a failing cast costs more than all the rest.
+            value = F.nullif(F.replace(F.get(parts, F.lit(idx)), F.lit(","), F.lit(".")), F.lit("")).try_cast("double")
+            total = total + F.coalesce(value, F.lit(0.0)) * F.lit(float(secs))
+        signed = F.when(F.get(parts, F.lit(0)) == "-", -F.floor(total)).otherwise(F.floor(total))
+        return F.when(F.size(parts) == 6, signed)
+
     parts = F.split(F.regexp_replace(_c(col), ISO_DURATION, r"$1|$2|$3|$4|$5|$6"), r"\|")
-    total = F.lit(0.0)
-    for idx, secs in enumerate(_UNIT_SECS, start=1):
-        value = F.replace(F.get(parts, F.lit(idx)), F.lit(","), F.lit(".")).try_cast("double")
-        total = total + F.coalesce(value, F.lit(0.0)) * F.lit(float(secs))
-    signed = F.when(F.get(parts, F.lit(0)) == "-", -F.floor(total)).otherwise(F.floor(total))
-    return F.when((F.size(parts) == 6) & ~F.contains(_c(col), F.lit("|")), signed).otherwise(F.lit(0)).cast("bigint")
+    found = F.get(F.transform(F.array(parts), secs_of), F.lit(0))
+    return F.when(~F.contains(_c(col), F.lit("|")), F.coalesce(found, F.lit(0))).otherwise(F.lit(0)).cast("bigint")
 
 
 def int_or_zero(col) -> Column:
