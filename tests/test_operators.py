@@ -100,3 +100,36 @@ def test_semi_on_folded(spark):
     df = spark.createDataFrame([("CLICK 9",), ("view 1",)], "keyword string")
     keys = spark.createDataFrame([("click 9",), ("Click 9",)], "query string")
     assert [r.keyword for r in op.semi_on_folded(df, "keyword", keys, "query").collect()] == ["CLICK 9"]
+
+
+def test_shuffles_follow_the_size_of_a_table(spark, sf_dir, monkeypatch):
+    from trendcast import session
+    from trendcast.sources.tables import read_table
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        read_table(spark, sf_dir, "lineitem")
+        assert spark.conf.get(initial, None) is None     # small: the session's number is enough
+        monkeypatch.setattr(session, "BYTES_A_PART", 1 << 10)
+        read_table(spark, sf_dir, "lineitem")
+        enough = int(spark.conf.get(initial))
+        assert enough > 100
+        read_table(spark, sf_dir, "nation")
+        assert int(spark.conf.get(initial)) == enough    # never lowered
+    finally:
+        spark.conf.unset(initial)
+
+
+def test_pages_shuffle_only_the_columns_of_the_table(spark, sf_dir):
+    """Items are made after rows of a page have met, and pages are landed compressed."""
+    import os
+
+    from trendcast.sources import landing_fixtures as lf
+    for pages in (lf.popular_pages(spark, sf_dir), lf.search_pages(spark, sf_dir), lf.detail_pages(spark, sf_dir),
+                  lf.posts_pages(spark, sf_dir), lf.jobs_pages(spark, sf_dir)):
+        plan = pages._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression" in plan
+        below = plan.split("RepartitionByExpression", 1)[1].split("Relation", 1)[0]
+        assert "named_struct" not in below and "concat(" not in below
+    path = lf.land(lf.search_pages(spark, sf_dir), "t-pages")
+    files = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+    assert files and all(f.endswith(".json." + lf.PAGES_CODEC) for f in files)

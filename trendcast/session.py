@@ -84,3 +84,21 @@ def shared_dir(spark: SparkSession, *parts: str, fresh: bool = False) -> str:
     if fresh:
         pieces.append(uuid.uuid4().hex)
     return "/".join(pieces)
+
+
+# A shuffle of a table's rows begins with a partition for so many bytes of its files.
+BYTES_A_PART = 4 << 20
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def fit_shuffles(spark: SparkSession, path: str) -> None:
+    """Let shuffles begin with enough partitions for the files at ``path``; AQE merges small ones again.
+
+    A fixed number would let a task's rows grow with the input. The session's
+    numbers are never lowered, and inputs they are enough for change nothing.
+    """
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    now = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if size // BYTES_A_PART > now:
+        spark.conf.set(_INITIAL, str(size // BYTES_A_PART))

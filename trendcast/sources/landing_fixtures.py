@@ -27,6 +27,9 @@ PLAIN_PARTS = ["5 days ago", "true story", "[draft] offer", "0", "null", ""]
 # Orders per landed page: pages are bounded by a key range, never by a whole group.
 PAGE_ORDERS = 2000
 
+# Landed pages repeat their field names in every item: compressed they are a fraction of the size.
+PAGES_CODEC = "lz4"
+
 
 def _epoch_secs(col: str):
     return epoch_seconds(col)
@@ -44,7 +47,7 @@ def land(df: DataFrame, name: str, key: tuple | None = None) -> str:
     if cache_key in _LANDED:
         return _LANDED[cache_key]
     path = shared_dir(spark, "landing", name, fresh=True)
-    df.write.json(path)
+    df.write.option("compression", PAGES_CODEC).json(path)
     if cache_key is not None:
         _LANDED[cache_key] = path
     return path
@@ -113,13 +116,14 @@ def jobs_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.concat(F.lit("Apply on "), F.col("source")).alias("title"))).alias("apply_options"),
         F.col("doc_id").cast("string").alias("job_id"),
     )
-    return (d.withColumn("page", F.col("doc_id").cast("bigint") / F.lit(200)).withColumn("page", F.floor("page"))
+    # Here and below, rows meet before an item is made of them, so that its repeated parts do not shuffle.
+    return (d.withColumn("page", F.col("doc_id").cast("bigint") / F.lit(200)).withColumn("page", F.floor("page")).repartition("page")
             .groupBy("page").agg(F.collect_list(item).alias("jobs_results")).drop("page"))
 
 
 def posts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").selectExpr(
-        *POSTS_COLUMNS, "o_orderstatus", "o_custkey", "o_orderkey", "o_orderkey div 2000 as page")
+    o = read_table(spark, sf_dir, "orders").withColumn("page", F.expr("o_orderkey div 2000")).repartition(
+        "o_orderpriority", "page").selectExpr(*POSTS_COLUMNS, "o_orderstatus", "o_custkey", "o_orderkey", "page")
     item = F.struct(
         F.concat(F.lit("post "), F.col("id")).alias("title"),
         F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("link_flair_text"),
@@ -142,10 +146,14 @@ def posts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.lit("rising").alias("genre"), F.collect_list(item).alias("posts")).drop("page"))
 
 
-def _video_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "lineitem").selectExpr(
+def _video_source(spark: SparkSession, sf_dir: str, *page: str) -> DataFrame:
+    """Lines as videos; those of a page meet before the video's texts are made from them, so that only short rows shuffle."""
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
+        "l_linestatus", "l_shipdate", F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)).alias("page"))
+    return lines.withColumn("country_code", F.expr("cast(l_suppkey % 30 as string)")).repartition(*page).selectExpr(
         *VIDEO_COLUMNS, "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus",
-        CATEGORY_ID, "cast(l_suppkey % 30 as string) as country_code")
+        CATEGORY_ID, "country_code", "page")
 
 
 def _video_item(later: bool = False):
@@ -172,14 +180,14 @@ def _video_item(later: bool = False):
 
 
 def popular_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _video_source(spark, sf_dir).withColumn("page", F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)))
+    v = _video_source(spark, sf_dir, "country_code", "page")
     return (v.groupBy(F.col("country_code").alias("region_code"), "page")
             .agg(F.lit(FIRST_CAPTURE).cast("bigint").alias("captured_at"), F.collect_list(_video_item()).alias("items")).drop("page"))
 
 
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search results per keyword; line 7 items point at a channel (no video id)."""
-    v = _video_source(spark, sf_dir).withColumn("page", F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS)))
+    v = _video_source(spark, sf_dir, "page")
     item = F.struct(F.struct(
         F.when(F.col("l_linenumber") == 7, F.lit("youtube#channel")).otherwise(F.lit("youtube#video")).alias("kind"),
         F.when(F.col("l_linenumber") != 7, F.col("video_id")).alias("videoId")).alias("id"))
@@ -188,10 +196,9 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video details; second lines are fetched again later, with more views."""
-    v = _video_source(spark, sf_dir)
-    page = F.floor(F.col("l_orderkey") / F.lit(PAGE_ORDERS))
-    once = v.groupBy(page.alias("page")).agg(F.lit(FIRST_CAPTURE).cast("bigint").alias("captured_at"),
+    v = _video_source(spark, sf_dir, "page")
+    once = v.groupBy("page").agg(F.lit(FIRST_CAPTURE).cast("bigint").alias("captured_at"),
                                              F.collect_list(_video_item()).alias("items"))
-    again = v.where(F.col("l_linenumber") == 2).groupBy(page.alias("page")).agg(
+    again = v.where(F.col("l_linenumber") == 2).groupBy("page").agg(
         F.lit(SECOND_CAPTURE).cast("bigint").alias("captured_at"), F.collect_list(_video_item(later=True)).alias("items"))
     return once.unionByName(again).withColumn("region_code", F.lit("KE")).drop("page")
