@@ -1,5 +1,7 @@
 """Operators 3, 6 and 10: recall, held-out accuracy, marginals."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -147,6 +149,19 @@ def test_license_scan_wrapped_notices(spark, license_model):
     assert len({(r.doc_id, r.line, r.part) for r in found}) == len(found)
 
 
+def test_license_scan_classifies_paragraphs_without_a_cue(spark, license_model):
+    """A notice whose cue words are missing is found, and every line and joined paragraph gets its row."""
+    isc = "Permission to use, copy, modify, and distribute this software for any purpose"
+    bare = next(t for t in license_scan.NOTICES["ISC"] if t.startswith("Permission to use")) if "ISC" in license_scan.NOTICES else isc
+    rows = [(1, "Some prose of the town.\nMore of it.\n\nAn end."), (2, "Released under the MIT"), (3, bare)]
+    assert not any(re.search(license_scan.CUES, t) for _, t in rows[:2])
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string"), license_model).collect()
+    assert sorted((r.line, r.part) for r in got if r.doc_id == 1) == [(0, 0), (0, 1), (1, 0), (3, 0)]
+    assert {r.doc_id for r in got} == {1, 2, 3}
+    assert [(r.family, r.confirmed, r.cue) for r in got if r.doc_id == 2] == [("MIT", True, False)]
+    assert not [r for r in got if r.doc_id == 1 and r.confirmed]
+
+
 def test_license_plan_has_no_python(spark, license_model):
     df = spark.createDataFrame([(1, "MIT License")], "doc_id bigint, text string")
     plan = license_scan.scan_licenses(spark.range(1).select(F.col("id").alias("doc_id"), F.lit("MIT License").alias("text")),

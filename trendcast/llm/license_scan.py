@@ -12,8 +12,8 @@ needs is set where at most ``FALSE_RATE`` of the held-out unknown rows reach it.
 A prediction counts as *confirmed* when the paragraph also shares enough n-grams
 with a notice of the predicted family.
 
-DataFrame, SQL and the JVM's ML functions only; no Python runs in tasks. Only
-paragraphs with a cue word are classified: every notice has one.
+DataFrame, SQL and the JVM's ML functions only; no Python runs in tasks. Every
+paragraph of every text is classified; those with a cue word are marked.
 """
 
 from __future__ import annotations
@@ -128,34 +128,37 @@ def grams(ws: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line, part, ws): windows of words of the lines, and of the joined paragraphs, that have a cue word.
+    """(doc_id, line, part, cue, ws): windows of words of all lines, and of all joined paragraphs.
 
     line counts from 0; that of a joined paragraph is its first line with a cue
     of its own, or else its first line. Its parts are counted on from that line's.
+    ``cue`` says whether the line or the joined paragraph has a cue word.
     """
-    loose = CUES.replace(" ", r"[^\p{L}\p{N}]+(?:(?:rem|dnl)\s+)?")  # a cue may go over a line end
-    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).filter(F.col("text").rlike(loose))
+    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).filter("text != ''")
+    # The words of a line are taken once: a joined paragraph's are those of its lines without their marks.
     lines = texts.select("doc_id", F.split("text", "\n").alias("raw")).withColumn(
         "bare", F.transform("raw", lambda p: F.regexp_replace(p, MARKS, ""))).withColumn(
-        "cue", F.transform("raw", lambda p: p.rlike(CUES)))
+        "cue", F.transform("raw", lambda p: p.rlike(CUES))).withColumn("all", F.transform("raw", words)).withColumn(
+        "own", F.transform("bare", lambda p, i: F.when(p == F.get(F.col("raw"), i), F.get(F.col("all"), i)).otherwise(words(p))))
     at = "filter(sequence(0, size(raw) - 1), i -> bare[i] != '' and ({} or bare[{}] = ''))"
     spans = lines.withColumn("first", F.expr(at.format("i = 0", "i - 1"))).withColumn("last", F.expr(at.format("i = size(raw) - 1", "i + 1")))
-    single = F.expr("transform(filter(sequence(0, size(raw) - 1), i -> cue[i]), i -> struct(i as line, raw[i] as p, '' as ahead))")
+    single = F.expr("transform(sequence(0, size(raw) - 1), i -> struct(i as line, all[i] as ws, 0 as ahead, cue[i] as cue))")
     joined = F.expr("transform(filter(arrays_zip(first, last), s -> s.last > s.first), s -> struct("
                     "coalesce(get(filter(sequence(s.first, s.last), i -> cue[i]), 0), s.first) as line, "
+                    "flatten(slice(own, s.first + 1, s.last - s.first + 1)) as ws, "
                     "concat_ws(' ', slice(bare, s.first + 1, s.last - s.first + 1)) as p))")
-    wrapped = F.expr("transform(joined, s -> struct(s.line as line, s.p as p, if(cue[s.line], raw[s.line], '') as ahead))")
-    units = spans.withColumn("joined", F.filter(joined, lambda s: s["p"].rlike(CUES))).select(
-        "doc_id", F.explode(F.concat(single, wrapped)).alias("u")).select("doc_id", "u.line", words(F.col("u.p")).alias("ws"),
-                                                                         words(F.col("u.ahead")).alias("ahead"))
+    wrapped = F.transform("joined", lambda s: F.struct(
+        s["line"].alias("line"), s["ws"].alias("ws"), F.size(F.get(F.col("all"), s["line"])).alias("ahead"), s["p"].rlike(CUES).alias("cue")))
+    units = spans.withColumn("joined", joined).select("doc_id", F.explode(F.concat(single, wrapped)).alias("u")).select(
+        "doc_id", "u.*").filter(F.size("ws") > 0)
 
-    def last(ws: str) -> Column:
-        return F.greatest(F.lit(0), F.ceil((F.size(ws) - WINDOW) / STRIDE)).cast("int")
+    def last(n: Column) -> Column:
+        return F.greatest(F.lit(0), F.ceil((n - WINDOW) / STRIDE)).cast("int")
 
-    windows = F.transform(F.sequence(F.lit(0), last("ws")), lambda i: F.slice(F.col("ws"), i * STRIDE + 1, F.lit(WINDOW)))
-    cut = units.select("doc_id", "line", F.when(F.size("ahead") > 0, last("ahead") + 1).otherwise(0).alias("before"),
+    windows = F.transform(F.sequence(F.lit(0), last(F.size("ws"))), lambda i: F.slice(F.col("ws"), i * STRIDE + 1, F.lit(WINDOW)))
+    cut = units.select("doc_id", "line", "cue", F.when(F.col("ahead") > 0, last(F.col("ahead")) + 1).otherwise(0).alias("before"),
                        F.posexplode(windows).alias("part", "ws"))
-    return cut.filter(F.size("ws") > 0).select("doc_id", "line", (F.col("part") + F.col("before")).alias("part"), "ws")
+    return cut.filter(F.size("ws") > 0).select("doc_id", "line", (F.col("part") + F.col("before")).alias("part"), "cue", "ws")
 
 
 def _constants(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
@@ -243,7 +246,7 @@ def confirm(predicted: DataFrame) -> DataFrame:
 
 
 def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line, part, family, probability, overlap, confirmed) of each line and joined paragraph with a cue word.
+    """(doc_id, line, part, cue, family, probability, overlap, confirmed) of each line and joined paragraph.
 
     A null or empty text has none. Repeated rows give repeated paragraphs; a
     null id stays null. Other columns are not read.
@@ -253,14 +256,14 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: st
 
 
 def op6_license_scan(spark, sf_dir):
-    """One row per document: its paragraphs with a cue, the confirmed ones and their families."""
+    """One row per document: its paragraphs with a cue, the confirmed ones and their families, all that were classified."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan_licenses(docs)
     per_doc = found.groupBy("doc_id").agg(
-        F.countDistinct("line").alias("n_cue"), F.countDistinct(F.when(F.col("confirmed"), F.col("line"))).alias("n_confirmed"),
+        F.countDistinct(F.when(F.col("cue"), F.col("line"))).alias("n_cue"), F.countDistinct(F.when(F.col("confirmed"), F.col("line"))).alias("n_confirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
-        F.max(F.when(F.col("confirmed"), F.col("probability"))).alias("probability"))
+        F.max(F.when(F.col("confirmed"), F.col("probability"))).alias("probability"), F.countDistinct("line").alias("n_lines"))
     hit = per_doc.withColumnRenamed("doc_id", "_id")
     return docs.select("doc_id").join(hit, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
         "doc_id", F.coalesce("n_cue", F.lit(0)).alias("n_cue"), F.coalesce("n_confirmed", F.lit(0)).alias("n_confirmed"),
-        F.coalesce("families", F.lit("")).alias("families"), "probability")
+        F.coalesce("families", F.lit("")).alias("families"), "probability", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
