@@ -115,8 +115,10 @@ def test_shuffles_follow_the_size_of_a_table(spark, sf_dir, monkeypatch):
         assert enough > 100
         read_table(spark, sf_dir, "nation")
         assert int(spark.conf.get(initial)) == enough    # never lowered
+        assert spark.conf.get(session._SCAN) == session.SCAN_BYTES
     finally:
         spark.conf.unset(initial)
+        spark.conf.unset(session._SCAN)
 
 
 def test_pages_shuffle_only_the_columns_of_the_table(spark, sf_dir):

@@ -89,6 +89,8 @@ def shared_dir(spark: SparkSession, *parts: str, fresh: bool = False) -> str:
 # A shuffle of a table's rows begins with a partition for so many bytes of its files.
 BYTES_A_PART = 4 << 20
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# A task that sorts what it scans holds a multiple of the compressed bytes, so it scans few of them.
+_SCAN, SCAN_BYTES = "spark.sql.files.maxPartitionBytes", "32m"
 
 
 def fit_shuffles(spark: SparkSession, path: str) -> None:
@@ -102,3 +104,5 @@ def fit_shuffles(spark: SparkSession, path: str) -> None:
     now = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     if size // BYTES_A_PART > now:
         spark.conf.set(_INITIAL, str(size // BYTES_A_PART))
+        if spark.conf.get(_SCAN, None) is None:
+            spark.conf.set(_SCAN, SCAN_BYTES)
