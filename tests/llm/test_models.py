@@ -162,6 +162,29 @@ def test_license_scan_classifies_paragraphs_without_a_cue(spark, license_model):
     assert not [r for r in got if r.doc_id == 1 and r.confirmed]
 
 
+def test_license_windows_are_scored_once(spark, license_model):
+    """Windows are united by line before documents are counted: no copies of them for each kind of count."""
+    long = "word " * 100 + "Released under the MIT License. " + "word " * 100
+    rows = [(1, f"MIT License\nReleased under the MIT License.\n\n{long}"), (2, "All rights reserved.\nprose"), (None, "Copyright"), (None, "GNU GPL license"), (3, " ")]
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string"), license_model)
+    lines = {}
+    for r in found.collect():
+        cue, families, best = lines.setdefault((r.doc_id, r.line), (set(), set(), set()))
+        cue.add(r.cue)
+        if r.confirmed:
+            families.add(r.family)
+            best.add(r.probability)
+    want = set()
+    for doc in {i for i, _ in lines}:
+        own = [v for (i, _), v in lines.items() if i == doc]
+        want.add((doc, sum(True in c for c, _, _ in own), sum(bool(f) for _, f, _ in own), ",".join(sorted(set().union(*[f for _, f, _ in own]))),
+                  max(set().union(*[b for _, _, b in own]), default=None), len(own)))
+    per_doc = license_scan.per_document(found)
+    assert {tuple(r) for r in per_doc.select("doc_id", "n_cue", "n_confirmed", "families", "probability", "n_lines").collect()} == want
+    assert any(n > 1 for _, _, n, *_ in want) and len({d for d, *_ in want}) == 3
+    assert "Expand" not in per_doc._jdf.queryExecution().executedPlan().toString()
+
+
 def test_license_plan_has_no_python(spark, license_model):
     df = spark.createDataFrame([(1, "MIT License")], "doc_id bigint, text string")
     plan = license_scan.scan_licenses(spark.range(1).select(F.col("id").alias("doc_id"), F.lit("MIT License").alias("text")),

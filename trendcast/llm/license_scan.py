@@ -18,6 +18,7 @@ paragraph of every text is classified; those with a cue word are marked.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -113,6 +114,8 @@ SPEAKING_OF = [
 # Also blank but for these: lines that part paragraphs.
 MARKS = r"^\s*(?:(?://|/\*|\*/|<!--|-->|--|[*#;%!|]|(?i:rem|dnl)\b)[*/#;%!-]*)?\s*|\s*(?:\*+/|-->)?\s*$"
 CUES = r"(?i)licen[sc]|copyright|public domain|free software|rights reserved|hereby granted|warrant"
+# One of these is in every text with a cue, even one that goes over a line's end.
+CUE_WORDS = ("licens", "licenc", "copyright", "domain", "software", "rights", "hereby", "warrant")
 
 
 def words(text: Column) -> Column:
@@ -120,45 +123,65 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def hashed(ws: Column) -> Column:
+    """64-bit hashes of an array of words."""
+    return F.transform(ws, lambda w: F.xxhash64(w))
+
+
+def pairs(hs: Column) -> Column:
+    """2-grams of an array of hashed words, hashed likewise."""
+    return F.when(F.size(hs) >= 2, F.zip_with(F.slice(hs, 1, F.size(hs) - 1), F.slice(hs, 2, F.size(hs) - 1),
+                                              lambda a, b: F.xxhash64(a, b))).otherwise(F.array().cast("array<bigint>"))
+
+
 def grams(ws: Column) -> Column:
-    """1- and 2-grams of an array of words."""
-    pairs = F.when(F.size(ws) >= 2, F.zip_with(F.slice(ws, 1, F.size(ws) - 1), F.slice(ws, 2, F.size(ws) - 1),
-                                             lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
-    return F.concat(ws, pairs)
+    """Hashed 1- and 2-grams of an array of words."""
+    return F.concat(hashed(ws), pairs(hashed(ws)))
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line, part, cue, ws): windows of words of all lines, and of all joined paragraphs.
+    """(doc_id, line, part, cue, grams): the n-grams of windows of words of all lines, and of all joined paragraphs.
 
     line counts from 0; that of a joined paragraph is its first line with a cue
     of its own, or else its first line. Its parts are counted on from that line's.
     ``cue`` says whether the line or the joined paragraph has a cue word.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).filter("text != ''")
-    # The words of a line are taken once: a joined paragraph's are those of its lines without their marks.
-    lines = texts.select("doc_id", F.split("text", "\n").alias("raw")).withColumn(
-        "bare", F.transform("raw", lambda p: F.regexp_replace(p, MARKS, ""))).withColumn(
-        "cue", F.transform("raw", lambda p: p.rlike(CUES))).withColumn("all", F.transform("raw", words)).withColumn(
-        "own", F.transform("bare", lambda p, i: F.when(p == F.get(F.col("raw"), i), F.get(F.col("all"), i)).otherwise(words(p))))
+    some = functools.reduce(Column.__or__, [F.contains("low", F.lit(w)) for w in CUE_WORDS])
+    split = texts.withColumn("low", F.lower("text")).select("doc_id", F.split("text", "\n").alias("raw"), some.alias("may"))
+    # The words of a line are taken and hashed once: a joined paragraph's are those of its lines without their marks.
+    lines = split.withColumn("bare", F.transform("raw", lambda p: F.regexp_replace(p, MARKS, ""))).withColumn(
+        "cue", F.transform("raw", lambda p: F.col("may") & p.rlike(CUES))).withColumn("all", F.transform("raw", lambda p: hashed(words(p))))
+
+    def own(i: Column) -> Column:
+        """Words of line i without its marks, taken for the lines of joined paragraphs only, where they differ from the line's."""
+        p = F.get(F.col("bare"), i)
+        return F.when(p == F.get(F.col("raw"), i), F.get(F.col("all"), i)).otherwise(hashed(words(p)))
+
     at = "filter(sequence(0, size(raw) - 1), i -> bare[i] != '' and ({} or bare[{}] = ''))"
     spans = lines.withColumn("first", F.expr(at.format("i = 0", "i - 1"))).withColumn("last", F.expr(at.format("i = size(raw) - 1", "i + 1")))
     single = F.expr("transform(sequence(0, size(raw) - 1), i -> struct(i as line, all[i] as ws, 0 as ahead, cue[i] as cue))")
-    joined = F.expr("transform(filter(arrays_zip(first, last), s -> s.last > s.first), s -> struct("
-                    "coalesce(get(filter(sequence(s.first, s.last), i -> cue[i]), 0), s.first) as line, "
-                    "flatten(slice(own, s.first + 1, s.last - s.first + 1)) as ws, "
-                    "concat_ws(' ', slice(bare, s.first + 1, s.last - s.first + 1)) as p))")
+    stretches = F.expr("filter(arrays_zip(first, last), s -> s.last > s.first)")
+    joined = F.transform(stretches, lambda s: F.struct(
+        F.coalesce(F.get(F.filter(F.sequence(s["first"], s["last"]), lambda i: F.get(F.col("cue"), i)), F.lit(0)), s["first"]).alias("line"),
+        F.flatten(F.transform(F.sequence(s["first"], s["last"]), own)).alias("ws"),
+        (F.col("may") & F.concat_ws(" ", F.slice("bare", s["first"] + 1, s["last"] - s["first"] + 1)).rlike(CUES)).alias("cue")))
     wrapped = F.transform("joined", lambda s: F.struct(
-        s["line"].alias("line"), s["ws"].alias("ws"), F.size(F.get(F.col("all"), s["line"])).alias("ahead"), s["p"].rlike(CUES).alias("cue")))
+        s["line"].alias("line"), s["ws"].alias("ws"), F.size(F.get(F.col("all"), s["line"])).alias("ahead"), s["cue"].alias("cue")))
     units = spans.withColumn("joined", joined).select("doc_id", F.explode(F.concat(single, wrapped)).alias("u")).select(
         "doc_id", "u.*").filter(F.size("ws") > 0)
 
     def last(n: Column) -> Column:
         return F.greatest(F.lit(0), F.ceil((n - WINDOW) / STRIDE)).cast("int")
 
-    windows = F.transform(F.sequence(F.lit(0), last(F.size("ws"))), lambda i: F.slice(F.col("ws"), i * STRIDE + 1, F.lit(WINDOW)))
-    cut = units.select("doc_id", "line", "cue", F.when(F.col("ahead") > 0, last(F.col("ahead")) + 1).otherwise(0).alias("before"),
-                       F.posexplode(windows).alias("part", "ws"))
-    return cut.filter(F.size("ws") > 0).select("doc_id", "line", (F.col("part") + F.col("before")).alias("part"), "cue", "ws")
+    # Pairs are made once a line or paragraph too: a window has those that begin at its words but the last.
+    one = F.array(F.concat("ws", "pairs"))
+    many = F.transform(F.sequence(F.lit(0), last(F.size("ws"))), lambda i: F.concat(
+        F.slice(F.col("ws"), i * STRIDE + 1, F.lit(WINDOW)), F.slice(F.col("pairs"), i * STRIDE + 1, F.lit(WINDOW - 1))))
+    cut = units.withColumn("pairs", pairs(F.col("ws"))).select(
+        "doc_id", "line", "cue", F.when(F.col("ahead") > 0, last(F.col("ahead")) + 1).otherwise(0).alias("before"),
+        F.posexplode(F.when(F.size("ws") <= WINDOW, one).otherwise(many)).alias("part", "grams"))
+    return cut.select("doc_id", "line", (F.col("part") + F.col("before")).alias("part"), "cue", "grams")
 
 
 def _constants(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
@@ -171,7 +194,7 @@ def notices(spark: SparkSession) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(family, ws, held): made as the module says; at most a few thousand rows whatever the input."""
+    """(family, grams, held): made as the module says; at most a few thousand rows whatever the input."""
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).filter("length(text) > 0")
     every = max(1, plain.count() // NEGATIVES)
@@ -193,7 +216,7 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     unknown = prose.select(F.lit(UNKNOWN).alias("family"), F.col("ws")).unionByName(prose.select(
         F.lit(UNKNOWN).alias("family"), F.concat(F.slice("ws", 1, 12), F.array(cue), F.slice("ws", 13, 12)).alias("ws")))
     rows = dropped.select("family", "ws").unionByName(inside).unionByName(unknown)
-    return rows.withColumn("held", F.pmod(F.xxhash64("ws"), F.lit(3)) == 0)
+    return rows.select("family", grams(F.col("ws")).alias("grams"), (F.pmod(F.xxhash64("ws"), F.lit(3)) == 0).alias("held"))
 
 
 @dataclass
@@ -204,15 +227,14 @@ class LicenseModel:
     least: float
 
     def predict(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (with ``ws``) plus family and probability; below the least probability it is unknown."""
-        scored = self.regression.transform(self.hashing.transform(rows.withColumn("grams", grams(F.col("ws")))))
-        p = vector_to_array("probability")
+        """``rows`` (with ``grams``) plus family and probability; below the least probability it is unknown."""
+        scored = self.regression.transform(self.hashing.transform(rows)).select(*rows.columns, vector_to_array("probability").alias("_p"))
         names = F.array(*[F.lit(f) for f in self.families])
-        best = F.struct("*", F.element_at(names, (F.col("prediction") + 1).cast("int")).alias("best"),
-                        F.array_max(p).alias("p"))
-        out = scored.select(best.alias("s")).select("s.*")
-        family = F.when((F.col("best") != UNKNOWN) & (F.col("p") >= self.least), F.col("best")).otherwise(UNKNOWN)
-        return out.select(*rows.columns, family.alias("family"), F.round("p", 6).alias("probability"))
+        p = F.array_max("_p")
+        best = F.element_at(names, F.array_position("_p", p).cast("int"))
+        out = scored.select(*rows.columns, best.alias("_best"), p.alias("_most"))
+        family = F.when((F.col("_best") != UNKNOWN) & (F.col("_most") >= self.least), F.col("_best")).otherwise(UNKNOWN)
+        return out.select(*rows.columns, family.alias("family"), F.round("_most", 6).alias("probability"))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LicenseModel:
@@ -220,11 +242,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
     families = [UNKNOWN, *NOTICES]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
     hashing = HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features", binary=True)
-    data = hashing.transform(rows.withColumn("grams", grams(F.col("ws"))).withColumn("label", label)).select(
-        "features", "label", "held", F.col("family").alias("true_family"), "ws")
+    data = hashing.transform(rows.withColumn("label", label)).select("features", "label", "held", F.col("family").alias("true_family"), "grams")
     fitted = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-4, standardization=False).fit(data.filter("not held"))
+    # Only the probabilities are asked for.
+    fitted.setRawPredictionCol("").setPredictionCol("")
     open_model = LicenseModel(families, hashing, fitted, 0.0)
-    held = open_model.predict(data.filter(f"held and true_family = '{UNKNOWN}'").select("ws"))
+    held = open_model.predict(data.filter(f"held and true_family = '{UNKNOWN}'").select("grams"))
     taken = held.select(F.when(F.col("family") != UNKNOWN, F.col("probability")).otherwise(0.0).alias("p"))
     limit = taken.agg(F.percentile("p", 1 - FALSE_RATE)).first()[0]
     return LicenseModel(families, hashing, fitted, min(0.99, max(LEAST_PROBABILITY, limit or 0.0)))
@@ -238,7 +261,8 @@ def confirm(predicted: DataFrame) -> DataFrame:
     spark = predicted.sparkSession
     known = notices(spark).groupBy(F.col("family").alias("_f")).agg(
         F.collect_list(F.array_distinct(grams(words(F.col("notice"))))).alias("_sets"))
-    own = F.array_distinct(grams(F.col("ws")))
+    # Only what has a family is compared with notices.
+    own = F.when(F.col("family") != UNKNOWN, F.array_distinct("grams"))
     joined = predicted.join(F.broadcast(known), F.col("family") == F.col("_f"), "left").withColumn("_own", own)
     share = "aggregate(_sets, 0D, (m, s) -> greatest(m, size(array_intersect(s, _own)) / least(size(s), size(_own))))"
     return joined.withColumn("overlap", F.coalesce(F.expr(share), F.lit(0.0))).withColumn(
@@ -252,18 +276,29 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: st
     null id stays null. Other columns are not read.
     """
     model = model or train(docs, id_col, text_col)
-    return confirm(model.predict(paragraphs(docs, id_col, text_col))).drop("ws")
+    return confirm(model.predict(paragraphs(docs, id_col, text_col))).drop("grams")
+
+
+def per_document(found: DataFrame) -> DataFrame:
+    """One row per doc_id of a scan's rows: lines with a cue, confirmed lines, their families and best probability, all lines.
+
+    The windows of a line are united first. Counting distinct lines of several
+    kinds at once would make a copy of every window for each kind, before it is
+    scored.
+    """
+    families, best = F.when(F.col("confirmed"), F.col("family")), F.when(F.col("confirmed"), F.col("probability"))
+    lines = found.groupBy("doc_id", "line").agg(F.max("cue").alias("cue"), F.max("confirmed").alias("confirmed"),
+                                                F.collect_set(families).alias("families"), F.max(best).alias("probability"))
+    return lines.groupBy("doc_id").agg(
+        F.count_if("cue").alias("n_cue"), F.count_if("confirmed").alias("n_confirmed"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("families")))), ",").alias("families"),
+        F.max("probability").alias("probability"), F.count(F.lit(1)).alias("n_lines"))
 
 
 def op6_license_scan(spark, sf_dir):
     """One row per document: its paragraphs with a cue, the confirmed ones and their families, all that were classified."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = scan_licenses(docs)
-    per_doc = found.groupBy("doc_id").agg(
-        F.countDistinct(F.when(F.col("cue"), F.col("line"))).alias("n_cue"), F.countDistinct(F.when(F.col("confirmed"), F.col("line"))).alias("n_confirmed"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
-        F.max(F.when(F.col("confirmed"), F.col("probability"))).alias("probability"), F.countDistinct("line").alias("n_lines"))
-    hit = per_doc.withColumnRenamed("doc_id", "_id")
+    hit = per_document(scan_licenses(docs)).withColumnRenamed("doc_id", "_id")
     return docs.select("doc_id").join(hit, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
         "doc_id", F.coalesce("n_cue", F.lit(0)).alias("n_cue"), F.coalesce("n_confirmed", F.lit(0)).alias("n_confirmed"),
         F.coalesce("families", F.lit("")).alias("families"), "probability", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
