@@ -137,6 +137,17 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
+    """A long chain that a task holds is one table more than its edges; dealt into parts it has the same components."""
+    import trendcast.llm.components as module
+    written, real = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, label: written.append(label) or real(df, label))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(900, 7000), (7000, 800)], "u bigint, v bigint")
+    want = {**{i: 0 for i in range(1, 301)}, 7000: 800, 900: 800}
+    assert {r.node: r.component for r in components(edges).collect()} == want and len(written) == 2
+    assert {r.node: r.component for r in components(edges, rows_a_part=120).collect()} == want and len(written) > 4
+
+
 # --- 2: line dedup -------------------------------------------------------------------
 
 

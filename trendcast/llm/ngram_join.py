@@ -36,7 +36,7 @@ from pyspark.sql.window import Window
 
 from trendcast.llm import bloom
 from trendcast.llm.common import Seen, document_stage, materialize, parallelism, parts_for, table
-from trendcast.llm.components import components
+from trendcast.llm.components import components, local_labels
 from trendcast.llm.hashing import set_key, shingles
 
 THRESHOLD = 75
@@ -155,18 +155,6 @@ def _prefixes(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], threshol
     return rows.mapInPandas(run, "token bigint, key bigint, n int")
 
 
-def local_labels(u: np.ndarray, v: np.ndarray, count: int) -> np.ndarray:
-    """Smallest node of each node's component, for edges (u, v) of nodes 0 .. count - 1."""
-    label = np.arange(count)
-    while True:
-        low, high = np.minimum(label[u], label[v]), np.maximum(label[u], label[v])
-        if (low == high).all():
-            return label
-        np.minimum.at(label, high, low)
-        while (label[label] != label).any():
-            label = label[label]
-
-
 def _gathered(batches: Iterator[pd.DataFrame], threshold: int) -> tuple[np.ndarray, ...] | None:
     """A partition's rows as arrays (token, key, n) by token, size and key, each class once per token,
     and whether a row's successor shares its token and may link by size.
