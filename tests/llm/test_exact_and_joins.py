@@ -2,12 +2,14 @@
 
 import random
 
+import pandas as pd
 import pytest
 from helpers import DOCS, edit_distance, jaccard_components, repeated_lines, shingle_set
 from oracle_check import compare
 from pyspark.sql import functions as F
 
 from trendcast.llm import common, exact_dedup, hashing, line_dedup, ngram_join
+from trendcast.llm.common import table
 from trendcast.llm.components import components
 
 
@@ -148,6 +150,19 @@ def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
     assert {r.node: r.component for r in components(edges, rows_a_part=120).collect()} == want and len(written) > 4
 
 
+def test_long_texts_come_in_small_batches(spark, tmp_path):
+    """A worker never holds thousands of long texts at once."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("text "), 800).alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [int(b["text"].str.len().sum())]})
+
+    got = [r.n for r in table(spark, str(tmp_path), "documents").select("text").mapInPandas(sizes, "n bigint").collect()]
+    assert sum(got) == 3000 * 4000 and max(got) <= 5 << 20
+
+
 # --- 2: line dedup -------------------------------------------------------------------
 
 

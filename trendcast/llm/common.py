@@ -10,7 +10,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendcast.session import shared_dir
+from trendcast.session import fit_batches, shared_dir
 
 # Fixed value: the white space of the operators' contracts (blank, \t \n \v \f \r).
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -20,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables."""
+    fit_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -97,6 +98,7 @@ def document_stage(stage):
     """A pipeline stage that returns the columns it was given: its own names can't clash with a caller's columns."""
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        fit_batches(spark)
         return apart(docs, ["doc_id", "text", "lang", "source", "n_chars"], lambda df: stage(spark, df, sf_dir))
     return run
 

@@ -92,6 +92,15 @@ _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # A task that sorts what it scans holds a multiple of the compressed bytes, so it scans few of them.
 _SCAN, SCAN_BYTES = "spark.sql.files.maxPartitionBytes", "32m"
 
+# Whole texts go to Python in batches of about so many bytes; a worker holds a batch several times over.
+_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def fit_batches(spark: SparkSession) -> None:
+    """Let batches of long rows end at ``BATCH_BYTES``, unless the session has a number of its own."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_BYTES)
+
 
 def fit_shuffles(spark: SparkSession, path: str) -> None:
     """Let shuffles begin with enough partitions for the files at ``path``; AQE merges small ones again.
