@@ -185,6 +185,17 @@ def test_license_windows_are_scored_once(spark, license_model):
     assert "Expand" not in per_doc._jdf.queryExecution().executedPlan().toString()
 
 
+def test_license_marks_are_looked_for_in_lines_that_may_have_some(spark, license_model):
+    """Lines without a mark at an end skip the expression and keep their result; families are united without sorting."""
+    parts = ["", " ", "\t", "//", "/*", "*/", "**/", "<!--", "-->", "--", "#", ";;", "%", "!", "|", "rem", "REM ", "remark", "dnl", "x", "a b", "-", "/", ">", "\u2028", "\x85", "\r", "\x0b", "\xa0", "é"]
+    lines = spark.createDataFrame([(a + "w" * k + b + c,) for a in parts for b in parts for c in parts for k in (0, 1)], "p string")
+    p = F.col("p")
+    assert lines.filter(license_scan.bare(p) != F.regexp_replace(p, license_scan.MARKS, "")).count() == 0
+    found = license_scan.scan_licenses(spark.createDataFrame([(1, "MIT License")], "doc_id bigint, text string"), license_model)
+    plan = license_scan.per_document(found)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in plan and "bit_or" in plan
+
+
 def test_license_plan_has_no_python(spark, license_model):
     df = spark.createDataFrame([(1, "MIT License")], "doc_id bigint, text string")
     plan = license_scan.scan_licenses(spark.range(1).select(F.col("id").alias("doc_id"), F.lit("MIT License").alias("text")),

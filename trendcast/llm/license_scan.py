@@ -113,6 +113,9 @@ SPEAKING_OF = [
 ]
 # Also blank but for these: lines that part paragraphs.
 MARKS = r"^\s*(?:(?://|/\*|\*/|<!--|-->|--|[*#;%!|]|(?i:rem|dnl)\b)[*/#;%!-]*)?\s*|\s*(?:\*+/|-->)?\s*$"
+# Of a line that MARKS changes, the first character is one of these, or the last (a sign that ends lines may follow the last mark).
+MARK_BEGINS = r"^[\s/*<\-#;%!|rRdD]"
+MARK_ENDS = (*" \t\n\x0b\f\r/>", "\x85", "\u2028", "\u2029")
 CUES = r"(?i)licen[sc]|copyright|public domain|free software|rights reserved|hereby granted|warrant"
 # One of these is in every text with a cue, even one that goes over a line's end.
 CUE_WORDS = ("licens", "licenc", "copyright", "domain", "software", "rights", "hereby", "warrant")
@@ -120,7 +123,13 @@ CUE_WORDS = ("licens", "licenc", "copyright", "domain", "software", "rights", "h
 
 def words(text: Column) -> Column:
     """Lower-case words of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+
+
+def bare(p: Column) -> Column:
+    """A line without its comment marks; one that neither begins nor ends like a mark or a blank is left as it is."""
+    may = p.rlike(MARK_BEGINS) | F.right(p, F.lit(1)).isin(*MARK_ENDS)
+    return F.when(may, F.regexp_replace(p, MARKS, "")).otherwise(p)
 
 
 def hashed(ws: Column) -> Column:
@@ -150,7 +159,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     some = functools.reduce(Column.__or__, [F.contains("low", F.lit(w)) for w in CUE_WORDS])
     split = texts.withColumn("low", F.lower("text")).select("doc_id", F.split("text", "\n").alias("raw"), some.alias("may"))
     # The words of a line are taken and hashed once: a joined paragraph's are those of its lines without their marks.
-    lines = split.withColumn("bare", F.transform("raw", lambda p: F.regexp_replace(p, MARKS, ""))).withColumn(
+    lines = split.withColumn("bare", F.transform("raw", bare)).withColumn(
         "cue", F.transform("raw", lambda p: F.col("may") & p.rlike(CUES))).withColumn("all", F.transform("raw", lambda p: hashed(words(p))))
 
     def own(i: Column) -> Column:
@@ -284,15 +293,19 @@ def per_document(found: DataFrame) -> DataFrame:
 
     The windows of a line are united first. Counting distinct lines of several
     kinds at once would make a copy of every window for each kind, before it is
-    scored.
+    scored. Families are united as bits, which needs no sorting.
     """
-    families, best = F.when(F.col("confirmed"), F.col("family")), F.when(F.col("confirmed"), F.col("probability"))
+    names = sorted(NOTICES)
+    known = F.array(*[F.lit(n) for n in names])
+    bit = F.get(F.array(*[F.lit(1 << i) for i in range(len(names))]), (F.array_position(known, F.col("family")) - 1).cast("int"))
+    bits, best = F.when(F.col("confirmed"), bit), F.when(F.col("confirmed"), F.col("probability"))
     lines = found.groupBy("doc_id", "line").agg(F.max("cue").alias("cue"), F.max("confirmed").alias("confirmed"),
-                                                F.collect_set(families).alias("families"), F.max(best).alias("probability"))
-    return lines.groupBy("doc_id").agg(
-        F.count_if("cue").alias("n_cue"), F.count_if("confirmed").alias("n_confirmed"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("families")))), ",").alias("families"),
+                                                F.bit_or(bits).alias("bits"), F.max(best).alias("probability"))
+    counted = lines.groupBy("doc_id").agg(
+        F.count_if("cue").alias("n_cue"), F.count_if("confirmed").alias("n_confirmed"), F.coalesce(F.bit_or("bits"), F.lit(0)).alias("bits"),
         F.max("probability").alias("probability"), F.count(F.lit(1)).alias("n_lines"))
+    taken = F.filter(known, lambda n, i: F.col("bits").bitwiseAND(F.get(F.array(*[F.lit(1 << k) for k in range(len(names))]), i)) != 0)
+    return counted.select("doc_id", "n_cue", "n_confirmed", F.array_join(taken, ",").alias("families"), "probability", "n_lines")
 
 
 def op6_license_scan(spark, sf_dir):
