@@ -304,6 +304,22 @@ def test_topics_part_texts_of_different_words(spark):
     assert topics.fit(df.limit(0)).predict(["a"]) == [None]
 
 
+def test_topics_learn_from_every_text(spark):
+    """Weights, directions and the order by size are those of all 12,000 texts, restated in plain arrays."""
+    rng = np.random.default_rng(2)
+    words = np.array([f"{a}{chr(97 + i)}{chr(97 + j)}" for a in ("kl", "mn") for i in range(8) for j in range(8)])
+    truth = (np.arange(12_000) % 3 == 0).astype(int)
+    texts = [" ".join(words[64 * t + rng.integers(0, 64, 20)]) for t in truth]
+    model = topics.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), topics=2)
+    counts = np.unique(np.stack([topics.word_counts(t) for t in texts]), axis=0)
+    assert np.allclose(model.weights, np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1)
+    x = topics.unit(np.log1p(counts.astype(np.float64)) * model.weights)
+    own = (x @ model.centroids.T).argmax(axis=1)
+    want = topics.unit(np.stack([x[own == k].sum(axis=0) for k in (0, 1)]))
+    assert np.abs(want - model.centroids).max() < 1e-4
+    assert model.predict(texts) == [f"t{t}" for t in truth]
+
+
 def test_word_counts_do_not_depend_on_chunks(monkeypatch):
     text = "Wörter, words 12 und\nmehr; x " * 40
     whole = topics.word_counts(text)

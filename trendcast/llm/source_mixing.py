@@ -11,7 +11,7 @@ A dimension's targets are given by the caller, or derived from the observed
 token sums (:func:`derived_targets`). Its categories are those with a target, and
 ``OTHER`` for the rest, so there are at most the product of the targets' sizes
 plus one cells, however large the input: the only thing the driver sees or
-broadcasts. Topics are learned from the corpus (``llm/topics.py``).
+broadcasts. Topics are learned from all texts (``llm/topics.py``).
 """
 
 from __future__ import annotations
@@ -143,7 +143,8 @@ def mix(docs: DataFrame, marginals: list[Marginal] | None = None, weight: Column
     names = [m.name for m in marginals]
     # The values are in a struct of their own first, so that each is computed once a row.
     values = F.struct(*[m.column.cast("string").alias(m.name) for m in marginals], weight.alias("tokens"))
-    valued = docs.drop("mix").withColumn("mix", values)
+    # They are written once: sums and places need the same ones, and a topic costs a pass over the text.
+    valued = materialize(docs.drop("mix").withColumn("mix", values), "mixing_rows")
     sums = materialize(valued.select("mix.*").groupBy(*names).agg(F.sum("tokens").alias("tokens")), "mixing_cells")
     targets = [derived_targets(sums, m.name) if m.targets is None else m.targets for m in marginals]
     merged = sums.select(*[category(F.col(n), t).alias(n) for n, t in zip(names, targets, strict=True)], "tokens").groupBy(

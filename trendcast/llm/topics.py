@@ -2,16 +2,22 @@
 
 A text becomes a vector of hashed words (runs of letters, lower case;
 logarithmic counts times the model's word weights, unit length). Spherical
-k-means over a sample finds ``TOPICS`` directions; a text's topic is the nearest
-one by cosine. Topics are named ``t0``, ``t1``, ... by falling size in the sample.
-
-The fit reads about ``SAMPLE`` texts, picked by a hash of id and text (a
-documented bound; copies count once) and fitted in one task. Prediction reads
-every whole text, needs no shuffle and broadcasts ``TOPICS x DIMS`` numbers.
+k-means over the distinct vectors of all texts finds ``TOPICS`` directions; a
+text's topic is the nearest one by cosine. Topics are named ``t0``, ``t1``, ...
+by falling size.
+
+Every text takes part in the word weights, the start, the directions and the
+sizes: each round of k-means is a pass over all vectors whose tasks return a sum
+for each topic. The start is drawn from all vectors by their distance to those
+drawn before (k-means||); the driver sees the drawn ones and the sums only.
+Prediction reads every whole text, needs no shuffle and broadcasts
+``TOPICS x DIMS`` numbers.
 """
 
 from __future__ import annotations
 
+import heapq
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,11 +26,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendcast.llm import sparse_vectors
 from trendcast.llm.common import materialize
-from trendcast.llm.language_id import cluster, letter_table, unit
+from trendcast.llm.language_id import letter_table, unit
 
 TOPICS = 8
-SAMPLE = 4096
+ROUNDS = 12
+# The start: so many draws of so many vectors a topic, of which the best of some runs of k-means is taken.
+DRAWS, DRAWN_A_TOPIC = 3, 4
 STARTS = 4
 DIMS = 2048
 _CHUNK = 1 << 18
@@ -62,18 +71,22 @@ def word_counts(text: str | None) -> np.ndarray | None:
     return counts if seen else None
 
 
-def _directions(x: np.ndarray, k: int) -> np.ndarray:
-    """Of ``STARTS`` runs of k-means, each from rows drawn by their distance to those drawn before, the one that fits best."""
+def _start(x: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
+    """Of ``STARTS`` runs of k-means over the drawn vectors, each of the given size, the centres that fit best."""
     rng, found = np.random.default_rng(0), []
     for _ in range(STARTS):
-        start = x[[rng.integers(len(x))]]
-        while len(start) < min(k, len(x)):
-            far = np.clip(1 - np.round((x @ start.T).max(axis=1), 9), 0, None)
+        centres = x[[rng.choice(len(x), p=size / size.sum())]]
+        while len(centres) < min(k, len(x)):
+            far = size * np.clip(1 - np.round((x @ centres.T).max(axis=1), 6), 0, None)
             if not far.any():
                 break
-            start = np.vstack([start, x[[rng.choice(len(x), p=far / far.sum())]]])
-        found.append(cluster(x, len(start), start=start))
-    return max(found, key=lambda c: (x @ c.T).max(axis=1).sum())
+            centres = np.vstack([centres, x[[rng.choice(len(x), p=far / far.sum())]]])
+        for _ in range(ROUNDS):
+            own = np.round(x @ centres.T, 6).argmax(axis=1)
+            sums = np.stack([(x * size[:, None])[own == j].sum(axis=0) for j in range(len(centres))])
+            centres = unit(np.where((sums != 0).any(axis=1)[:, None], sums, centres))
+        found.append(centres)
+    return max(found, key=lambda c: float(((x @ c.T).max(axis=1) * size).sum()))
 
 
 @dataclass
@@ -108,38 +121,59 @@ class TopicModel:
         return topic_of(F.col(text_col))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topics: int = TOPICS, sample: int = SAMPLE) -> TopicModel:
-    """The model of ``docs``; without any text that has a letter, a model of no topics."""
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    share = min(1.0, sample / max(1, docs.count()))
-    dice = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30)
-
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topics: int = TOPICS) -> TopicModel:
+    """The model of all texts of ``docs`` (equal vectors count once); without any text that has a letter, a model of no topics."""
     def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [(at.astype(np.int16).tobytes(), c[at].astype(np.int32).tobytes())
-                     for c in map(word_counts, b["text"]) if c is not None for at in (np.flatnonzero(c),)]
-            yield pd.DataFrame(found, columns=["at", "n"])
-
-    vectors = rows.filter(F.col("text").isNotNull() & (dice < share)).select("text").mapInPandas(sparse, "at binary, n binary")
-    picked = materialize(vectors.distinct(), "topic_sample")
-
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["at", "n"]).iloc[:2 * sample]
-        # In place and in single precision: the worker holds the sample's vectors twice at most.
-        x = np.zeros((len(group), DIMS), dtype=np.float32)
-        for i, (at, n) in enumerate(zip(group["at"], group["n"], strict=True)):
-            x[i, np.frombuffer(at, np.int16)] = np.frombuffer(n, np.int32)
-        weights = np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 1
-        np.log1p(x, out=x)
-        x *= weights.astype(np.float32)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        centres = _directions(x, topics)
-        size = np.bincount((x @ centres.T).argmax(axis=1), minlength=len(centres))
-        kept = [i for i in np.argsort(-size, kind="stable") if size[i]]
-        return pd.DataFrame({"place": np.arange(-1, len(kept)), "row": [v.tobytes() for v in (weights, *centres[kept].astype(np.float64))]})
-
-    found = sorted(picked.groupBy(F.lit(0).alias("all")).applyInPandas(learn, "place int, row binary").collect())
-    if not found:
+            yield pd.DataFrame([sparse_vectors.packed(c) for c in map(word_counts, b["text"]) if c is not None], columns=["cells", "n"])
+
+    texts = docs.select(F.col(text_col).cast("string").alias("text")).filter("text is not null")
+    vectors = materialize(texts.mapInPandas(sparse, "cells binary, n binary").distinct(), "topic_vectors")
+    n, weights = sparse_vectors.inverse_frequencies(vectors, DIMS)
+    if not n:
         return TopicModel(np.zeros((0, DIMS)), np.ones(DIMS))
-    numbers = [np.frombuffer(r["row"]) for r in found]
-    return TopicModel(np.stack(numbers[1:]), numbers[0])
+    drawn = np.zeros((0, DIMS), np.float32)
+    for turn in range(DRAWS):
+        found = vectors.mapInPandas(_draw(drawn, weights, topics * DRAWN_A_TOPIC, turn), "place double, cells binary, n binary").orderBy(
+            "place", "cells", "n").limit(topics * DRAWN_A_TOPIC).collect()
+        drawn = np.vstack([drawn, *[sparse_vectors.one_row(r["cells"], r["n"], weights) for r in found]])
+    near = vectors.mapInPandas(_nearest_sums(drawn, weights), sparse_vectors.PARTIAL).groupBy("slot").agg(F.sum("rows").alias("rows")).collect()
+    size = np.zeros(len(drawn))
+    size[[r["slot"] for r in near]] = [r["rows"] for r in near]
+    centres, before = _start(drawn.astype(np.float64), size, topics), None
+    for _ in range(ROUNDS):
+        sums = sparse_vectors.added_up(vectors.mapInPandas(_nearest_sums(centres.astype(np.float32), weights), sparse_vectors.PARTIAL))
+        if before is not None and sums.keys() == before.keys() and all((sums[k][1] == before[k][1]).all() for k in sums):
+            break
+        centres, before = centres.copy(), sums
+        for k, (_, row) in sums.items():
+            centres[k] = row / np.linalg.norm(row)
+    kept = sorted(sums, key=lambda k: (-sums[k][0], k))
+    return TopicModel(centres[kept], weights)
+
+
+def _draw(drawn: np.ndarray, weights: np.ndarray, most: int, turn: int):
+    """The ``most`` vectors with the smallest places of a task: over all tasks, a draw by distance to the drawn ones."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: list[tuple] = []
+        for part in sparse_vectors.chunks(batches, weights):
+            far = np.ones(part.size)
+            if len(drawn):
+                far = np.clip(1 - np.round((part.dense() @ drawn.T).max(axis=1).astype(np.float64), 6), 0, None)
+            new = [(-float(np.log((zlib.crc32(c + n, turn) + 0.5) / (1 << 32))) / float(d), c, n)
+                   for d, c, n in zip(far, part.table["cells"], part.table["n"], strict=True) if d > 0]
+            best = heapq.nsmallest(most, best + new)
+        yield pd.DataFrame(best, columns=["place", "cells", "n"])
+
+    return run
+
+
+def _nearest_sums(centres: np.ndarray, weights: np.ndarray):
+    """Rows and sum of the vectors nearest to each centre, by task."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        into: dict[int, tuple[int, np.ndarray]] = {}
+        for part in sparse_vectors.chunks(batches, weights):
+            part.add(np.round(part.dense() @ centres.T, 6).argmax(axis=1), into)
+        yield sparse_vectors.partial_sums(into)
+
+    return run
