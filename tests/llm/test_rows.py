@@ -253,6 +253,26 @@ def test_language_learns_the_most_frequent_labels(spark, monkeypatch):
     assert {r.language.lang_pred for r in language_id.identify(docs, model).collect()} <= {"aba", "bcb"}
 
 
+def test_language_model_learns_from_every_text(spark):
+    """Frequencies, centroids and limits are those of all 4,000 labelled texts of a language, restated in plain arrays."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join("".join(rng.choice(list(("abcdef", "stuvwx")[i % 2]), 5)) for _ in range(6)), "pq"[i % 2]) for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.train(df)
+    again = language_id.train(df.repartition(5))
+    assert (model.centroids == again.centroids).all() and (model.reject_below == again.reject_below).all()
+    counts = np.stack([language_id.gram_counts(t) for _, t, _ in rows])
+    assert np.allclose(model.idf, np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1)
+    one = language_id.train(df, centroids=1)
+    x = one.vectors(counts).astype(np.float64)
+    for k, lang in enumerate(one.languages):
+        mean = x["pq".index(lang)::2].sum(axis=0)
+        assert np.abs(one.centroids[k] - mean / np.linalg.norm(mean)).max() < 1e-4
+    for q in (0.0, 0.01, 0.5, 0.9, 1.0):
+        values, often = rng.integers(0, 50, 40) / 50, rng.integers(1, 9, 40)
+        assert abs(language_id._quantile(values, np.zeros(40), often, 0, q) - np.quantile(np.repeat(values, often), q)) < 1e-12
+
+
 def test_language_model_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id bigint, text string, lang string")
     model = language_id.train(docs)

@@ -10,9 +10,10 @@ centroids that were fitted without them, and what texts of the other languages
 reach whose own centroids are left out. Prefixes of the training texts stand for
 short ones.
 
-Learning uses at most ``sample_per_language`` texts of each language, picked by
-a hash of the id (a documented bound; the vectors of one language are fitted in
-one task). Prediction reads every whole text and needs no shuffle: the model is
+Learning uses every text that has a label: document frequencies, centroids and
+limits are found by passes over all their vectors, whose tasks return a sum for
+each centroid or a count for each ten-thousandth of the cosine's range.
+Prediction reads every whole text and needs no shuffle: the model is
 broadcast, ``languages x centroids x DIMS`` floats.
 """
 
@@ -27,12 +28,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendcast.llm import sparse_vectors
 from trendcast.llm.common import document_stage, materialize, table
 
 UNKNOWN = "und"
 DIMS = 4096
-SAMPLE_PER_LANGUAGE = 1500
 CENTROIDS = 4
+ROUNDS = 12
 MAX_LANGUAGES = 1000
 # Rejection: of the gap between the cosine that 90 % of the strange texts of about the same
 # length do not reach and the one that 99 % of a language's own reach, the limit is this part
@@ -41,6 +43,7 @@ REJECT_QUANTILE = 0.01
 STRANGE_QUANTILE = 0.9
 GAP_PART = 0.25
 LENGTH_LEAST = 50
+_STEPS = 10_000   # of a cosine from 0 to 1, for the quantiles
 _CHUNK = 1 << 20
 _BATCH = 128
 _PRIMES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
@@ -139,49 +142,33 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
-def cluster(x: np.ndarray, k: int, rounds: int = 12, start: np.ndarray | None = None) -> np.ndarray:
-    """Spherical k-means; without a start, the first centres are spread out greedily from the mean."""
-    k = max(1, min(k, len(x)))
-    centres = unit(x.mean(axis=0, keepdims=True)) if start is None else start
-    while len(centres) < k:
-        far = (x @ centres.T).max(axis=1).argmin()
-        centres = np.vstack([centres, x[far:far + 1]])
-    for _ in range(rounds):
-        own = (x @ centres.T).argmax(axis=1)
-        sums, order = np.zeros_like(centres), np.argsort(own, kind="stable")
-        taken, first = np.unique(own[order], return_index=True)
-        sums[taken] = np.add.reduceat(x[order], first, axis=0)
-        empty = ~(sums != 0).any(axis=1)
-        sums[empty] = centres[empty]
-        centres = unit(sums)
-    return centres
-
-
 def held_out(id_col: str = "doc_id"):
     """True for the fifth of the ids that learning never reads (crc32 of the id as text)."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          sample_per_language: int = SAMPLE_PER_LANGUAGE, centroids: int = CENTROIDS) -> LanguageModel:
+          sample_per_language: int | None = None, centroids: int = CENTROIDS) -> LanguageModel:
     """Fit the model on the rows of ``labelled`` that have a language and a letter.
 
-    The sample of a language has about ``sample_per_language`` rows whatever the
-    input (all rows, if there are fewer). Of more than ``MAX_LANGUAGES`` label
-    values the most frequent are learned (ties: smallest); texts with the others
-    are predicted like any text. No usable row: an empty model, which answers
-    ``und`` for everything.
+    All of them are learned from, unless a caller asks for a sample of about
+    ``sample_per_language`` rows of each language. Of more than ``MAX_LANGUAGES``
+    label values the most frequent are learned (ties: smallest); texts with the
+    others are predicted like any text. No usable row: an empty model, which
+    answers ``und`` for everything.
     """
-    spark = labelled.sparkSession
     usable = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = usable.groupBy(F.col(lang_col).alias("_l")).agg(F.count(F.lit(1)).alias("_n")).orderBy(
         F.desc("_n"), "_l").limit(MAX_LANGUAGES).collect()
     if not sizes:
         return LanguageModel([], np.zeros((0, DIMS), np.float32), np.ones(DIMS, np.float32), np.zeros((0, 16)))
-    share = {r["_l"]: min(1.0, sample_per_language / r["_n"]) for r in sizes}
-    rate = F.create_map(*[F.lit(v) for kv in share.items() for v in kv])
-    dice = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    picked = usable.filter(dice < rate[F.col(lang_col)]).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    names = sorted(r["_l"] for r in sizes)
+    code = {name: i for i, name in enumerate(names)}
+    learned = usable.filter(F.col(lang_col).isin(names))
+    if sample_per_language is not None:
+        share = F.create_map(*[F.lit(v) for r in sizes for v in (r["_l"], min(1.0, sample_per_language / r["_n"]))])
+        dice = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) / float(1 << 30)
+        learned = learned.filter(dice < share[F.col(lang_col)])
 
     def to_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -192,93 +179,139 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 for part in (text, short) if len(short) < len(text) else (text,):
                     c = gram_counts(part)
                     if c is not None:
-                        at = np.flatnonzero(c)
-                        rows.append((lang, part is text, dice & 1, at.astype(np.int16).tobytes(), c[at].astype(np.int32).tobytes()))
-            yield pd.DataFrame(rows, columns=["lang", "whole", "fold", "at", "n"])
-
-    parts = materialize(picked.mapInPandas(to_counts, "lang string, whole boolean, fold int, at binary, n binary"), "language_sample")
-    sample = parts.filter("whole")
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df, n = np.zeros(DIMS, dtype=np.int64), 0
-        for b in batches:
-            for at in b["at"]:
-                df[np.frombuffer(at, np.int16)] += 1
-                n += 1
-        if n:
-            yield pd.DataFrame({"cell": np.arange(-1, DIMS), "df": np.concatenate([[n], df])})
-
-    found = {r["cell"]: r["s"] for r in sample.select("at").mapInPandas(add_up, "cell int, df bigint")
-             .groupBy("cell").agg(F.sum("df").alias("s")).collect()}
-    n = found.get(-1, 0)
-    idf = np.array([np.log((1 + n) / (1 + found.get(i, 0))) + 1 for i in range(DIMS)], dtype=np.float32)
-    hard_cap = 2 * sample_per_language
-
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["whole", "at", "n"], ascending=False)
-        group = pd.concat([group[group["whole"]].iloc[:hard_cap], group[~group["whole"]].iloc[:hard_cap]])
-        whole, fold = group["whole"].to_numpy(bool), group["fold"].to_numpy()
-        counts = _dense(group)
-        lengths = _length_class(counts.sum(axis=1))
-        x = unit(np.log1p(counts) * idf)
-        centres = cluster(x[whole], centroids)
-        # Each half is measured by centroids of the other half, if that has enough texts.
-        own = (x @ centres.T).max(axis=1)
-        for half in (0, 1):
-            if (others := whole & (fold != half)).sum() > centroids:
-                own[fold == half] = (x[fold == half] @ cluster(x[others], centroids).T).max(axis=1)
-        low = [_quantile(own, lengths, k, REJECT_QUANTILE) for k in range(16)]
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in centres],
-                             "low": [low] * len(centres)})
-
-    with_whole = parts.join(sample.select("lang").distinct(), "lang", "left_semi")
-    fitted = sorted(with_whole.groupBy("lang").applyInPandas(fit, "lang string, centroid binary, low array<double>").collect(),
-                    key=lambda r: (r["lang"], r["centroid"]))
-    if not fitted:
+                        rows.append((code[lang], part is text, dice & 1, *sparse_vectors.packed(c)))
+            yield pd.DataFrame(rows, columns=["code", "whole", "fold", "cells", "n"])
+
+    texts = learned.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    parts = materialize(texts.mapInPandas(to_counts, "code int, whole boolean, fold int, cells binary, n binary"), "language_vectors")
+    whole = parts.filter("whole")
+    n, weights = sparse_vectors.inverse_frequencies(whole, DIMS)
+    idf = weights.astype(np.float32)
+    centres, rows = _centres(whole, idf, centroids) if n else ({}, {})
+    found = sorted(c for c in range(len(names)) if 3 * c in centres)
+    if not found:
         return LanguageModel([], np.zeros((0, DIMS), np.float32), idf, np.zeros((0, 16)))
-    names = [r["lang"] for r in fitted]
-    model = LanguageModel(names, np.stack([np.frombuffer(r["centroid"], np.float32) for r in fitted]), idf, np.zeros((len(names), 16)))
-    strange = _strange(parts, model)
-    model.reject_below = np.array([_limits(r["low"], strange.get(r["lang"])) for r in fitted])
-    return model
+    # Each half is measured by centroids of the other half, if that has enough texts.
+    measure = {(c, fold): centres[other if rows.get(other := 3 * c + 2 - fold, 0) > centroids else 3 * c] for c in found for fold in (0, 1)}
+    owner = np.concatenate([np.full(len(centres[3 * c]), c) for c in found])
+    every = np.concatenate([centres[3 * c] for c in found])
+    low, strange = _quantiles(parts.filter(F.col("code").isin(found)), idf, measure, owner, every)
+    limits = {c: _limits(low[c], strange.get(c)) for c in found}
+    return LanguageModel([names[c] for c in owner], every, idf, np.array([limits[c] for c in owner]))
 
 
-def _dense(rows: pd.DataFrame) -> np.ndarray:
-    counts = np.zeros((len(rows), DIMS), dtype=np.float32)
-    for i, (at, c) in enumerate(zip(rows["at"], rows["n"], strict=True)):
-        counts[i, np.frombuffer(at, np.int16)] = np.frombuffer(c, np.int32)
-    return counts
+# Of each language three sets of centroids are fitted, at the places 3 * code and on: to all its texts, and to either half.
+def _nearest(part: sparse_vectors.Vectors, x: np.ndarray, places: np.ndarray, centres: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row: the nearest centroid at its place, and the cosine; 0 where there is none."""
+    best, top = np.zeros(part.size, dtype=np.int64), np.zeros(part.size)
+    for place in np.unique(places):
+        if (own := centres.get(int(place))) is not None:
+            at = np.flatnonzero(places == place)
+            cosine = np.round(x[at] @ own.T, 6)
+            best[at] = cosine.argmax(axis=1)
+            top[at] = cosine[np.arange(len(at)), best[at]]
+    return best, top
 
 
-def _strange(parts: DataFrame, model: LanguageModel) -> dict[str, list[float]]:
-    """By language and length class: the high quantile of the cosines of texts that it is nearest to with their own language left out."""
-    names = np.array(model.languages, dtype=object)
+def _places(part: sparse_vectors.Vectors) -> tuple[np.ndarray, np.ndarray]:
+    code, fold = part.table["code"].to_numpy(np.int64), part.table["fold"].to_numpy(np.int64)
+    return 3 * code, 3 * code + 1 + fold
 
-    def nearest_other(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in (batch.iloc[at:at + _BATCH] for batch in batches for at in range(0, len(batch), _BATCH)):
-            counts = _dense(b)
-            cosine = model.vectors(counts) @ model.centroids.T
-            cosine[b["lang"].to_numpy(object)[:, None] == names[None, :]] = -1
-            best = cosine.argmax(axis=1)
-            top = cosine[np.arange(len(b)), best]
-            found = pd.DataFrame({"lang": names[best], "k": _length_class(counts.sum(axis=1)), "top": top.astype(np.float64)})
-            yield found[top >= 0]
 
-    def high(group: pd.DataFrame) -> pd.DataFrame:
-        top, lengths = group["top"].to_numpy(), group["k"].to_numpy()
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "high": [[_quantile(top, lengths, k, STRANGE_QUANTILE) for k in range(16)]]})
+def _centres(whole: DataFrame, idf: np.ndarray, k: int) -> tuple[dict[int, np.ndarray], dict[int, int]]:
+    """Spherical k-means at each place, over all its rows, and how many those are.
 
-    nearest = parts.mapInPandas(nearest_other, "lang string, k bigint, top double")
-    return {r["lang"]: r["high"] for r in nearest.groupBy("lang").applyInPandas(high, "lang string, high array<double>").collect()}
+    The first centroids are spread out greedily from the mean.
+    """
+    def sums(centres: dict[int, np.ndarray]) -> dict[int, tuple[int, np.ndarray]]:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            into: dict[int, tuple[int, np.ndarray]] = {}
+            for part in sparse_vectors.chunks(batches, idf):
+                x = part.dense()
+                for places in _places(part):
+                    part.add(places * k + _nearest(part, x, places, centres)[0], into)
+            yield sparse_vectors.partial_sums(into)
+
+        return sparse_vectors.added_up(whole.mapInPandas(run, sparse_vectors.PARTIAL))
+
+    def farthest(centres: dict[int, np.ndarray]) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            least: dict[int, tuple] = {}
+            for part in sparse_vectors.chunks(batches, idf):
+                x = part.dense()
+                for places in _places(part):
+                    top = _nearest(part, x, places, centres)[1]
+                    for row in zip(places.tolist(), top.tolist(), part.table["cells"], part.table["n"], strict=True):
+                        if row[0] not in least or row[1:] < least[row[0]]:
+                            least[row[0]] = row[1:]
+            yield pd.DataFrame([(p, *row) for p, row in least.items()], columns=["place", "top", "cells", "n"])
+
+        return whole.mapInPandas(run, "place bigint, top double, cells binary, n binary").groupBy("place").agg(
+            F.min(F.struct("top", "cells", "n")).alias("far"))
+
+    first = sums({})
+    rows = {slot // k: n for slot, (n, _) in first.items()}
+    centres = {slot // k: unit(row[None, :]).astype(np.float32) for slot, (_, row) in first.items()}
+    for size in range(1, min(k, max(rows.values()))):
+        for r in farthest(centres).collect():
+            if rows[r["place"]] > size:
+                new = sparse_vectors.one_row(r["far"]["cells"], r["far"]["n"], idf)
+                centres[r["place"]] = np.vstack([centres[r["place"]], new])
+    before = None
+    for _ in range(ROUNDS):
+        now = sums(centres)
+        if before is not None and now.keys() == before.keys() and all((now[s][1] == before[s][1]).all() for s in now):
+            break
+        centres, before = {place: c.copy() for place, c in centres.items()}, now
+        for slot, (_, row) in now.items():
+            centres[slot // k][slot % k] = unit(row[None, :])[0]
+    return centres, rows
 
 
-def _quantile(cosines: np.ndarray, lengths: np.ndarray, k: int, q: float) -> float:
-    """A quantile of the cosines of texts in length class k and as many neighbouring classes as needed."""
+def _quantiles(parts: DataFrame, idf: np.ndarray, measure: dict[tuple[int, int], np.ndarray], owner: np.ndarray,
+               every: np.ndarray) -> tuple[dict[int, list[float]], dict[int, list[float]]]:
+    """By language and length class: the low quantile of the cosines that its own texts reach, and the high one of
+    those of texts that it is nearest to with their own language left out."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = []
+            for part in sparse_vectors.chunks(iter([b]), idf):
+                x, k = part.dense(), _length_class(part.totals())
+                code, fold = part.table["code"].to_numpy(np.int64), part.table["fold"].to_numpy(np.int64)
+                own = _nearest(part, x, 2 * code + fold, {2 * c + f: v for (c, f), v in measure.items()})[1]
+                found.append(pd.DataFrame({"own": True, "code": code, "k": k, "step": np.round(own * _STEPS).astype(np.int64)}))
+                cosine = x @ every.T
+                cosine[code[:, None] == owner[None, :]] = -1
+                best = cosine.argmax(axis=1)
+                top = cosine[np.arange(part.size), best]
+                other = pd.DataFrame({"own": False, "code": owner[best], "k": k, "step": np.round(top * _STEPS).astype(np.int64)})
+                found.append(other[top >= 0])
+            yield pd.concat(found).value_counts(sort=False).rename("rows").reset_index() if found else pd.DataFrame(
+                columns=["own", "code", "k", "step", "rows"])
+
+    def quantiles(group: pd.DataFrame) -> pd.DataFrame:
+        q = REJECT_QUANTILE if group["own"].iloc[0] else STRANGE_QUANTILE
+        steps, lengths, rows = (group[c].to_numpy(np.int64) for c in ("step", "k", "rows"))
+        return pd.DataFrame({"own": [group["own"].iloc[0]], "code": [group["code"].iloc[0]],
+                             "limits": [[_quantile(steps / _STEPS, lengths, rows, k, q) for k in range(16)]]})
+
+    counted = parts.mapInPandas(run, "own boolean, code bigint, k bigint, step bigint, rows bigint").groupBy(
+        "own", "code", "k", "step").agg(F.sum("rows").alias("rows"))
+    got = counted.groupBy("own", "code").applyInPandas(quantiles, "own boolean, code bigint, limits array<double>").collect()
+    return {r["code"]: r["limits"] for r in got if r["own"]}, {r["code"]: r["limits"] for r in got if not r["own"]}
+
+
+def _quantile(cosines: np.ndarray, lengths: np.ndarray, rows: np.ndarray, k: int, q: float) -> float:
+    """A quantile of the cosines, each as often as ``rows`` says, of length class k and as many neighbouring classes as needed."""
     for reach in range(16):
-        near = cosines[np.abs(lengths - k) <= reach]
-        if len(near) >= LENGTH_LEAST:
+        near = np.abs(lengths - k) <= reach
+        if rows[near].sum() >= LENGTH_LEAST:
             break
-    return float(np.quantile(near, q))
+    order = np.argsort(cosines[near], kind="stable")
+    value, upto = cosines[near][order], np.cumsum(rows[near][order])
+    at = q * (upto[-1] - 1)
+    low, high = (value[np.searchsorted(upto, i, side="right")] for i in (np.floor(at), np.ceil(at)))
+    return float(low + (high - low) * (at - np.floor(at)))
 
 
 def _limits(low: list[float], high: list[float] | None) -> np.ndarray:
