@@ -126,10 +126,11 @@ def uniform(id_col: str = "doc_id", seed: int = 0) -> Column:
 
 
 def mix(docs: DataFrame, marginals: list[Marginal] | None = None, weight: Column | None = None,
-        budget: float = BUDGET, id_col: str = "doc_id", seed: int = 0) -> DataFrame:
+        budget: float = BUDGET, id_col: str = "doc_id", seed: int = 0, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with a struct column ``mix``: a category per dimension, tokens, weight, probability, sampled.
 
-    Without ``marginals`` those of :func:`default_marginals` hold.
+    Without ``marginals`` those of :func:`default_marginals` hold. ``keep`` names
+    the columns to return, the id's among them, if not all are wanted.
 
     ``weight`` is the share of all tokens that the raked mixture gives the
     document's cell. Null categories and categories without a target count as
@@ -144,7 +145,8 @@ def mix(docs: DataFrame, marginals: list[Marginal] | None = None, weight: Column
     # The values are in a struct of their own first, so that each is computed once a row.
     values = F.struct(*[m.column.cast("string").alias(m.name) for m in marginals], weight.alias("tokens"))
     # They are written once: sums and places need the same ones, and a topic costs a pass over the text.
-    valued = materialize(docs.drop("mix").withColumn("mix", values), "mixing_rows")
+    kept = [c for c in keep or docs.columns if c != "mix"]
+    valued = materialize(docs.drop("mix").withColumn("mix", values).select(*kept, "mix"), "mixing_rows")
     sums = materialize(valued.select("mix.*").groupBy(*names).agg(F.sum("tokens").alias("tokens")), "mixing_cells")
     targets = [derived_targets(sums, m.name) if m.targets is None else m.targets for m in marginals]
     merged = sums.select(*[category(F.col(n), t).alias(n) for n, t in zip(names, targets, strict=True)], "tokens").groupBy(
@@ -161,7 +163,7 @@ def mix(docs: DataFrame, marginals: list[Marginal] | None = None, weight: Column
     joined = out.join(F.broadcast(cells), on, "left")
     chosen = F.struct("mix.*", cells["weight"].alias("weight"), cells["probability"].alias("probability"),
                       (uniform(id_col, seed) < cells["probability"]).alias("sampled"))
-    return joined.select(*[out[c] for c in docs.columns if c != "mix"], chosen.alias("mix"))
+    return joined.select(*[out[c] for c in kept], chosen.alias("mix"))
 
 
 def _fit(rows: list[tuple[tuple, float]], targets: list[Mapping[str, float]], budget: float) -> dict[tuple, tuple[float, float]]:
@@ -185,7 +187,7 @@ def _fit(rows: list[tuple[tuple, float]], targets: list[Mapping[str, float]], bu
 def op10_source_mixing(spark, sf_dir):
     """Every document's cell, its weight and probability in the mixture, and whether it is sampled."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return mix(docs).select("doc_id", "mix.*")
+    return mix(docs, keep=["doc_id"]).select("doc_id", "mix.*")
 
 
 @document_stage
