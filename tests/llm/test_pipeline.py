@@ -94,6 +94,15 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
         assert out.count() <= 2 * len(data)
 
 
+def test_no_task_needs_a_second_kind_of_python_worker(spark, sf_dir):
+    """An executor keeps as many workers as ever ran at once: languages are predicted once a row, cells need no Python rows."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plans = {name: dict(corpus_pipeline.STAGES)[name](spark, docs, sf_dir)._jdf.queryExecution().executedPlan().toString()
+             for name in ("language_id", "mixing")}
+    assert plans["language_id"].count("ArrowEvalPython [predict(") == 1
+    assert "ExistingRDD" not in plans["mixing"]
+
+
 CLASHING = ["language", "mix", "_id", "_cut", "_maybe", "_had", "_cell", "_word", "_mask", "label", "key", "n", "component_id", "form",
             "_mix_0", "_mix_tokens", "tokens", "probability", "a`b", "x.y", "_columns_of_the_caller"]
 

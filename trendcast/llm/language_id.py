@@ -333,6 +333,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
         for texts in batches:
             yield model.predict(texts)
 
+    predict = predict.asNondeterministic()  # else a filter on it would run it again, in a Python worker more a task
     return docs.withColumn("language", predict(F.col(text_col)))
 
 

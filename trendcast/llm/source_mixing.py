@@ -20,6 +20,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,9 +154,11 @@ def mix(docs: DataFrame, marginals: list[Marginal] | None = None, weight: Column
         *names).agg(F.sum("tokens").alias("tokens")).collect()
     rows = [(tuple(r[n] for n in names), float(r["tokens"] or 0)) for r in sorted(merged, key=lambda r: [r[n] for n in names])]
     fitted = _fit([r for r in rows if r[1] > 0], targets, budget)
-    schema = ", ".join(f"_{i} string" for i in range(len(names))) + ", weight double, probability double"
-    facts = [(*cell, *fitted.get(cell, (0.0, 1.0))) for cell, _ in rows]
-    cells = docs.sparkSession.createDataFrame(facts, schema)
+    # As an Arrow table the cells need no Python workers, which rows would, of a kind of their own that stays in memory.
+    columns = {f"_{i}": pa.array([cell[i] for cell, _ in rows], pa.string()) for i in range(len(names))}
+    facts = [fitted.get(cell, (0.0, 1.0)) for cell, _ in rows]
+    columns |= {name: pa.array([fact[i] for fact in facts], pa.float64()) for i, name in enumerate(("weight", "probability"))}
+    cells = docs.sparkSession.createDataFrame(pa.table(columns))
 
     placed = [category(F.col(f"mix.{n}"), t).alias(n) for n, t in zip(names, targets, strict=True)]
     out = valued.withColumn("mix", F.struct(*placed, F.col("mix.tokens").alias("tokens")))
