@@ -6,7 +6,7 @@ from helpers import DOCS, jaccard_components, n_words, plain_sample, plain_targe
 from pyspark.sql import functions as F
 
 from trendcast.llm import language_id, line_dedup, source_mixing, topics
-from trendcast.llm.common import materialize, release
+from trendcast.llm.common import discard, materialize, release
 from trendcast.session import shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -120,6 +120,22 @@ def test_columns_of_any_name_come_out_unchanged(spark, sf_dir, name):
     assert all(r[c] == f"{c}:{r['doc_id']}" for r in rows for c in CLASHING) and {r["first"] for r in rows} == {"mine"}
 
 
+def test_learned_vectors_leave_the_disk(spark, sf_dir):
+    """The vectors that models are learned from go when the model is there; given tables stay."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id < 60")
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark, "llm", spark.sparkContext.applicationId))
+
+    def scratch():
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return fs.getContentSummary(path).getFileCount() if fs.exists(path) else 0
+
+    before = scratch()
+    assert language_id.train(docs).languages and topics.fit(docs).names
+    assert scratch() == before
+    discard(docs)
+    assert docs.count()
+
+
 def test_release_deletes_scratch_tables(spark):
     path = shared_dir(spark, "llm", spark.sparkContext.applicationId)
     materialize(spark.range(3).toDF("x"), "scratch")

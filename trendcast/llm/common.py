@@ -47,6 +47,17 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(scratch: DataFrame) -> None:
+    """Delete one table of :func:`materialize`, when all that was derived from it has been written or collected.
+
+    Scratch tables would otherwise count against the disk of every later step. Other tables are left alone.
+    """
+    spark, files = scratch.sparkSession, scratch.inputFiles()
+    if files and f"/llm/{spark.sparkContext.applicationId}/" in files[0]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(files[0])).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def parallelism(spark: SparkSession) -> int:
     """The session's shuffle partition count: how finely work is dealt out."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

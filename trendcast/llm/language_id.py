@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendcast.llm import sparse_vectors
-from trendcast.llm.common import document_stage, materialize, table
+from trendcast.llm.common import discard, document_stage, materialize, table
 
 UNKNOWN = "und"
 DIMS = 4096
@@ -190,12 +190,14 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     centres, rows = _centres(whole, idf, centroids) if n else ({}, {})
     found = sorted(c for c in range(len(names)) if 3 * c in centres)
     if not found:
+        discard(parts)
         return LanguageModel([], np.zeros((0, DIMS), np.float32), idf, np.zeros((0, 16)))
     # Each half is measured by centroids of the other half, if that has enough texts.
     measure = {(c, fold): centres[other if rows.get(other := 3 * c + 2 - fold, 0) > centroids else 3 * c] for c in found for fold in (0, 1)}
     owner = np.concatenate([np.full(len(centres[3 * c]), c) for c in found])
     every = np.concatenate([centres[3 * c] for c in found])
     low, strange = _quantiles(parts.filter(F.col("code").isin(found)), idf, measure, owner, every)
+    discard(parts)
     limits = {c: _limits(low[c], strange.get(c)) for c in found}
     return LanguageModel([names[c] for c in owner], every, idf, np.array([limits[c] for c in owner]))
 

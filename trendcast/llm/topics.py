@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendcast.llm import sparse_vectors
-from trendcast.llm.common import materialize
+from trendcast.llm.common import discard, materialize
 from trendcast.llm.language_id import letter_table, unit
 
 TOPICS = 8
@@ -131,6 +131,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topics:
     vectors = materialize(texts.mapInPandas(sparse, "cells binary, n binary").distinct(), "topic_vectors")
     n, weights = sparse_vectors.inverse_frequencies(vectors, DIMS)
     if not n:
+        discard(vectors)
         return TopicModel(np.zeros((0, DIMS)), np.ones(DIMS))
     drawn = np.zeros((0, DIMS), np.float32)
     for turn in range(DRAWS):
@@ -148,6 +149,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topics:
         centres, before = centres.copy(), sums
         for k, (_, row) in sums.items():
             centres[k] = row / np.linalg.norm(row)
+    discard(vectors)
     kept = sorted(sums, key=lambda k: (-sums[k][0], k))
     return TopicModel(centres[kept], weights)
 
