@@ -9,8 +9,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package is written against.
 BASE_CONF = {
@@ -86,6 +88,56 @@ def shared_dir(spark: SparkSession, *parts: str, fresh: bool = False) -> str:
     return "/".join(pieces)
 
 
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within, a write's shuffle files go when it ends.
+
+    They would otherwise count against the disk of every later step until the
+    driver happens to collect its garbage.
+    """
+    before = spark.conf.get(_FREED, None)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREED)
+        else:
+            spark.conf.set(_FREED, before)
+
+
+# What is worked on in rounds takes one for each ROUND_BYTES of its files, and so many at most:
+# a round's shuffles are gone when the next begins, and a large cluster has enough to do in each.
+ROUND_BYTES, MOST_ROUNDS = 512 << 20, 16
+
+
+def rounds_for(size: int) -> int:
+    return max(1, min(MOST_ROUNDS, -(-size // ROUND_BYTES)))
+
+
+def file_bytes(df: DataFrame) -> int:
+    """Bytes of the files a scan reads; 0 for rows that come from no files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) if df.inputFiles() else 0
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder for what this application needs until its results are written (:func:`release_scratch`)."""
+    return shared_dir(spark, "scratch", spark.sparkContext.applicationId, label, fresh=True)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete everything below :func:`scratch_dir`, once the results that were derived from it have been written."""
+    delete_path(spark, shared_dir(spark, "scratch", spark.sparkContext.applicationId))
+
+
 # A shuffle of a table's rows begins with a partition for so many bytes of its files.
 BYTES_A_PART = 4 << 20
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"

@@ -9,6 +9,7 @@ same for JSON text already in a column. The flatteners are plain
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from trendcast.functions.scoring import engagement_intensity, engagement_rate
 from trendcast.operators.dedupe import keep_one
 from trendcast.operators.filters import watchable, with_id
 from trendcast.operators.joins import attach_stats, lookup
+from trendcast.session import delete_path, file_bytes, rounds_for, scratch_dir, shuffles_freed
 
 
 CORRUPT = "_corrupt_record"
@@ -201,9 +203,13 @@ def flatten_popular(payloads: DataFrame, categories: DataFrame, countries: DataF
 
 def search_hits(payloads: DataFrame) -> DataFrame:
     """Search pages -> distinct (keyword, video_id); items without a video id are dropped."""
+    return _hit_rows(payloads).distinct()
+
+
+def _hit_rows(payloads: DataFrame) -> DataFrame:
     h = payloads.select("keyword", F.explode("items").alias("i")).select(
         "keyword", F.col("i.id.videoId").alias("video_id"))
-    return with_id(h, "video_id").distinct()
+    return with_id(h, "video_id")
 
 
 def flatten_keyword_videos(hits: DataFrame, stats: DataFrame, categories: DataFrame,
@@ -212,15 +218,65 @@ def flatten_keyword_videos(hits: DataFrame, stats: DataFrame, categories: DataFr
 
     Details are cut to the stored columns and reduced to one row per video (the
     newest capture) before the join, so each hit matches at most once; hits
-    without details drop out.
+    without details drop out. Many details are joined in rounds, whose results
+    are written (:func:`keyword_video_rounds`).
+    """
+    n = rounds_for(file_bytes(stats))
+    rounds = keyword_video_rounds(hits, stats, categories, region_code, n)
+    if n == 1:
+        return next(rounds)
+    path = scratch_dir(stats.sparkSession, "keyword_videos")
+    for rows in rounds:
+        with shuffles_freed(stats.sparkSession):
+            rows.write.mode("append").option("compression", "zstd").parquet(path)
+    return stats.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+_ROUND = "_round"
+
+
+def keyword_video_rounds(hits: DataFrame, stats: DataFrame, categories: DataFrame, region_code: str = "KE",
+                         n: int | None = None) -> Iterator[DataFrame]:
+    """The rows of :func:`flatten_keyword_videos` in rounds: each has the videos of a hash range, hits and details.
+
+    The shuffles of whole rows for the dedupe, the join and the lookup would
+    together take several times the disk of the pages. So pages are read once,
+    their rows dealt to the rounds as compressed columns, and these go when the
+    next round is asked for: write one before that.
     """
-    rows = video_rows(stats).drop("region_code", "description")
-    return join_keyword_videos(hits, keep_one(rows, ["video_id"], newest_first()), categories, region_code)
+    spark, n = stats.sparkSession, n or rounds_for(file_bytes(stats))
+    rows, found = video_rows(stats).drop("region_code", "description"), _hit_rows(hits)
+    if n == 1:
+        yield _keyword_videos(found, rows, categories, region_code)
+        return
+    folders = [(scratch_dir(spark, name), df) for name, df in (("hits", found), ("details", rows))]
+    try:
+        for path, df in folders:
+            dealt = df.where(F.col("video_id").isNotNull()).withColumn(_ROUND, F.pmod(F.xxhash64("video_id"), F.lit(n)).cast("int"))
+            with shuffles_freed(spark):
+                dealt.write.partitionBy(_ROUND).option("compression", "zstd").parquet(path)
+        for i in range(n):
+            mine = [spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_ROUND, T.IntegerType())])).parquet(path)
+                    .where(F.col(_ROUND) == i).drop(_ROUND) for path, df in folders]
+            yield _keyword_videos(*mine, categories, region_code)
+            for path, _ in folders:
+                delete_path(spark, f"{path}/{_ROUND}={i}")
+    finally:
+        for path, _ in folders:
+            delete_path(spark, path)
+
+
+def _keyword_videos(found: DataFrame, rows: DataFrame, categories: DataFrame, region_code: str) -> DataFrame:
+    return _joined(found.distinct(), keep_one(rows, ["video_id"], newest_first()), categories, region_code)
 
 
 def join_keyword_videos(hits: DataFrame, details: DataFrame, categories: DataFrame, region_code: str = "KE") -> DataFrame:
     """Search pages x one details row per video (as :func:`video_rows` has them) -> keyword-video rows."""
-    joined = attach_stats(search_hits(hits), details, "video_id")
+    return _joined(search_hits(hits), details, categories, region_code)
+
+
+def _joined(found: DataFrame, details: DataFrame, categories: DataFrame, region_code: str) -> DataFrame:
+    joined = attach_stats(found, details, "video_id")
     joined = lookup(joined, categories, on="category_id", value="category_title", out="category_name")
     joined = (tags_text(joined, "tags")
               .withColumn("duration_secs", iso_duration_secs("duration"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendcast.functions.timeparts import epoch_seconds
-from trendcast.session import shared_dir
+from trendcast.session import shared_dir, shuffles_freed
 from trendcast.sources.fixtures import CATEGORY_ID, POSTS_COLUMNS, TRENDS_COLUMNS, VIDEO_COLUMNS
 from trendcast.sources.tables import read_table
 
@@ -28,7 +28,7 @@ PLAIN_PARTS = ["5 days ago", "true story", "[draft] offer", "0", "null", ""]
 PAGE_ORDERS = 2000
 
 # Landed pages repeat their field names in every item: compressed they are a fraction of the size.
-PAGES_CODEC = "lz4"
+PAGES_CODEC = "deflate"
 
 
 def _epoch_secs(col: str):
@@ -47,7 +47,8 @@ def land(df: DataFrame, name: str, key: tuple | None = None) -> str:
     if cache_key in _LANDED:
         return _LANDED[cache_key]
     path = shared_dir(spark, "landing", name, fresh=True)
-    df.write.option("compression", PAGES_CODEC).json(path)
+    with shuffles_freed(spark):
+        df.write.option("compression", PAGES_CODEC).json(path)
     if cache_key is not None:
         _LANDED[cache_key] = path
     return path
