@@ -11,7 +11,7 @@ from trendcast.operators.joins import semi_on_folded
 from trendcast.plans.marts import mart_gap_analysis
 from trendcast.plans.rollover import compact, rollover_merge
 from trendcast.plans.staging import keywords_last_hours
-from trendcast.sources.landing import flatten_keyword_videos
+from trendcast.sources.landing import keyword_video_rounds
 from trendcast.sources.snapshots import SnapshotStore, month_tags
 
 
@@ -27,7 +27,7 @@ def keyword_gap(stg: DataFrame, search_pages: DataFrame, detail_pages: DataFrame
     if not search_pages.isEmpty():          # nothing landed: the snapshot stays as it is
         keywords = keywords_last_hours(stg, as_of, hours)
         hits = semi_on_folded(search_pages, "keyword", keywords, "query")
-        videos = flatten_keyword_videos(hits, detail_pages, categories)
+        videos = keyword_video_rounds(hits, detail_pages, categories)
         rollover_merge(store, videos, as_of, "published_ts", guard_empty=False)
         compact(store, cur, K.KEYS["keyword_videos"], ["captured_at"])
     return mart_gap_analysis(store.load(cur), trends, as_of)

@@ -8,6 +8,7 @@ neither read nor written again.
 from __future__ import annotations
 
 import datetime as dt
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from trendcast import constants as K
 from trendcast.operators.dedupe import keep_one
 from trendcast.operators.filters import has_rows_in_month, in_month
 from trendcast.operators.joins import not_yet_present
-from trendcast.sources.snapshots import Batch, SnapshotStore, month_tags, previous_month
+from trendcast.sources.snapshots import Batch, Rows, SnapshotStore, month_tags, previous_month
 
 
 def rollover(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, ts_col: str,
@@ -55,7 +56,7 @@ def rollover(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, ts_col:
     return action
 
 
-def rollover_merge(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, ts_col: str,
+def rollover_merge(store: SnapshotStore, batch: Rows, as_of: dt.datetime, ts_col: str,
                    grace_days: int = K.GRACE_DAYS["keyword_videos"],
                    keys: list[str] | None = None, guard_empty: bool = True, against: str = "days",
                    by: Batch | None = None) -> str:
@@ -71,6 +72,9 @@ def rollover_merge(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, t
     ``against`` says which rows count as present in a day that both months have:
     'days' all rows of the new month there, 'leaked' only those whose ``ts_col``
     (a timestamp column) lies in the previous month itself. Keys fix the day.
+
+    A batch may come in parts, which are written one by one and published together
+    (with ``guard_empty=False``).
     """
     keys = keys or K.ROLLOVER_MATCH_KEYS
     if by and store.applied(by):
@@ -88,7 +92,8 @@ def rollover_merge(store: SnapshotStore, batch: DataFrame, as_of: dt.datetime, t
         now = store.read({d: have[d] for d in both})
         if against == "leaked":
             now = now.where(in_month(now, ts_col, previous_month(as_of)))
-        batch = not_yet_present(store.read(both), now.select(*keys), keys).unionByName(batch, allowMissingColumns=True)
+        missing = not_yet_present(store.read(both), now.select(*keys), keys)
+        batch = missing.unionByName(batch, allowMissingColumns=True) if isinstance(batch, DataFrame) else chain([missing], batch)
     store.append(batch, cur, by=by, carry=(prev, [d for d in fresh if d not in have]), merged=(prev, fresh))
     return "merged"
 
@@ -105,7 +110,8 @@ def compact(store: SnapshotStore, month: str, keys: list[str], order: list[str |
     Only days (or key buckets) with rows that no compaction has seen are read and
     rewritten, once. Rows of one key lie in one of them: the store's day column is
     part of the key or fixed by it, or the buckets are the key's. A store with
-    neither is rewritten whole.
+    neither is rewritten whole. Many bytes are rewritten in rounds, each with the
+    keys of a hash range, as rows shuffle for the dedupe and for the days.
     """
     compacted(store, month, keys, order)
     return store.load(month)
@@ -119,7 +125,12 @@ def compacted(store: SnapshotStore, month: str, keys: list[str], order: list[str
     if not seen:
         return 0
     order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order]
-    read = Observation()
-    rows = store.read(seen).observe(read, F.count(F.lit(1)).alias("rows"))
-    kept = store.replace_days(keep_one(rows, keys, order), month, list(seen), compacted=True, seen=seen)
-    return read.get["rows"] - kept
+    n = store.rounds(seen)
+    if n == 1:
+        read = Observation()
+        rows = store.read(seen).observe(read, F.count(F.lit(1)).alias("rows"))
+        kept = store.replace_days(keep_one(rows, keys, order), month, list(seen), compacted=True, seen=seen)
+        return read.get["rows"] - kept
+    mine = F.pmod(F.xxhash64(*keys), F.lit(n))
+    parts = (keep_one(store.read(seen).where(mine == i), keys, order) for i in range(n))
+    return store.read(seen).count() - store.replace_days(parts, month, list(seen), compacted=True, seen=seen)

@@ -26,7 +26,8 @@ import datetime as dt
 import json
 import re
 import uuid
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendcast.functions.timeparts import add_months, month_tag
+from trendcast.session import rounds_for, shuffles_freed
 
 MONTH_COL = "snapshot_month"
 NO_DAY = "none"
@@ -43,6 +45,7 @@ _DAY, _VERSION = "_day", "_v"
 COMMIT_TRIES = 20
 
 Entries = dict[str, list[str]]  # day or bucket -> versions that hold its rows
+Rows = DataFrame | Iterable[DataFrame]  # what a version is written from: at once, or part by part as they are made
 
 
 class Conflict(RuntimeError):
@@ -140,10 +143,10 @@ class SnapshotStore:
         return F.coalesce(F.date_format(self.day_col, self.grain), F.lit(NO_DAY))
 
     # -- writes -----------------------------------------------------------------------
-    def append(self, df: DataFrame, month: str, by: Batch | None = None, run: str | None = None,
+    def append(self, df: Rows, month: str, by: Batch | None = None, run: str | None = None,
                carry: tuple[str, list[str] | None] | None = None, merged: tuple[str, Entries] | None = None,
                rules: dict[str, Column] | None = None) -> int:
-        """Add rows to a month: one write, then one manifest; the number of rows.
+        """Add rows to a month: one write (one for each part), then one manifest; the number of rows.
 
         In the same manifest: ``carry`` (source month, days or None for all) starts
         the month from another one; ``merged`` (source month, its versions) notes
@@ -184,7 +187,7 @@ class SnapshotStore:
             state["months"][month] = {d: [version] for d in days}
         self._commit(swap)
 
-    def replace_days(self, df: DataFrame, month: str, days: list[str], compacted: bool = False,
+    def replace_days(self, df: Rows, month: str, days: list[str], compacted: bool = False,
                      seen: Entries | None = None, by: Batch | None = None, note: dict | None = None) -> int:
         """Swap the rows of some days of a month for ``df`` (all of whose rows lie in these days); the number of rows.
 
@@ -317,20 +320,34 @@ class SnapshotStore:
             return self._empty()
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def _write(self, df: DataFrame, rules: dict[str, Column] | None = None) -> tuple[str, list[str], int]:
+    def rounds(self, entries: Entries) -> int:
+        """In how many rounds to work on some days' rows, by the bytes of their files."""
+        size = lambda *p: self._size("/".join([f"{self.base}/data", *p]))
+        if rounds_for(sum(size(f"{_VERSION}={v}") for v in {v for vs in entries.values() for v in vs})) == 1:
+            return 1
+        return rounds_for(sum(size(f"{_VERSION}={v}", f"{_DAY}={d}") for d, vs in entries.items() for v in vs))
+
+    def _write(self, df: Rows, rules: dict[str, Column] | None = None) -> tuple[str, list[str], int]:
         """Write rows as a new version, counting them and the rows that break a rule on the way; the version, its days, its rows."""
-        version, rules, seen = uuid.uuid4().hex, rules or {}, Observation()
+        version, rules, total = uuid.uuid4().hex, rules or {}, Counter()
         path = f"{self.base}/data/{_VERSION}={version}"
+        for part in [df] if isinstance(df, DataFrame) else df:
+            total.update(self._write_part(part, rules, path))
+        broken = {name: total[name] for name in rules if total[name]}
+        if broken:
+            raise RulesBroken(broken)
+        return version, self._list(path, f"{_DAY}="), total["_rows"]
+
+    def _write_part(self, df: DataFrame, rules: dict[str, Column], path: str) -> dict[str, int]:
+        seen = Observation()
         rows = conform(df, self.schema).withColumn(_DAY, self.day_of())
         # AQE merges small days and splits a hot one, so files come out near the advisory size.
         rows = rows.hint("rebalance", _DAY) if self.day_col or self.buckets else rows
         counts = [F.count_if(c).alias(name) for name, c in rules.items()]
-        rows.observe(seen, F.count(F.lit(1)).alias("_rows"), *counts).write.partitionBy(_DAY).parquet(path)
-        found = seen.get
-        broken = {name: found[name] for name in rules if found[name]}
-        if broken:
-            raise RulesBroken(broken)
-        return version, self._list(path, f"{_DAY}="), found["_rows"]
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("_rows"), *counts)
+        with shuffles_freed(self.spark):
+            rows.write.mode("append").partitionBy(_DAY).option("compression", "zstd").parquet(path)
+        return seen.get
 
     def _manifest(self) -> dict:
         return self._state()[1]
@@ -415,6 +432,10 @@ class SnapshotStore:
         names = [s.getPath().getName() for s in fs.listStatus(path)]
         return sorted(n[len(prefix):] for n in names if n.startswith(prefix) and not n.startswith(("_SUCCESS", ".")))
 
+    def _size(self, p: str) -> int:
+        fs, path = self._fs(p)
+        return fs.getContentSummary(path).getLength()
+
     def _delete(self, p: str) -> None:
         fs, path = self._fs(p)
         fs.delete(path, True)
